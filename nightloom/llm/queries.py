@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, urls
+from . import audio, decontaminate, htmltext, langid, mixing, tokens, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontaminate": decontaminate.op1_decontaminate,
+        "op2_language_id": langid.op2_language_id,
         "op3_url_rules": urls.op3_url_rules,
+        "op4_main_text": htmltext.op4_main_text,
         "op5_mix_sources": mixing.op5_mix_sources,
+        "op9_mpeg_audio": audio.op9_mpeg_audio,
+        "op10_token_counts": tokens.op10_token_counts,
     }
 
 
