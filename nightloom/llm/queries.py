@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, decontaminate, htmltext, langid, mixing, tokens, urls
+from . import audio, decontaminate, htmltext, langid, mixing, substrings, tokens, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_url_rules": urls.op3_url_rules,
         "op4_main_text": htmltext.op4_main_text,
         "op5_mix_sources": mixing.op5_mix_sources,
+        "op6_substring_dedup": substrings.op6_substring_dedup,
         "op9_mpeg_audio": audio.op9_mpeg_audio,
         "op10_token_counts": tokens.op10_token_counts,
     }
