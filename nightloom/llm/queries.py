@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, decontaminate, htmltext, langid, lm, mixing, substrings, tokens, urls
+from . import audio, decontaminate, htmltext, langid, lm, mixing, neardups, substrings, tokens, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_main_text": htmltext.op4_main_text,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op6_substring_dedup": substrings.op6_substring_dedup,
+        "op7_near_duplicates": neardups.op7_near_duplicates,
         "op8_katz_scores": lm.op8_katz_scores,
         "op9_mpeg_audio": audio.op9_mpeg_audio,
         "op10_token_counts": tokens.op10_token_counts,
