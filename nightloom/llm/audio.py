@@ -5,14 +5,12 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterator
 from fractions import Fraction
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import add_columns, table
 
 # Fixed values of the MPEG audio header: kbit/s by (MPEG-1?, layer) and index, and samples a second by version.
 BITRATES = {
@@ -200,19 +198,12 @@ def describe_streams(df: DataFrame, media: str = "media") -> DataFrame:
     Samples and sample rate give the exact duration; ``seek_offsets`` has the byte offset of each audio
     frame. Null, empty or foreign bytes give 0 frames. Columns with these names are replaced.
     """
-    names = [x.split()[0] for x in STREAM_FIELDS.split(", ")]
-    kept = df.drop(*[n for n in names if n != media])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields) + ", " + STREAM_FIELDS
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            s = [read_stream(x) for x in batch[media]]
-            values = [[(len(x["seek"]), x["samples"], x["rate"], float(x["duration"]), x["bad_crc"], x["skipped"], x["table"] and x["table"]["kind"], sorted(x["tags"]) + ["ID3v1"] * x["id3v1"], x["seek"])[k] for x in s] for k in range(9)]
-            for n, v in zip(names, values, strict=True):
-                batch[n] = v
-            yield batch
+    def one(data: bytes | None) -> tuple:
+        x = read_stream(data)
+        return len(x["seek"]), x["samples"], x["rate"], float(x["duration"]), x["bad_crc"], x["skipped"], x["table"] and x["table"]["kind"], sorted(x["tags"]) + ["ID3v1"] * x["id3v1"], x["seek"]
 
-    return kept.mapInPandas(run, schema)
+    return add_columns(df, media, STREAM_FIELDS, lambda: lambda values: [list(c) for c in zip(*map(one, values), strict=True)])
 
 
 MEDIA_FIELDS = "n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media binary, media_bytes bigint, media_sha256 string, feature string"
@@ -225,9 +216,6 @@ def store_as_audio(docs: DataFrame, text: str = "text") -> DataFrame:
     exact duration in samples over the rate, checksum failures, the table's kind, the size of its last
     frame's offset and a digest of all seek offsets. Equal texts give equal values. Columns with these names are replaced.
     """
-    names = [x.split()[0] for x in MEDIA_FIELDS.split(", ")]
-    kept = docs.drop(*[n for n in names if n != text])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields) + ", " + MEDIA_FIELDS
 
     def one(value) -> tuple:
         raw = value.encode("utf-8", "surrogatepass") if isinstance(value, str) else b""
@@ -239,14 +227,7 @@ def store_as_audio(docs: DataFrame, text: str = "text") -> DataFrame:
         feature = f"frames={len(stream['seek'])};duration={stream['samples']}/{stream['rate']};bad_crc={stream['bad_crc']};skipped={stream['skipped']};table={stream['table']['kind'] if stream['table'] else '-'}:{'ok' if table_ok else 'bad'};last={stream['seek'][-1] if stream['seek'] else -1};seek={seek}"
         return len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), media, len(media), hashlib.sha256(media).hexdigest(), feature
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [one(x) for x in batch[text]]
-            for k, n in enumerate(names):
-                batch[n] = [r[k] for r in rows]
-            yield batch
-
-    return kept.mapInPandas(run, schema)
+    return add_columns(docs, text, MEDIA_FIELDS, lambda: lambda values: [list(c) for c in zip(*map(one, values), strict=True)])
 
 
 def op9_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:

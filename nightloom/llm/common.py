@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word of the query contracts: what stands between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,6 +25,37 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder's name below the shared folder of ``spark.checkpoint.dir`` (a temporary one where none is set)."""
+    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-shared-')}/{uuid.uuid4().hex}"
+
+
+def add_columns(df: DataFrame, column: str, fields: str, start: Callable[[], Callable[[list], list[list]]]) -> DataFrame:
+    """``df`` with new columns (DDL ``fields``) that Python computes from one column, in Arrow batches.
+
+    ``start()`` runs once a task and gives a function from a batch's values to one list per new column. The
+    other columns pass unread; those named as a new one are replaced.
+    """
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    new = T.StructType.fromDDL(fields)
+    kept = [f for f in df.schema.fields if f.name not in new.names]
+    read = df if column in {f.name for f in kept} else df.withColumn("_read", F.col(column))
+    read = read.select(*[f"`{f.name}`" for f in kept], *(["_read"] if "_read" in read.columns else []))
+    source = "_read" if "_read" in read.columns else column
+    names, kinds, n_kept = [f.name for f in kept] + new.names, [to_arrow_type(f.dataType) for f in new], len(kept)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        compute = start()
+        for batch in batches:
+            values = compute(batch.column(source).to_pylist()) if batch.num_rows else [[] for _ in kinds]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n_kept], *(pa.array(v, k) for v, k in zip(values, kinds, strict=True))], names=names)
+
+    return read.mapInArrow(run, T.StructType([*kept, *new]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import add_columns, table
 
 #: Characters of benchmark text that one pass over the documents takes; more items make more passes.
 BLOCK_CHARS = 16 << 20
@@ -195,25 +193,20 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
     are left out. All rows stay; a column named ``matches`` is replaced.
     """
     spark = docs.sparkSession
-    kept = docs.drop("matches") if text != "matches" else docs
     items = benchmark.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).filter("i is not null and t is not null")
     chars = items.agg(F.coalesce(F.sum(F.char_length("t")), F.lit(0)).alias("n")).first()["n"]
     n_blocks = -(-chars // BLOCK_CHARS) or 1
-    out = kept.withColumn("matches", F.array().cast(MATCHES))
-    schema = out.schema
+    out, names = docs, ("item", "item_start", "edits", "start", "end")
     for block in range(n_blocks):
         part = items.filter(F.pmod(F.xxhash64("i"), F.lit(n_blocks)) == block).collect()  # one block of bounded size
         index = spark.sparkContext.broadcast(QgramIndex(sorted((r["i"], r["t"]) for r in part), q, window, rate, shortest))
 
-        def run(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
-            names = ("item", "item_start", "edits", "start", "end")
-            for batch in batches:
-                found = [index.value.matches(t if isinstance(t, str) else None) for t in batch[text]]
-                batch["matches"] = [[*old, *(dict(zip(names, m, strict=True)) for m in new)] for old, new in zip(batch["matches"], found, strict=True)]
-                yield batch
+        def start(index=index):
+            return lambda texts: [[[dict(zip(names, m, strict=True)) for m in index.value.matches(t)] for t in texts]]
 
-        out = out.mapInPandas(run, schema)
-    return out
+        out = add_columns(out, text, f"_matches{block} {MATCHES}", start)
+    found = F.flatten(F.array(*[f"_matches{block}" for block in range(n_blocks)]))
+    return out.select(*[c for c in docs.columns if c != "matches"], found.alias("matches"))
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,13 +4,10 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import add_columns, table
 
 # Names from HTML and from common page templates.
 BLOCK_TAGS = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -184,16 +181,9 @@ def blocks_of(page: str | None) -> list[tuple[str, int, int, bool, bool]]:
 
 def page_blocks(pages: DataFrame, html: str = "html", column: str = "blocks") -> DataFrame:
     """Add ``column``: the page's blocks as an array of (text, words, links, aside, article). Null pages have none."""
-    kept = pages.drop(column)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields) + f", `{column}` array<struct<text: string, words: int, links: int, aside: boolean, article: boolean>>"
     names = ("text", "words", "links", "aside", "article")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch[column] = [[dict(zip(names, b, strict=True)) for b in blocks_of(x if isinstance(x, str) else None)] for x in batch[html]]
-            yield batch
-
-    return kept.mapInPandas(run, schema)
+    fields = f"`{column}` array<struct<text: string, words: int, links: int, aside: boolean, article: boolean>>"
+    return add_columns(pages, html, fields, lambda: lambda values: [[[dict(zip(names, b, strict=True)) for b in blocks_of(x)] for x in values]])
 
 
 def extract_text(pages: DataFrame, html: str = "html", column: str = "text", labelled: list[tuple] | None = None) -> DataFrame:

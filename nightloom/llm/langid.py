@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpointed, fold, table
+from .common import add_columns, checkpointed, fold, table
 
 #: Bits of a unit vector's fixed-point entries, so that sums do not depend on their order.
 FIXED = 20
@@ -129,27 +129,26 @@ def identify_language(docs: DataFrame, prototypes: DataFrame, text: str = "text"
     if len(known):
         matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
     shared = docs.sparkSession.sparkContext.broadcast(matrix.astype(np.float32))
-    kept = docs.drop(*[c for c in ("lang_pred", "score") if c != text])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields) + ", lang_pred string, score double"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         profiles = shared.value
         encoder = Encoder(profiles.shape[1], seed) if len(names) else None
-        for batch in batches:
+
+        def compute(texts: list) -> list[list]:
             found = []
-            for t in batch[text]:
-                v = encoder.vector(t) if encoder and isinstance(t, str) else None
+            for t in texts:
+                v = encoder.vector(t) if encoder else None
                 if v is None:
                     found.append(("und", 0.0))
                 else:
                     cosines = profiles @ v
                     best = int(np.argmax(cosines))
                     found.append((names[best], round(min(1.0, max(0.0, float(cosines[best]))), 6)))
-            batch["lang_pred"] = [x for x, _ in found]
-            batch["score"] = [x for _, x in found]
-            yield batch
+            return [[x for x, _ in found], [x for _, x in found]]
+
+        return compute
 
-    return kept.mapInPandas(run, schema)
+    return add_columns(docs, text, "lang_pred string, score double", start)
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,13 +5,11 @@ from __future__ import annotations
 import os
 import re
 from collections import Counter
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import add_columns, table
 
 #: White space at which the library's own splitting always begins a new piece after a visible character.
 PIECE = re.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
@@ -119,17 +117,12 @@ def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", column: st
     count 0. No row is dropped, no shuffle is needed, and a lost task is simply run again. A column of
     ``docs`` named as ``column`` is replaced.
     """
-    kept = docs.drop(column) if column != text else docs
-    fields = [f for f in kept.schema.fields]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", `{column}` bigint"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         counting = Counting(tokenizer, huge, chunk, overlap)
-        for batch in batches:
-            batch[column] = [counting.count(t if isinstance(t, str) else None) for t in batch[text]]
-            yield batch
+        return lambda texts: [[counting.count(t) for t in texts]]
 
-    return kept.mapInPandas(run, schema)
+    return add_columns(docs, text, f"`{column}` bigint", start)
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None, limit: int = 1024) -> DataFrame:
