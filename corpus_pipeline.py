@@ -1,12 +1,72 @@
-"""The corpus pipeline: stages over ``documents`` that each call one operator of ``nightloom.llm``."""
+"""The corpus pipeline: stages over ``documents`` that each call one operator of ``nightloom.llm``.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame. ``run`` writes each stage's rows as Parquet below the shared
+folder and reads them again for the next one, so no stage is ever computed twice and a lost executor costs no more than the stage
+at hand. All stages but the last return the columns they were given.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from nightloom.llm.common import checkpointed, fold, shared_folder, table
+from nightloom.llm.decontaminate import find_benchmark
+from nightloom.llm.langid import identify_language, train_prototypes
+from nightloom.llm.mixing import mix_sources
+from nightloom.llm.neardups import keep_one_of_each
+from nightloom.llm.substrings import remove_repeats
+
+#: Cosine below which a text resembles no language that was learned.
+LEAST_SCORE = 0.05
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that resemble a learned language stay; null texts, texts without letters and others go."""
+    taught = docs.filter(~F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))).select("text", "lang")
+    found = identify_language(docs, checkpointed(train_prototypes(taught)))
+    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document with the smallest id stays."""
+    return keep_one_of_each(docs).select(*docs.columns)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of repeated passages leave the texts; documents of nothing else go, untouched ones stay as they are."""
+    found = remove_repeats(docs).filter("n_removed < n_words or n_words = 0")
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    new = {"text": text} | ({"n_chars": F.when(F.col("n_removed") > 0, F.char_length("kept_text")).otherwise(F.col("n_chars")).cast("bigint")} if "n_chars" in docs.columns else {})
+    return found.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
+    return find_benchmark(docs, table(spark, sf_dir, "benchmark")).filter(F.size("matches") == 0).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: how many copies of each document, and the words they make."""
+    return mix_sources(docs).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("substring_dedup", substring_dedup),
+    ("decontaminate", decontaminate),
+    ("mix", mix),
+]
 
-STAGES: list = []
+#: SQL can't express the stages; ``tests/llm`` holds them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Apply the stages to ``documents``."""
+    docs, folder = table(spark, sf_dir, "documents"), shared_folder(spark)
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs
