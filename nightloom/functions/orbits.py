@@ -11,12 +11,12 @@ from ..constants import BASE62, JUPITER_AU
 
 def classify_orbit(q: Column, e: Column, i: Column, moid_1: Column | None = None, moid_2: Column | None = None) -> Column:
     """Dynamical class of an orbit; ``UNK`` where no rule fits."""
-    a = q / (1 - e)
+    a = F.try_divide(q, 1 - e)
     near = F.lit(False)
     for m in (moid_1, moid_2):
         if m is not None:
             near = near | F.coalesce(m < 0.05, F.lit(False))
-    t = JUPITER_AU / a + 2 * F.sqrt((1 - e * e) * a / JUPITER_AU) * F.cos(F.radians(i))
+    t = F.try_divide(F.lit(JUPITER_AU), a) + 2 * F.sqrt((1 - e * e) * a / JUPITER_AU) * F.cos(F.radians(i))
     bound = (
         F.when(near, "PHO").when(q < 1.30, "NEO").when((q > 1.30) & (q <= 1.67), "MC").when((a > 1.67) & (a <= 5.0), "MB").when((a > 5.0) & (a <= 5.5), "TRO")
         .when((a > 5.0) & (a <= 35.0), "CEN").when((a > 35.0) & (a <= 50.0), "TNO").when(a > 50.0, "SDO")
@@ -41,7 +41,7 @@ def d_criterion(a: dict[str, Column], b: dict[str, Column]) -> tuple[Column, Col
     clamp = lambda x: F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x))
     i1, i2, n1, n2 = F.radians(a["i"]), F.radians(b["i"]), F.radians(a["node"]), F.radians(b["node"])
     mutual = F.acos(clamp(F.cos(i1) * F.cos(i2) + F.sin(i1) * F.sin(i2) * F.cos(n1 - n2)))
-    turn = F.radians(a["arg_peri"] - b["arg_peri"]) + 2 * F.asin(clamp(F.cos((i1 + i2) / 2) * F.sin((n1 - n2) / 2) / F.cos(mutual / 2)))
+    turn = F.radians(a["arg_peri"] - b["arg_peri"]) + 2 * F.asin(clamp(F.cos((i1 + i2) / 2) * F.try_divide(F.sin((n1 - n2) / 2), F.cos(mutual / 2))))
     three = F.pow(a["q"] - b["q"], 2) + F.pow(a["e"] - b["e"], 2) + F.pow(2 * F.sin(mutual / 2), 2)
     return F.sqrt(three), F.sqrt(three + F.pow((a["e"] + b["e"]) * F.sin(turn / 2), 2))
 

@@ -26,7 +26,7 @@ def from_v(v: Column, filt: Column, offsets: dict[str, float] | None = None) ->
 def mag_to_flux(mag: Column, s2n: Column, filt: Column) -> tuple[Column, Column]:
     """Flux and its sigma from a magnitude and S/N; null for unknown filters or S/N of 0 or less."""
     flux = F.when(s2n > 0, F.pow(F.lit(10.0), (mag - _of_filter(filt, ZERO_POINTS)) / -2.5))
-    return flux, flux / s2n
+    return flux, F.try_divide(flux, s2n)
 
 
 def flux_to_mag(flux: Column, sigma: Column, filt: Column) -> tuple[Column, Column, Column]:
@@ -43,7 +43,7 @@ def magsig_to_flux(mag: Column, mag_sigma: Column, filt: Column) -> tuple[Column
     """Flux, its sigma and S/N from a magnitude and its sigma; null for unknown filters or a sigma of 0 or less."""
     flux = F.when(mag_sigma > 0, F.pow(F.lit(10.0), (mag - _of_filter(filt, ZERO_POINTS)) / -2.5))
     sigma = F.abs(mag_sigma * flux * math.log(10) / 2.5)
-    return flux, sigma, flux / sigma
+    return flux, sigma, F.try_divide(flux, sigma)
 
 
 def predict_s2n(model: str, mag: Column, *, exposure_s: Column | float = 30.0, fwhm: Column | float = 0.6, zero: Column | float = 46.2, area: float = 2.0, diff_mag: Column | float = 0.0, sky: Column | float = 0.0, read_noise: Column | float = 5.55, scale: Column | float = 1.0) -> Column:
@@ -78,7 +78,7 @@ def photo_error(s2n: Column) -> Column:
 
 def astro_error_px(s2n: Column, bias: Column, pixel_scale: Column) -> Column:
     """Astrometric error in arcseconds: a baseline and a share of a pixel, in quadrature."""
-    return F.sqrt(F.pow(bias, 2) + F.pow(F.abs(pixel_scale) * 0.269230 * (5.0 / s2n), 2))
+    return F.sqrt(F.pow(bias, 2) + F.pow(F.abs(pixel_scale) * 0.269230 * F.try_divide(F.lit(5.0), s2n), 2))
 
 
 def perturb_positions(df: DataFrame, seed: int, ra: str = "ra_deg", dec: str = "dec_deg", mag: str = "mag", s2n: str = "s2n") -> DataFrame:

@@ -39,8 +39,8 @@ def tangent_plane(ra0: Column, dec0: Column, ra: Column, dec: Column) -> tuple[C
     """(xi, eta, depth) of the projection at (ra0, dec0), in radians; only where depth > 0 it means something."""
     d = rad(ra - ra0)
     depth = F.sin(rad(dec0)) * F.sin(rad(dec)) + F.cos(rad(dec0)) * F.cos(rad(dec)) * F.cos(d)
-    xi = F.cos(rad(dec)) * F.sin(d) / depth
-    eta = (F.cos(rad(dec0)) * F.sin(rad(dec)) - F.sin(rad(dec0)) * F.cos(rad(dec)) * F.cos(d)) / depth
+    xi = F.try_divide(F.cos(rad(dec)) * F.sin(d), depth)
+    eta = F.try_divide(F.cos(rad(dec0)) * F.sin(rad(dec)) - F.sin(rad(dec0)) * F.cos(rad(dec)) * F.cos(d), depth)
     return xi, eta, depth
 
 
@@ -62,7 +62,7 @@ def in_ellipse(ra0: Column, dec0: Column, major: Column, minor: Column, orient:
     y = dec - dec0
     along = x * F.sin(rad(orient)) + y * F.cos(rad(orient))
     across = x * F.cos(rad(orient)) - y * F.sin(rad(orient))
-    return F.pow(along / (major + pad), 2) + F.pow(across / (minor + pad), 2) <= 1.0
+    return F.pow(F.try_divide(along, major + pad), 2) + F.pow(F.try_divide(across, minor + pad), 2) <= 1.0
 
 
 def xy_index(ra0: Column, dec0: Column, fov: Column, size: int, ra: Column, dec: Column, rotation: Column | None = None) -> Column:

@@ -69,8 +69,8 @@ def drop_linear(df: DataFrame, radius: float, angle: float, support: int, key: s
     east = (F.pmod(F.col("o_ra_deg") - F.col("ra_deg") + 180.0, F.lit(360.0)) - 180.0) * F.cos(F.radians((F.col("dec_deg") + F.col("o_dec_deg")) / 2))
     direction = F.pmod(F.degrees(F.atan2(F.col("o_dec_deg") - F.col("dec_deg"), east)), F.lit(180.0))
     angles = pairs.select(key, F.explode(F.array(direction, direction + 180.0)).alias("_angle")).filter(F.col("_angle") < 180.0 + angle + 1e-9)
-    w = W.partitionBy(key).orderBy("_angle").rangeBetween(0, angle)
-    bad = angles.withColumn("_support", F.count("*").over(w)).filter(F.col("_support") >= support).select(key).distinct()
+    support_of = F.expr(f"count(*) OVER (PARTITION BY {key} ORDER BY _angle RANGE BETWEEN CURRENT ROW AND {float(angle)}D FOLLOWING)")
+    bad = angles.withColumn("_support", support_of).filter(F.col("_support") >= support).select(key).distinct()
     return df.join(bad, key, "left_anti")
 
 
@@ -116,7 +116,7 @@ def bright_code(distance_px: Column, bright_mag: Column, limit_px: float, limit_
 
 def low_s2n_code(mag_sigma: Column, limit: float) -> Column:
     """L under the limit of S/N, which is 2.5 / ln 10 over the magnitude's sigma."""
-    return F.when(2.5 / math.log(10) / mag_sigma < limit, "L")
+    return F.when(F.try_divide(F.lit(2.5 / math.log(10)), mag_sigma) < limit, "L")
 
 
 def dipole_code(flags: Column, s2n: Column, positive_s2n: Column, negative_s2n: Column, bit: int, factor: float = 5.0) -> Column:

@@ -191,7 +191,7 @@ def discoveries_by_lunation(submissions: DataFrame, groups: list[str]) -> DataFr
     from ..functions.timefn import lunation
 
     first = submissions.filter("is_discovery = 1").groupBy("desig").agg(F.min(F.struct("nn", "survey_group")).alias("f"))
-    return first.select(lunation(F.col("f.nn").cast("double")).alias("ocnum"), F.col("f.survey_group").alias("g")).groupBy("ocnum").pivot("g", groups).agg(F.count("*")).na.fill(0, groups)
+    return first.select(lunation(F.col("f.nn").cast("double")).alias("ocnum"), F.col("f.survey_group").alias("g")).groupBy("ocnum").pivot("g", groups).agg(F.count(F.lit(1))).na.fill(0, groups)
 
 
 def snr_magnitude_sample(detections: DataFrame, attrib: DataFrame, tracklets: DataFrame, fields: DataFrame, classification: str, nn: int) -> DataFrame:

@@ -26,7 +26,7 @@ def link_tracklets(tracklets: DataFrame, max_ra_accel: float, max_dec_accel: flo
     near = sky_join(b, a, max_speed * max_days, ("b_ra", "b_dec"), ("a_ra", "a_dec"))
     dt = F.col("b_t") - F.col("a_t")
     near = near.filter((F.col("b_night") > F.col("a_night")) & (dt <= max_days))
-    ra_acc, dec_acc = (F.col("b_va") - F.col("a_va")) / dt, (F.col("b_vd") - F.col("a_vd")) / dt
+    ra_acc, dec_acc = F.try_divide(F.col("b_va") - F.col("a_va"), dt), F.try_divide(F.col("b_vd") - F.col("a_vd"), dt)
     miss_ra = angle_diff(F.col("b_ra"), F.col("a_ra")) - (F.col("a_va") + F.col("b_va")) / 2 * dt
     miss_dec = F.col("b_dec") - F.col("a_dec") - (F.col("a_vd") + F.col("b_vd")) / 2 * dt
     pair = near.filter((F.abs(ra_acc) <= max_ra_accel) & (F.abs(dec_acc) <= max_dec_accel) & (F.abs(miss_ra) <= pred_thresh * 4) & (F.abs(miss_dec) <= pred_thresh * 4)).select(

@@ -69,8 +69,8 @@ def orbit_proximity(data: DataFrame, queries: DataFrame, q: float = 0.1, e: floa
             close = F.abs(angle_diff(F.col(c), F.col(f"k_{c}"))) < w
             ok = ok & ((F.col("k_e") <= 0.05) | close if c == "arg_peri" else close)
     if on(time_peri):
-        period = GAUSS_YEAR * F.pow(F.col("k_q") / (1 - F.col("k_e")), 1.5)
-        passed = F.abs(F.col("time_peri") - F.col("k_time_peri")) / period
+        period = GAUSS_YEAR * F.pow(F.try_divide("k_q", 1 - F.col("k_e")), 1.5)
+        passed = F.try_divide(F.abs(F.col("time_peri") - F.col("k_time_peri")), period)
         ok = ok & (passed - F.floor(passed) < time_peri * (F.floor(passed) + 1))
     return j.filter(ok).select("query_id", "orbit_id")
 

@@ -20,8 +20,8 @@ def register_rule(name: str, predicate: Column, rules: dict[str, Column] | None
 def orbit_rules() -> dict[str, Column]:
     """Rules on q, e, i and moid_1 of an object's orbit."""
     q, e, i = F.col("q"), F.col("e"), F.col("i")
-    a = F.when(e < 1, q / (1 - e))
-    tisserand = JUPITER_AU / a + 2 * F.sqrt((1 - e * e) * a / JUPITER_AU) * F.cos(F.radians(i))
+    a = F.when(e < 1, F.try_divide(q, 1 - e))
+    tisserand = F.try_divide(F.lit(JUPITER_AU), a) + 2 * F.sqrt((1 - e * e) * a / JUPITER_AU) * F.cos(F.radians(i))
     return {
         "centaurs": (a > 5.2) & (a < 29) & (q > 5.2) & (q < 29),
         "comets": tisserand < 3,
@@ -58,7 +58,7 @@ def unlinked_fast_movers(tracklets: DataFrame, speed: float = 0.99) -> DataFrame
 
 def unusual_light_curves(objects: DataFrame, members: DataFrame, dets: DataFrame, least: int = 3, spread: float = 0.5) -> DataFrame:
     """Objects of a > 3 and H < 13 with enough good detections whose V magnitudes spread enough. ``dets`` has tracklet_id, v_mag, good."""
-    o = objects.filter((F.col("q") / (1 - F.col("e")) > 3) & (F.col("e") < 1) & (F.col("h_v") < 13)).select("derivedobject_id")
+    o = objects.filter((F.try_divide("q", 1 - F.col("e")) > 3) & (F.col("e") < 1) & (F.col("h_v") < 13)).select("derivedobject_id")
     j = o.join(members, "derivedobject_id").join(dets.filter("good"), "tracklet_id")
     return j.groupBy("derivedobject_id").agg(F.count("*").alias("n"), (F.max("v_mag") - F.min("v_mag")).alias("spread")).filter((F.col("n") >= least) & (F.col("spread") >= spread))
 

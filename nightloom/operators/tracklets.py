@@ -37,8 +37,8 @@ def pair_detections(dets: DataFrame, min_speed: float, max_speed: float, thresh:
         low = F.when(speed > max_speed, F.greatest(F.lit(0.0), (F.col("a_length_deg") - trail_error) / exposure_days)).otherwise(low)
         high = F.when(speed > max_speed, (F.col("a_length_deg") + trail_error) / exposure_days).otherwise(high)
     ok = (dt > 1e-5) & (dt <= max_days) & (F.col("distance") >= low * dt - thresh) & (F.col("distance") <= high * dt + thresh)
-    east = angle_diff(F.col("b_ra_deg"), F.col("a_ra_deg")) / dt
-    return near.filter(ok).select(stack, "a", "b", dt.alias("dt"), east.alias("va"), ((F.col("b_dec_deg") - F.col("a_dec_deg")) / dt).alias("vd"), "distance")
+    speed = lambda x: F.try_divide(x, dt)
+    return near.filter(ok).select(stack, "a", "b", dt.alias("dt"), speed(angle_diff(F.col("b_ra_deg"), F.col("a_ra_deg"))).alias("va"), speed(F.col("b_dec_deg") - F.col("a_dec_deg")).alias("vd"), "distance")
 
 
 def find_tracklets(dets: DataFrame, min_speed: float, max_speed: float, thresh: float, max_days: float, min_obs: int = 2, max_obs: int = 1000, greedy: bool = False, stack: str = "stack_id") -> DataFrame:
@@ -51,7 +51,7 @@ def find_tracklets(dets: DataFrame, min_speed: float, max_speed: float, thresh:
     end = pairs.select(stack, "a", F.col("b").alias("end"), F.col("dt").alias("e_dt"), F.col("va").alias("e_va"), F.col("vd").alias("e_vd"))
     both = end.join(pairs, [stack, "a"]).filter(F.col("dt") <= F.col("e_dt") + 1e-10)
     dist = F.pow((F.col("e_va") - F.col("va")) * F.cos(F.radians("e_vd")), 2) + F.pow(F.col("e_vd") - F.col("vd"), 2)
-    fits = both.withColumn("_d", dist).filter(F.col("_d") <= F.pow(thresh / F.col("e_dt"), 2) + F.pow(thresh / F.col("dt"), 2))
+    fits = both.withColumn("_d", dist).filter(F.col("_d") <= F.pow(F.try_divide(F.lit(thresh), "e_dt"), 2) + F.pow(F.try_divide(F.lit(thresh), "dt"), 2))
     nearest = fits.groupBy(stack, "a", "end", F.round("dt", 9).alias("_t")).agg(F.min(F.struct("_d", "b")).alias("m"))
     groups = nearest.groupBy(stack, "a", "end").agg(F.array_sort(F.concat(F.array("a"), F.collect_list("m.b"))).alias("det_ids"))
     groups = groups.withColumn("n", F.size("det_ids")).filter(F.col("n").between(min_obs, max_obs))
@@ -69,7 +69,6 @@ def grow_tracklets(dets: DataFrame, min_speed: float, max_speed: float, thresh:
     ``steps`` detections after the first. Only groups that can't grow and lie in no other stay.
     """
     pairs = pair_detections(dets, min_speed, max_speed, thresh, max_days, stack)
-    point = dets.select(stack, F.col("det_id").alias("c"), F.col("epoch_mjd").alias("ct"), F.col("ra_deg").alias("cr"), F.col("dec_deg").alias("cd"))
     start = pairs.select(stack, F.array("a", "b").alias("det_ids"), "a", F.col("b").alias("last"), "va", "vd", "dt")
     found, level = start.select(stack, "det_ids"), start
     for _ in range(steps - 1):
@@ -77,7 +76,6 @@ def grow_tracklets(dets: DataFrame, min_speed: float, max_speed: float, thresh:
         off = F.sqrt(F.pow((F.col("n_va") - F.col("va")) * F.col("n_dt"), 2) + F.pow((F.col("n_vd") - F.col("vd")) * F.col("n_dt"), 2))
         level = level.join(nxt, [stack, "a"]).filter((F.col("n_dt") > F.col("dt") + 1e-5) & (off / 2 < thresh)).select(stack, F.concat("det_ids", F.array("c")).alias("det_ids"), "a", F.col("c").alias("last"), ((F.col("va") + F.col("n_va")) / 2).alias("va"), ((F.col("vd") + F.col("n_vd")) / 2).alias("vd"), F.col("n_dt").alias("dt"))
         found = found.unionByName(level.select(stack, "det_ids"))
-    del point
     groups = found.withColumn("det_ids", F.array_sort("det_ids")).dropDuplicates([stack, "det_ids"]).withColumn("n", F.size("det_ids")).withColumn("tracklet_key", F.xxhash64("det_ids"))
     return drop_subsets(groups, "tracklet_key", "det_ids").filter(F.col("n") >= min_obs)
 
@@ -179,9 +177,9 @@ def unfound_tracklets(dets: DataFrame, found: DataFrame, min_obs: int, stack: st
 def score_tracklets(members: DataFrame, elongation: Column, key: str = "tracklet_id") -> DataFrame:
     """Quality scores of tracklets: faintest S/N, spread of magnitudes over their errors (reduced chi-square), alignment of trails
     with motion, and speed for the elongation. ``members`` has mag, mag_sigma, s2n, orient_deg, pos_ang, vel_tot."""
-    w = 1 / F.pow("mag_sigma", 2)
+    w = F.try_divide(F.lit(1.0), F.pow("mag_sigma", 2))
     m = members.withColumn("_w", w).groupBy(key).agg(
-        F.min("s2n").alias("least_s2n"), F.count("*").alias("n"), (F.sum(F.col("_w") * F.pow("mag", 2)) - F.pow(F.sum(F.col("_w") * F.col("mag")), 2) / F.sum("_w")).alias("_chi"),
+        F.min("s2n").alias("least_s2n"), F.count("*").alias("n"), (F.sum(F.col("_w") * F.pow("mag", 2)) - F.try_divide(F.pow(F.sum(F.col("_w") * F.col("mag")), 2), F.sum("_w"))).alias("_chi"),
         F.max(F.abs(angle_diff(2 * F.col("orient_deg"), 2 * F.col("pos_ang"))) / 2).alias("misaligned"), F.max("vel_tot").alias("vel_tot"), F.max(elongation).alias("elongation"),
     )
     return m.withColumn("chi2", F.when(F.col("n") > 1, F.greatest(F.lit(0.0), F.col("_chi")) / (F.col("n") - 1))).drop("_chi")

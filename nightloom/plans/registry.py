@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import columns, joins, reports
+
+PARTS = (reports.R, columns.R, joins.R)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: q for part in PARTS for name, q in part.queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: text for part in PARTS for name, text in part.twins.items()}
