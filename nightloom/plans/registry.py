@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import columns, joins, reports
+from . import chain, columns, joins, reports
 
-PARTS = (reports.R, columns.R, joins.R)
+PARTS = (reports.R, columns.R, joins.R, chain.R)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -75,7 +75,7 @@ def format_obs80(df: DataFrame) -> DataFrame:
     cs = F.round(F.abs("dec_deg") * 360000).cast("bigint")
     dec = F.concat(F.when(F.col("dec_deg") < 0, "-").otherwise("+"), _two(F.floor(cs / 360000)), F.lit(" "), _two(F.floor(cs / 6000) % 60), F.lit(" "), F.format_string("%05.2f", (cs % 6000) / 100.0))
     name = F.rpad(F.concat(F.lit("     "), F.substring(F.coalesce("object_name", F.lit("")), 1, 7)), 12, " ")
-    line = F.concat(name, F.lit("  C"), date, fraction, ra, dec, F.lit("         "), F.format_string("%5.2f", "mag"), F.lit(" "), F.rpad("filter_id", 1, " "), F.lit("      "), F.rpad("obscode", 3, " "))
+    line = F.concat(name, F.lit("  C"), date, fraction, ra, dec, F.lit("         "), F.format_string("%5.2f", "mag"), F.rpad("filter_id", 1, " "), F.lit("      "), F.rpad("obscode", 3, " "))
     return df.select(line.alias("value"))
 
 
@@ -86,7 +86,7 @@ def parse_obs80(lines: DataFrame, column: str = "value") -> DataFrame:
     epoch = ut_to_mjd(num(16, 4, "int"), num(21, 2, "int"), num(24, 2, "int"), F.lit(0), F.lit(0), F.lit(0)) + F.concat(F.lit("0"), cut(26, 7)).try_cast("double")
     ra = (num(33, 2) + num(36, 2) / 60 + num(39, 6) / 3600) * 15
     dec = F.when(F.substring(column, 45, 1) == "-", -1.0).otherwise(1.0) * (num(46, 2) + num(49, 2) / 60 + num(52, 5) / 3600)
-    return lines.select(cut(6, 7).alias("object_name"), epoch.alias("epoch_mjd"), ra.alias("ra_deg"), dec.alias("dec_deg"), num(66, 5).alias("mag"), cut(72, 1).alias("filter_id"), cut(78, 3).alias("obscode"))
+    return lines.select(cut(6, 7).alias("object_name"), epoch.alias("epoch_mjd"), ra.alias("ra_deg"), dec.alias("dec_deg"), num(66, 5).alias("mag"), cut(71, 1).alias("filter_id"), cut(78, 3).alias("obscode"))
 
 
 def read_obs80(spark: SparkSession, path: str) -> DataFrame:
