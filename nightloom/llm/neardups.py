@@ -76,18 +76,21 @@ def leader_edges(digests: list[bytes], small: np.ndarray, cover: float, link: fl
     """Edges of the texts of one bucket to leaders, and the leaders.
 
     A text that no leader covers becomes one. If two texts are similar, one of them covered by a leader, the other
-    is still within ``link`` of that leader, so both hang together; the work is texts times leaders, not pairs.
+    is still within ``link`` of that leader, so both hang together. Only edges that join two parts of the bucket are given, so
+    there are fewer of them than texts.
     """
     leaders: list[int] = []
     edges: list[tuple[bytes, bytes]] = []
-    left = np.arange(len(digests))
+    left, part = np.arange(len(digests)), np.arange(len(digests))
     while len(left):
         leader = int(left[0])
         leaders.append(leader)
         alike = (small == small[leader]).mean(axis=1)
-        for k in np.flatnonzero(alike >= link).tolist():
-            if k != leader:
-                edges.append((digests[k], digests[leader]))
+        near = np.flatnonzero(alike >= link)
+        parts, first = np.unique(part[near], return_index=True)
+        other = parts != part[leader]
+        edges += [(digests[k], digests[leader]) for k in near[first[other]].tolist()]
+        part[np.isin(part, parts)] = part[leader]
         left = left[(alike[left] < cover) & (left != leader)]
     return edges, leaders
 
