@@ -193,6 +193,36 @@ def split_by_range(keys: np.ndarray, n_ranges: int) -> list[tuple[int, int, int]
     return [(int(i), int(a), int(z)) for i, a, z in zip(ids, np.searchsorted(r, ids, "left"), np.searchsorted(r, ids, "right"), strict=True)]
 
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as compressed planes of their differences' bytes."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(np.diff(keys, prepend=U64(0)).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(U64).ravel(), dtype=U64)
+
+
+def packed_values(values: np.ndarray) -> bytes:
+    """Numbers compressed, whole ones of 0 or more in as few bytes as the largest needs."""
+    import zstandard
+
+    if values.dtype == np.int64:
+        values = values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
+    return zstandard.ZstdCompressor(level=1).compress(values.dtype.char.encode() + values.tobytes())
+
+
+def unpacked_values(data: bytes, kind: type) -> np.ndarray:
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    return np.frombuffer(raw, np.dtype(chr(raw[0])), offset=1).astype(kind)
+
+
 def contains(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Whether each key is among the sorted ones."""
     if not len(sorted_keys):

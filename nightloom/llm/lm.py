@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .batches import BATCH_CHARS, RANGE_CHARS, U64, Texts, Words, digest_of, mixed, packed_texts, split_by_range, total_chars
+from .batches import BATCH_CHARS, RANGE_CHARS, U64, Texts, Words, digest_of, mixed, packed_keys, packed_texts, packed_values, split_by_range, total_chars, unpacked_keys, unpacked_values
 from .common import fold, table
 
 #: Hashes of the end of a text (a token) and of its begin (a history only).
@@ -80,24 +80,24 @@ def pair_keys(history: np.ndarray, token: np.ndarray) -> np.ndarray:
 
 
 def question(batch: int, keys: np.ndarray, values: np.ndarray, n_ranges: int, stats: list[int] | None = None) -> pd.DataFrame:
-    """The sorted keys with their values (rows of bytes), one row per range; statistics go along with the first."""
+    """The sorted keys with their values, one row per range; statistics go along with the first."""
     parts = split_by_range(keys, n_ranges) if len(keys) else [(batch % n_ranges, 0, 0)]
     return pd.DataFrame(
-        {"range": [r for r, _, _ in parts], "batch": batch, "keys": [keys[a:z].tobytes() for _, a, z in parts], "values": [values[a:z].tobytes() for _, a, z in parts], "stats": [stats if k == 0 else None for k in range(len(parts))]}
+        {"range": [r for r, _, _ in parts], "batch": batch, "keys": [packed_keys(keys[a:z]) for _, a, z in parts], "values": [packed_values(values[a:z]) for _, a, z in parts], "stats": [stats if k == 0 else None for k in range(len(parts))]}
     )
 
 
 def gathered(pdf: pd.DataFrame, kind: type, columns: int = 1) -> tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]:
     """A range's questions in the order of their batches: rows, their sizes, all keys, all values."""
     pdf = pdf.sort_values("batch")
-    keys = [np.frombuffer(x, U64) for x in pdf["keys"]]
-    values = np.frombuffer(b"".join(pdf["values"]), kind)
+    keys = [unpacked_keys(x) for x in pdf["keys"]]
+    values = np.concatenate([unpacked_values(x, kind) for x in pdf["values"]])
     return pdf, np.array([len(k) for k in keys]), np.concatenate(keys), values if columns == 1 else values.reshape(-1, columns)
 
 
 def answers(pdf: pd.DataFrame, sizes: np.ndarray, stage: int, values: np.ndarray, stats: list[int] | None) -> pd.DataFrame:
     ends = np.cumsum(sizes)
-    rows = [(int(b), stage, int(r), values[e - n : e].tobytes(), None) for b, r, n, e in zip(pdf["batch"], pdf["range"], sizes, ends, strict=True) if n]
+    rows = [(int(b), stage, int(r), packed_values(values[e - n : e]), None) for b, r, n, e in zip(pdf["batch"], pdf["range"], sizes, ends, strict=True) if n]
     if stats is not None:
         rows.append((-1, stage, -1, None, stats))
     return pd.DataFrame(rows, columns=["batch", "stage", "range", "values", "stats"])
@@ -106,7 +106,7 @@ def answers(pdf: pd.DataFrame, sizes: np.ndarray, stage: int, values: np.ndarray
 def answer(pdf: pd.DataFrame, stage: int, kind: type) -> np.ndarray:
     """What the ranges sent back for one stage, in the order of the keys asked about."""
     rows = pdf[(pdf["stage"] == stage) & pdf["values"].notna()].sort_values("range")
-    return np.frombuffer(b"".join(rows["values"]), kind)
+    return np.concatenate([np.empty(0, kind), *(unpacked_values(x, kind) for x in rows["values"])])
 
 
 def statistics(pdf: pd.DataFrame, stage: int) -> list[int]:
