@@ -40,7 +40,7 @@ VIEWS: dict[str, str] = {
                     FROM lineitem GROUP BY l_orderkey, l_linenumber) AS l JOIN fields f ON l.ok = f.field_id) AS z""",
     "movers": f"""
         SELECT 10000000000 + pk * 1000 + n * 10 + e AS det_id, field_id, epoch_mjd, nn, p, n, e, pk, filter_id, obscode, limiting_mag,
-               CASE WHEN ra < 0 THEN ra + 360e0 WHEN ra >= 360 THEN ra - 360e0 ELSE ra END AS ra_deg, dec_deg, 18e0 + (pk % 40) / 10e0 AS mag, 5e0 + pk % 30 AS s2n,
+               CASE WHEN ra < 0 THEN ra + 360e0 WHEN ra >= 360 THEN ra - 360e0 ELSE ra END AS ra_deg, dec AS dec_deg, 18e0 + (pk % 40) / 10e0 AS mag, 5e0 + pk % 30 AS s2n,
                'S' || CAST(pk % 2 AS VARCHAR(20)) || '_' || CAST(pk AS VARCHAR(20)) AS object_name
         FROM (SELECT p_partkey AS pk, f.*, f.ra_deg + ({div("p_partkey", 12)} % 41) * 6e-2 - 12e-1 + (({div("p_partkey", 12)} % 7) - 3) / 20e0 * (f.epoch_mjd - f.nn - 14e-1) AS ra,
                      f.dec_deg + ({div("p_partkey", 492)} % 41) * 6e-2 - 12e-1 + (({div("p_partkey", 12)} % 5) - 2) / 20e0 * (f.epoch_mjd - f.nn - 14e-1) AS dec
