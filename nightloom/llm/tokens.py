@@ -84,7 +84,9 @@ class Counting:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.huge, self.chunk, self.overlap, self.cached = huge, chunk, overlap, cached
+        # An overlap holds any special string whole, so that no boundary inside one can look common.
+        longest = max((len(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()), default=0)
+        self.huge, self.chunk, self.overlap, self.cached = huge, max(chunk, 4 * longest), max(overlap, 2 * longest + 2), cached
         self.known: dict[str, int] = {}
 
     def encode(self, text: str):
