@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 BATCH_CHARS = 8 << 20
 RANGE_CHARS = 16 << 20
-FLUSH_CHARS = 24 << 20
+FLUSH_CHARS = 12 << 20
 U64 = np.uint64
 
 
@@ -124,7 +124,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 BYTE_BASE, WORD_BASE, SECOND_BASE = 0x5851F42D4C957F2D, 0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 
 def lowered(data: bytes) -> bytes:
@@ -155,7 +155,7 @@ class Words:
             while at < len(self.start):  # slices end between words
                 stop = max(at + 1, int(np.searchsorted(self.end, self.start[at] + SLICE, "right")))
                 lo, hi = int(self.start[at]), int(self.end[stop - 1])
-                n = 1 << max(20, (hi - lo + 1).bit_length())
+                n = 1 << max(18, (hi - lo + 1).bit_length())
                 up, down = powers(BYTE_BASE, n)
                 total = np.zeros(hi - lo + 1, U64)
                 np.cumsum((b[lo:hi].astype(U64) + U64(1)) * up[: hi - lo], out=total[1:])
@@ -172,7 +172,7 @@ class Words:
         """A hash of the ``length`` words from each word on; those that reach over a text's end mean nothing."""
         n = len(self.hash)
         with np.errstate(over="ignore"):
-            up, down = powers(base, 1 << max(20, (n + 1).bit_length()))
+            up, down = powers(base, 1 << max(18, (n + 1).bit_length()))
             total = np.zeros(n + 1, U64)
             np.cumsum(self.hash * up[:n], out=total[1:])
             out = np.zeros(n, U64)

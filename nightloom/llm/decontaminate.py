@@ -210,10 +210,13 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, contaminated, n_windows and the ids of the benchmark items found, for every document."""
+    """One row per contaminated document and benchmark item: doc_id, item_id, contaminated (true), n_windows found, fewest edits, and where
+    in the normal text the first and last window lie. Clean documents have no row."""
     found = find_benchmark(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item"])))
-    return found.select(
-        "doc_id", (F.size("matches") > 0).alias("contaminated"), F.size("matches").cast("bigint").alias("n_windows"),
-        F.array_join(items.cast("array<string>"), ",").alias("items"), F.coalesce(F.array_min(F.transform("matches", lambda m: m["edits"])), F.lit(-1)).alias("least_edits"),
+    each = found.select("doc_id", "matches", F.explode(F.array_distinct(F.transform("matches", lambda m: m["item"]))).alias("item_id"))
+    mine = each.select("doc_id", "item_id", F.filter("matches", lambda m: m["item"] == F.col("item_id")).alias("m"))
+    of = lambda field: F.transform("m", lambda m: m[field])
+    return mine.select(
+        "doc_id", "item_id", F.lit(True).alias("contaminated"), F.size("m").cast("bigint").alias("n_windows"), F.array_min(of("edits")).alias("least_edits"),
+        F.array_min(of("start")).alias("first_start"), F.array_max(of("end")).alias("last_end"),
     )

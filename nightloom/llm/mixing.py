@@ -48,7 +48,7 @@ def balance(classes: DataFrame, sources: DataFrame, cap: float, steps: int, tole
     one equation per source. Every Newton step is one aggregate of gradient and curvature over the classes;
     a step that leaves the bracket known to hold the root is replaced by its middle.
     """
-    ratio = F.col("target") / F.col("source_size")
+    ratio = F.try_divide("target", "source_size")
     state = sources.select(
         "_key", "source_size", "target", "_docs", (F.col("source_size") / F.col("_docs")).alias("_mean"),
         F.lit(0.0).alias("_lambda"), F.lit(-64.0).alias("_low"), F.lit(64.0).alias("_high"),
@@ -58,13 +58,13 @@ def balance(classes: DataFrame, sources: DataFrame, cap: float, steps: int, tole
     for _ in range(steps):
         rate = tilted(F.col("size"), F.col("_lambda"), F.col("_mean"), cap)
         sums = classes.join(state.filter("not _done").select("_key", "_lambda", "_mean"), "_key").groupBy("_key").agg(
-            F.sum(F.col("_n") * F.col("size") * rate).alias("_got"),
-            F.sum(F.col("_n") * F.col("size") * F.col("size") / F.col("_mean") * rate * (1 - rate / F.lit(float(cap)))).alias("_slope"),
+            exact_sum(F.col("_n") * F.col("size") * rate).alias("_got"),
+            exact_sum(F.col("_n") * F.col("size") * F.col("size") / F.col("_mean") * rate * (1 - rate / F.lit(float(cap)))).alias("_slope"),
         )
         gap = F.col("target") - F.col("_got")
         low = F.when(gap > 0, F.col("_lambda")).otherwise(F.col("_low"))
         high = F.when(gap > 0, F.col("_high")).otherwise(F.col("_lambda"))
-        newton = F.col("_lambda") + gap / F.greatest(F.col("_slope"), F.lit(1e-300))
+        newton = F.col("_lambda") + gap / F.greatest(F.col("_slope"), F.lit(1e-6))
         state = state.join(sums, "_key", "left").withColumns({"_low2": low, "_high2": high, "_newton": newton}).select(
             "_key", "source_size", "target", "_docs", "_mean",
             F.when(F.col("_done") | (F.abs(gap) <= tolerance * F.col("target")), F.col("_lambda"))
@@ -79,9 +79,14 @@ def balance(classes: DataFrame, sources: DataFrame, cap: float, steps: int, tole
     return state
 
 
+def exact_sum(x: Column) -> Column:
+    """A sum that does not depend on its order: each term is rounded to a fixed point first."""
+    return (F.sum(F.round(x * F.lit(2.0**20)).cast("decimal(38,0)")) / F.lit(2.0**20)).cast("double")
+
+
 def tilted(size: Column, lam: Column, mean: Column, cap: float) -> Column:
     """The rate of a document: ``cap`` / (1 + (cap - 1) * exp(-lambda * size / mean)); 1 at lambda 0."""
-    return F.lit(float(cap)) / (1 + F.lit(cap - 1.0) * F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), -lam * size / mean))))
+    return F.lit(float(cap)) / (1 + F.lit(cap - 1.0) * F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.try_divide(-lam * size, mean)))))
 
 
 def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: int = 2, steps: int = 40, tolerance: float = 1e-9) -> DataFrame:
@@ -104,7 +109,7 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     sources = checkpointed(source_targets(sources, weights, share, float(cap)))
     solved = balance(classes, sources, float(cap), steps, tolerance)
 
-    ratio = F.col("target") / F.col("source_size")
+    ratio = F.try_divide("target", "source_size")
     rate = F.when(F.col("source_size") == 0, F.lit(0.0)).when(ratio >= cap, F.lit(float(cap))).when(ratio <= 0, F.lit(0.0)).otherwise(tilted(F.col("size"), F.col("_lambda"), F.col("_mean"), float(cap)))
     rate = F.when(F.col("size") == 0, F.lit(0.0)).otherwise(F.least(F.lit(float(cap)), rate))
     one = 1 << BITS

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from nightloom.operators.graph import connected_components
 
-from .batches import BATCH_CHARS, RANGE_CHARS, U64, WORD_BASE, Texts, Words, contains, digest_of, mixed, packed_texts, total_chars
+from .batches import RANGE_CHARS, U64, WORD_BASE, Texts, Words, contains, digest_of, mixed, packed_texts, total_chars
 from .common import checkpointed, table
 from .substrings import QUESTION, answered, question, repeated_keys
 
+#: Half the common batch: these workers hold signatures or windows besides.
+BATCH_CHARS = 4 << 20
 #: Texts of one block of a candidate component; larger components are verified block against block.
 BLOCK = 1024
 #: Texts at least this similar (estimated) to a leader are covered by it, and linked to all leaders down to the second value.

@@ -7,9 +7,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .batches import BATCH_CHARS, RANGE_CHARS, SECOND_BASE, U64, WORD_BASE, Texts, Words, contains, digest_of, packed_texts, split_by_range, total_chars
+from .batches import RANGE_CHARS, SECOND_BASE, U64, WORD_BASE, Texts, Words, contains, digest_of, packed_texts, split_by_range, total_chars
 from .common import table
 
+#: Half the common batch: these workers hold windows besides.
+BATCH_CHARS = 4 << 20
 #: Perfect difference sets. Every difference modulo the period is one between two of the positions.
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
 ANSWER = "batch bigint, stage int, keys binary"
