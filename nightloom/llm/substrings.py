@@ -200,3 +200,14 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = docs.select("doc_id", digest_of(F.col("text")).alias("digest"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     return keyed.join(found, "digest", "left").select("doc_id", zero("n_words"), zero("n_removed"), F.coalesce("kept_sha256", F.sha2(F.lit(""), 256)).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH w AS MATERIALIZED (SELECT row_number() OVER () AS rn, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT rn, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h FROM (SELECT rn, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35) x),
+d AS (SELECT rn, i FROM (SELECT rn, i, count(*) OVER (PARTITION BY h) AS c FROM s) x WHERE c > 1),
+g AS MATERIALIZED (SELECT DISTINCT rn, unnest(range(i, i + 35)) AS p FROM d),
+n AS (SELECT rn, count(*) AS n_removed FROM g GROUP BY rn),
+k AS (SELECT rn, string_agg(word, ' ' ORDER BY p) AS t FROM (SELECT rn, unnest(ws) AS word, CAST(generate_subscripts(ws, 1) AS BIGINT) AS p FROM w) x ANTI JOIN g USING (rn, p) GROUP BY rn)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN n USING (rn) LEFT JOIN k USING (rn)
+"""
