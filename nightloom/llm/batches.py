@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back
+
 BATCH_CHARS = 8 << 20
 RANGE_CHARS = 16 << 20
 FLUSH_CHARS = 12 << 20
@@ -76,10 +78,37 @@ def packed_texts(docs: DataFrame, text: str, n_batches: int, weight: Column | No
                     size = 0
         if held:
             yield flush()
+        held.clear()
+        sent.clear()
+        give_back()
 
     return rows.mapInPandas(run, "batch bigint, blob binary")
 
 
+def tidied(fn: Callable) -> Callable:
+    """A grouped map over one table that gives its memory back after each group."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = fn(pdf)
+        powers.cache_clear()
+        give_back()
+        return out
+
+    return run
+
+
+def tidied_pair(fn: Callable) -> Callable:
+    """The same over two tables."""
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = fn(left, right)
+        powers.cache_clear()
+        give_back()
+        return out
+
+    return run
+
+
 class Texts:
     """A batch unpacked: digests in order, texts as UTF-8, numbers of rows and weights."""
 

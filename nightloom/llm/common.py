@@ -30,6 +30,17 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-shared-')}/{uuid.uuid4().hex}"
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between tasks, and all of an executor's share its limit."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of the GNU C library
+        trim(0)
+
+
 def add_columns(df: DataFrame, column: str, fields: str, start: Callable[[], Callable[[list], list[list]]]) -> DataFrame:
     """``df`` with new columns (DDL ``fields``) that Python computes from one column, in Arrow batches.
 
@@ -52,6 +63,8 @@ def add_columns(df: DataFrame, column: str, fields: str, start: Callable[[], Cal
         for batch in batches:
             values = compute(batch.column(source).to_pylist()) if batch.num_rows else [[] for _ in kinds]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n_kept], *(pa.array(v, k) for v, k in zip(values, kinds, strict=True))], names=names)
+        del compute
+        give_back()
 
     return read.mapInArrow(run, T.StructType([*kept, *new]))
 

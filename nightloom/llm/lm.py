@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .batches import BATCH_CHARS, RANGE_CHARS, U64, Texts, Words, digest_of, mixed, packed_keys, packed_texts, packed_values, split_by_range, total_chars, unpacked_keys, unpacked_values
+from .batches import BATCH_CHARS, RANGE_CHARS, U64, Texts, Words, digest_of, mixed, packed_keys, packed_texts, packed_values, split_by_range, tidied, tidied_pair, total_chars, unpacked_keys, unpacked_values
 from .common import fold, table
 
 #: Hashes of the end of a text (a token) and of its begin (a history only).
@@ -250,12 +250,12 @@ def score_texts(docs: DataFrame, train: Column, text: str = "text") -> DataFrame
             return pd.DataFrame(columns=[x.split()[0] for x in SCORES.split(", ")])
         return Model(Tokens(list(left["blob"])), right).with_pairs(right).scores(right)
 
-    words = by_batch.applyInPandas(ask_words, QUESTION).groupBy("range").applyInPandas(words_in_range, ANSWER)
+    words = by_batch.applyInPandas(tidied(ask_words), QUESTION).groupBy("range").applyInPandas(tidied(words_in_range), ANSWER)
     known = words.filter("batch >= 0")
-    pairs = by_batch.cogroup(known.groupBy("batch")).applyInPandas(ask_pairs, QUESTION).groupBy("range").applyInPandas(pairs_in_range, ANSWER)
+    pairs = by_batch.cogroup(known.groupBy("batch")).applyInPandas(tidied_pair(ask_pairs), QUESTION).groupBy("range").applyInPandas(tidied(pairs_in_range), ANSWER)
     known = known.unionByName(pairs.filter("batch >= 0")).unionByName(totals(words, 1, n_batches)).unionByName(totals(pairs, 2, n_batches))
-    histories = by_batch.cogroup(known.groupBy("batch")).applyInPandas(ask_histories, QUESTION).groupBy("range").applyInPandas(histories_in_range, ANSWER)
-    return by_batch.cogroup(known.unionByName(histories).groupBy("batch")).applyInPandas(score, SCORES)
+    histories = by_batch.cogroup(known.groupBy("batch")).applyInPandas(tidied_pair(ask_histories), QUESTION).groupBy("range").applyInPandas(tidied(histories_in_range), ANSWER)
+    return by_batch.cogroup(known.unionByName(histories).groupBy("batch")).applyInPandas(tidied_pair(score), SCORES)
 
 
 def score_documents(docs: DataFrame, train: Column, text: str = "text") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from nightloom.operators.graph import connected_components
 
-from .batches import RANGE_CHARS, U64, WORD_BASE, Texts, Words, contains, digest_of, mixed, packed_texts, total_chars
+from .batches import RANGE_CHARS, U64, WORD_BASE, Texts, Words, contains, digest_of, mixed, packed_texts, tidied, tidied_pair, total_chars
 from .common import checkpointed, table
 from .substrings import QUESTION, answered, question, repeated_keys
 
@@ -241,8 +241,8 @@ def near_duplicate_texts(docs: DataFrame, text: str = "text", shingle: int = 5,
             out.append((keys[i, t].astype(np.int64), labels[i, t].astype(">u4").tobytes(), texts.digests[there[i]], sig[i].astype(np.uint8).tobytes()))
         return pd.DataFrame(out, columns=names)
 
-    shared = repeated_keys(by_batch.applyInPandas(ask, QUESTION), 1, 1)
-    rows = by_batch.cogroup(shared.groupBy("batch")).applyInPandas(bucket_rows, "bucket bigint, label binary, digest binary, small binary")
+    shared = repeated_keys(by_batch.applyInPandas(tidied(ask), QUESTION), 1, 1)
+    rows = by_batch.cogroup(shared.groupBy("batch")).applyInPandas(tidied_pair(bucket_rows), "bucket bigint, label binary, digest binary, small binary")
     candidates = checkpointed(connected_components(link_buckets(rows)))
 
     n_of = candidates.groupBy("component").agg(F.count("*").alias("n"))
@@ -279,7 +279,7 @@ def near_duplicate_texts(docs: DataFrame, text: str = "text", shingle: int = 5,
             root[j] = r
         return pd.DataFrame({"digest": digests, "links": links, "root": [digests[r] for r in root]})
 
-    gathered = by_batch.cogroup(members.groupBy("batch")).applyInPandas(shingle_rows, "component binary, a int, b int, block int, digest binary, shingles binary")
+    gathered = by_batch.cogroup(members.groupBy("batch")).applyInPandas(tidied_pair(shingle_rows), "component binary, a int, b int, block int, digest binary, shingles binary")
     verified = checkpointed(gathered.groupBy("component", "a", "b").applyInPandas(verify, "digest binary, links bigint, root binary"))
     classes = connected_components(verified.filter("links > 0 and digest <> root"), "digest", "root")
     counted = verified.groupBy("digest").agg(F.sum("links").alias("n_links")).filter("n_links > 0")

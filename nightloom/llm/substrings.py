@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .batches import RANGE_CHARS, SECOND_BASE, U64, WORD_BASE, Texts, Words, contains, digest_of, packed_texts, split_by_range, total_chars
+from .batches import RANGE_CHARS, SECOND_BASE, U64, WORD_BASE, Texts, Words, contains, digest_of, packed_texts, split_by_range, tidied, tidied_pair, total_chars
 from .common import table
 
 #: Half the common batch: these workers hold windows besides.
@@ -145,7 +145,7 @@ def repeated_keys(questions: DataFrame, stage: int, columns: int) -> DataFrame:
                 out.append((batch, stage, mine.tobytes()))
         return pd.DataFrame(out, columns=["batch", "stage", "keys"])
 
-    return questions.groupBy("range").applyInPandas(run, ANSWER)
+    return questions.groupBy("range").applyInPandas(tidied(run), ANSWER)
 
 
 def repeated_words(docs: DataFrame, text: str = "text", window: int = 35) -> DataFrame:
@@ -175,10 +175,10 @@ def repeated_words(docs: DataFrame, text: str = "text", window: int = 35) -> Dat
         return repeats.rows(repeats.removed(np.sort(answered(right, 1)), answered(right, 2).reshape(-1, 2)))
 
     by_batch = packed.groupBy("batch")
-    first = repeated_keys(by_batch.applyInPandas(anchors, QUESTION), 1, 1)
-    second = repeated_keys(by_batch.cogroup(first.groupBy("batch")).applyInPandas(windows, QUESTION), 2, 2)
+    first = repeated_keys(by_batch.applyInPandas(tidied(anchors), QUESTION), 1, 1)
+    second = repeated_keys(by_batch.cogroup(first.groupBy("batch")).applyInPandas(tidied_pair(windows), QUESTION), 2, 2)
     answers = first.unionByName(second)
-    return by_batch.cogroup(answers.groupBy("batch")).applyInPandas(result, "digest binary, n_words bigint, n_removed bigint, kept_text string")
+    return by_batch.cogroup(answers.groupBy("batch")).applyInPandas(tidied_pair(result), "digest binary, n_words bigint, n_removed bigint, kept_text string")
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35) -> DataFrame:
