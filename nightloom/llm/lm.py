@@ -22,21 +22,39 @@ ANSWER = "batch bigint, stage int, range bigint, values binary, stats array<bigi
 SCORES = "digest binary, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
+def good_turing(n: list[float]) -> np.ndarray:
+    """Katz's factors d[1..KATZ] from n[r], the numbers of kinds seen r times: d_r = (r* / r - C) / (1 - C) with r* = (r + 1) n_{r+1} / n_r
+    and C = (KATZ + 1) n_{KATZ+1} / n_1. All 0 where they don't exist."""
+    if not all(x > 0 for x in n[1 : KATZ + 2]) or (c := (KATZ + 1) * n[KATZ + 1] / n[1]) >= 1:
+        return np.zeros(KATZ)
+    return np.array([((r + 1) * n[r + 1] / n[r] / r - c) / (1 - c) for r in range(1, KATZ + 1)])
+
+
+def smoothed(n: list[int]) -> list[float]:
+    """The numbers of kinds by Gale and Sampson's line: log n_r fitted to log r, each n_r spread over the empty counts about it."""
+    seen = [r for r in range(1, KATZ + 2) if n[r] > 0]
+    if len(seen) < 2:
+        return [0.0] * (KATZ + 2)
+    before, after = [0, *seen[:-1]], [*seen[1:], 2 * seen[-1] - seen[-2]]
+    slope, level = np.polyfit(np.log(seen), [np.log(2 * n[r] / (z - a)) for r, a, z in zip(seen, before, after, strict=True)], 1)
+    return [0.0, *np.exp(level + slope * np.log(np.arange(1, KATZ + 2)))]
+
+
 def discounts(of_counts: list[int]) -> np.ndarray:
     """Factors d[0..KATZ] for the counts, from the numbers of kinds seen 1, 2, ... KATZ + 1 times.
 
-    Katz's d_r = (r* / r - C) / (1 - C) with r* = (r + 1) n_{r+1} / n_r and C = (KATZ + 1) n_{KATZ+1} / n_1. Where that is not between 0 and 1
-    for some r (small corpora, corpora of copies), all take off n_1 / (n_1 + 2 n_2) instead.
+    Good and Turing's estimate (:func:`good_turing`) from the numbers as they are; where a factor is not between 0 and 1 (copies lift single numbers), from the
+    smoothed ones, which give such factors whenever the line falls faster than 1 / r. Where it doesn't (hardly any rare kinds), all take off
+    n_1 / (n_1 + 2 n_2) instead.
     """
     n = [0, *of_counts]
-    d = np.ones(KATZ + 1)
-    if all(x > 0 for x in n[1 : KATZ + 2]) and (c := (KATZ + 1) * n[KATZ + 1] / n[1]) < 1:
-        d[1:] = [((r + 1) * n[r + 1] / n[r] / r - c) / (1 - c) for r in range(1, KATZ + 1)]
-    if not ((d[1:] > 0) & (d[1:] < 1)).all():
-        off = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
-        off = min(max(off, 0.05), 0.95)
-        d[1:] = [(r - off) / r for r in range(1, KATZ + 1)]
-    return d
+    for numbers in (n, smoothed(n)):
+        d = good_turing(numbers)
+        if ((d > 0) & (d < 1)).all():
+            return np.array([1.0, *d])
+    off = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
+    off = min(max(off, 0.05), 0.95)
+    return np.array([1.0, *((r - off) / r for r in range(1, KATZ + 1))])
 
 
 def discounted(count: np.ndarray, d: np.ndarray) -> np.ndarray:

@@ -210,6 +210,27 @@ def test_katz(spark, docs, empty, small_batches):
     assert all(math.isfinite(x.score) for x in lm.score_documents(docs, F.lit(False)).collect())
 
 
+@pytest.mark.parametrize("n", [[207344, 59772, 25017, 14274, 13493, 7080], [1579638, 246704, 51653, 21705, 18939, 7580], [100, 0, 10, 0, 3, 0]])
+def test_good_turing_on_copies(n):
+    """Numbers of kinds that copies lift are smoothed, so that each factor is Good and Turing's on a falling line."""
+    x = np.array([r for r in range(1, 7) if n[r - 1]])
+    z = np.array([2 * n[r - 1] / ((x[k + 1] if k + 1 < len(x) else 2 * r - x[k - 1]) - (x[k - 1] if k else 0)) for k, r in enumerate(x)])
+    lx, lz = np.log(x), np.log(z)
+    b = ((lx - lx.mean()) * (lz - lz.mean())).sum() / ((lx - lx.mean()) ** 2).sum()
+    c = 6 ** (b + 1)
+    d = lm.discounts(n)
+    assert d[1:].tolist() == pytest.approx([((1 + 1 / r) ** (b + 1) - c) / (1 - c) for r in range(1, 6)])
+    assert (0 < d[1:]).all() and (np.diff(d[1:]) > 0).all() and d[5] < 1
+
+
+def test_other_discounts():
+    fine = [1000, 300, 140, 80, 52, 36]  # factors between 0 and 1 as they are: taken without smoothing
+    c = 6 * 36 / 1000
+    assert lm.discounts(fine)[1:].tolist() == pytest.approx([((r + 1) * fine[r] / fine[r - 1] / r - c) / (1 - c) for r in range(1, 6)])
+    assert lm.discounts([1, 2, 3, 4, 5, 6])[1:].tolist() == pytest.approx([(r - 0.2) / r for r in range(1, 6)])  # a rising line
+    assert lm.discounts([0] * 6)[1:].tolist() == pytest.approx([(r - 0.5) / r for r in range(1, 6)])
+
+
 # pipeline
 
 
