@@ -83,16 +83,19 @@ def read_stream(data: bytes | None) -> dict:
     Headers are searched byte by byte until one is followed by another of the same kind (or by the end or a
     tag); bytes passed over count as ``skipped``. ID3v2 and ID3v1 tags, Xing/Info and VBRI tables are
     parsed; frames with a Layer III checksum are verified. ``seek`` has each audio frame's offset. The
-    duration is exact: samples over the sample rate. Null or other bytes give no frames.
+    duration is exact: samples over the sample rate. Null or other bytes give no frames. ``TAG`` 128 bytes before the end
+    starts an ID3v1 tag unless it lies in frames that reach the end.
     """
     data = data or b""
     at, tags = tags_before(data)
     end = len(data) - 128 if len(data) >= at + 128 and data[-128:-125] == b"TAG" else len(data)
-    out = {"tags": tags, "id3v1": end < len(data), "seek": [], "bad_crc": 0, "skipped": 0, "samples": 0, "rate": 0, "table": None, "ancillary": []}
+    out = {"tags": tags, "id3v1": False, "seek": [], "bad_crc": 0, "skipped": 0, "samples": 0, "rate": 0, "table": None, "ancillary": []}
     word = lambda x: int.from_bytes(data[x : x + 4], "big") if x + 4 <= end else 0
     locked = None
     while at + 4 <= end:
         h = header(word(at))
+        if h is not None and locked in (None, h["same"]) and at + h["size"] > end and frames_reach_end(data, at):
+            end = len(data)
         if h is None or at + h["size"] > end or (locked is not None and h["same"] != locked):
             at = find_sync(data, at + 1, end, out)
             continue
@@ -113,11 +116,20 @@ def read_stream(data: bytes | None) -> dict:
             out["rate"] = h["rate"]
             out["ancillary"].append((main, after))
         at = after
+    out["id3v1"] = end < len(data)
     out["skipped"] += max(0, end - at) if at < end else 0
     out["duration"] = Fraction(out["samples"], out["rate"]) if out["rate"] else Fraction(0)
     return out
 
 
+def frames_reach_end(data: bytes, at: int) -> bool:
+    """Whether frames of one kind follow one another from ``at`` exactly to the end of the data."""
+    kind = None
+    while at + 4 <= len(data) and (h := header(int.from_bytes(data[at : at + 4], "big"))) is not None and kind in (None, h["same"]):
+        kind, at = h["same"], at + h["size"]
+    return at == len(data)
+
+
 def find_sync(data: bytes, at: int, end: int, out: dict) -> int:
     found = data.find(b"\xff", at, end)
     found = end if found < 0 else found

@@ -179,6 +179,32 @@ def test_streams_with_junk_and_damage(spark):
     assert all(whole[x : x + 2] == b"\xff\xfa" for x in got[1].seek_offsets)
 
 
+def test_tag_in_the_payload(spark):
+    """Payload bytes that read TAG where an ID3v1 tag would start are payload; a tag behind the frames is one."""
+    texts = ["TAG" * 431, "guten TAG " * 300]
+    for n in range(128, 3000, 64):
+        whole = audio.write_stream(b"x" * n)
+        at = n - 128 + len(whole) - len(whole.rstrip(b"\0"))  # the payload byte 128 before the end
+        if at <= n - 3:
+            texts.append("x" * at + "TAG" + "x" * (n - at - 3))
+    hit = [t for t in texts if audio.write_stream(audio.padded(t.encode()))[-128:-125] == b"TAG"]
+    assert len(hit) > 20
+    for x in audio.store_as_audio(spark.createDataFrame([(t,) for t in texts], "text string")).collect():
+        payload = audio.padded(x.text.encode())
+        assert (x.payload_bytes, x.payload_sha256, x.tail_crc32) == (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert "skipped=0;table=Xing:ok" in x.feature
+    for t in hit:
+        whole = audio.write_stream(audio.padded(t.encode()))
+        plain, tagged, cut = (audio.read_stream(m) for m in (whole, whole + b"TAG" + bytes(125), whole[:-30] + b"TAG" + bytes(125)))
+        assert not plain["id3v1"] and tagged["id3v1"] and cut["id3v1"] and plain["seek"] == tagged["seek"] == [*cut["seek"], plain["seek"][-1]]
+        assert audio.payload_of(whole + b"TAG" + bytes(125), tagged) == audio.padded(t.encode())
+    short = (0x7FF << 21 | 2 << 19 | 1 << 17 | 1 << 16 | 1 << 12 | 2 << 10 | 3 << 6).to_bytes(4, "big")  # 36-byte frames
+    size = audio.header(int.from_bytes(short, "big"))["size"]
+    body = bytearray((short + bytes(size - 4)) * 12)
+    body[-128:-125] = b"TAG"
+    assert size < 128 and len(audio.read_stream(bytes(body))["seek"]) == 12
+
+
 # 10
 
 
