@@ -90,6 +90,16 @@ def _curved(v):
 
 
 R.add("j9_link_tracklets", lambda v: l.link_tracklets(_curved(v), 0.01, 0.01, 0.02, 0.002, 3, 10.0, 0.4).select(F.array_join(F.col("tracklet_ids").cast("array<string>"), ",").alias("ids"), C("n").cast("bigint").alias("n")), "SELECT CAST(ssm_id*10 AS VARCHAR) || ',' || CAST(ssm_id*10+3 AS VARCHAR) || ',' || CAST(ssm_id*10+6 AS VARCHAR) AS ids, CAST(3 AS BIGINT) AS n FROM ssm WHERE ssm_id <= 400")
+
+
+def _whole_sky(v):
+    x = C("k") + 0.45
+    base = v.ssm.select("ssm_id", F.pmod(C("ssm_id") * 137.50776405, F.lit(360.0)).alias("r"), (F.pmod(C("ssm_id") * 0.7548776662, F.lit(1.0)) * 100 - 50).alias("d"), F.explode(F.array(F.lit(0), F.lit(3), F.lit(6))).alias("k"))
+    va, aa, vd = (C("ssm_id") * 7919 % 1009 - 504) / 3400.0, (C("ssm_id") % 201 - 100) / 200000.0, (C("ssm_id") * 104729 % 997 - 498) / 6200.0
+    return base.select((C("ssm_id") * 10 + C("k")).alias("tracklet_id"), (55000.0 + x).alias("t"), F.pmod(C("r") + va * x + aa * x * x, F.lit(360.0)).alias("ra"), (C("d") + vd * x).alias("dec"), (va + 2 * aa * x).alias("va"), vd.alias("vd"))
+
+
+R.add("j9_link_tracklets_all", lambda v: l.link_tracklets(_whole_sky(v), 0.01, 0.01, 0.02, 0.002, 3, 10.0, 0.4).select(F.array_join(F.col("tracklet_ids").cast("array<string>"), ",").alias("ids"), C("n").cast("bigint").alias("n")), "SELECT CAST(ssm_id*10 AS VARCHAR) || ',' || CAST(ssm_id*10+3 AS VARCHAR) || ',' || CAST(ssm_id*10+6 AS VARCHAR) AS ids, CAST(3 AS BIGINT) AS n FROM ssm")
 R.add("j10_orbit_field_candidates", lambda v: p.orbit_field_candidates(v.fields, _tracks(v).withColumn("uncertainty", (C("object_id") % 5).cast("double")), 0.1, 0.4, 2.0), f"WITH {_seg} SELECT field_id, object_id, object_id%5<=2 AS certain FROM (SELECT *, {sep('fr', 'fd', 'ra', 'dec')} AS dist FROM h) x WHERE dist <= 15e-1 + CASE WHEN object_id%5<=2 THEN 1e-1 ELSE 4e-1 END")
 
 

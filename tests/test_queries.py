@@ -41,6 +41,15 @@ def test_query(spark, duck, name):
         assert rows_of(names, df.columns, rows) == rows_of(names, columns, cur.fetchall())
 
 
+def test_links_beyond_the_first_objects(spark):
+    """All 2,000 objects of this table, not only the first 400."""
+    sf = SF.replace("0.001", "0.01")
+    ids = [x[0] for x in duckdb.sql(f"SELECT p_partkey FROM '{sf}/part.parquet'").fetchall()]
+    assert max(ids) > 400
+    got = sorted(x.ids for x in QUERIES["j9_link_tracklets_all"](spark, sf).collect())
+    assert got == sorted(f"{k * 10},{k * 10 + 3},{k * 10 + 6}" for k in ids)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
