@@ -4,15 +4,27 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder of ``spark.checkpoint.dir``. Where none is set, a new temporary one on a local master; on a cluster that would
+    lose what lost executors leave to others, so it is refused there."""
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if named:
+        return named
+    if not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="spark-shared-")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """``checkpoint()`` into the shared folder of ``spark.checkpoint.dir``; a temporary one only if none is set."""
+    """``checkpoint()`` into the shared folder (:func:`shared_root`)."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        sc.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from ..functions.photometry import to_v
 from ..operators import linking as l
@@ -10,6 +10,7 @@ from ..operators import mutations as m
 from ..operators import rules as ru
 from ..operators import tracklets as t
 from ..operators import tuples as tu
+from ..operators.graph import shared_root
 from ..sources import archive
 from ..sources import text as tx
 from ..streaming import streams as st
@@ -161,13 +162,13 @@ R.add("s7_export_tables", lambda v: archive.instance_tables(v.movers, v.tracklet
 
 
 def _archive(v):
-    folder = f"{v.spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-archive-')}/lsd-{abs(hash(v.sf_dir)) % 10**9}-{id(v)}"
-    archive.write_lsd(v.detections.filter("nn between 55000 and 55004"), folder)
-    positions = v.detections.filter("nn between 55000 and 55004 and det_id % 10 = 6").select(C("det_id").alias("position_id"), C("nn").alias("p_nn"), C("ra_deg").alias("p_ra"), C("dec_deg").alias("p_dec"))
+    folder = f"{shared_root(v.spark)}/lsd-{uuid.uuid4().hex}"
+    archive.write_lsd(v.detections, folder)
+    positions = v.detections.select(C("det_id").alias("position_id"), C("nn").alias("p_nn"), C("ra_deg").alias("p_ra"), C("dec_deg").alias("p_dec"))
     return archive.read_lsd(v.spark, folder, positions, 0.01).select("position_id", "det_id")
 
 
-R.add("s10_read_lsd", _archive, f"WITH d AS (SELECT * FROM detections WHERE nn BETWEEN 55000 AND 55004) SELECT p.det_id AS position_id, d.det_id FROM d p JOIN d ON d.nn=p.nn AND abs(d.dec_deg-p.dec_deg)<2e-2 WHERE p.det_id%10=6 AND {sep('p.ra_deg', 'p.dec_deg', 'd.ra_deg', 'd.dec_deg')} <= 1e-2")
+R.add("s10_read_lsd", _archive, f"SELECT p.det_id AS position_id, d.det_id FROM detections p JOIN detections d ON d.nn=p.nn AND abs(d.dec_deg-p.dec_deg)<2e-2 WHERE {sep('p.ra_deg', 'p.dec_deg', 'd.ra_deg', 'd.dec_deg')} <= 1e-2")
 
 # Streams, as batch twins of the same functions; tests run the streams themselves.
 R.add("t2_nightly_counts", lambda v: st.nightly_counts(v.events, "ts", 22, keys=("event_type",)).select(F.date_format("night_start", "yyyy-MM-dd HH").alias("night"), "event_type", "n"), "SELECT strftime(time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01 22:00:00'), '%Y-%m-%d %H') AS night, event_type, count(*) AS n FROM events GROUP BY 1,2")

@@ -38,8 +38,11 @@ def with_slice(df: DataFrame) -> DataFrame:
 
 
 def write_lsd(df: DataFrame, path: str) -> None:
-    """Detections by night and RA slice, sorted by RA in each file."""
-    with_slice(df).repartition("nn", "ra_slice").sortWithinPartitions("nn", "ra_slice", "ra_deg").write.partitionBy("nn", "ra_slice").parquet(path)
+    """Detections in a folder per night, each file a range of RA slices in order of RA.
+
+    Nights prune folders, slices the files' row groups; a folder per slice would leave a handful of rows in each file.
+    """
+    with_slice(df).repartitionByRange("nn", "ra_slice").sortWithinPartitions("nn", "ra_slice", "ra_deg").write.partitionBy("nn").parquet(path)
 
 
 def lsd_index(df: DataFrame) -> DataFrame:
@@ -50,8 +53,7 @@ def lsd_index(df: DataFrame) -> DataFrame:
 def read_lsd(spark: SparkSession, path: str, positions: DataFrame, radius: float) -> DataFrame:
     """(position_id, detection): archived detections near positions (position_id, p_nn, p_ra, p_dec).
 
-    Positions are repeated for the slices in reach (all of them near a pole); the join on night and slice prunes the archive's
-    partitions at run time.
+    Positions are repeated for the slices in reach (all of them near a pole); the join is on night, slice and sky cell.
     """
     reach = radius / F.greatest(F.lit(1e-6), F.cos(F.radians(F.least(F.lit(90.0), F.abs("p_dec") + radius))))
     span = F.least(F.lit(SLICES // 2), F.ceil(reach / 360.0 * SLICES)).cast("int")
