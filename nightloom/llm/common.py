@@ -2,32 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nightloom.operators.graph import cut_lineage, shared_root
+
 #: A word of the query contracts: what stands between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder of ``spark.checkpoint.dir``.
-
-    Only where the session names no folder (local tests) a temporary one is set.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return df.checkpoint(eager=True)
+    """Cut the lineage through the shared folder of ``spark.checkpoint.dir`` (:func:`nightloom.operators.graph.cut_lineage`)."""
+    return cut_lineage(df)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder's name below the shared folder of ``spark.checkpoint.dir`` (a temporary one where none is set)."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-shared-')}/{uuid.uuid4().hex}"
+    """A new folder's name below the shared folder of ``spark.checkpoint.dir``."""
+    return f"{shared_root(spark)}/{uuid.uuid4().hex}"
+
+
+def fresh(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for columns at work that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def others(df: DataFrame, new: Iterable[str]) -> list[str]:
+    """The columns of ``df`` but those that new ones replace."""
+    gone = {n.lower() for n in new}
+    return [c for c in df.columns if c.lower() not in gone]
 
 
 def give_back() -> None:
@@ -50,10 +63,9 @@ def add_columns(df: DataFrame, column: str, fields: str, start: Callable[[], Cal
     from pyspark.sql.pandas.types import to_arrow_type
 
     new = T.StructType.fromDDL(fields)
-    kept = [f for f in df.schema.fields if f.name not in new.names]
-    read = df if column in {f.name for f in kept} else df.withColumn("_read", F.col(column))
-    read = read.select(*[f"`{f.name}`" for f in kept], *(["_read"] if "_read" in read.columns else []))
-    source = "_read" if "_read" in read.columns else column
+    kept = [f for f in df.schema.fields if f.name.lower() not in {n.lower() for n in new.names}]
+    source = column if column in {f.name for f in kept} else fresh(df, "_read")[0]
+    read = df.select(*[f"`{f.name}`" for f in kept], *([] if source == column else [F.col(column).alias(source)]))
     names, kinds, n_kept = [f.name for f in kept] + new.names, [to_arrow_type(f.dataType) for f in new], len(kept)
 
     def run(batches: Iterator) -> Iterator:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .batches import BATCH_CHARS, RANGE_CHARS, U64, Texts, Words, digest_of, mixed, packed_keys, packed_texts, packed_values, split_by_range, tidied, tidied_pair, total_chars, unpacked_keys, unpacked_values
-from .common import fold, table
+from .common import fold, fresh, others, table
 
 #: Hashes of the end of a text (a token) and of its begin (a history only).
 END, BEGIN = U64(0xE7D1A3C5B9F08642), U64(0x1B873593CC9E2D51)
@@ -280,10 +280,12 @@ def score_documents(docs: DataFrame, train: Column, text: str = "text") -> DataF
     """All rows of ``docs`` with the columns of :func:`score_texts` but the digest. Null texts count as empty ones
     (their one token is the end). Columns of these names are replaced; empty tables give empty results. Repeated rows are scored alike."""
     names = [x.split()[0] for x in SCORES.split(", ")][1:]
-    kept = docs.drop(*[n for n in names if n != text])
+    kept = others(docs, names)
+    digest, *made = fresh(docs, "_digest", *(f"_{n}" for n in names))
     whole = F.coalesce(F.col(text), F.lit(""))
-    scored = score_texts(docs.select(whole.alias("_t"), train.alias("_train")), F.col("_train"), "_t").withColumnRenamed("digest", "_digest")
-    return kept.withColumn("_digest", digest_of(whole)).join(scored, "_digest", "left").select(*kept.columns, *names)
+    scored = score_texts(docs.select(whole.alias("t"), train.alias("learns")), F.col("learns"), "t").toDF(digest, *made)
+    keyed = docs.select(*[F.col(f"`{c}`") for c in kept], digest_of(whole).alias(digest))
+    return keyed.join(scored, digest, "left").select(*[F.col(f"`{c}`") for c in kept], *[F.col(m).alias(n) for m, n in zip(made, names, strict=True)])
 
 
 def op8_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

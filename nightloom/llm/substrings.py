@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .batches import RANGE_CHARS, SECOND_BASE, U64, WORD_BASE, Texts, Words, contains, digest_of, packed_texts, split_by_range, tidied, tidied_pair, total_chars
-from .common import table
+from .common import fresh, others, table
 
 #: Half the common batch: these workers hold windows besides.
 BATCH_CHARS = 4 << 20
@@ -186,12 +186,13 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35) -> Dat
 
     Null texts have no words and a null ``kept_text``. Repeated rows are copies of each other. Empty tables give empty results.
     """
-    names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text") or c == text]
-    keyed = docs.select(*names).withColumn("_digest", digest_of(F.col(text)))
-    found = repeated_words(docs, text, window).withColumnRenamed("digest", "_digest")
-    joined = keyed.join(found, "_digest", "left")
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-    return joined.select(*names, zero("n_words"), zero("n_removed"), "kept_text")
+    names = others(docs, ("n_words", "n_removed", "kept_text"))
+    digest, words, gone, kept = fresh(docs, "_digest", "_words", "_gone", "_kept")
+    keyed = docs.select(*[F.col(f"`{c}`") for c in names], digest_of(F.col(text)).alias(digest))
+    found = repeated_words(docs, text, window).toDF(digest, words, gone, kept)
+    zero = lambda c, name: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(name)
+    new = [zero(words, "n_words"), zero(gone, "n_removed"), F.col(kept).alias("kept_text")]
+    return keyed.join(found, digest, "left").select(*[F.col(f"`{c}`") for c in names], *new)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
