@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bytes_at_most, table
+from .common import bytes_at_most, fresh, others, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -29,10 +29,13 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, PARTS, 2), F.lit(""))
 
 
-def host_suffixes(host: Column) -> Column:
-    """The host itself and each parent domain: ``a.b.c``, ``b.c``, ``c``."""
-    labels = F.split(host, r"\.", -1)
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def host_suffixes(host: Column, sizes: list[int]) -> Column:
+    """The host itself and its parent domains (``a.b.c``, ``b.c``, ``c``), of as many labels as some rule's host has.
+
+    So the bytes of a host's expressions grow with its length, not with the square of its labels.
+    """
+    n_labels = F.char_length(host) - F.char_length(F.translate(host, ".", "")) + 1
+    return F.array_compact(F.array(*[F.when(n_labels >= n, F.substring_index(host, ".", -n)) for n in sizes]))
 
 
 def path_prefixes(path: Column, lengths: list[int]) -> Column:
@@ -60,29 +63,31 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     they measure at most ``broadcast_bytes``; larger lists are shuffled.
 
     Null or relative URLs have an empty host and path and fit no rule. Rows with equal URLs all stay;
-    empty tables give empty results. Columns of ``pages`` named host, path, rule or verdict are replaced.
+    empty tables give empty results. Columns of ``pages`` named host, path, rule or verdict are replaced; other names never clash.
     """
     named = rules.select(
         F.lower("action").alias("_action"), F.translate(F.coalesce("host", F.lit("")), UPPER, LOWER).alias("_rhost"), F.coalesce("path", F.lit("")).alias("_rpath")
     ).filter("_rhost != ''")
-    lengths = sorted(r[0] for r in named.select(F.char_length("_rpath")).distinct().collect())  # at most one per length a URL can have
+    # at most one per length and number of labels that a rule has
+    sizes = named.agg(F.sort_array(F.collect_set(F.char_length("_rpath"))), F.sort_array(F.collect_set(F.size(F.split("_rhost", r"\.", -1))))).first()
+    lengths, labels = list(sizes[0]), list(sizes[1])
     digest = lambda *parts: F.unhex(F.sha2(F.concat(*parts), 256))
     listed = named.select("_action", "_rhost", "_rpath", digest("_rhost", "_rpath").alias("_rdigest")).withColumn("_short", F.substring("_rdigest", 1, 4))
     if bytes_at_most(named, ["_action", "_rhost", "_rpath"], broadcast_bytes):
         listed = F.broadcast(listed)
 
-    kept = pages.drop(*[c for c in ("host", "path", "rule", "verdict") if c != url])
-    parsed = kept.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
+    kept = others(pages, ("host", "path", "rule", "verdict"))
+    source, best_ = fresh(pages, "_url", "_best")
+    parsed = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(url).alias(source)).withColumns({"host": host_of(F.col(source)), "path": path_of(F.col(source))})
     pairs = parsed.select("host", "path").filter("host != ''").distinct()
-    expressions = pairs.withColumn("_suffix", F.explode(host_suffixes(F.col("host")))).withColumn(
-        "_prefix", F.explode(path_prefixes(F.col("path"), lengths) if lengths else F.array().cast("array<string>"))
-    )
+    listing = lambda sizes, made: made if sizes else F.array().cast("array<string>")
+    expressions = pairs.withColumn("_suffix", F.explode(listing(labels, host_suffixes(F.col("host"), labels)))).withColumn("_prefix", F.explode(listing(lengths, path_prefixes(F.col("path"), lengths))))
     hashed = expressions.select("host", "path", digest("_suffix", "_prefix").alias("_digest")).withColumn("_short", F.substring("_digest", 1, 4))
     fitting = hashed.join(listed, "_short").filter("_digest = _rdigest")
     rank = F.struct(F.char_length(F.concat("_rhost", "_rpath")), F.char_length("_rhost"), F.when(F.col("_action") == "block", 1).otherwise(0))
-    best = fitting.groupBy("host", "path").agg(F.max_by(F.struct(F.concat("_rhost", "_rpath").alias("rule"), F.col("_action").alias("verdict")), rank).alias("_best"))
+    best = fitting.groupBy("host", "path").agg(F.max_by(F.struct(F.concat("_rhost", "_rpath").alias("rule"), F.col("_action").alias("verdict")), rank).alias(best_))
     return parsed.join(best, ["host", "path"], "left").select(
-        *kept.columns, "host", "path", F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict")
+        *[F.col(f"`{c}`") for c in kept], "host", "path", F.col(f"{best_}.rule").alias("rule"), F.coalesce(f"{best_}.verdict", F.lit(default)).alias("verdict")
     )
 
 
