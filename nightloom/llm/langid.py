@@ -9,12 +9,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_columns, checkpointed, fold, table
+from .common import add_columns, checkpointed, fold, fresh, others, table
 
 #: Bits of a unit vector's fixed-point entries, so that sums do not depend on their order.
 FIXED = 20
-#: More labels than this are refused: prototypes are handed to all tasks.
-MOST_LANGUAGES = 10_000
+#: Prototypes that tasks hold at a time; more labels are compared in as many passes as it takes.
+BLOCK_LABELS = 4096
+#: Letters whose vectors a task keeps; beyond them it begins anew before the next text.
+MOST_LETTERS = 8192
 
 
 class Encoder:
@@ -27,11 +29,14 @@ class Encoder:
 
     def __init__(self, dimensions: int, seed: int, cached: int = 16_384):
         self.dimensions, self.seed = dimensions, seed
+        self.bound = np.empty((cached, dimensions), np.float32)
+        self._begin()
+
+    def _begin(self) -> None:
         self.rows = np.full(0x110000, -1, np.int32)  # of each code point
-        self.letters = [np.empty((0, dimensions), np.int8) for _ in range(3)]
+        self.letters = [np.empty((0, self.dimensions), np.int8) for _ in range(3)]
         self._learn([32])
-        self.gram = np.full(1 << 21, -1, np.int32)  # place of each kept trigram
-        self.bound, self.n_bound = np.empty((cached, dimensions), np.float32), 0
+        self.gram, self.n_bound = np.full(1 << 21, -1, np.int32), 0  # place of each kept trigram
 
     def _learn(self, points: list[int]) -> None:
         letters = [p for p in points if p == 32 or chr(p).isalpha()]
@@ -57,6 +62,8 @@ class Encoder:
         if not text:
             return None
         points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+        if len(self.letters[0]) > MOST_LETTERS:
+            self._begin()
         rows = self.rows[points]
         if (rows < 0).any():
             self._learn(np.unique(points[rows < 0]).tolist())
@@ -120,10 +127,28 @@ def identify_language(docs: DataFrame, prototypes: DataFrame, text: str = "text"
     ``lang_pred`` is the language whose prototype has the largest cosine with the whole text's vector (ties: the
     first in code point order), ``score`` that cosine, 0 at least. Null texts, texts without a letter and any
     text when nothing was learned get ``und`` and 0. All rows and columns stay; columns of these names are replaced.
+
+    Prototypes are compared in blocks of ``BLOCK_LABELS``: each block is broadcast and all texts run past it. If there is more than one, a
+    block's best label so far is written before the next one is read, so neither a task nor the driver ever holds more than one.
     """
-    known = prototypes.orderBy("lang").limit(MOST_LANGUAGES + 1).collect()  # one vector a language
-    if len(known) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    n_blocks = -(-prototypes.count() // BLOCK_LABELS) or 1
+    if n_blocks == 1:
+        return nearest_labels(docs, prototypes, text, seed, "lang_pred", "score")
+    kept = others(docs, ("lang_pred", "score"))
+    source, lang, score, new_lang, new_score = fresh(docs, "_text", "_lang", "_score", "_new", "_new_score")
+    best = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias(source), F.lit("und").alias(lang), F.lit(0.0).alias(score))
+    for block in range(n_blocks):
+        one = prototypes.filter(F.pmod(F.xxhash64("lang"), F.lit(n_blocks)) == block)
+        found = nearest_labels(best, one, source, seed, new_lang, new_score)
+        better = (F.col(new_lang) != "und") & ((F.col(lang) == "und") | (F.col(new_score) > F.col(score)) | ((F.col(new_score) == F.col(score)) & (F.col(new_lang) < F.col(lang))))
+        new = [F.when(better, F.col(n)).otherwise(F.col(o)).alias(o) for n, o in ((new_lang, lang), (new_score, score))]
+        best = checkpointed(found.select(*[F.col(f"`{c}`") for c in kept], source, *new))
+    return best.select(*[F.col(f"`{c}`") for c in kept], F.col(lang).alias("lang_pred"), F.col(score).alias("score"))
+
+
+def nearest_labels(docs: DataFrame, prototypes: DataFrame, text: str, seed: int, lang: str, score: str) -> DataFrame:
+    """Add the label of the largest cosine and that cosine, over prototypes that fit into a task."""
+    known = prototypes.orderBy("lang").collect()  # one block, one vector a language
     names = [r["lang"] for r in known]
     matrix = np.array([r["prototype"] for r in known], np.float64)
     if len(known):
@@ -141,14 +166,14 @@ def identify_language(docs: DataFrame, prototypes: DataFrame, text: str = "text"
                 if v is None:
                     found.append(("und", 0.0))
                 else:
-                    cosines = profiles @ v
+                    cosines = np.clip((profiles @ v).astype(np.float64), 0, 1).round(6)
                     best = int(np.argmax(cosines))
-                    found.append((names[best], round(min(1.0, max(0.0, float(cosines[best]))), 6)))
+                    found.append((names[best], float(cosines[best])))
             return [[x for x, _ in found], [x for _, x in found]]
 
         return compute
 
-    return add_columns(docs, text, "lang_pred string, score double", start)
+    return add_columns(docs, text, f"`{lang}` string, `{score}` double", start)
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
