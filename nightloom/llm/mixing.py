@@ -46,12 +46,14 @@ def balance(classes: DataFrame, sources: DataFrame, cap: float, steps: int, tole
     The rates minimise the relative entropy to one copy each, bounded by 0 and ``cap``; so rate / (cap - rate)
     is exp(lambda * size / mean size) times what makes a rate of 1 at lambda 0. The dual is convex with
     one equation per source. Every Newton step is one aggregate of gradient and curvature over the classes;
-    a step that leaves the bracket known to hold the root is replaced by its middle.
+    a step that leaves the bracket known to hold the root is replaced by its middle. A source is solved when it is within ``tolerance`` of its
+    target, or within what fixed-point sums can tell (2^-20 words a document). ``steps`` halvings are more than doubles can tell apart,
+    so not to be done by then is an error, not a result.
     """
     ratio = F.try_divide("target", "source_size")
     state = sources.select(
         "_key", "source_size", "target", "_docs", (F.col("source_size") / F.col("_docs")).alias("_mean"),
-        F.lit(0.0).alias("_lambda"), F.lit(-64.0).alias("_low"), F.lit(64.0).alias("_high"),
+        F.lit(0.0).alias("_lambda"), F.lit(-(2.0**20)).alias("_low"), F.lit(2.0**20).alias("_high"),
         ((F.col("source_size") == 0) | (ratio >= cap) | (ratio <= 0)).alias("_done"),
     )
     state = checkpointed(state)
@@ -62,21 +64,23 @@ def balance(classes: DataFrame, sources: DataFrame, cap: float, steps: int, tole
             exact_sum(F.col("_n") * F.col("size") * F.col("size") / F.col("_mean") * rate * (1 - rate / F.lit(float(cap)))).alias("_slope"),
         )
         gap = F.col("target") - F.col("_got")
+        near = F.abs(gap) <= tolerance * F.col("target") + F.col("_docs") * F.lit(2.0**-20)
         low = F.when(gap > 0, F.col("_lambda")).otherwise(F.col("_low"))
         high = F.when(gap > 0, F.col("_high")).otherwise(F.col("_lambda"))
-        newton = F.col("_lambda") + gap / F.greatest(F.col("_slope"), F.lit(1e-6))
+        most = F.greatest(F.lit(8.0), F.abs("_lambda"))  # a flat dual must not throw the multiplier far off
+        newton = F.col("_lambda") + F.greatest(-most, F.least(most, gap / F.greatest(F.col("_slope"), F.lit(1e-6))))
         state = state.join(sums, "_key", "left").withColumns({"_low2": low, "_high2": high, "_newton": newton}).select(
             "_key", "source_size", "target", "_docs", "_mean",
-            F.when(F.col("_done") | (F.abs(gap) <= tolerance * F.col("target")), F.col("_lambda"))
+            F.when(F.col("_done") | near, F.col("_lambda"))
             .when((F.col("_newton") > F.col("_low2")) & (F.col("_newton") < F.col("_high2")), F.col("_newton"))
             .otherwise((F.col("_low2") + F.col("_high2")) / 2).alias("_lambda"),
             F.col("_low2").alias("_low"), F.col("_high2").alias("_high"),
-            (F.col("_done") | (F.abs(gap) <= tolerance * F.col("target"))).alias("_done"),
+            (F.col("_done") | near).alias("_done"),
         )
         state = checkpointed(state)
         if state.filter("not _done").isEmpty():
-            break
-    return state
+            return state
+    raise ArithmeticError(f"no multipliers after {steps} steps for the sources {[r['_key'] for r in state.filter('not _done').select('_key').take(5)]}")
 
 
 def exact_sum(x: Column) -> Column:
@@ -89,7 +93,7 @@ def tilted(size: Column, lam: Column, mean: Column, cap: float) -> Column:
     return F.lit(float(cap)) / (1 + F.lit(cap - 1.0) * F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.try_divide(-lam * size, mean)))))
 
 
-def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: int = 2, steps: int = 40, tolerance: float = 1e-9) -> DataFrame:
+def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: int = 2, steps: int = 120, tolerance: float = 1e-9) -> DataFrame:
     """Document copies that bring each source to its share: doc_id, source, size, source_size, target, rate, copies, taken.
 
     Rates come from :func:`balance`. They are rounded by systematic sampling: in each source documents
