@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_columns, table
+from .batches import contains, digest_of
+from .common import add_columns, checkpointed, fresh, others, table
 
-#: Characters of benchmark text that one pass over the documents takes; more items make more passes.
-BLOCK_CHARS = 16 << 20
+#: Characters of benchmark windows that one pass over the documents takes; more make more passes.
+BLOCK_CHARS = 4 << 20
 
 
 @lru_cache(1)
@@ -55,38 +58,44 @@ def mixed(code: np.ndarray) -> np.ndarray:
     return code ^ code >> np.uint64(29)
 
 
-def windows_of(length: int, window: int) -> list[tuple[int, int]]:
-    """Parts of an item that are looked for on their own: windows half overlapping, the last one at the end; short items whole."""
+def windows_of(length: int, window: int, step: int) -> list[tuple[int, int]]:
+    """Parts of an item that are looked for on their own: windows every ``step`` characters, the last one at the end; short items whole."""
     if length <= window:
-        return [(0, length)]
-    starts = list(range(0, length - window, window // 2)) + [length - window]
+        return [(0, length)] if length else []
+    starts = list(range(0, length - window, step)) + [length - window]
     return [(a, a + window) for a in starts]
 
 
+def padded(text: np.ndarray) -> np.ndarray:
+    """A space at both ends, so that words at the ends have borders too."""
+    return np.concatenate([[np.uint32(32)], text, [np.uint32(32)]]).astype(np.uint32)
+
+
 class QgramIndex:
-    """The q-grams of all windows of some benchmark items, sorted by hash."""
+    """The q-grams of some benchmark windows (item, start, characters), sorted by hash; those under ``shortest`` characters as whole keys."""
 
-    def __init__(self, items: list[tuple[int, str]], q: int, window: int, rate: float, shortest: int):
+    def __init__(self, windows: list[tuple[int, int, str]], q: int, rate: float, shortest: int):
         self.q, self.rate = q, rate
-        self.parts, hashes, part, offset = [], [], [], []
-        for item, raw in items:
-            text = normal(raw)
-            for a, b in windows_of(len(text), window) if len(text) >= shortest else ():
-                grams = qgrams(text[a:b], q)
-                self.parts.append((item, a, text[a:b]))
-                hashes.append(grams)
-                part.append(np.full(len(grams), len(self.parts) - 1, np.int32))
-                offset.append(np.arange(len(grams), dtype=np.int32))
-        hashes = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
+        points = [(i, a, np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)) for i, a, t in windows]
+        self.parts = [p for p in points if len(p[2]) >= shortest]
+        grams = [qgrams(p[2], q) for p in self.parts]
+        hashes = np.concatenate([np.empty(0, np.uint64), *grams])
         order = np.argsort(hashes, kind="stable")
         self.hashes = hashes[order]
-        self.part = np.concatenate(part)[order] if len(order) else np.empty(0, np.int32)
-        self.offset = np.concatenate(offset)[order] if len(order) else np.empty(0, np.int32)
-        self.distinct = np.unique(self.hashes)
+        self.part = np.repeat(np.arange(len(grams), dtype=np.int32), [len(g) for g in grams])[order]
+        self.offset = np.concatenate([np.empty(0, np.int32), *(np.arange(len(g), dtype=np.int32) for g in grams)])[order]
+        self.sizes = np.array([len(p[2]) for p in self.parts], np.int64)
+        self.edits = np.array([self.budget(n) for n in self.sizes.tolist()], np.int64)
         self.longest = max((len(p[2]) for p in self.parts), default=0)
         self.least = min((max(1, self.needed(len(p[2]))) for p in self.parts), default=1)  # shared q-grams of any match
         self.seen = np.zeros(1 << 22, bool)
-        self.seen[(self.distinct & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
+        self.seen[(self.hashes & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
+        self.short: dict[int, tuple[np.ndarray, list]] = {}  # by length: hashes in order, the windows in that order
+        for n in sorted({len(p[2]) for p in points if len(p[2]) < shortest}):
+            those = [(i, a, padded(t)) for i, a, t in points if len(t) == n]
+            keys = np.concatenate([qgrams(t, n + 2) for _, _, t in those])
+            order = np.argsort(keys, kind="stable")
+            self.short[n] = keys[order], [those[k] for k in order]
 
     def needed(self, length: int) -> int:
         """Q-grams that a stretch within the budget shares with a window at least."""
@@ -104,16 +113,32 @@ class QgramIndex:
         lies in one of them whole. Bands with fewer different shared q-grams are left; the others are aligned.
         """
         text = normal(raw)
+        return sorted({*self._short_matches(text), *self._long_matches(text)})
+
+    def _short_matches(self, text: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """Short windows that stand in the text as they are, from one word's border to another's."""
+        if not len(text) or not self.short:
+            return
+        whole = padded(text)
+        for n, (keys, those) in self.short.items():
+            grams = qgrams(whole, n + 2)
+            for at in np.flatnonzero(contains(keys, grams)).tolist():
+                for k in range(int(np.searchsorted(keys, grams[at], "left")), int(np.searchsorted(keys, grams[at], "right"))):
+                    item, start, pattern = those[k]
+                    if (pattern == whole[at : at + n + 2]).all():
+                        yield item, start, 0, at, at + n
+
+    def _long_matches(self, text: np.ndarray) -> set[tuple[int, int, int, int, int]]:
         grams = qgrams(text, self.q)
-        if not len(grams) or not len(self.distinct):
-            return []
+        if not len(grams) or not len(self.hashes):
+            return set()
         maybe = np.flatnonzero(self.seen[(grams & np.uint64((1 << 22) - 1)).astype(np.int64)])
         low = np.searchsorted(self.hashes, grams[maybe], "left")
         count = np.searchsorted(self.hashes, grams[maybe], "right") - low
         there = count > 0
         where, low, count = maybe[there], low[there], count[there]
         if len(where) < self.least:
-            return []
+            return set()
         # a text is taken in slices of hits, so that a text of repeats stays in bounded memory
         found, ends = set(), np.cumsum(count)
         cuts = np.unique(np.concatenate([np.searchsorted(ends, np.arange(0, ends[-1], 4_000_000), "left"), [len(count)]]))
@@ -128,14 +153,13 @@ class QgramIndex:
             edits, end = banded(pattern, text[a:b], k)
             if edits is not None:
                 found.add((item, start, edits, max(0, a + end - len(pattern)), a + end))
-        return sorted(found)
+        return found
 
     def _regions(self, where: np.ndarray, low: np.ndarray, count: np.ndarray) -> set[tuple[int, int, int]]:
         hit = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         part, offset = self.part[hit].astype(np.int64), self.offset[hit].astype(np.int64)
         diagonal = np.repeat(where, count) - offset
-        sizes = np.array([len(p[2]) for p in self.parts], np.int64)
-        edits = (self.rate * sizes).astype(np.int64)
+        sizes, edits = self.sizes, self.edits
         k, m = edits[part], sizes[part]
         band = (diagonal + m) // (k + 1)  # of the band that starts here, and of the one before
         out = set()
@@ -180,33 +204,70 @@ def banded(pattern: np.ndarray, text: np.ndarray, k: int) -> tuple[int | None, i
 MATCHES = "array<struct<item: bigint, item_start: int, edits: int, start: int, end: int>>"
 
 
-def find_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", q: int = 12, window: int = 80, rate: float = 0.06, shortest: int = 40) -> DataFrame:
+def benchmark_windows(benchmark: DataFrame, item_id: str, item_text: str, window: int, step: int) -> DataFrame:
+    """(item, start, pattern): the different windows of all items, in normal characters."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for item, raw in zip(batch["i"], batch["t"], strict=True):
+                text = normal(raw)
+                if not (parts := windows_of(len(text), window, step)):
+                    continue
+                yield pd.DataFrame({"item": item, "start": [a for a, _ in parts], "pattern": [text[a:b].tobytes().decode("utf-32-le", "surrogatepass") for a, b in parts]})
+
+    items = benchmark.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).filter("i is not null and t is not null")
+    return items.mapInPandas(run, "item bigint, start int, pattern string").distinct()
+
+
+def find_benchmark(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", q: int = 12, window: int = 60, step: int = 20, rate: float = 0.06, shortest: int = 40
+) -> DataFrame:
     """Add ``matches`` to every row: each benchmark window found in its whole text.
 
-    Texts are compared in lower case with all but letters and digits as single spaces. Items of ``shortest`` characters
-    or more are looked for; longer ones than ``window`` in half overlapping windows, so a leaked part of an item is found too. A
-    window is found if some stretch of the text is within ``rate`` edits a character.
+    Texts are compared in lower case with all but letters and digits as single spaces. Items longer than ``window`` are looked for in
+    windows that start every ``step`` characters, so a word-for-word quotation of ``window + step - 1`` characters holds one whole, wherever
+    it starts. A window is found if some stretch of the text is within ``rate`` edits a character; an item
+    under ``shortest`` characters, where an edit would soon mean another item, if it stands in the text as it is, between borders of words.
+
+    The benchmark's windows are dealt into blocks of about ``BLOCK_CHARS`` characters by a hash; the index of a block is
+    broadcast and all documents run past it. Documents are not shuffled where one block holds the benchmark. Else each block's
+    findings are written before the next index is made, so that neither a task nor the driver ever holds more than one, and joined to
+    the documents by the text's digest at the end.
 
-    The benchmark is taken in blocks of at most about ``BLOCK_CHARS`` characters; each block's index is broadcast
-    and all documents run past it, so what a task holds does not grow with either table. Documents
-    are not shuffled. Null or empty texts and items match nothing; repeated items are found under each id; items with a null id
+    Null or empty texts and items match nothing; repeated items are found under each id; items with a null id
     are left out. All rows stay; a column named ``matches`` is replaced.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).filter("i is not null and t is not null")
-    chars = items.agg(F.coalesce(F.sum(F.char_length("t")), F.lit(0)).alias("n")).first()["n"]
+    windows = checkpointed(benchmark_windows(benchmark, item_id, item_text, window, step))
+    chars = windows.agg(F.coalesce(F.sum(F.char_length("pattern")), F.lit(0)).alias("n")).first()["n"]
     n_blocks = -(-chars // BLOCK_CHARS) or 1
-    out, names = docs, ("item", "item_start", "edits", "start", "end")
+    if n_blocks == 1:
+        return with_matches(docs, windows, text, "matches", q, rate, shortest)
+    names = others(docs, ("matches",))
+    digest, found = fresh(docs, "_digest", "_found")
+    texts = docs.filter(F.col(text).isNotNull()).select(F.col(text).alias("t"), digest_of(F.col(text)).alias(digest))
+    parts = None
     for block in range(n_blocks):
-        part = items.filter(F.pmod(F.xxhash64("i"), F.lit(n_blocks)) == block).collect()  # one block of bounded size
-        index = spark.sparkContext.broadcast(QgramIndex(sorted((r["i"], r["t"]) for r in part), q, window, rate, shortest))
-
-        def start(index=index):
-            return lambda texts: [[[dict(zip(names, m, strict=True)) for m in index.value.matches(t)] for t in texts]]
-
-        out = add_columns(out, text, f"_matches{block} {MATCHES}", start)
-    found = F.flatten(F.array(*[f"_matches{block}" for block in range(n_blocks)]))
-    return out.select(*[c for c in docs.columns if c != "matches"], found.alias("matches"))
+        mine = windows.filter(F.pmod(F.xxhash64("item", "start", "pattern"), F.lit(n_blocks)) == block)
+        hits = with_matches(texts, mine, "t", found, q, rate, shortest).filter(F.size(found) > 0).select(digest, found)
+        hits = checkpointed(hits.groupBy(digest).agg(F.first(found).alias(found)))  # copies of a text have the same
+        parts = hits if parts is None else parts.unionByName(hits)
+    whole = parts.groupBy(digest).agg(F.array_sort(F.flatten(F.collect_list(found))).alias(found))  # an entry a block
+    kept = [F.col(f"`{c}`") for c in names]
+    none = F.array().cast(MATCHES)
+    keyed = docs.filter(F.col(text).isNotNull()).select(*kept, digest_of(F.col(text)).alias(digest)).join(whole, digest, "left")
+    return keyed.select(*kept, F.coalesce(found, none).alias("matches")).unionByName(docs.filter(F.col(text).isNull()).select(*kept, none.alias("matches")))
+
+
+def with_matches(docs: DataFrame, windows: DataFrame, text: str, column: str, q: int, rate: float, shortest: int) -> DataFrame:
+    """Add the matches with one block of windows, whose size is checked by the caller."""
+    part = sorted((r["item"], r["start"], r["pattern"]) for r in windows.collect())
+    index = docs.sparkSession.sparkContext.broadcast(QgramIndex(part, q, rate, shortest))
+    names = ("item", "item_start", "edits", "start", "end")
+
+    def start():
+        return lambda texts: [[[dict(zip(names, m, strict=True)) for m in index.value.matches(t)] for t in texts]]
+
+    return add_columns(docs, text, f"`{column}` {MATCHES}", start)
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
