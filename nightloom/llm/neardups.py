@@ -11,27 +11,48 @@ from pyspark.sql import functions as F
 
 from nightloom.operators.graph import connected_components
 
-from .batches import RANGE_CHARS, U64, WORD_BASE, Texts, Words, contains, digest_of, mixed, packed_texts, tidied, tidied_pair, total_chars
-from .common import checkpointed, table
-from .substrings import QUESTION, answered, question, repeated_keys
+from .batches import RANGE_CHARS, U64, WORD_BASE, Texts, Words, digest_of, mixed, packed_texts, packed_values, tidied, tidied_pair, total_chars, unpacked_values
+from .common import checkpointed, fresh, table
+from .substrings import QUESTION, question, unique_pairs
 
 #: Half the common batch: these workers hold signatures or windows besides.
 BATCH_CHARS = 4 << 20
 #: Texts of one block of a candidate component; larger components are verified block against block.
 BLOCK = 1024
-#: Texts at least this similar (estimated) to a leader are covered by it, and linked to all leaders down to the second value.
-COVER, LINK, LEADERS = 0.75, 0.35, 0.25
+#: A text at least this similar (estimated) to a leader is covered by it, a leader by another one at the second value; leaders are linked
+#: to all texts down to the third.
+COVER, SAME, LINK = 0.75, 0.9, 0.25
+#: Join keys of texts with copies or links are spread over so many parts.
+SALTS = 16
 
 
-def prefix_length(trees: int, depth: int, threshold: float, target: float) -> int:
-    """How far the tries' matched prefixes are shortened: from the whole label down until a pair at the threshold
+def prefix_length(trees: int, depth: int, similarity: float, target: float) -> int:
+    """How far a text's matched prefixes are shortened: from the whole label down until a text of the given similarity
     shares one in some tree with the target probability."""
     for x in range(depth, 0, -1):
-        if 1 - (1 - threshold**x) ** trees >= target:
+        if 1 - (1 - similarity**x) ** trees >= target:
             return x
     raise ValueError("too few trees for the target recall")
 
 
+def least_similarity(n: int, threshold: float) -> float:
+    """The least Jaccard similarity of ``threshold`` or more that a set of ``n`` elements can have with a different set (1: none can)."""
+    fits = [common / union for common in range(max(1, int(threshold * n) - 1), n + 1) for union in range(n, int(common / threshold) + 2) if threshold - 1e-12 <= common / union < 1]
+    return min(fits, default=1.0)
+
+
+def shortest_prefixes(sizes: np.ndarray, trees: int, depth: int, threshold: float, target: float) -> np.ndarray:
+    """The prefix length at which each text has reached the target, from the number of its shingles.
+
+    Sets of a few shingles can't come close to the threshold (a different set is at most 4/5 or 5/6 of one of 5), so they stop at longer prefixes.
+    """
+    floor = prefix_length(trees, depth, threshold, target)
+    out = np.full(len(sizes), floor, np.int8)
+    for n in np.unique(sizes[sizes <= 64]).tolist():  # of larger sets some come within 1/64 of the threshold
+        out[sizes == n] = prefix_length(trees, depth, least_similarity(n, threshold), target)
+    return out
+
+
 class Shingles:
     """Hashes of the runs of ``n`` words of each text; a shorter text is one run. Words are lower-cased."""
 
@@ -65,46 +86,87 @@ def signatures(shingles: Shingles, n_texts: int, size: int) -> tuple[np.ndarray,
     return there, out
 
 
-def bucket_keys(sig: np.ndarray, trees: int, depth: int, prefix: int) -> np.ndarray:
-    """A hash of each text's prefix in each tree."""
-    labels = sig.reshape(len(sig), trees, depth)[:, :, :prefix].astype(U64)
-    code = np.broadcast_to(np.arange(1, trees + 1, dtype=U64), labels.shape[:2]).copy()
-    for k in range(prefix):
-        code = mixed(code * U64(0x9E3779B97F4A7C15) + labels[:, :, k])
-    return code
-
-
-def leader_edges(digests: list[bytes], small: np.ndarray, cover: float, link: float) -> tuple[list[tuple[bytes, bytes]], list[int]]:
-    """Edges of the texts of one bucket to leaders, and the leaders.
-
-    A text that no leader covers becomes one. If two texts are similar, one of them covered by a leader, the other
-    is still within ``link`` of that leader, so both hang together. Only edges that join two parts of the bucket are given, so
-    there are fewer of them than texts.
+class Labels:
+    """The labels of texts in the trees, as rows of two sorted-trie keys: a hash of the shortest prefix in use, and what follows it."""
+
+    def __init__(self, sig: np.ndarray, trees: int, depth: int, floor: int):
+        labels = sig.reshape(len(sig), trees, depth).astype(U64)
+        code = np.broadcast_to(np.arange(1, trees + 1, dtype=U64), labels.shape[:2]).copy()
+        for k in range(floor):
+            code = mixed(code * U64(0x9E3779B97F4A7C15) + labels[:, :, k])
+        self.floor, self.depth, self.shape = floor, depth, code.shape
+        self.bits = min(32, 64 // max(1, depth - floor))
+        rest = np.zeros(code.shape, U64)
+        for k in range(floor, depth):
+            rest = rest << U64(self.bits) | labels[:, :, k] & U64((1 << self.bits) - 1)
+        self.pairs = np.stack([code.ravel(), rest.ravel()], axis=1)
+        self.unique, self.inverse, self.n = unique_pairs(self.pairs)
+
+    def levels(self, asked: np.ndarray) -> np.ndarray:
+        """The longest prefix of each text's label in each tree that another text shares, from what the ranges found (0: none in use)."""
+        return np.where(self.n > 1, self.depth, asked)[self.inverse].reshape(self.shape)
+
+
+def common_levels(pairs: np.ndarray, floor: int, depth: int) -> np.ndarray:
+    """The longest prefix that each of the sorted labels shares with a neighbour, which is the longest that it shares with any; 0 under ``floor``."""
+    bits = min(32, 64 // max(1, depth - floor))
+    with_next = np.zeros(len(pairs) + 1, np.int8)  # of each label and the one before it
+    if len(pairs) > 1:
+        same = pairs[1:, 0] == pairs[:-1, 0]
+        level = np.where(same, floor, 0)
+        for k in range(floor, depth):
+            shift = U64(bits * (depth - 1 - k))
+            same = same & (pairs[1:, 1] >> shift == pairs[:-1, 1] >> shift)
+            level = np.where(same, k + 1, level)
+        with_next[1:-1] = level
+    return np.maximum(with_next[:-1], with_next[1:])
+
+
+def walk(rest: np.ndarray, digests: list[bytes], small: np.ndarray, shortest: np.ndarray, floor: int, depth: int) -> tuple[list[tuple[bytes, bytes]], list[int]]:
+    """Edges of the texts under one trie node of length ``floor`` to leaders, and the leaders; ``rest`` has their labels from there on, sorted.
+
+    Prefixes are shortened step by step, from whole labels to ``floor``. At each step the texts that still look for candidates lead one after the other: a
+    leader is compared with all texts under its node, and linked down to ``LINK``. Texts that it covers have their
+    candidates and look no further, like those whose own prefix length is reached; so only uncovered texts and leaders go on to shorter
+    prefixes, where a leader stops at one that is all but the same. If two texts are similar, one of them covered by a leader, the other is still
+    within ``LINK`` of that leader or of the one that stopped it, so both hang together. Only edges that join two parts are given: fewer than texts.
     """
-    leaders: list[int] = []
+    n = len(digests)
     edges: list[tuple[bytes, bytes]] = []
-    left, part = np.arange(len(digests)), np.arange(len(digests))
-    while len(left):
-        leader = int(left[0])
-        leaders.append(leader)
-        alike = (small == small[leader]).mean(axis=1)
-        near = np.flatnonzero(alike >= link)
-        parts, first = np.unique(part[near], return_index=True)
-        other = parts != part[leader]
-        edges += [(digests[k], digests[leader]) for k in near[first[other]].tolist()]
-        part[np.isin(part, parts)] = part[leader]
-        left = left[(alike[left] < cover) & (left != leader)]
-    return edges, leaders
+    part, open_, leads = np.arange(n), np.ones(n, bool), np.zeros(n, bool)
+    bits = min(32, 64 // max(1, depth - floor))
+    for level in range(depth, floor - 1, -1):
+        code = rest >> U64(bits * (depth - level)) if bits * (depth - level) < 64 else np.zeros(n, U64)
+        bounds = [0, *(np.flatnonzero(code[1:] != code[:-1]) + 1).tolist(), n]
+        for a, z in zip(bounds, bounds[1:], strict=False):
+            if z - a < 2:
+                continue
+            left = a + np.flatnonzero(open_[a:z] & (shortest[a:z] <= level))
+            while len(left):
+                k = int(left[0])
+                leads[k] = True
+                alike = (small[a:z] == small[k]).mean(axis=1)
+                near = a + np.flatnonzero(alike >= LINK)
+                parts, first = np.unique(part[near], return_index=True)
+                other = parts != part[k]
+                if other.any():
+                    edges += [(digests[x], digests[k]) for x in near[first[other]].tolist()]
+                    part[np.isin(part, parts)] = part[k]
+                left = left[left != k]
+                stop = alike[left - a] >= np.where(leads[left], SAME, COVER)
+                open_[left[stop]] = False
+                left = left[~stop]
+    return edges, np.flatnonzero(open_ | leads).tolist()
 
 
 EDGES = "kind int, bucket bigint, digest binary, other binary, small binary"
 
 
-def link_buckets(rows: DataFrame) -> DataFrame:
-    """Edges between the texts of each bucket (bucket, label, digest, small), bucket by bucket in sorted order.
+def link_buckets(rows: DataFrame, floor: int, depth: int) -> DataFrame:
+    """Edges between the texts of each trie node of length ``floor`` (bucket, label, digest, small, shortest), node by node in sorted order.
 
-    Rows are range-partitioned in the tries' order, so a bucket of any size is spread over tasks; the
-    leaders of buckets that may go on in the next task are linked among each other in a second step.
+    Rows are range-partitioned in the tries' order, so a node of any size is spread over tasks, where :func:`walk` goes up from whole
+    labels; the leaders of nodes that may go on in the next task are linked among each other in a second step.
     """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -116,7 +178,8 @@ def link_buckets(rows: DataFrame) -> DataFrame:
             if len(digests) < 2 and not edge_of_task:
                 return []
             small = np.frombuffer(b"".join(group["small"]), np.uint8).reshape(len(digests), -1)
-            edges, leaders = leader_edges(digests, small, COVER, LINK)
+            rest = np.frombuffer(b"".join(group["label"]), ">u8").astype(U64)
+            edges, leaders = walk(rest, digests, small, group["shortest"].to_numpy(), floor, depth)
             bucket = int(group["bucket"].iloc[0])
             out = [(0, bucket, a, b, None) for a, b in edges]
             if edge_of_task:
@@ -141,11 +204,11 @@ def link_buckets(rows: DataFrame) -> DataFrame:
     def across(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("digest").sort_values("digest")
         small = np.frombuffer(b"".join(pdf["small"]), np.uint8).reshape(len(pdf), -1)
-        edges, _ = leader_edges(list(pdf["digest"]), small, COVER, LEADERS)
+        edges, _ = walk(np.zeros(len(pdf), U64), list(pdf["digest"]), small, np.zeros(len(pdf), np.int8), floor, floor)
         return pd.DataFrame(edges, columns=["u", "v"])
 
     spread = rows.repartitionByRange("bucket", "label", "digest").sortWithinPartitions("bucket", "label", "digest")
-    linked = checkpointed(spread.drop("label").mapInPandas(run, EDGES))
+    linked = checkpointed(spread.mapInPandas(run, EDGES))
     inside = linked.filter("kind = 0").select(F.col("digest").alias("u"), F.col("other").alias("v"))
     between = linked.filter("kind = 1").groupBy("bucket").applyInPandas(across, "u binary, v binary")
     return inside.union(between)
@@ -209,41 +272,55 @@ def near_duplicate_texts(docs: DataFrame, text: str = "text", shingle: int = 5,
     A link joins two different texts whose sets of ``shingle``-word runs have a Jaccard similarity of ``threshold`` or
     more; ``n_links`` counts a text's links exactly within its candidate component, and classes are the components of links.
 
-    Texts are packed into batches, as many copies of a text as there are counting as one. Each has ``trees`` labels of ``depth``
-    minimum hashes. Tries are walked from whole labels up to the prefix length of :func:`prefix_length`. Batches ask which of
-    their prefixes others have; only those become rows, sorted in the tries' order, where each bucket
-    links its texts to leaders. Candidate components then gather shingle sets and verify all their pairs, block
+    Texts are packed into batches, as many copies of a text as there are counting as one. Each has a label of ``depth``
+    minimum hashes in each of ``trees`` prefix trees. Batches send their labels to key ranges, where sorting them makes the tries:
+    what a label shares with its neighbours is its longest matched prefix, and the ranges answer with that. Labels with a match become rows, in the
+    tries' order, and each text's prefixes are shortened from the whole label on until it has its candidates or has reached
+    the target recall (:func:`walk`, :func:`shortest_prefixes`). Candidate components then gather shingle sets and verify all their pairs, block
     against block where a component has more than ``BLOCK`` texts; pairs never become rows.
     """
     chars = total_chars(docs, text)
     n_batches, n_ranges = -(-chars // BATCH_CHARS) or 1, -(-chars // RANGE_CHARS) or 1
-    prefix, size = prefix_length(trees, depth, threshold, target), trees * depth
+    floor, size = prefix_length(trees, depth, threshold, target), trees * depth
     by_batch = packed_texts(docs, text, n_batches).groupBy("batch")
 
-    def signed(blobs: list[bytes]) -> tuple[Texts, np.ndarray, np.ndarray, np.ndarray]:
+    def signed(blobs: list[bytes]) -> tuple[Texts, np.ndarray, np.ndarray, np.ndarray, Labels]:
         texts = Texts(blobs)
-        there, sig = signatures(Shingles(texts.texts, shingle), len(texts.texts), size)
-        return texts, there, sig, bucket_keys(sig, trees, depth, prefix)
+        shingles = Shingles(texts.texts, shingle)
+        there, sig = signatures(shingles, len(texts.texts), size)
+        sizes = np.diff(shingles.first)[there]
+        few = np.flatnonzero(sizes <= 64)
+        sizes[few] = [len(s) for s in shingles.sets(there[few])]
+        return texts, there, sig, shortest_prefixes(sizes, trees, depth, threshold, target), Labels(sig, trees, depth, floor)
 
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
-        return question(int(pdf["batch"].iloc[0]), np.unique(signed(list(pdf["blob"]))[3]), n_ranges)
+        return question(int(pdf["batch"].iloc[0]), signed(list(pdf["blob"]))[4].unique, n_ranges)
+
+    def match(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("batch")
+        sent = [np.frombuffer(x, U64).reshape(-1, 2) for x in pdf["keys"]]
+        rows = np.concatenate(sent)
+        order = np.lexsort((rows[:, 1], rows[:, 0]))
+        levels = np.empty(len(rows), np.int8)
+        levels[order] = common_levels(rows[order], floor, depth)
+        ends = np.cumsum([len(k) for k in sent]).tolist()
+        return pd.DataFrame({"batch": pdf["batch"], "range": pdf["range"], "levels": [packed_values(levels[e - len(k) : e].astype(np.int64)) for k, e in zip(sent, ends, strict=True)]})
 
     def bucket_rows(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        names = ["bucket", "label", "digest", "small"]
-        if not len(left):
+        names = ["bucket", "label", "digest", "small", "shortest"]
+        if not len(left) or not len(right):
             return pd.DataFrame(columns=names)
-        texts, there, sig, keys = signed(list(left["blob"]))
-        unique, inverse, n = np.unique(keys, return_inverse=True, return_counts=True)
-        shared = ((n > 1) | contains(np.sort(answered(right, 1)), unique))[inverse.reshape(keys.shape)]
-        labels = sig.reshape(len(sig), trees, depth)
+        texts, there, sig, shortest, labels = signed(list(left["blob"]))
+        levels = labels.levels(np.concatenate([unpacked_values(x, np.int8) for x in right.sort_values("range")["levels"]]))
+        pairs = labels.pairs.reshape(*labels.shape, 2)
         out = []
-        for i, t in np.argwhere(shared).tolist():
-            out.append((keys[i, t].astype(np.int64), labels[i, t].astype(">u4").tobytes(), texts.digests[there[i]], sig[i].astype(np.uint8).tobytes()))
+        for i, t in np.argwhere(levels >= shortest[:, None]).tolist():
+            out.append((pairs[i, t, 0].astype(np.int64), int(pairs[i, t, 1]).to_bytes(8, "big"), texts.digests[there[i]], sig[i].astype(np.uint8).tobytes(), int(shortest[i])))
         return pd.DataFrame(out, columns=names)
 
-    shared = repeated_keys(by_batch.applyInPandas(tidied(ask), QUESTION), 1, 1)
-    rows = by_batch.cogroup(shared.groupBy("batch")).applyInPandas(tidied_pair(bucket_rows), "bucket bigint, label binary, digest binary, small binary")
-    candidates = checkpointed(connected_components(link_buckets(rows)))
+    matched = by_batch.applyInPandas(tidied(ask), QUESTION).groupBy("range").applyInPandas(tidied(match), "batch bigint, range bigint, levels binary")
+    rows = by_batch.cogroup(matched.groupBy("batch")).applyInPandas(tidied_pair(bucket_rows), "bucket bigint, label binary, digest binary, small binary, shortest int")
+    candidates = checkpointed(connected_components(link_buckets(rows, floor, depth)))
 
     n_of = candidates.groupBy("component").agg(F.count("*").alias("n"))
     placed = candidates.join(n_of, "component").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -298,21 +375,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = docs.select(F.col(doc_id).alias("doc_id"), digest_of(F.col(text)).alias("digest"))
     texts = rows.filter("digest is not null").groupBy("digest").agg(F.count("*").alias("n_copies"), F.min("doc_id").alias("_first"))
     texts = texts.join(found, "digest", "left").withColumn("_class", F.coalesce("class_digest", "digest"))
-    classes = texts.groupBy("_class").agg(F.min("_first").alias("class_id"))
-    known = texts.join(classes, "_class").select("digest", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
-    joined = rows.join(known, "digest", "left")
-    return joined.select("doc_id", "digest", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
+    classes = texts.filter("class_digest is not null").groupBy("_class").agg(F.min("_first").alias("class_id"))
+    # texts without copies and links need no answer: they are classes of their own
+    known = texts.filter("n_copies > 1 or class_digest is not null").join(classes, "_class", "left")
+    known = known.select("digest", F.coalesce("class_id", "_first").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies", F.lit(True).alias("_known"))
+    # a text that a third of all rows have is met in as many places as there are salts
+    salted = known.withColumn("_salt", F.explode(F.array(*[F.lit(k) for k in range(SALTS)])))
+    joined = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["digest", "_salt"], "left")
+    return joined.select("doc_id", "digest", F.when(F.col("_known"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
 
 
 def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each class the row with the smallest id stays (of equal rows
     one). Rows with a null text or a class without any id all stay."""
+    id_, digest, key = fresh(docs, "_id", "_digest", "_key")
     marked = near_duplicates(docs, doc_id, text, **options)
-    stay = marked.filter("digest is not null and (class_id is null or doc_id = class_id)").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_d")).distinct()
-    keyed = docs.withColumn("_digest", digest_of(F.col(text)))
-    same = (F.col("_digest") == F.col("_d")) & F.col(doc_id).eqNullSafe(F.col("_id"))
-    kept = keyed.join(stay, same, "left_semi").dropDuplicates(["_digest", doc_id])
-    return kept.drop("_digest").unionByName(docs.filter(F.col(text).isNull()))
+    stay = marked.filter("digest is not null and (class_id is null or doc_id = class_id)").select(F.col("doc_id").alias(id_), F.col("digest").alias(digest)).distinct()
+    keyed = docs.withColumn(key, digest_of(F.col(text)))
+    same = (F.col(key) == F.col(digest)) & F.col(doc_id).eqNullSafe(F.col(id_))
+    kept = keyed.join(stay, same, "left_semi").dropDuplicates([key, doc_id])
+    return kept.drop(key).unionByName(docs.filter(F.col(text).isNull()))
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
