@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_columns, table
+from .common import add_columns, fresh, others, table
 
 # Names from HTML and from common page templates.
 BLOCK_TAGS = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -22,35 +25,64 @@ ASIDE_NAMES = set(
     "replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar topbar widget widgets".split()
 )
 COMMENT_NAMES = set("comment comments disqus replies reply respond".split())
+NEUTRAL_NAMES = set(
+    "a an and area article articles b base big block body bottom box boxes button buttons c center class clear col cols column columns container content entry fixed float for g grid group in "
+    "inner item items j l layout left links list lists main mod module my new of on outer p page panel post posts pre primary r right row s secondary section site slot small sticky story style sub tabs text the title to top unit v view wrap wrapper x z".split()
+)
 VOID_TAGS = set("area base br col embed hr img input link meta param source track wbr".split())
 
-TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))|([^\s=/"'<>]+)""")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+TAG_NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
+QUOTE_OR_END = re.compile(r"[>\"']")
+COMMENT_END = re.compile(r"--!?>")
+HEAD_END = re.compile(r"</head\s*>|<body\b", re.I)
+
+FEATURES = ("aside", "place", "named", "density", "words", "prev_density", "next_density", "prev_words", "next_words")
 
-FEATURES = ("words", "density", "prev_words", "prev_density", "next_words", "next_density", "aside", "place")
-
-#: Blocks labelled by hand, as words, link density, stands in a menu, notice or the like, place (0: outside the
-#: page's article, 1: the page has no article, 2: in the article), and whether it is main text whatever stands around it.
-BLOCKS = [
-    (1, 1.0, 1, 0, 0), (2, 1.0, 1, 1, 0), (9, 0.0, 1, 0, 0), (40, 0.1, 1, 0, 0), (120, 0.0, 1, 0, 0), (6, 0.0, 1, 2, 0), (35, 0.0, 1, 2, 0), (300, 0.0, 1, 2, 0), (1, 0.0, 1, 2, 0), (3, 1.0, 1, 2, 0),
-    (25, 0.0, 1, 1, 0), (150, 0.0, 1, 1, 0), (4, 0.5, 1, 1, 0), (1, 0.0, 1, 0, 0),
-    (11, 0.0, 0, 2, 1), (55, 0.0, 0, 2, 1), (1, 0.0, 0, 2, 1), (2, 0.0, 0, 2, 1), (800, 0.0, 0, 2, 1), (70, 0.3, 0, 2, 1), (20, 0.6, 0, 2, 1), (30, 0.05, 0, 2, 1), (5, 0.4, 0, 2, 1), (120, 0.0, 0, 2, 1),
-    (8, 0.0, 0, 0, 0), (60, 0.0, 0, 0, 0), (2, 0.0, 0, 0, 0), (25, 0.1, 0, 0, 0), (1, 1.0, 0, 0, 0), (140, 0.0, 0, 0, 0), (4, 0.5, 0, 0, 0), (800, 0.0, 0, 0, 0),
-    (60, 0.0, 0, 1, 1), (45, 0.1, 0, 1, 1), (25, 0.0, 0, 1, 1), (18, 0.2, 0, 1, 1), (300, 0.0, 0, 1, 1), (1, 1.0, 0, 1, 0), (4, 1.0, 0, 1, 0), (20, 0.8, 0, 1, 0), (9, 0.7, 0, 1, 0),
-]
-#: Surroundings that change none of these labels, as words and link density of the block before and the one after.
-AROUND = [(0, 0.0, 0, 0.0), (60, 0.0, 80, 0.0), (2, 1.0, 3, 1.0), (2, 1.0, 55, 0.0), (70, 0.0, 1, 1.0), (1, 0.0, 2, 0.0)]
-#: Blocks whose label hangs on their surroundings: links in an article are main text unless they stand in a
-#: list of links; on a page without article short texts are main text beside long ones.
-IN_CONTEXT = [
-    # words, density, before, density, after, density, aside, place, main text
-    (5, 1.0, 90, 0.0, 70, 0.0, 0, 2, 1), (9, 0.9, 44, 0.0, 61, 0.0, 0, 2, 1), (16, 1.0, 30, 0.1, 25, 0.0, 0, 2, 1), (2, 1.0, 12, 0.0, 1, 0.0, 0, 2, 1), (3, 0.9, 3, 0.0, 0, 0.0, 0, 2, 1),
-    (2, 1.0, 3, 1.0, 2, 1.0, 0, 2, 0), (3, 1.0, 60, 0.0, 3, 1.0, 0, 2, 0), (6, 0.9, 5, 0.9, 7, 1.0, 0, 2, 0), (3, 1.0, 2, 1.0, 40, 0.0, 0, 2, 0), (9, 1.0, 8, 1.0, 9, 1.0, 0, 2, 0),
-    (8, 0.0, 2, 1.0, 60, 0.0, 0, 1, 1), (5, 0.0, 60, 0.0, 45, 0.0, 0, 1, 1), (1, 0.0, 80, 0.0, 45, 0.0, 0, 1, 1), (12, 0.0, 55, 0.0, 35, 0.1, 0, 1, 1), (3, 0.0, 25, 0.0, 40, 0.0, 0, 1, 1),
-    (3, 0.0, 2, 1.0, 2, 1.0, 0, 1, 0), (4, 0.0, 0, 0.0, 3, 1.0, 0, 1, 0), (6, 0.0, 4, 1.0, 0, 0.0, 0, 1, 0), (2, 0.0, 3, 0.0, 2, 0.0, 0, 1, 0), (5, 0.2, 4, 0.0, 3, 0.5, 0, 1, 0),
-]
-LABELLED = [(w, d, *around, aside, place, label) for w, d, aside, place, label in BLOCKS for around in AROUND] + IN_CONTEXT
+#: Pages labelled by hand, as markup and one label per block in page order (1: main text). {n} stands for n words of text,
+#: the only thing about the text that the features see. The tree's table is made of these pages' blocks and their neighbours.
+LABELLED_PAGES = [
+    # articles with menus, adverts and footers
+    ("<nav><a>{1}</a></nav><div class=ad>{6}</div><article><h1>{9}</h1><p>{80}</p><p>{3}</p><p>{45}</p></article><footer>{9}</footer>", "0011110"),
+    ("<nav><ul><li><a>{1}</a><li><a>{1}</a><li><a>{2}</a></ul></nav><div class=advert>{30}</div><article><h1>{8}</h1><p>{1}</p></article><footer>{14}</footer>", "0000110"),
+    ("<header>{4}</header><main><h1>{1}</h1><p>{2}</p><p>{250}</p><p>{1}</p><p>{2}</p></main><footer><a>{1}</a> {2}</footer>", "0111110"),
+    ("<div id=header>{5}</div><article><p>{700}</p></article><div id=footer>{90}</div>", "010"),
+    ("<ul class=menu><li><a>{1}</a><li><a>{3}</a></ul><article><h1>{12}</h1><h2>{2}</h2><p>{30} <a>{4}</a> {20}</p><h2>{3}</h2><ul><li>{5}<li>{12}<li>{1}</ul><p>{60}</p></article><div class=sidebar><p>{40}</p><p>{25}</p></div>", "001111111100"),
+    ("<article><h1>{5}</h1><p>{60}</p><p><a>{7}</a></p><p>{70}</p><p>{3} <a>{9}</a></p><p>{44}</p></article>", "111111"),
+    ("<article><h1>{7}</h1><p><a>{2}</a></p><p>{12}</p><p><a>{9}</a></p><p>{33}</p><p>{11} <a>{20}</a></p></article>", "111111"),
+    # what stands in an article and is none of it
+    ("<article><h1>{6}</h1><div class=byline>{4}</div><p>{90}</p><div class=share><a>{1}</a> <a>{1}</a></div><p>{50}</p><aside>{35}</aside><p>{40}</p><form>{5}</form></article>", "10101010"),
+    ("<article><h1>{9}</h1><p>{120}</p><p>{60}</p><div id=comments><h3>{2}</h3><p>{30}</p><p>{75}</p><p>{1}</p></div></article>", "1110000"),
+    ("<article><p>{55}</p><div class='newsletter signup'>{8}</div><p>{66}</p><div class=cookie-notice>{40}</div></article>", "1010"),
+    ("<article><p>{55}</p><div class=ad-box>{20}</div><p>{4}</p><div class=related-links><ul><li><a>{6}</a><li><a>{8}</a></ul></div></article>", "10100"),
+    ("<main><h1>{4}</h1><p>{70}</p><section class=comment-list><p>{110}</p><p>{9}</p></section></main>", "1100"),
+    ("<article><h2>{5}</h2><p>{80}</p><ul><li><a>{3}</a><li><a>{4}</a><li><a>{2}</a><li><a>{7}</a></ul><p>{35}</p></article>", "1100001"),
+    ("<article><p>{40}</p><p>{35}</p><p><a>{2}</a></p><p><a>{3}</a></p><p><a>{9}</a></p></article>", "11000"),
+    # names that only sound like an aside: their text and their neighbours' tell
+    ("<article class=share-price><h1>{5}</h1><p>{60}</p><p>{44}</p></article>", "111"),
+    ("<article class=share-price>{60}</article>", "1"),
+    ("<nav><a>{1}</a></nav><article class=cookie-recipes><p>{25}</p><p>{8}</p><p>{90}</p></article><footer>{5}</footer>", "01110"),
+    ("<article><h1>{6}</h1><p>{100}</p><div class=related-work><h2>{2}</h2><p>{80}</p><p>{30}</p><p>{6}</p></div><p>{50}</p></article>", "1111111"),
+    ("<article><p>{90}</p><section id=search-results-discussed><p>{45}</p><p>{2}</p><p>{70}</p></section></article>", "1111"),
+    ("<article><p>{70}</p><div class=social-history>{35}</div><div class=navigation-instruments>{14}</div><p>{20}</p></article>", "1111"),
+    ("<article><p>{70}</p><div class=related-stories><a>{9}</a></div><div class=social-icons><a>{1}</a></div><div class=share-facebook><a>{2}</a></div></article>", "1000"),
+    ("<article><p>{30}</p><div class=promo-summer><a>{4}</a> {2}</div><div class=sponsor-acme><a>{12}</a></div><p>{30}</p></article>", "1001"),
+    # no article: long text and what stands beside it
+    ("<div class=nav><a>{1}</a> <a>{2}</a></div><h1>{8}</h1><p>{60}</p><p>{5}</p><p>{45}</p><div class=footer>{10}</div>", "011110"),
+    ("<div><a>{2}</a></div><div><a>{1}</a></div><div>{12}</div><div>{55}</div><div>{35} <a>{3}</a></div><div><a>{2}</a></div>", "001110"),
+    ("<p><a>{1}</a></p><p>{3}</p><p><a>{1}</a></p><p>{4}</p><p><a>{3}</a></p>", "00000"),
+    ("<p><a>{1}</a></p><p>{300}</p><p>{1}</p><p>{45}</p><p>{20} <a>{5}</a></p><p><a>{4}</a></p><p><a>{2}</a></p>", "0111100"),
+    ("<p>{25}</p><p>{3}</p><p>{40}</p>", "111"),
+    ("<p>{18} <a>{4}</a></p><p>{26}</p>", "11"),
+    ("<p>{3}</p><p>{2}</p><p>{2}</p>", "000"),
+    ("<div class=sidebar>{60}</div><div class=banner>{25}</div><p>{150}</p><div class=comments><p>{50}</p><p>{20}</p></div>", "00100"),
+    ("<p>{9} <a>{20}</a></p><p><a>{9}</a> {2}</p><p>{2} <a>{8}</a></p>", "000"),
+    # text outside the article of a page that has one
+    ("<p>{8}</p><div>{60}</div><article><h1>{5}</h1><p>{40}</p></article><div>{25} <a>{3}</a></div><p>{2}</p><div>{140}</div><p>{1}</p>", "00110000"),
+    ("<div>{800}</div><article><p>{2}</p></article><p>{300}</p>", "010"),
+    ("<aside>{200}</aside><article><p>{800}</p><p>{2}</p><p>{800}</p></article><section>{60}</section>", "01110"),
+]
 
 
 def grow_tree(rows: list[tuple], depth: int = 8):
@@ -81,68 +113,137 @@ def tree_column(tree, features: dict[str, Column]) -> Column:
     return F.when(features[FEATURES[k]] <= F.lit(float(cut)), tree_column(left, features)).otherwise(tree_column(right, features))
 
 
-def asides_of(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether an element's tag, role, class or id says it isn't main text, and whether it says it holds comments."""
+def named_aside(names: list[str]) -> float:
+    """How far a class or id names something beside the main text: the share of such names in it, those that name nothing left out."""
+    listed = sum(n in ASIDE_NAMES for n in names)
+    return listed / (listed + sum(n not in ASIDE_NAMES and n not in NEUTRAL_NAMES and not n.isdigit() for n in names)) if listed else 0.0
+
+
+def hints_of(tag: str, attributes: str) -> tuple[bool, float, bool]:
+    """Whether an element's tag, role or style says it isn't main text, how far its names say so, and whether they speak of comments."""
     if not attributes:
-        return tag in ASIDE_TAGS, False
+        return tag in ASIDE_TAGS, 0.0, False
     found = {}
     for m in ATTRIBUTE.finditer(attributes):
         found.setdefault((m[1] or m[5]).lower(), m[2] or m[3] or m[4] or "")
-    names = {p.lower() for p in NAME_PART.findall(f"{found.get('class', '')} {found.get('id', '')}")}
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", ""))
     aside = tag in ASIDE_TAGS or bool(hidden) or found.get("role", "").lower() in ASIDE_ROLES
-    if tag not in ("body", "html", "main"):
-        aside = aside or bool(names & ASIDE_NAMES)
-    return aside, bool(names & COMMENT_NAMES)
+    if tag in ("body", "html", "main"):
+        return aside, 0.0, False
+    named, comments = 0.0, False
+    for group in [*found.get("class", "").split(), found.get("id", "")]:  # each name by itself
+        parts = [p.lower() for p in NAME_PART.findall(group)]
+        named = max(named, named_aside(parts))
+        comments = comments or named == 1 and bool(COMMENT_NAMES & set(parts))
+    return aside, named, comments
+
 
+@cache
+def closing_tag(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}\s*>", re.I)
 
-def blocks_of(page: str | None) -> list[tuple[str, int, int, bool, bool]]:
-    """(text, words, words in links, stands in an aside, stands in an article) of each text block, in page order."""
+
+class Tokens:
+    """The tags of a page from left to right: (text before from, to, closing, name, attributes).
+
+    Work is linear in the page: a quoted value that is never closed is looked for once, and quotes mean nothing from there on.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.at, self.quotes, self.last = page, 0, True, page.rfind(">")
+        self.missing: set = set()  # closing tags that the rest of the page doesn't have
+
+    def __iter__(self):
+        page, text = self.page, self.at
+        search = self.at
+        while (lt := page.find("<", search)) >= 0:
+            two = page[lt + 1 : lt + 2]
+            if two in ("!", "?"):
+                self.at = self._declaration(lt)
+                yield text, lt, False, "", ""
+            else:
+                m = TAG_NAME.match(page, lt + 1)
+                end = self._end(m.end()) if m else -1
+                if end < 0:
+                    search = lt + 1  # a plain character
+                    continue
+                self.at = end + 1
+                yield text, lt, two == "/", m[1].lower(), page[m.end() : end]
+            text = search = self.at
+        yield text, len(page), False, "", ""
+
+    def _declaration(self, lt: int) -> int:
+        page = self.page
+        if page.startswith("<!--", lt):
+            end = COMMENT_END.search(page, lt + 2)
+            return end.end() if end else len(page)
+        close = "]]>" if page.startswith("<![CDATA[", lt) else ">"
+        end = page.find(close, lt)
+        return len(page) if end < 0 else end + len(close)
+
+    def _end(self, at: int) -> int:
+        """Where the tag's ``>`` stands, outside of quotes."""
+        start = at
+        if start > self.last:
+            return -1
+        while self.quotes and (m := QUOTE_OR_END.search(self.page, at)):
+            if m[0] == ">":
+                return m.start()
+            at = self.page.find(m[0], m.end()) + 1
+            if not at:
+                break
+        self.quotes = False
+        return self.page.find(">", start)
+
+    def skip_to(self, pattern: re.Pattern) -> re.Match | None:
+        """The next match ahead; a pattern once missing is not looked for again."""
+        if pattern in self.missing:
+            return None
+        m = pattern.search(self.page, self.at)
+        if m is None:
+            self.missing.add(pattern)
+        return m
+
+
+def blocks_of(page: str | None) -> list[tuple[str, int, int, bool, float, bool]]:
+    """(text, words, words in links, stands in an aside, named like one, stands in an article) of each text block, in page order."""
     if not page:
         return []
     blocks, pieces, links = [], [], 0
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, aside, comments, article
-    at, in_link, skipping = 0, False, None
-    state = (False, False, False)
+    stack: list[tuple[str, bool, float, bool, bool]] = []  # tag, aside, named, comments, article
+    open_tags: Counter = Counter()
+    outside = ("", False, 0.0, False, False)
+    in_link, skipping, state = False, None, outside[1:]
 
     def flush() -> None:
         nonlocal links
         text = " ".join("".join(pieces).split())
         if text:
-            blocks.append((text, text.count(" ") + 1, links, state[0], state[2]))
+            blocks.append((text, text.count(" ") + 1, links, state[0], state[1], state[3]))
         pieces.clear()
         links = 0
 
-    def take(a: int, b: int) -> None:
-        nonlocal links
+    tokens = Tokens(page)
+    for a, b, closing, tag, attributes in tokens:
         if a < b and skipping is None:
             text = entities.unescape(page[a:b])
             pieces.append(text)
             if in_link:
                 links += len(text.split())
-
-    while True:
-        m = TOKEN.search(page, at)
-        take(at, m.start() if m else len(page))
-        if m is None:
-            break
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
         if not tag:
             continue
-        closing, attributes = (m[1] or m[4]) == "/", m[3] or m[6] or ""
         if skipping is not None:
             if closing and tag == skipping:
                 skipping = None
             continue
         if tag in SKIPPED_TAGS and not closing and not attributes.endswith("/"):
             if tag in RAW_TAGS:  # its content is not markup
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                end = tokens.skip_to(closing_tag(tag))
+                tokens.at = end.end() if end else len(page)
             elif tag == "head":
-                end = re.compile(r"</head\s*>|<body\b", re.I).search(page, at)
-                at = (end.end() if end[0].startswith("</") else end.start()) if end else at
-            elif tag not in VOID_TAGS and re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at):
+                end = tokens.skip_to(HEAD_END)
+                tokens.at = (end.end() if end[0].startswith("</") else end.start()) if end else tokens.at
+            elif tag not in VOID_TAGS and tokens.skip_to(closing_tag(tag)):
                 skipping = tag
             continue
         if tag == "a":
@@ -152,65 +253,82 @@ def blocks_of(page: str | None) -> list[tuple[str, int, int, bool, bool]]:
         elif tag in BLOCK_TAGS:
             flush()
             in_link = False
+            inside = stack[-1] if stack else outside
             if tag in CONTAINERS:
                 if closing:
-                    if any(x[0] == tag for x in stack):
-                        while stack.pop()[0] != tag:
-                            pass
+                    if open_tags[tag]:
+                        while (gone := stack.pop()[0]) != tag:
+                            open_tags[gone] -= 1
+                        open_tags[tag] -= 1
                 else:
-                    aside, comments = asides_of(tag, attributes)
-                    inside = stack[-1] if stack else ("", False, False, False)
+                    aside, named, comments = hints_of(tag, attributes)
                     article = tag in ("article", "main")
-                    if article and inside[1] and not inside[2] and not inside[3]:
+                    if article and (inside[1] or inside[2]) and not inside[3] and not inside[4]:
                         stack.clear()  # an article ends a menu or notice left open before it
-                        inside = ("", False, False, False)
+                        open_tags.clear()
+                        inside = outside
                     if tag == "header":
-                        aside = aside or not inside[3]
-                    stack.append((tag, inside[1] or aside, inside[2] or comments, inside[3] or article and not (inside[1] or aside)))
-                state = stack[-1][1:] if stack else (False, False, False)
-            elif not closing:
-                # a paragraph or list item can be a notice by its own class
-                state = stack[-1][1:] if stack else (False, False, False)
-                if attributes and asides_of(tag, attributes)[0]:
-                    state = (True, state[1], state[2])
+                        aside = aside or not inside[4]
+                    stack.append((tag, inside[1] or aside, max(inside[2], named), inside[3] or comments, inside[4] or article and not (inside[1] or aside)))
+                    open_tags[tag] += 1
+                state = (stack[-1] if stack else outside)[1:]
             else:
-                state = stack[-1][1:] if stack else (False, False, False)
+                state = inside[1:]
+                if attributes and not closing:  # a paragraph or list item can be a notice by itself
+                    aside, named, _ = hints_of(tag, attributes)
+                    state = (state[0] or aside, max(state[1], named), state[2], state[3])
     flush()
     return blocks
 
 
+def labelled_blocks(pages: list[tuple[str, str]] = LABELLED_PAGES) -> list[tuple]:
+    """The features (``FEATURES``) and label of each block of the labelled pages."""
+    rows = []
+    for markup, labels in pages:
+        blocks = blocks_of(re.sub(r"\{(\d+)\}", lambda m: " ".join(["word"] * int(m[1])), markup))
+        if len(blocks) != len(labels):
+            raise ValueError(f"{len(blocks)} blocks, {len(labels)} labels: {markup}")
+        whole = any(article and not aside for _, _, _, aside, _, article in blocks)
+        around = [(0, 0.0), *((words, links / words) for _, words, links, *_ in blocks), (0, 0.0)]
+        for k, ((_, _, _, aside, named, article), label) in enumerate(zip(blocks, labels, strict=True), 1):
+            (before, links_before), (words, density), (after, links_after) = around[k - 1 : k + 2]
+            rows.append((int(aside), 2 if article else 0 if whole else 1, named, density, words, links_before, links_after, before, after, int(label)))
+    return rows
+
+
 def page_blocks(pages: DataFrame, html: str = "html", column: str = "blocks") -> DataFrame:
-    """Add ``column``: the page's blocks as an array of (text, words, links, aside, article). Null pages have none."""
-    names = ("text", "words", "links", "aside", "article")
-    fields = f"`{column}` array<struct<text: string, words: int, links: int, aside: boolean, article: boolean>>"
+    """Add ``column``: the page's blocks as an array of (text, words, links, aside, named, article). Null pages have none."""
+    names = ("text", "words", "links", "aside", "named", "article")
+    fields = f"`{column}` array<struct<text: string, words: int, links: int, aside: boolean, named: double, article: boolean>>"
     return add_columns(pages, html, fields, lambda: lambda values: [[[dict(zip(names, b, strict=True)) for b in blocks_of(x)] for x in values]])
 
 
-def extract_text(pages: DataFrame, html: str = "html", column: str = "text", labelled: list[tuple] | None = None) -> DataFrame:
+def extract_text(pages: DataFrame, html: str = "html", column: str = "text", labelled: list[tuple[str, str]] | None = None) -> DataFrame:
     """Add ``column``: the main text of each page, kept blocks joined by a line feed in page order.
 
-    Python only cuts a page into blocks; neighbours' features and the tree, trained here on the
-    labelled table, are Spark expressions over the array of blocks, so no shuffle is needed and pages
+    Python only cuts a page into blocks; neighbours' features and the tree, trained here on the blocks of the
+    labelled pages (``LABELLED_PAGES``), are Spark expressions over the array of blocks, so no shuffle is needed and pages
     stay whole. Null and empty pages give an empty text. All rows stay; a column of this name is replaced.
     """
-    tree = grow_tree(labelled or LABELLED)
-    kept = pages.drop(column) if column != html else pages
-    made = page_blocks(kept, html, "_blocks")
+    tree = grow_tree(labelled_blocks(labelled or LABELLED_PAGES))
+    blocks, whole = fresh(pages, "_blocks", "_whole")
+    kept = [F.col(f"`{c}`") for c in others(pages, (column,))]
+    made = page_blocks(pages, html, blocks)
     density = lambda b: F.when(b["words"] > 0, b["links"] / b["words"]).otherwise(F.lit(0.0))
-    none = F.struct(F.lit("").alias("text"), F.lit(0).alias("words"), F.lit(0).alias("links"), F.lit(False).alias("aside"), F.lit(False).alias("article"))
-    made = made.withColumn("_article", F.exists("_blocks", lambda b: b["article"] & ~b["aside"]))
+    none = F.struct(*[F.lit(v).alias(n) for n, v in (("text", ""), ("words", 0), ("links", 0), ("aside", False), ("named", 0.0), ("article", False))])
+    made = made.withColumn(whole, F.exists(blocks, lambda b: b["article"] & ~b["aside"]))
 
     def keep(block: Column, i: Column) -> Column:
-        before = F.coalesce(F.get("_blocks", i - 1), none)
-        after = F.coalesce(F.get("_blocks", i + 1), none)
+        before = F.coalesce(F.get(blocks, i - 1), none)
+        after = F.coalesce(F.get(blocks, i + 1), none)
         features = {
             "words": block["words"], "density": density(block), "prev_words": before["words"], "prev_density": density(before), "next_words": after["words"], "next_density": density(after),
-            "aside": block["aside"].cast("int"), "place": F.when(block["article"], 2).when(F.col("_article"), 0).otherwise(1),
+            "aside": block["aside"].cast("int"), "named": block["named"], "place": F.when(block["article"], 2).when(F.col(whole), 0).otherwise(1),
         }
         return tree_column(tree, features)
 
-    text = F.array_join(F.transform(F.filter("_blocks", keep), lambda b: b["text"]), "\n")
-    return made.select(*kept.columns, text.alias(column))
+    text = F.array_join(F.transform(F.filter(blocks, keep), lambda b: b["text"]), "\n")
+    return made.select(*kept, text.alias(column))
 
 
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,13 +2,14 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from nightloom.llm import audio, decontaminate, htmltext, langid, tokens, urls
+from nightloom.llm import audio, decontaminate, htmltext, langid, lm, neardups, substrings, tokens, urls
 
 
 def same_rows(df, out, new):
@@ -32,7 +33,7 @@ def edits(a, b):
 
 def test_benchmark_found_as_by_brute_force(spark, docs, empty):
     r = random.Random(4)
-    items = [(k, " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(2, 7))) for _ in range(25))) for k in range(12)] + [(50, None), (None, "x" * 60), (51, "too short"), (52, "")]
+    items = [(k, " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(2, 7))) for _ in range(25))) for k in range(12)] + [(50, None), (None, "x" * 60), (51, "The capital of Peru is: Lima!"), (52, ""), (53, "Lima"), (54, "ima"), (55, " . ")]
     rows = []
     for k in range(40):
         item = items[k % 12][1]
@@ -41,6 +42,7 @@ def test_benchmark_found_as_by_brute_force(spark, docs, empty):
         for _ in range(k % 5):
             text[r.randrange(len(text))] = r.choice("xyz")
         rows.append((k, "Some words before, " + "".join(text).upper() + " and after that"))
+    rows += [(300 + k, t) for k, t in enumerate(["the CAPITAL of peru is lima", "so: the capital of peru is (lima) now", "the capital of peru is limaa", "lima", "lima, lima", "xlima", "the capital of  Peru\nis lima", items[0][1][7:87]])]
     rows += [(100 + k, " ".join(r.choice(items[:12])[1].split()[:4]) + " other text") for k in range(10)] + [(200, None), (201, ""), (None, items[0][1])]
     table = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("matches", F.lit("old"))
     bench = spark.createDataFrame(items, "item_id bigint, text string")
@@ -49,11 +51,15 @@ def test_benchmark_found_as_by_brute_force(spark, docs, empty):
     for (doc, text), got in found.items():
         want = set()
         for item, raw in items:
-            if item is None or not raw or len(norm(raw)) < 40:
+            if item is None or not norm(raw):
                 continue
-            if any(edits(norm(raw)[a:b], norm(text)) <= int(0.06 * (b - a)) for a, b in decontaminate.windows_of(len(norm(raw)), 80)):
+            if len(norm(raw)) < 40:
+                if f" {norm(raw)} " in f" {norm(text)} ":
+                    want.add(item)
+            elif any(edits(norm(raw)[a:b], norm(text)) <= int(0.06 * (b - a)) for a, b in decontaminate.windows_of(len(norm(raw)), 60, 20)):
                 want.add(item)
         assert got == want, doc
+    assert found[300, "the CAPITAL of peru is lima"] == {51, 53} and 0 in found[307, items[0][1][7:87]]
     same_rows(docs, decontaminate.find_benchmark(docs, bench), ["matches"])
     assert decontaminate.find_benchmark(empty, bench).count() == 0
     assert decontaminate.find_benchmark(docs, bench.limit(0)).filter("size(matches) > 0").count() == 0
@@ -61,9 +67,33 @@ def test_benchmark_found_as_by_brute_force(spark, docs, empty):
 
 def test_several_blocks(spark, docs, monkeypatch):
     bench = spark.createDataFrame([(k, x.text[:200]) for k, x in enumerate(docs.filter("length(text) > 300 and doc_id < 20").collect())], "item_id bigint, text string")
-    whole = {(x.doc_id, x.n_chars): len(x.matches) for x in decontaminate.find_benchmark(docs, bench).collect()}
-    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 500)
-    assert {(x.doc_id, x.n_chars): len(x.matches) for x in decontaminate.find_benchmark(docs, bench).collect()} == whole and max(whole.values()) > 0
+    bench = bench.union(spark.createDataFrame([(900, "日本語 テキスト"), (901, "x" * 3000)], bench.schema))
+    answer = lambda: sorted(repr(x) for x in decontaminate.find_benchmark(docs, bench).collect())
+    whole = answer()
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 1500)  # less than the longest item
+    assert answer() == whole and sum("item=901" in x for x in whole) == 1
+
+
+def test_no_name_clashes(spark):
+    """Columns of any name, those used at work included, pass through as they were."""
+    names = ["_d", "_id", "_digest", "_best", "_blocks", "_article", "_read", "_text", "_found", "_url", "_words", "_gone", "_kept", "_first", "_class", "_Short", "t", "i", "bucket"]
+    rows = [(k, "word " * (k + 1), "http://a.net/x", f"<p>one two three {k}</p>", *[f"{n}{k}" for n in names]) for k in range(4)] + [(9, None, None, None, *[None] * len(names))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, url string, html string, " + ", ".join(f"`{n}` string" for n in names))
+    bench = spark.createDataFrame([(1, "word word word word")], "item_id bigint, text string")
+    outs = [
+        decontaminate.find_benchmark(df, bench), langid.identify_language(df, langid.train_prototypes(df.withColumn("lang", F.lit("x")))), urls.judge_urls(df, urls.url_rules(spark, urls.CONTRACT_RULES)), htmltext.extract_text(df, column="main"),
+        substrings.remove_repeats(df), neardups.keep_one_of_each(df), lm.score_documents(df, F.lit(True)), audio.store_as_audio(df), tokens_or_none(df),
+    ]
+    for out in filter(None, outs):
+        assert sorted(repr(x) for x in out.select("doc_id", *names).collect()) == sorted(repr(x) for x in df.select("doc_id", *names).collect())
+
+
+def tokens_or_none(df):
+    try:
+        import public_tokenizers
+    except ImportError:
+        return None
+    return tokens.count_tokens(df, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 # 2
@@ -83,9 +113,21 @@ def test_language(spark, docs, empty):
     assert {x.lang_pred for x in langid.identify_language(docs, langid.train_prototypes(empty)).collect()} == {"und"}
 
 
-def test_vectors_do_not_hang_on_what_came_before():
+def test_many_languages(spark, docs, monkeypatch):
+    """More labels than a task holds: the best of all blocks."""
+    prototypes = langid.train_prototypes(docs.withColumn("lang", F.concat("lang", (F.col("doc_id") % 7).cast("string"))))
+    key = lambda out: {(x.doc_id, x.text): (x.lang_pred, x.score) for x in out.collect()}
+    whole = key(langid.identify_language(docs, prototypes))
+    monkeypatch.setattr(langid, "BLOCK_LABELS", 3)
+    for k, (lang, score) in key(langid.identify_language(docs, prototypes)).items():
+        assert score == pytest.approx(whole[k][1], abs=2e-6) and (lang == whole[k][0] or score < 0.02)
+    assert len({lang for lang, _ in whole.values()}) > 5
+
+
+def test_vectors_do_not_hang_on_what_came_before(monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LETTERS", 20)
     a, b = langid.Encoder(256, 3, cached=50), langid.Encoder(256, 3)
-    for t in ("zz yy xx", "日本語", "Ärger", "q" * 300, "abc def " * 40):
+    for t in ("zz yy xx", "日本語", "Ärger", "q" * 300, "abc def " * 40, "".join(map(chr, range(0x4E00, 0x4E40)))):
         a.vector(t)
     for t in ("the cat sat", "日本 語 abc", "a"):
         assert np.allclose(a.vector(t), b.vector(t), atol=1e-6)
@@ -110,6 +152,15 @@ def judged(url, rules):
     return host, path, best and best[3], best[4] if best else "allow"
 
 
+def test_long_hosts(spark):
+    """A host of very many labels costs what its length is."""
+    long = "a." * 20_000
+    df = spark.createDataFrame([(1, f"http://{long}net/x"), (2, f"http://{long}example.net/en/"), (3, f"http://{long}org/")], "page_id int, url string")
+    began = time.time()
+    assert {x.page_id: (x.rule, x.verdict) for x in urls.judge_urls(df, urls.url_rules(spark, urls.CONTRACT_RULES)).collect()} == {1: ("net/", "block"), 2: ("example.net/en/", "allow"), 3: (None, "allow")}
+    assert time.time() - began < 20
+
+
 @pytest.mark.parametrize("rules, limit", [(urls.CONTRACT_RULES, 1 << 20), (urls.CONTRACT_RULES + [("allow", "net", "/de/"), ("block", "a.example.org", ""), ("allow", "a.example.org", "")], 0), ([], 10)])
 def test_urls(spark, rules, limit):
     df = spark.createDataFrame([(k, u, "old") for k, u in enumerate(URLS)], "page_id int, url string, verdict string")
@@ -127,6 +178,7 @@ PAGES = [
     ("<article><p>a<p>b<ul><li>c</li></ul><div class=\"newsletter signup\">Sign up</div></article>", "a\nb\nc"),
     ("<article><p title=\"1 > 0\">x &lt;p&gt; &#233;&nbsp;y</p></article>", "x <p> é y"),
     ("<div class=ad>unclosed advert<article><p>kept</p></article>", "kept"),
+    ("<article><p title='unclosed>kept</p><p class=\"x\">too</p></article>", "kept\ntoo"), ("<article><!--><p>kept</p><!-- gone --!><p>too</p><!-- rest", "kept\ntoo"), ("<article><p>1 < 2 <3 kept", "1 < 2 <3 kept"),
     (None, ""), ("", ""), ("<nav>a</nav>", ""), ("<article></article>", ""),
 ]
 
@@ -142,12 +194,46 @@ def test_pages(spark):
 
 
 def test_tree_keeps_its_table():
-    tree = htmltext.grow_tree(htmltext.LABELLED)
-    for row in htmltext.LABELLED:
+    rows = htmltext.labelled_blocks()
+    tree = htmltext.grow_tree(rows)
+    used = set()
+    for row in rows:
         t = tree
         while isinstance(t, tuple):
+            used.add(htmltext.FEATURES[t[0]])
             t = t[2] if row[t[0]] <= t[1] else t[3]
         assert (t >= 0.5) == bool(row[-1])
+    assert used & {"prev_words", "next_words"} and used & {"prev_density", "next_density"}  # neighbours decide
+
+
+def words(r, n):
+    return " ".join("".join(r.choice("abcdefghij") for _ in range(r.randint(1, 9))) for _ in range(n))
+
+
+def test_articles_are_kept_whole(spark):
+    """Articles of any paragraph lengths, some with names that sound like an aside, against what they were made of."""
+    r = random.Random(7)
+    rows, want = [], {}
+    for k in range(150):
+        parts = [words(r, r.choice([1, 2, 5, 30, 90, 400])) for _ in range(r.randint(1, 9))]
+        name = r.choice(["", " class='share-price'", " id=related-work", " class='post navigation-history'"])
+        body = "".join(f"<{t}>{p}</{t}>" for p, t in zip(parts, ["h1", *["p"] * 9], strict=False))
+        noise = lambda: r.choice(["", f"<nav><ul><li><a href=x>{words(r, 1)}</a><li><a href=y>{words(r, 3)}</a></ul></nav>", f"<div class='ad'>{words(r, 25)}</div>", f"<footer>{words(r, 12)}</footer>", f"<div class='cookie-notice'><p>{words(r, 60)}</p></div>"])
+        rows.append((k, f"<html><head><title>{words(r, 4)}</title></head><body>{noise()}{noise()}<article{name}>{body}</article>{noise()}</body></html>"))
+        want[k] = "\n".join(parts)
+    rows.append((900, "<article class='share-price'>" + words(r, 60) + "</article>"))
+    inner = words(r, 60)
+    rows.append((901, f"<article><p>{words(r, 50)}</p><div class='related-work'><p>{inner}</p></div><p>{words(r, 40)}</p></article>"))
+    got = {x.page_id: x.text for x in htmltext.extract_text(spark.createDataFrame(rows, "page_id int, html string")).collect()}
+    assert {k: got[k] for k in want} == want
+    assert len(got[900].split()) == 60 and inner in got[901]
+
+
+@pytest.mark.parametrize("piece", ['<a "', '<a "x" ', "<svg>", "<div>", "</section><div>", "<!-- ", "<!-- -->", "<p title='a", "&amp;<", "<head>", "<a> \" '", "<![CDATA[", "<script>", "</svg "])
+def test_hostile_pages_take_linear_time(piece):
+    began = time.time()
+    htmltext.blocks_of(piece * (1_000_000 // len(piece)))
+    assert time.time() - began < 4
 
 
 # 9
