@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..constants import BASE62, JUPITER_AU
+from ..operators.numbering import numbered
 
 
 def classify_orbit(q: Column, e: Column, i: Column, moid_1: Column | None = None, moid_2: Column | None = None) -> Column:
@@ -60,17 +60,12 @@ def from_base62(text: Column) -> Column:
 def assign_names(df: DataFrame, template: str, order: list[str], first: int = 0, column: str = "name") -> DataFrame:
     """Name rows by their place in ``order``: the template's zeros are replaced with the number in base 62.
 
-    Places come from per-range counts: rows are range-partitioned, each range numbered on its own, and the
-    ranges' offsets added, so no task sees all rows.
+    Places come from per-range counts (:func:`nightloom.operators.numbering.numbered`), so no task sees all rows.
     """
     prefix = template.rstrip("0")
     width = len(template) - len(prefix)
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_range", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id())
-    placed = ranged.withColumn("_place", F.row_number().over(W.partitionBy("_range").orderBy("_id")))
-    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    numbered = placed.join(F.broadcast(sizes.select("_range", "_before")), "_range")
-    number = F.lit(first - 1) + F.col("_before") + F.col("_place")
-    return numbered.withColumn(column, F.concat(F.lit(prefix), to_base62(number, width))).select(*df.columns, column)
+    number = F.lit(first - 1) + F.col("_number")
+    return numbered(df, order, "_number").withColumn(column, F.concat(F.lit(prefix), to_base62(number, width))).select(*df.columns, column)
 
 
 def object_family(name: Column) -> Column:

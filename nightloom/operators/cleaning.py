@@ -34,11 +34,12 @@ def density_filter(df: DataFrame, density: float, radius: float, relative: bool
     area = math.pi * radius * radius
     best = int(density * area) + 1
     pairs = neighbour_pairs(df, radius, key, within, (bright,))
-    around = pairs.groupBy(key).agg((F.count("*") + 1).alias("n"), F.min(bright).alias("own"), F.array_sort(F.collect_list(f"o_{bright}")).alias("others"))
+    # the (best + 1)-th brightest is fainter than a point if at most ``best`` of the disc, itself included, are not
+    ahead = F.count(F.when(F.col(f"o_{bright}") <= F.col(bright), 1))
+    around = pairs.groupBy(key).agg((F.count("*") + 1).alias("n"), (F.count(f"o_{bright}") + 1).alias("known"), (ahead + 1).alias("ahead"), F.min(bright).alias("own"))
     bad = F.col("n") / area > density
     if relative:
-        every = F.array_sort(F.concat("others", F.array("own")))
-        bad = bad & ~F.coalesce((F.col("n") > best) & (F.get(every, F.lit(best)) > F.col("own")), F.lit(False))
+        bad = bad & ~(F.col("own").isNotNull() & (F.col("known") > best) & (F.col("ahead") <= best))
     return df.join(around.filter(bad).select(key), key, "left_anti")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.sky import angle_diff, separation
 from .graph import connected_components
-from .skyjoin import sky_join
+from .numbering import numbered
+from .skyjoin import sized_sky_join, sky_join
 
 
 def link_tracklets(tracklets: DataFrame, max_ra_accel: float, max_dec_accel: float, pred_thresh: float, fit_thresh: float, min_support: int = 3, max_days: float = 20.0, max_speed: float = 1.0) -> DataFrame:
@@ -23,21 +26,29 @@ def link_tracklets(tracklets: DataFrame, max_ra_accel: float, max_dec_accel: flo
     t = tracklets.withColumn("night", F.floor("t"))
     a = t.select(*[F.col(c).alias(f"a_{c}") for c in ("tracklet_id", "t", "ra", "dec", "va", "vd", "night")])
     b = t.select(*[F.col(c).alias(f"b_{c}") for c in ("tracklet_id", "t", "ra", "dec", "va", "vd", "night")])
-    near = sky_join(b, a, max_speed * max_days, ("b_ra", "b_dec"), ("a_ra", "a_dec"))
+    # each tracklet meets those of a later night where its own motion puts it, give or take what the bounds on acceleration and misses leave
+    nights = t.groupBy("night").agg(F.avg("t").alias("night_t"), F.min("t").alias("first"), F.max("t").alias("last"))  # a row a night
+    fastest = t.agg(F.max(F.hypot("va", "vd"))).first()[0] or 0.0
+    spread = nights.agg(F.max(F.greatest(F.col("last") - F.col("night_t"), F.col("night_t") - F.col("first")))).first()[0] or 0.0
+    gaps = F.explode(F.sequence(F.lit(1), F.lit(int(max_days) + 1))).alias("gap")
+    later = a.select("*", gaps).withColumn("b_night", F.col("a_night") + F.col("gap")).join(nights.select(F.col("night").alias("b_night"), "night_t"), "b_night")
+    ahead = F.col("night_t") - F.col("a_t")
+    later = later.withColumn("x_ra", F.pmod(F.col("a_ra") + F.col("a_va") * ahead, F.lit(360.0))).withColumn("x_dec", F.col("a_dec") + F.col("a_vd") * ahead).drop("night_t")
+    reach = (F.pow(F.col("gap") + 1, 2) / 2 * math.hypot(max_ra_accel, max_dec_accel)) + 4 * math.sqrt(2) * pred_thresh + fastest * spread
+    near = sized_sky_join(b.select("*", gaps), later, reach, ("b_ra", "b_dec"), ("x_ra", "x_dec"), ("b_night", "gap"))
     dt = F.col("b_t") - F.col("a_t")
-    near = near.filter((F.col("b_night") > F.col("a_night")) & (dt <= max_days))
+    near = near.filter((dt <= max_days) & (separation(F.col("a_ra"), F.col("a_dec"), F.col("b_ra"), F.col("b_dec")) <= max_speed * max_days))
     ra_acc, dec_acc = F.try_divide(F.col("b_va") - F.col("a_va"), dt), F.try_divide(F.col("b_vd") - F.col("a_vd"), dt)
     miss_ra = angle_diff(F.col("b_ra"), F.col("a_ra")) - (F.col("a_va") + F.col("b_va")) / 2 * dt
     miss_dec = F.col("b_dec") - F.col("a_dec") - (F.col("a_vd") + F.col("b_vd")) / 2 * dt
     pair = near.filter((F.abs(ra_acc) <= max_ra_accel) & (F.abs(dec_acc) <= max_dec_accel) & (F.abs(miss_ra) <= pred_thresh * 4) & (F.abs(miss_dec) <= pred_thresh * 4)).select(
         F.xxhash64("a_tracklet_id", "b_tracklet_id").alias("pair"), "a_t", "a_ra", "a_dec", "a_va", "a_vd", "b_t", ra_acc.alias("ra_acc"), dec_acc.alias("dec_acc"), F.col("a_tracklet_id").alias("ta"), F.col("b_tracklet_id").alias("tb")
     )
-    nights = tracklets.select(F.floor("t").alias("night"), "t").groupBy("night").agg(F.avg("t").alias("night_t"))
-    span = pair.withColumn("night", F.explode(F.sequence(F.floor("a_t"), F.floor("b_t")))).join(nights, "night")
+    span = pair.withColumn("night", F.explode(F.sequence(F.floor("a_t"), F.floor("b_t")))).join(nights.select("night", "night_t"), "night")
     at = lambda p, v, acc, x: F.col(p) + F.col(v) * x + F.col(acc) * x * x / 2
     x = F.col("night_t") - F.col("a_t")
     guess = span.withColumn("p_ra", F.pmod(at("a_ra", "a_va", "ra_acc", x), F.lit(360.0))).withColumn("p_dec", at("a_dec", "a_vd", "dec_acc", x))
-    slack = pred_thresh + max_speed * 0.5
+    slack = pred_thresh + (fastest + math.hypot(max_ra_accel, max_dec_accel) * max_days) * spread
     support = sky_join(t.select(F.col("tracklet_id").alias("ts"), "t", "ra", "dec", "night"), guess, slack, ("ra", "dec"), ("p_ra", "p_dec"), ("night",))
     y = F.col("t") - F.col("a_t")
     exact = separation(F.col("ra"), F.col("dec"), F.pmod(at("a_ra", "a_va", "ra_acc", y), F.lit(360.0)), at("a_dec", "a_vd", "dec_acc", y))
@@ -64,8 +75,11 @@ def link_tracklets(tracklets: DataFrame, max_ra_accel: float, max_dec_accel: flo
 
 
 def rank_tracks(tracks: DataFrame, key: str, size: str = "n", residual: str = "residual", within: list[str] | None = None) -> DataFrame:
-    """Trust order: most detections first, then the lowest residual, then the key."""
-    return tracks.withColumn("trust", F.row_number().over(W.partitionBy(*(within or [])).orderBy(F.col(size).desc(), residual, key)))
+    """Trust order: most detections first, then the lowest residual, then the key; over all tracks it is numbered by ranges."""
+    order = [F.col(size).desc(), F.col(residual), F.col(key)]
+    if within:
+        return tracks.withColumn("trust", F.row_number().over(W.partitionBy(*within).orderBy(*order)))
+    return numbered(tracks, order, "trust")
 
 
 def best_candidate(candidates: DataFrame, key: str, tie: str, residual: str = "residual", cutoff: float | None = None) -> DataFrame:
@@ -107,11 +121,17 @@ def merge_overlaps(tracks: DataFrame, members: DataFrame, least: float, key: str
     """(key, merged_into): tracks whose overlap 2 n(A and B) / (n(A) + n(B)) reaches ``least`` merge into the most trusted of their group.
 
     ``tracks`` has the trust order in ``trust``. Members at the same time in both refuse the merge (``epoch_mjd`` of members).
+    With such an overlap both share at least least / (2 - least) of either, so in one order of all members, the rarest first, some member among the first
+    n - that + 1 of both is common. Only those are joined: members that many tracks share come last.
     """
     a = members.select(F.col(key).alias("a"), F.col(member).alias("m"), F.col("epoch_mjd").alias("t"))
-    b = a.select(F.col("a").alias("b"), "m")
     size = members.groupBy(key).agg(F.count("*").alias("n"))
-    shared = a.join(b, "m").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("both"))
+    users = a.groupBy("m").agg(F.count("*").alias("users"))
+    in_order = W.partitionBy("a").orderBy("users", "m")
+    placed = a.join(users, "m").withColumn("k", F.row_number().over(in_order)).withColumn("n", F.count("*").over(W.partitionBy("a")))
+    first = placed.filter(F.col("k") <= F.col("n") - F.ceil(F.col("n") * (least / (2 - least)) - 1e-9) + 1).select("a", "m")
+    pairs = first.join(first.select(F.col("a").alias("b"), "m"), "m").filter("a < b").select("a", "b").distinct()
+    shared = pairs.join(a.select("a", "m"), "a").join(a.select(F.col("a").alias("b"), "m"), ["b", "m"]).groupBy("a", "b").agg(F.count("*").alias("both"))
     over = shared.join(size.select(F.col(key).alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col(key).alias("b"), F.col("n").alias("nb")), "b").filter(2 * F.col("both") / (F.col("na") + F.col("nb")) >= least)
     other = a.select(F.col("a").alias("b"), F.col("m").alias("m2"), "t")
     clash = over.join(a, "a").join(other, ["b", "t"]).filter("m <> m2").select("a", "b").distinct()

@@ -34,12 +34,20 @@ def segments(tracks: DataFrame, key: str) -> DataFrame:
 def field_proximity(fields: DataFrame, tracks: DataFrame, pad: float = 0.0, key: str = "object_id", radius: Column | None = None, bucket_days: float = 1.0) -> DataFrame:
     """(field_id, key, distance): tracks interpolated to a field's epoch within its radius and the padding.
 
-    Segments meet fields on buckets of time, each segment in all buckets that it touches, so the join is an equi-join.
+    Segments are cut into pieces of at most a bucket of time and about the search radius of motion. Pieces and fields meet on the bucket
+    and the sky cell, cells being as wide as the radius, the padding and half a piece's motion, so a field sees only what is near it then.
     """
-    s = segments(tracks, key)
-    s = s.withColumn("_b", F.explode(F.sequence(F.floor(F.col("t0") / bucket_days), F.floor(F.col("t1") / bucket_days))))
     f = fields.select("field_id", "epoch_mjd", F.col("ra_deg").alias("f_ra"), F.col("dec_deg").alias("f_dec"), (radius if radius is not None else F.col("fov_deg") / 2).alias("f_radius")).withColumn("_b", F.floor(F.col("epoch_mjd") / bucket_days))
-    j = f.join(s, "_b").filter((F.col("epoch_mjd") >= F.col("t0")) & ((F.col("epoch_mjd") < F.col("t1")) | (F.col("epoch_mjd") == F.col("t1"))))
+    reach = max(float(f.agg(F.max("f_radius")).first()[0] or 0.0) + pad, 1e-3)
+    motion = F.abs(angle_diff(F.col("ra1"), F.col("ra0"))) + F.abs(F.col("dec1") - F.col("dec0"))
+    n = F.greatest(F.lit(1), F.ceil((F.col("t1") - F.col("t0")) / bucket_days), F.ceil(motion / reach)).cast("int")
+    s = segments(tracks, key).withColumn("_n", n).withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    cut = lambda k: F.col("t0") + (F.col("t1") - F.col("t0")) * k / F.col("_n")
+    s = s.withColumn("_from", cut(F.col("_k"))).withColumn("_to", F.when(F.col("_k") == F.col("_n") - 1, F.col("t1")).otherwise(cut(F.col("_k") + 1)))
+    half = (F.col("_k") + 0.5) / F.col("_n")
+    s = s.withColumn("m_ra", F.pmod(F.col("ra0") + half * angle_diff(F.col("ra1"), F.col("ra0")), F.lit(360.0))).withColumn("m_dec", F.col("dec0") + half * (F.col("dec1") - F.col("dec0")))
+    s = s.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_from") / bucket_days), F.floor(F.col("_to") / bucket_days)))).drop("_n", "_k")
+    j = sky_join(s, f, reach * 1.5, ("m_ra", "m_dec"), ("f_ra", "f_dec"), ("_b",)).filter((F.col("epoch_mjd") >= F.col("_from")) & (F.col("epoch_mjd") <= F.col("_to")))
     part = F.when(F.col("t1") > F.col("t0"), (F.col("epoch_mjd") - F.col("t0")) / (F.col("t1") - F.col("t0"))).otherwise(0.0)
     ra = F.pmod(F.col("ra0") + part * angle_diff(F.col("ra1"), F.col("ra0")), F.lit(360.0))
     dec = F.col("dec0") + part * (F.col("dec1") - F.col("dec0"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.photometry import predict_s2n
 from ..functions.sky import in_field, in_square_field
+from .numbering import numbered
 
 
 def _only(df: DataFrame, column: str, values) -> DataFrame:
@@ -201,19 +202,12 @@ def consecutive_separations(dets: DataFrame, key: str) -> DataFrame:
 
 def sample_every(df: DataFrame, n: int, offset: int, order: str) -> DataFrame:
     """Every n-th row in an order that is unique, from ``offset`` on, numbered by ranges (no task sees all rows)."""
-    return _numbered(df, order).filter(F.pmod(F.col("_k") - 1 - offset, F.lit(n)) == 0).drop("_k")
+    return numbered(df, [order], "_k").filter(F.pmod(F.col("_k") - 1 - offset, F.lit(n)) == 0).drop("_k")
 
 
 def interleave(df: DataFrame, n: int, order: str) -> DataFrame:
     """Rows with ``part``: 0 to n - 1 in turn."""
-    return _numbered(df, order).withColumn("part", F.pmod(F.col("_k") - 1, F.lit(n)).cast("int")).drop("_k")
-
-
-def _numbered(df: DataFrame, order: str) -> DataFrame:
-    ranged = df.repartitionByRange(order).sortWithinPartitions(order).withColumn("_range", F.spark_partition_id())
-    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    placed = ranged.withColumn("_place", F.row_number().over(W.partitionBy("_range").orderBy(order)))
-    return placed.join(F.broadcast(sizes.select("_range", "_before")), "_range").withColumn("_k", F.col("_before") + F.col("_place")).drop("_range", "_before", "_place")
+    return numbered(df, [order], "_k").withColumn("part", F.pmod(F.col("_k") - 1, F.lit(n)).cast("int")).drop("_k")
 
 
 def designation_counts(observations: DataFrame) -> DataFrame:

@@ -15,20 +15,22 @@ def cell_size(radius_deg: float) -> float:
     return max(2 * math.sin(math.radians(min(radius_deg, 180.0)) / 2) * (1 + 1e-9), 1e-9)
 
 
-def cells(ra: Column, dec: Column, size: float) -> list[Column]:
+def cells(ra: Column, dec: Column, size: float | Column) -> list[Column]:
     x, y, z = F.cos(F.radians(dec)) * F.cos(F.radians(ra)), F.cos(F.radians(dec)) * F.sin(F.radians(ra)), F.sin(F.radians(dec))
     return [F.floor(v / size).cast("bigint") for v in (x, y, z)]
 
 
-def with_cell(df: DataFrame, ra: str, dec: str, size: float) -> DataFrame:
+def with_cell(df: DataFrame, ra: str, dec: str, size: float | Column) -> DataFrame:
     return df.withColumns(dict(zip(("_cx", "_cy", "_cz"), cells(F.col(ra), F.col(dec), size), strict=True)))
 
 
-def with_neighbour_cells(df: DataFrame, ra: str, dec: str, size: float) -> DataFrame:
-    """One row per cell around a position: 27 of them."""
-    three = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    near = F.flatten(F.transform(three, lambda a: F.flatten(F.transform(three, lambda b: F.transform(three, lambda c: F.struct(a.alias("a"), b.alias("b"), c.alias("c")))))))
+def with_neighbour_cells(df: DataFrame, ra: str, dec: str, size: float | Column, half: bool = False) -> DataFrame:
+    """One row per cell around a position: 27 of them, or with ``half`` its own and the 13 after it, ``_own`` telling which."""
+    steps = [(a, b, c) for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1) if not half or (a, b, c) >= (0, 0, 0)]
+    near = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c")) for a, b, c in steps])
     made = with_cell(df, ra, dec, size).withColumn("_near", F.explode(near))
+    if half:
+        made = made.withColumn("_own", (F.col("_near.a") == 0) & (F.col("_near.b") == 0) & (F.col("_near.c") == 0))
     return made.withColumns({"_cx": F.col("_cx") + F.col("_near.a"), "_cy": F.col("_cy") + F.col("_near.b"), "_cz": F.col("_cz") + F.col("_near.c")}).drop("_near")
 
 
@@ -46,7 +48,21 @@ def sky_join(left: DataFrame, right: DataFrame, radius_deg: float, left_pos: tup
 
 
 def neighbour_pairs(df: DataFrame, radius_deg: float, key: str, within: tuple[str, ...], columns: tuple[str, ...] = (), ra: str = "ra_deg", dec: str = "dec_deg") -> DataFrame:
-    """Ordered pairs of different rows within a radius and equal in ``within``; the other row's columns are prefixed with ``o_``."""
-    names = [key, ra, dec, *columns]
+    """Ordered pairs of different rows within a radius and equal in ``within``; the other row's columns are prefixed with ``o_``.
+
+    Each pair is found once, from the earlier of its cells, so rows are repeated 14 times instead of 27, and then given both ways.
+    """
+    names, size = [key, ra, dec, *columns], cell_size(radius_deg)
     other = df.select(*within, *[F.col(c).alias(f"o_{c}") for c in names])
-    return sky_join(df.select(*within, *names), other, radius_deg, (ra, dec), (f"o_{ra}", f"o_{dec}"), within).filter(F.col(key) != F.col(f"o_{key}"))
+    joined = with_cell(df.select(*within, *names), ra, dec, size).join(with_neighbour_cells(other, f"o_{ra}", f"o_{dec}", size, half=True), [*within, "_cx", "_cy", "_cz"])
+    once = joined.filter((F.col(key) < F.col(f"o_{key}")) | (~F.col("_own") & (F.col(key) != F.col(f"o_{key}"))))
+    once = once.withColumn("distance", separation(F.col(ra), F.col(dec), F.col(f"o_{ra}"), F.col(f"o_{dec}"))).filter(F.col("distance") <= radius_deg)
+    one = lambda a, b: F.struct(*[F.col(f"{a}{c}").alias(c) for c in names], *[F.col(f"{b}{c}").alias(f"o_{c}") for c in names])
+    return once.select(*within, "distance", F.explode(F.array(one("", "o_"), one("o_", ""))).alias("_p")).select(*within, "_p.*", "distance")
+
+
+def sized_sky_join(left: DataFrame, right: DataFrame, radius: Column, left_pos: tuple[str, str], right_pos: tuple[str, str], on: tuple[str, ...]) -> DataFrame:
+    """:func:`sky_join` with a radius that is an expression of the ``on`` columns, so that cells are as large as each key needs."""
+    size = F.greatest(2 * F.sin(F.radians(F.least(radius, F.lit(180.0))) / 2) * (1 + 1e-9), F.lit(1e-9))
+    joined = with_cell(left, *left_pos, size).join(with_neighbour_cells(right, *right_pos, size), [*on, "_cx", "_cy", "_cz"])
+    return joined.withColumn("distance", separation(F.col(left_pos[0]), F.col(left_pos[1]), F.col(right_pos[0]), F.col(right_pos[1]))).filter(F.col("distance") <= radius).drop("_cx", "_cy", "_cz")

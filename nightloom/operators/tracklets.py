@@ -83,12 +83,16 @@ def grow_tracklets(dets: DataFrame, min_speed: float, max_speed: float, thresh:
 def drop_subsets(groups: DataFrame, key: str, members: str) -> DataFrame:
     """Drop groups whose members all lie in a larger group, or in an equal one with a smaller key.
 
-    Members shared by two groups are counted by an equi-join on members.
+    Whatever holds a group holds its rarest member, so only that one is joined to the groups that have it; a member that
+    many groups share is no one's rarest but where groups have no other.
     """
-    g = groups.select(F.col(key).alias("k"), F.size(members).alias("s"), F.explode(members).alias("m"))
-    o = g.select(F.col("k").alias("ok"), F.col("s").alias("os"), "m")
-    shared = g.join(o, "m").filter((F.col("k") != F.col("ok")) & ((F.col("os") > F.col("s")) | ((F.col("os") == F.col("s")) & (F.col("ok") < F.col("k"))))).groupBy("k", "ok", "s").agg(F.count("*").alias("n"))
-    inside = shared.filter("n = s").select(F.col("k").alias(key)).distinct()
+    g = groups.select(F.col(key).alias("k"), F.col(members).alias("all"), F.explode(members).alias("m"))
+    users = g.groupBy("m").agg(F.count("*").alias("users"))
+    rare = g.join(users, "m").groupBy("k").agg(F.min(F.struct("users", "m")).alias("r"), F.first("all").alias("all"))
+    a = rare.select("k", "all", F.col("r.m").alias("m"))
+    b = g.select(F.col("k").alias("ok"), F.col("all").alias("o_all"), "m")
+    larger = (F.size("o_all") > F.size("all")) | ((F.size("o_all") == F.size("all")) & (F.col("ok") < F.col("k")))
+    inside = a.join(b, "m").filter((F.col("k") != F.col("ok")) & larger & (F.size(F.array_except("all", "o_all")) == 0)).select(F.col("k").alias(key)).distinct()
     return groups.join(inside, key, "left_anti")
 
 
@@ -194,8 +198,9 @@ def tracklet_probability(members: DataFrame, key: str = "tracklet_id") -> DataFr
     """The product of the three best real * (1 - star) of a tracklet's detections; 0 where two or more carry a B, R or V flag."""
     each = F.col("p_real") * (1 - F.col("p_star"))
     flagged = count_if(F.coalesce(F.col("flag").isin("B", "R", "V"), F.lit(False)))
-    m = members.groupBy(key).agg(F.slice(F.sort_array(F.collect_list(each), asc=False), 1, 3).alias("p"), flagged.alias("flagged"))
-    return m.select(key, F.when(F.col("flagged") >= 2, 0.0).otherwise(F.aggregate("p", F.lit(1.0), lambda a, x: a * x)).alias("probability"))
+    best = F.row_number().over(W.partitionBy(key).orderBy(F.col("_p").desc_nulls_last()))
+    m = members.withColumn("_p", each).withColumn("_best", best).groupBy(key).agg(F.product(F.when(F.col("_best") <= 3, F.col("_p"))).alias("p"), flagged.alias("flagged"))
+    return m.select(key, F.when(F.col("flagged") >= 2, 0.0).otherwise(F.coalesce("p", F.lit(1.0))).alias("probability"))
 
 
 def killable_tracklets(tracklets: DataFrame, attrib: DataFrame, members: DataFrame, queue: DataFrame, queue_status: str = "P") -> DataFrame:

@@ -11,11 +11,6 @@ from pyspark.sql import functions as F
 from ..functions.orbits import normalize_survey_mode
 
 
-def _distance(a: pd.Series, b: pd.Series) -> float:
-    r1, d1, r2, d2 = np.radians([a.ra_deg, a.dec_deg, b.ra_deg, b.dec_deg])
-    return float(np.degrees(2 * np.arcsin(np.sqrt(min(1.0, np.sin((d2 - d1) / 2) ** 2 + np.cos(d1) * np.cos(d2) * np.sin((r2 - r1) / 2) ** 2)))))
-
-
 TUPLE_FIELDS = "kind string, tuple_id bigint, place int"
 
 
@@ -24,39 +19,47 @@ def assemble_tuples(fields: DataFrame, min_fields: int, max_fields: int, min_min
 
     From each exposure the later ones of the same filter (unless ``any_filter``) and place join while the gap to the last one is between
     the limits (kind TTI), or shorter than them (DEEP). Groups of fewer than ``min_fields`` are orphans. ``tuple_id`` is the last
-    exposure. The order-dependent choice runs inside one night, a few hundred exposures.
+    exposure. The order-dependent choice runs inside one night (and filter), where only exposures in reach of the first are looked at.
     """
 
     def group(pdf: pd.DataFrame) -> pd.DataFrame:
-        rest = list(pdf.sort_values(["epoch_mjd", "field_id"]).itertuples(index=False))
+        pdf = pdf.sort_values(["epoch_mjd", "field_id"])
+        ids, minutes = pdf["field_id"].tolist(), (pdf["epoch_mjd"].to_numpy() * 1440).tolist()
+        ra, dec = np.radians(pdf["ra_deg"].to_numpy()), np.radians(pdf["dec_deg"].to_numpy())
+        xyz = np.stack([np.cos(dec) * np.cos(ra), np.cos(dec) * np.sin(ra), np.sin(dec)], axis=1)
+        chord = 2 * np.sin(np.radians(min(max_separation, 180.0)) / 2)
+        by_dec = np.argsort(dec, kind="stable")
+        sorted_dec = dec[by_dec]
+        free = np.ones(len(ids), bool)
         out = []
-        while rest:
-            first = rest.pop(0)
-            kind, chosen, k = "ORPHAN", [first], 0
-            while k < len(rest):
-                f = rest[k]
-                gap = (f.epoch_mjd - chosen[-1].epoch_mjd) * 1440
-                if (any_filter or f.filter_id == first.filter_id) and _distance(first, f) < max_separation:
-                    if min_minutes < gap < max_minutes:
-                        kind = "TTI"
-                        chosen.append(rest.pop(k))
-                        if len(chosen) == max_fields:
-                            break
-                        continue
-                    if gap < min_minutes and deep_stacks:
-                        kind = "DEEP"
-                        chosen.append(rest.pop(k))
-                        if len(chosen) == max_deep:
-                            break
-                        continue
-                k += 1
+        for first in range(len(ids)):
+            if not free[first]:
+                continue
+            free[first] = False
+            band = by_dec[np.searchsorted(sorted_dec, dec[first] - 1.001 * np.radians(max_separation)) : np.searchsorted(sorted_dec, dec[first] + 1.001 * np.radians(max_separation), "right")]
+            near = np.sort(band[free[band] & (band > first)])
+            near = near[np.sqrt(((xyz[near] - xyz[first]) ** 2).sum(axis=1)) < chord]
+            kind, chosen = "ORPHAN", [first]
+            for k in near.tolist():
+                gap = minutes[k] - minutes[chosen[-1]]
+                if min_minutes < gap < max_minutes:
+                    kind, most = "TTI", max_fields
+                elif gap < min_minutes and deep_stacks:
+                    kind, most = "DEEP", max_deep
+                else:
+                    continue
+                free[k] = False
+                chosen.append(k)
+                if len(chosen) == most:
+                    break
             if kind == "ORPHAN" or len(chosen) < min_fields:
-                out += [(f.field_id, "ORPHAN", None, 0) for f in chosen]
+                out += [(ids[f], "ORPHAN", None, 0) for f in chosen]
             else:
-                out += [(f.field_id, kind, chosen[-1].field_id, n) for n, f in enumerate(chosen)]
+                out += [(ids[f], kind, ids[chosen[-1]], n) for n, f in enumerate(chosen)]
         return pd.DataFrame(out, columns=["field_id", "kind", "tuple_id", "place"]).astype({"tuple_id": "Int64"})
 
-    return fields.select(by, "field_id", "epoch_mjd", "ra_deg", "dec_deg", "filter_id").groupBy(by).applyInPandas(group, f"field_id bigint, {TUPLE_FIELDS}")
+    keys = [by] if any_filter else list(dict.fromkeys([by, "filter_id"]))
+    return fields.select(*dict.fromkeys([by, "field_id", "epoch_mjd", "ra_deg", "dec_deg", "filter_id"])).groupBy(*keys).applyInPandas(group, f"field_id bigint, {TUPLE_FIELDS}")
 
 
 def assemble_stacks(fields: DataFrame, min_minutes: float, max_minutes: float, max_separation: float = 0.4, any_filter: bool = True) -> DataFrame:

@@ -11,6 +11,7 @@ from ..operators import rules as ru
 from ..operators import tracklets as t
 from ..operators import tuples as tu
 from ..operators.graph import shared_root
+from ..schemas import SCHEMAS, load_tables
 from ..sources import archive
 from ..sources import text as tx
 from ..streaming import streams as st
@@ -44,11 +45,11 @@ def _scored(v):
     return t.score_tracklets(j, C("elong"))
 
 
-R.add("a33_score_tracklets", lambda v: rounded(_scored(v), "chi2"), f"""
-WITH j AS (SELECT m.pk*100+m.n AS tracklet_id, m.mag+(det_id%7)/50e0 AS mag, s2n, s2n*s2n AS w, (det_id%180)*1e0 AS o, (m.pk%360)*1e0 AS pa, t.vel_tot, (m.pk%170)*1e0 AS el FROM movers m JOIN tracklets t ON t.tracklet_id=m.pk*100+m.n),
-a AS (SELECT *, 2*o-2*pa AS d FROM j), b AS (SELECT *, 180e0-((180e0-d)-360e0*floor((180e0-d)/360e0)) AS x FROM a)
-SELECT tracklet_id, min(s2n) AS least_s2n, count(*) AS n, max(abs(x))/2 AS misaligned, max(vel_tot) AS vel_tot, max(el) AS elongation, {r6("greatest(0e0, sum(w*mag*mag)-pow(sum(w*mag),2)/sum(w))/(count(*)-1)")} AS chi2 FROM b GROUP BY 1""")
-R.add("a33_quality_gate", lambda v: t.quality_gate(_scored(v), 10.0, 1.2, 60.0).select("tracklet_id"), None)
+_score = """WITH j AS (SELECT m.pk*100+m.n AS tracklet_id, m.mag+(det_id%7)/50e0 AS mag, s2n, s2n*s2n AS w, (det_id%180)*1e0 AS o, (m.pk%360)*1e0 AS pa, t.vel_tot, (m.pk%170)*1e0 AS el FROM movers m JOIN tracklets t ON t.tracklet_id=m.pk*100+m.n),
+a AS (SELECT *, 2*o-2*pa AS d FROM j), b AS (SELECT *, 180e0-((180e0-d)-360e0*floor((180e0-d)/360e0)) AS x FROM a)"""
+_chi2 = "greatest(0e0, sum(w*mag*mag)-pow(sum(w*mag),2)/sum(w))/(count(*)-1)"
+R.add("a33_score_tracklets", lambda v: rounded(_scored(v), "chi2"), f"{_score} SELECT tracklet_id, min(s2n) AS least_s2n, count(*) AS n, max(abs(x))/2 AS misaligned, max(vel_tot) AS vel_tot, max(el) AS elongation, {r6(_chi2)} AS chi2 FROM b GROUP BY 1")
+R.add("a33_quality_gate", lambda v: t.quality_gate(_scored(v), 10.0, 1.23457, 60.0).select("tracklet_id"), f"{_score} SELECT tracklet_id FROM b GROUP BY 1 HAVING min(s2n)>=10 AND (count(*)=1 OR {_chi2}<=123457e-5) AND max(abs(x))/2<=60")
 R.add("a34_tracklet_probability", lambda v: rounded(t.tracklet_probability(_members(v).select("tracklet_id", ((C("det_id") % 90 + 10) / 100).alias("p_real"), ((C("det_id") % 13) / 50).alias("p_star"), F.when(C("det_id") % 11 == 0, "B").when(C("det_id") % 5 == 0, "V").alias("flag"))), "probability"), f"""
 WITH d AS (SELECT pk*100+n AS tracklet_id, (det_id%90+10)/100e0*(1-(det_id%13)/50e0) AS p, CASE WHEN det_id%11=0 OR det_id%5=0 THEN 1 ELSE 0 END AS f FROM movers), k AS (SELECT *, row_number() OVER (PARTITION BY tracklet_id ORDER BY p DESC) AS k FROM d)
 SELECT tracklet_id, CASE WHEN sum(f)>=2 THEN 0e0 ELSE {r6("product(p) FILTER (k<=3)")} END AS probability FROM k GROUP BY 1""")
@@ -69,7 +70,7 @@ def _tracks(v):
     return a.unionByName(b)
 
 
-R.add("h2_merge_overlaps", lambda v: l.merge_overlaps(_tracks(v).groupBy("track_key").agg(F.count("*").alias("n")).withColumn("residual", F.lit(0.0)).transform(lambda d: l.rank_tracks(d, "track_key", within=["residual"])), _tracks(v), 0.8), "SELECT pk AS track_key, pk AS merged_into FROM (SELECT DISTINCT pk FROM movers) x UNION ALL SELECT pk+1000000, pk FROM (SELECT DISTINCT pk FROM movers WHERE pk%5=0) x")
+R.add("h2_merge_overlaps", lambda v: l.merge_overlaps(_tracks(v).groupBy("track_key").agg(F.count("*").alias("n")).withColumn("residual", F.lit(0.0)).transform(lambda d: l.rank_tracks(d, "track_key")), _tracks(v), 0.8), "SELECT pk AS track_key, pk AS merged_into FROM (SELECT DISTINCT pk FROM movers) x UNION ALL SELECT pk+1000000, pk FROM (SELECT DISTINCT pk FROM movers WHERE pk%5=0) x")
 R.add("h3_union_passes", lambda v: t.union_passes(v.tracklets.filter("vel_tot < 1.0").select(C("tracklet_id").alias("tracklet_key")), v.tracklets.filter("vel_tot > 0.6").select(C("tracklet_id").alias("tracklet_key"))).withColumn("pass", C("pass").cast("int")), "SELECT tracklet_id AS tracklet_key, CASE WHEN vel_tot<1 THEN 0 ELSE 1 END AS pass FROM tracklets")
 R.add("h4_stack_pass_options", lambda v: t.stack_pass_options(v.fields.groupBy("p", "n").agg(F.count("*").alias("n_fields"), F.min("dec_deg").alias("galactic_lat")), 0.6, 5.0, 0.3, 10.0).select("p", "n", "max_speed_slow", "max_speed_fast", "min_obs"), "SELECT p, n, CASE WHEN abs(min(dec_deg))<10 THEN 3e-1 WHEN count(*)<=2 THEN 3e-1 ELSE 6e-1 END AS max_speed_slow, CASE WHEN count(*)>2 THEN 5e0 ELSE 3e-1 END AS max_speed_fast, CASE WHEN count(*)>3 THEN count(*)-1 ELSE count(*) END AS min_obs FROM fields GROUP BY 1,2")
 
@@ -93,7 +94,7 @@ WITH o AS (SELECT derivedobject_id AS object_id, (derivedobject_id%17+1)*1e0 AS
 k AS (SELECT a.object_id, a.t, bool_and(a.fom > 15e-1*b.fom) AS ok FROM j a JOIN j b ON a.t=b.t AND a.object_id<>b.object_id GROUP BY 1,2)
 SELECT o.object_id, coalesce(bool_and(k.ok), true) AS accepted FROM o LEFT JOIN k ON k.object_id=o.object_id GROUP BY o.object_id""")
 R.add("w10_rank_tracks", lambda v: l.rank_tracks(v.tracklets.select("tracklet_id", "nn", C("n_dets").alias("n"), C("gcr_arcsec").alias("residual")), "tracklet_id", within=["nn"]).select("tracklet_id", "trust"), "SELECT tracklet_id, CAST(row_number() OVER (PARTITION BY nn ORDER BY n_dets DESC, gcr_arcsec, tracklet_id) AS INT) AS trust FROM tracklets")
-R.add("w11_first_use_only", lambda v: l.first_use_only(v.tracklets.filter("pk % 2 = 0").select("tracklet_id", C("tracklet_id").alias("rank")).unionByName(v.tracklets.filter("pk % 6 = 0").select((C("tracklet_id") + 1000000000).alias("tracklet_id"), C("tracklet_id").alias("rank"))), v.tracklet_attrib.unionByName(v.tracklet_attrib.filter("det_id % 2 = 0").select((C("tracklet_id") + 1000000000).alias("tracklet_id"), "det_id"))), "SELECT tracklet_id, true AS accepted FROM tracklets WHERE pk%2=0 UNION ALL SELECT tracklet_id+1000000000, NOT EXISTS (SELECT 1 FROM tracklet_attrib a WHERE a.tracklet_id=t.tracklet_id AND a.det_id%2=0) FROM tracklets t WHERE pk%6=0")
+R.add("w11_first_use_only", lambda v: l.first_use_only(v.tracklets.select("tracklet_id", C("tracklet_id").alias("rank")).unionByName(v.tracklets.filter("pk % 3 = 0").select((C("tracklet_id") + 1000000000).alias("tracklet_id"), C("tracklet_id").alias("rank"))), v.tracklet_attrib.unionByName(v.tracklet_attrib.filter("det_id % 2 = 0").select((C("tracklet_id") + 1000000000).alias("tracklet_id"), "det_id"))), "SELECT tracklet_id, true AS accepted FROM tracklets UNION ALL SELECT tracklet_id+1000000000, NOT EXISTS (SELECT 1 FROM tracklet_attrib a WHERE a.tracklet_id=t.tracklet_id AND a.det_id%2=0) FROM tracklets t WHERE pk%3=0")
 R.add("w12_magnitude_series", lambda v: rounded(t.magnitude_series(v.movers, "pk"), "mag_range").withColumn("k", C("k").cast("int")), f"SELECT pk, epoch_mjd, mag, CAST(row_number() OVER (PARTITION BY pk ORDER BY epoch_mjd, det_id) AS INT) AS k, {r6('max(mag) OVER (PARTITION BY pk)-min(mag) OVER (PARTITION BY pk)')} AS mag_range FROM movers")
 
 
@@ -132,7 +133,7 @@ R.add("h12_upsert_known", lambda v: m.upsert_known(v.ssm.filter("ssm_id % 3 = 0"
 R.add("h13_export_delta", lambda v: m.export_delta(v.movers.filter("n % 2 = 0").select(C("pk").alias("derivedobject_id"), "det_id"), v.movers.filter("n % 3 = 0").select(C("pk").alias("derivedobject_id"), "det_id")), "SELECT pk AS derivedobject_id, det_id, n%3=0 AS removed FROM movers WHERE (n%2=0) <> (n%3=0)")
 
 # Rules.
-_orb = "(SELECT *, CASE WHEN e<1 THEN q/(1-e) END AS a FROM (SELECT ssm_id, q*f AS q, CASE WHEN ssm_id%50=49 THEN 12e-1 ELSE e END AS e, i, moid_1 FROM ssm, (SELECT unnest([5e-1, 1e0, 4e0, 25e0]) AS f) z) y)"
+_orb = "(SELECT *, CASE WHEN e<1 THEN q/(1-e) END AS a FROM (SELECT ssm_id, q*f AS q, CASE WHEN ssm_id%50=49 THEN 12e-1 ELSE e END AS e, i, moid_1 FROM ssm, (SELECT unnest([1e-1, 5e-1, 1e0, 4e0, 25e0]) AS f) z) y)"
 _rules = {
     "centaurs": "a>52e-1 AND a<29 AND q>52e-1 AND q<29", "comets": "52e-1/a+2*sqrt((1-e*e)*a/52e-1)*cos(radians(i)) < 3", "distant_planets": "a>60", "encke_family": "a BETWEEN 2 AND 25e-1 AND e>8e-1 AND i>4", "hildas": "a BETWEEN 37e-1 AND 42e-1 AND e<=3e-1 AND i<=20",
     "hyperbolics": "e>1", "impactors": "moid_1<5e-3", "phaethon_family": "a BETWEEN 9e-1 AND 18e-1 AND e>7e-1 AND i>14", "sednas": "q>50", "thule_family": "a BETWEEN 425e-2 AND 435e-2",
@@ -140,7 +141,7 @@ _rules = {
 
 
 def _orbits(v):
-    return v.ssm.withColumn("f", F.explode(F.array(F.lit(0.5), F.lit(1.0), F.lit(4.0), F.lit(25.0)))).withColumns({"q": C("q") * C("f"), "e": F.when(C("ssm_id") % 50 == 49, 1.2).otherwise(C("e"))})
+    return v.ssm.withColumn("f", F.explode(F.array(F.lit(0.1), F.lit(0.5), F.lit(1.0), F.lit(4.0), F.lit(25.0)))).withColumns({"q": C("q") * C("f"), "e": F.when(C("ssm_id") % 50 == 49, 1.2).otherwise(C("e"))})
 
 
 R.add("u1_evaluate_rules", lambda v: ru.evaluate_rules(_orbits(v), ru.orbit_rules(), "ssm_id"), " UNION ALL ".join(f"SELECT ssm_id, '{k}' AS rule FROM {_orb} x WHERE {c}" for k, c in _rules.items()))
@@ -157,7 +158,7 @@ SELECT m.derivedobject_id, count(*) AS n, {r6(f"max({_v}+(det_id%9)/10e0)-min({_
 R.add("s2_s3_detection_lines", lambda v: tx.parse_detections(tx.format_detections(v.detections)).select("det_id", "epoch_mjd", "mag", "object_name"), f"SELECT det_id, {r6('epoch_mjd')} AS epoch_mjd, mag, coalesce(object_name, 'NS') AS object_name FROM detections")
 R.add("s4_orbit_lines", lambda v: tx.parse_orbits(v.ssm.select(F.concat_ws(" ", *[C(c).cast("string") for c in ("q", "e", "i", "node", "arg_peri", "time_peri", "h_v", "epoch", "object_name")]).alias("value"))), "SELECT q, e, i, node, arg_peri, time_peri, h_v, epoch, object_name AS name FROM ssm")
 R.add("s5_exchange_lines", lambda v: tx.parse_exchange(v.tracklet_attrib.select(F.concat_ws(" ", F.lit("TRACKLET"), "tracklet_id", "det_id").alias("value")).union(v.ssm.select(F.concat_ws(" ", F.lit("TRACK"), "ssm_id", "orbit_id").alias("value"))))["tracklets"], "SELECT tracklet_id AS owner_id, det_id AS member_id FROM tracklet_attrib")
-R.add("s6_obs80_lines", lambda v: tx.parse_obs80(tx.format_obs80(v.movers.select(F.concat(F.lit("T"), C("pk").cast("string")).alias("object_name"), "epoch_mjd", "ra_deg", "dec_deg", "mag", "filter_id", "obscode"))).select("object_name", F.round("mag", 2).alias("mag"), "filter_id", "obscode", F.round("dec_deg", 3).alias("dec_deg")), None)
+R.add("s6_obs80_lines", lambda v: tx.parse_obs80(tx.format_obs80(v.movers.select(F.concat(F.lit("T"), C("pk").cast("string")).alias("object_name"), "epoch_mjd", "ra_deg", "dec_deg", "mag", "filter_id", "obscode"))).select("object_name", F.round("mag", 2).alias("mag"), "filter_id", "obscode", F.round(C("ra_deg") * 240000).cast("bigint").alias("ra_ms"), F.round(C("dec_deg") * 360000).cast("bigint").alias("dec_cs")), "SELECT 'T' || CAST(pk AS VARCHAR) AS object_name, round(mag, 2) AS mag, filter_id, obscode, CAST(round(ra_deg*240000) AS BIGINT) AS ra_ms, CAST(round(dec_deg*360000) AS BIGINT) AS dec_cs FROM movers")
 R.add("s7_export_tables", lambda v: archive.instance_tables(v.movers, v.tracklet_attrib, v.derivedobject_attrib, v.ssm, C("mag") < 20.0)["derivedobject_attrib"].select("derivedobject_id", "tracklet_id"), "SELECT derivedobject_id, tracklet_id FROM derivedobject_attrib WHERE tracklet_id IN (SELECT tracklet_id FROM tracklet_attrib a JOIN movers d ON d.det_id=a.det_id WHERE d.mag<20)")
 
 
@@ -170,6 +171,30 @@ def _archive(v):
 
 R.add("s10_read_lsd", _archive, f"SELECT p.det_id AS position_id, d.det_id FROM detections p JOIN detections d ON d.nn=p.nn AND abs(d.dec_deg-p.dec_deg)<2e-2 WHERE {sep('p.ra_deg', 'p.dec_deg', 'd.ra_deg', 'd.dec_deg')} <= 1e-2")
 
+
+
+def _loaded(v):
+    """Fields written with their declared columns and loaded by their declared schema."""
+    folder = f"{shared_root(v.spark)}/tables-{uuid.uuid4().hex}"
+    declared = [d.split(" ") for d in SCHEMAS["fields"].split(", ")]
+    v.fields.select(*[C(n).cast(kind) for n, kind in declared if n != "status"]).write.parquet(f"{folder}/fields")
+    return load_tables(v.spark, folder, ["fields"])["fields"].select("field_id", "epoch_mjd", "filter_id", "nn", "ocnum", "parent_id", "survey_mode", "status")
+
+
+R.add("s1_load_tables", _loaded, "SELECT field_id, epoch_mjd, filter_id, CAST(nn AS INT) AS nn, CAST(ocnum AS INT) AS ocnum, parent_id, survey_mode, CAST(NULL AS VARCHAR) AS status FROM fields")
+
+
+def _ingested(v):
+    """Detections written as text files, which the stream takes in as they lie there."""
+    folder = f"{shared_root(v.spark)}/ingest-{uuid.uuid4().hex}"
+    tx.format_detections(v.detections).write.text(f"{folder}/lines")
+    st.ingest_stream(v.spark, f"{folder}/lines").writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start(f"{folder}/rows").awaitTermination()
+    return v.spark.read.parquet(f"{folder}/rows").select("det_id", "epoch_mjd", "mag", "object_name")
+
+
+_lines = f"SELECT det_id, {r6('epoch_mjd')} AS epoch_mjd, mag, coalesce(object_name, 'NS') AS object_name FROM detections"
+R.add("t1_ingest_stream", _ingested, _lines)
+
 # Streams, as batch twins of the same functions; tests run the streams themselves.
 R.add("t2_nightly_counts", lambda v: st.nightly_counts(v.events, "ts", 22, keys=("event_type",)).select(F.date_format("night_start", "yyyy-MM-dd HH").alias("night"), "event_type", "n"), "SELECT strftime(time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01 22:00:00'), '%Y-%m-%d %H') AS night, event_type, count(*) AS n FROM events GROUP BY 1,2")
 R.add("t3_complete_stacks", lambda v: st.complete_stacks(v.fields.filter("field_id % 7 <> 3").select((C("p") * 100 + C("n")).alias("stack_id"), "field_id", F.lit(4).alias("expected"))), "SELECT p*100+n AS stack_id, count(*) AS n, CASE WHEN count(*)>=4 THEN 'complete' ELSE 'orphan' END AS outcome FROM fields WHERE field_id%7<>3 GROUP BY 1")

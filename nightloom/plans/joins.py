@@ -33,11 +33,11 @@ R.add("c8_split_clean_noise", lambda v: c.split_clean_noise(v.detections.select(
 
 
 def _queries(v):
-    return v.detections.filter("det_id % 20 = 0").select(C("det_id").alias("query_id"), C("ra_deg").alias("q_ra"), C("dec_deg").alias("q_dec"), C("epoch_mjd").alias("q_mjd"), C("mag").alias("q_mag"), (0.5 + (C("det_id") % 3) / 2.0).alias("max_dist"), (0.5 + (C("det_id") % 7)).alias("max_dt"), F.when(C("det_id") % 40 == 0, -1.0).otherwise(0.8).alias("max_dmag"))
+    return v.detections.filter("field_id % 20 = 0").select(C("det_id").alias("query_id"), C("ra_deg").alias("q_ra"), C("dec_deg").alias("q_dec"), C("epoch_mjd").alias("q_mjd"), C("mag").alias("q_mag"), (0.5 + (C("det_id") % 3) / 2.0).alias("max_dist"), (0.5 + (C("det_id") % 7)).alias("max_dt"), F.when(C("det_id") % 4 == 1, -1.0).otherwise(0.8).alias("max_dmag"))
 
 
 R.add("j1_detection_proximity", lambda v: p.detection_proximity(v.detections, _queries(v)), f"""
-WITH q AS (SELECT det_id AS query_id, ra_deg AS qr, dec_deg AS qd, epoch_mjd AS qm, mag AS qg, 5e-1+(det_id%3)/2e0 AS dx, 5e-1+(det_id%7) AS dt, CASE WHEN det_id%40=0 THEN -1e0 ELSE 8e-1 END AS dm FROM detections WHERE det_id%20=0)
+WITH q AS (SELECT det_id AS query_id, ra_deg AS qr, dec_deg AS qd, epoch_mjd AS qm, mag AS qg, 5e-1+(det_id%3)/2e0 AS dx, 5e-1+(det_id%7) AS dt, CASE WHEN det_id%4=1 THEN -1e0 ELSE 8e-1 END AS dm FROM detections WHERE field_id%20=0)
 SELECT query_id, det_id FROM q JOIN detections d ON abs(d.dec_deg-qd) <= 16e-1 AND abs(d.epoch_mjd-qm)<=dt WHERE {sep("qr", "qd", "d.ra_deg", "d.dec_deg")} <= dx AND (dm<0 OR abs(mag-qg)<=dm)""")
 _knots = "SELECT ssm_id AS object_id, 55000e0+k*5 AS t, node+k*15e-1-360e0*floor((node+k*15e-1)/360e0) AS ra, (i-30e0)+k*3e-1 AS dec FROM ssm, (SELECT CAST(unnest(range(7)) AS BIGINT) AS k) z"
 
@@ -75,31 +75,33 @@ R.add("j7_evaluate_tracklets", lambda v: t.evaluate_tracklets(_found(v), v.mover
 
 
 def _targets(v):
-    return v.fields.filter("e = 0 and n between 10 and 14").select(C("field_id").alias("target_id"), C("epoch_mjd").alias("t_mjd"), C("ra_deg").alias("t_ra"), C("dec_deg").alias("t_dec"), (C("fov_deg") / 2).alias("t_radius"))
+    return v.fields.select(C("field_id").alias("target_id"), C("epoch_mjd").alias("t_mjd"), C("ra_deg").alias("t_ra"), C("dec_deg").alias("t_dec"), (C("fov_deg") / 2).alias("t_radius"))
 
 
 R.add("j8_linkable_detracklets", lambda v: p.linkable_detracklets(_targets(v), v.fields, v.tracklets, 0.5, 4.0), f"""
-WITH t AS (SELECT field_id AS target_id, epoch_mjd AS tm, ra_deg AS tr, dec_deg AS td FROM fields WHERE e=0 AND n BETWEEN 10 AND 14), j AS (SELECT target_id, tracklet_id, vel_tot, tm-f.epoch_mjd AS dt, greatest(0e0,{sep("tr", "td", "f.ra_deg", "f.dec_deg")}-3e0) AS gap FROM t JOIN fields f ON tm>f.epoch_mjd AND tm-f.epoch_mjd<=4 JOIN tracklets k ON k.field_id=f.field_id AND k.status='U')
+WITH t AS (SELECT field_id AS target_id, epoch_mjd AS tm, ra_deg AS tr, dec_deg AS td FROM fields), j AS (SELECT target_id, tracklet_id, vel_tot, tm-f.epoch_mjd AS dt, greatest(0e0,{sep("tr", "td", "f.ra_deg", "f.dec_deg")}-3e0) AS gap FROM t JOIN fields f ON tm>f.epoch_mjd AND tm-f.epoch_mjd<=4 JOIN tracklets k ON k.field_id=f.field_id AND k.status='U')
 SELECT target_id, tracklet_id FROM j WHERE gap<=5e-1*dt AND vel_tot*13e-1*dt>=gap""")
 
-def _curved(v):
+
+def _whole_sky(v, nights):
+    """Tracklets of all objects on some nights, each object with a place and motion of its own."""
     x = C("k") + 0.45
-    base = v.ssm.filter("ssm_id <= 400").select("ssm_id", (C("ssm_id") * 37 % 360).cast("double").alias("r"), (C("ssm_id") * 17 % 100 - 50).cast("double").alias("d"), F.explode(F.array(F.lit(0), F.lit(3), F.lit(6))).alias("k"))
-    va, aa, vd = ((C("ssm_id") % 7) - 3) / 20.0, ((C("ssm_id") % 3) - 1) / 2000.0, ((C("ssm_id") % 5) - 2) / 25.0
+    base = v.ssm.select("ssm_id", F.pmod(C("ssm_id") * 137.50776405, F.lit(360.0)).alias("r"), (F.pmod(C("ssm_id") * 0.7548776662, F.lit(1.0)) * 100 - 50).alias("d"), F.explode(F.array(*[F.lit(k) for k in nights])).alias("k"))
+    va, aa, vd = (C("ssm_id") * 7919 % 1009 - 504) / 3400.0, (C("ssm_id") % 201 - 100) / 200000.0, (C("ssm_id") * 104729 % 997 - 498) / 6200.0
     return base.select((C("ssm_id") * 10 + C("k")).alias("tracklet_id"), (55000.0 + x).alias("t"), F.pmod(C("r") + va * x + aa * x * x, F.lit(360.0)).alias("ra"), (C("d") + vd * x).alias("dec"), (va + 2 * aa * x).alias("va"), vd.alias("vd"))
 
 
-R.add("j9_link_tracklets", lambda v: l.link_tracklets(_curved(v), 0.01, 0.01, 0.02, 0.002, 3, 10.0, 0.4).select(F.array_join(F.col("tracklet_ids").cast("array<string>"), ",").alias("ids"), C("n").cast("bigint").alias("n")), "SELECT CAST(ssm_id*10 AS VARCHAR) || ',' || CAST(ssm_id*10+3 AS VARCHAR) || ',' || CAST(ssm_id*10+6 AS VARCHAR) AS ids, CAST(3 AS BIGINT) AS n FROM ssm WHERE ssm_id <= 400")
+def _linked(v, nights, max_days):
+    return l.link_tracklets(_whole_sky(v, nights), 0.01, 0.01, 0.02, 0.002, 3, max_days, 0.4).select(F.array_join(F.col("tracklet_ids").cast("array<string>"), ",").alias("ids"), C("n").cast("bigint").alias("n"))
 
 
-def _whole_sky(v):
-    x = C("k") + 0.45
-    base = v.ssm.select("ssm_id", F.pmod(C("ssm_id") * 137.50776405, F.lit(360.0)).alias("r"), (F.pmod(C("ssm_id") * 0.7548776662, F.lit(1.0)) * 100 - 50).alias("d"), F.explode(F.array(F.lit(0), F.lit(3), F.lit(6))).alias("k"))
-    va, aa, vd = (C("ssm_id") * 7919 % 1009 - 504) / 3400.0, (C("ssm_id") % 201 - 100) / 200000.0, (C("ssm_id") * 104729 % 997 - 498) / 6200.0
-    return base.select((C("ssm_id") * 10 + C("k")).alias("tracklet_id"), (55000.0 + x).alias("t"), F.pmod(C("r") + va * x + aa * x * x, F.lit(360.0)).alias("ra"), (C("d") + vd * x).alias("dec"), (va + 2 * aa * x).alias("va"), vd.alias("vd"))
+def _ids_of(nights):
+    return "SELECT " + " || ',' || ".join(f"CAST(ssm_id*10+{k} AS VARCHAR)" for k in nights) + f" AS ids, CAST({len(nights)} AS BIGINT) AS n FROM ssm"
 
 
-R.add("j9_link_tracklets_all", lambda v: l.link_tracklets(_whole_sky(v), 0.01, 0.01, 0.02, 0.002, 3, 10.0, 0.4).select(F.array_join(F.col("tracklet_ids").cast("array<string>"), ",").alias("ids"), C("n").cast("bigint").alias("n")), "SELECT CAST(ssm_id*10 AS VARCHAR) || ',' || CAST(ssm_id*10+3 AS VARCHAR) || ',' || CAST(ssm_id*10+6 AS VARCHAR) AS ids, CAST(3 AS BIGINT) AS n FROM ssm")
+# Four nights, so that every three of them make a track that lies in the whole one.
+R.add("j9_link_tracklets", lambda v: _linked(v, (0, 3, 6, 9), 12.0), _ids_of((0, 3, 6, 9)))
+R.add("j9_link_tracklets_all", lambda v: _linked(v, (0, 3, 6), 10.0), _ids_of((0, 3, 6)))
 R.add("j10_orbit_field_candidates", lambda v: p.orbit_field_candidates(v.fields, _tracks(v).withColumn("uncertainty", (C("object_id") % 5).cast("double")), 0.1, 0.4, 2.0), f"WITH {_seg} SELECT field_id, object_id, object_id%5<=2 AS certain FROM (SELECT *, {sep('fr', 'fd', 'ra', 'dec')} AS dist FROM h) x WHERE dist <= 15e-1 + CASE WHEN object_id%5<=2 THEN 1e-1 ELSE 4e-1 END")
 
 
@@ -144,7 +146,7 @@ def _assigned(v):
 R.add("j18_decorate_known", lambda v: l.decorate_known(_assigned(v), v.tracklets, "W").select("tracklet_id", "known_names", "status"), """
 WITH a AS (SELECT 'K' || CAST(pk%50 AS VARCHAR) AS k, tracklet_id AS t FROM tracklets WHERE tracklet_id%3=0 UNION SELECT 'K' || CAST(pk%50 AS VARCHAR), tracklet_id+3 FROM tracklets WHERE tracklet_id%3=0), n AS (SELECT t, array_to_string(list_sort(list_distinct(list(k))), ',') AS names FROM a GROUP BY t)
 SELECT tracklet_id, names AS known_names, CASE WHEN names IS NOT NULL THEN 'W' ELSE status END AS status FROM tracklets LEFT JOIN n ON n.t=tracklet_id""")
-R.add("j19_objects_in_view", lambda v: rounded(p.objects_in_view(v.predictions, v.fields.filter("e = 1 and n % 5 = 0").select(C("field_id").alias("pointing_id"), C("ra_deg").alias("p_ra"), C("dec_deg").alias("p_dec")), 0.8, 20.05), "distance"), f"SELECT f.field_id AS pointing_id, object_id, {r6('dist')} AS distance FROM (SELECT f.field_id, object_id, {sep('f.ra_deg', 'f.dec_deg', 'p.ra_deg', 'p.dec_deg')} AS dist FROM fields f JOIN predictions p ON abs(f.dec_deg-p.dec_deg)<1 WHERE e=1 AND n%5=0 AND p.mag<2005e-2) f WHERE dist<=8e-1")
+R.add("j19_objects_in_view", lambda v: rounded(p.objects_in_view(v.predictions, v.fields.select(C("field_id").alias("pointing_id"), C("ra_deg").alias("p_ra"), C("dec_deg").alias("p_dec")), 1.5, 20.05), "distance"), f"SELECT f.field_id AS pointing_id, object_id, {r6('dist')} AS distance FROM (SELECT f.field_id, object_id, {sep('f.ra_deg', 'f.dec_deg', 'p.ra_deg', 'p.dec_deg')} AS dist FROM fields f JOIN predictions p ON abs(f.dec_deg-p.dec_deg)<16e-1 WHERE p.mag<2005e-2) f WHERE dist<=15e-1")
 R.add("j20_find_object", lambda v: rounded(p.find_object(v.predictions, v.movers, 0.01), "distance"), f"SELECT object_id, det_id, {r6('dist')} AS distance FROM (SELECT object_id, d.det_id, {sep('p.ra_deg', 'p.dec_deg', 'd.ra_deg', 'd.dec_deg')} AS dist FROM predictions p JOIN movers d ON d.field_id=p.field_id AND abs(d.dec_deg-p.dec_deg)<2e-2) x WHERE dist<=1e-2")
 
 

@@ -39,6 +39,11 @@ def test_query(spark, duck, name):
         assert sorted(columns) == sorted(df.columns)
         names = sorted(columns)
         assert rows_of(names, df.columns, rows) == rows_of(names, columns, cur.fetchall())
+    assert rows or name in FEW  # no row on either side would say nothing
+
+
+#: Kinds of objects that the smallest tables are too small to have.
+FEW = {"u14_named_known"}
 
 
 def test_links_beyond_the_first_objects(spark):
