@@ -162,7 +162,7 @@ def walk(rest: np.ndarray, digests: list[bytes], small: np.ndarray, shortest: np
 EDGES = "kind int, bucket bigint, digest binary, other binary, small binary"
 
 
-def link_buckets(rows: DataFrame, floor: int, depth: int) -> DataFrame:
+def link_buckets(rows: DataFrame, floor: int, depth: int, tasks: int) -> DataFrame:
     """Edges between the texts of each trie node of length ``floor`` (bucket, label, digest, small, shortest), node by node in sorted order.
 
     Rows are range-partitioned in the tries' order, so a node of any size is spread over tasks, where :func:`walk` goes up from whole
@@ -207,7 +207,7 @@ def link_buckets(rows: DataFrame, floor: int, depth: int) -> DataFrame:
         edges, _ = walk(np.zeros(len(pdf), U64), list(pdf["digest"]), small, np.zeros(len(pdf), np.int8), floor, floor)
         return pd.DataFrame(edges, columns=["u", "v"])
 
-    spread = rows.repartitionByRange("bucket", "label", "digest").sortWithinPartitions("bucket", "label", "digest")
+    spread = rows.repartitionByRange(tasks, "bucket", "label", "digest").sortWithinPartitions("bucket", "label", "digest")
     linked = checkpointed(spread.mapInPandas(run, EDGES))
     inside = linked.filter("kind = 0").select(F.col("digest").alias("u"), F.col("other").alias("v"))
     between = linked.filter("kind = 1").groupBy("bucket").applyInPandas(across, "u binary, v binary")
@@ -320,7 +320,7 @@ def near_duplicate_texts(docs: DataFrame, text: str = "text", shingle: int = 5,
 
     matched = by_batch.applyInPandas(tidied(ask), QUESTION).groupBy("range").applyInPandas(tidied(match), "batch bigint, range bigint, levels binary")
     rows = by_batch.cogroup(matched.groupBy("batch")).applyInPandas(tidied_pair(bucket_rows), "bucket bigint, label binary, digest binary, small binary, shortest int")
-    candidates = checkpointed(connected_components(link_buckets(rows, floor, depth)))
+    candidates = checkpointed(connected_components(link_buckets(rows, floor, depth, n_ranges)))
 
     n_of = candidates.groupBy("component").agg(F.count("*").alias("n"))
     placed = candidates.join(n_of, "component").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
