@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -58,16 +60,27 @@ def link_tracklets(tracklets: DataFrame, max_ra_accel: float, max_dec_accel: flo
     many = kept.groupBy("pair").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("ts")).alias("tracklet_ids")).filter(F.col("n") >= min_support)
     first = many.groupBy("tracklet_ids").agg(F.min("pair").alias("pair"), F.max("n").alias("n"))
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t")
-        x = pdf["t"].to_numpy() - pdf["t"].iloc[0]
-        ra = np.unwrap(np.radians(pdf["ra"].to_numpy()))
-        dec = np.radians(pdf["dec"].to_numpy())
-        degree = min(2, len(pdf) - 1)
+    def off_line(t: np.ndarray, ra: np.ndarray, dec: np.ndarray) -> float:
+        x, ra, dec = t - t[0], np.unwrap(np.radians(ra)), np.radians(dec)
+        degree = min(2, len(x) - 1)
         off = sum(np.mean(((v - np.polyval(np.polyfit(x, v, degree), x)) * s) ** 2) for v, s in ((ra, np.cos(dec.mean())), (dec, 1.0)))
-        return pd.DataFrame({"pair": [pdf["pair"].iloc[0]], "residual": [float(np.degrees(np.sqrt(off)))]})
-
-    fitted = kept.join(first.select("pair"), "pair", "left_semi").groupBy("pair").applyInPandas(fit, "pair bigint, residual double")
+        return float(np.degrees(np.sqrt(off)))
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Residuals of pairs whose rows lie together, in order of time; a pair may go on in the next batch."""
+        held = None
+        for batch in chain(batches, (None,)):
+            rows = held if batch is None else batch if held is None else pd.concat([held, batch], ignore_index=True)
+            if rows is None or not len(rows):
+                continue
+            pairs, t, ra, dec = (rows[c].to_numpy() for c in ("pair", "t", "ra", "dec"))
+            bounds = [0, *(np.flatnonzero(pairs[1:] != pairs[:-1]) + 1).tolist(), len(pairs)]
+            held = None if batch is None else rows.iloc[bounds[-2] :]
+            spans = list(zip(bounds, bounds[1:], strict=False))[: None if batch is None else -1]
+            yield pd.DataFrame({"pair": [int(pairs[a]) for a, _ in spans], "residual": [off_line(t[a:z], ra[a:z], dec[a:z]) for a, z in spans]})
+
+    rows = kept.join(first.select("pair"), "pair", "left_semi").select("pair", "t", "ra", "dec")
+    fitted = rows.repartition("pair").sortWithinPartitions("pair", "t").mapInPandas(fit, "pair bigint, residual double")
     tracks = first.join(fitted.filter(F.col("residual") < fit_thresh), "pair").withColumnRenamed("pair", "track_key")
     from .tracklets import drop_subsets
 
