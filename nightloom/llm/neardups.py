@@ -400,3 +400,19 @@ def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, class_id (the smallest doc_id of the class), n_links (different texts similar to this one), n_copies (rows with this very text)."""
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("digest")
+
+
+OP7_SQL = r"""
+WITH RECURSIVE t AS MATERIALIZED (SELECT row_number() OVER (ORDER BY text) AS t, text, min(doc_id) AS first_id, count(*) AS n_copies FROM documents WHERE text IS NOT NULL GROUP BY text),
+w AS (SELECT t, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS ws FROM t),
+s AS MATERIALIZED (SELECT DISTINCT t, hash(array_to_string(ws[i:i + 4], ' ')) AS h FROM (SELECT t, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0) x),
+n AS MATERIALIZED (SELECT t, count(*) AS n FROM s GROUP BY t),
+p AS (SELECT a.t AS a, b.t AS b, count(*) AS c FROM s a JOIN s b ON a.h = b.h AND a.t < b.t GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.t = a JOIN n y ON y.t = b WHERE c >= 0.8 * (x.n + y.n - c) - 1e-9),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (SELECT t, t FROM t UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+k AS (SELECT r.a AS t, min(first_id) AS class_id FROM r JOIN t ON t.t = r.b GROUP BY r.a),
+m AS (SELECT a AS t, count(*) AS n_links FROM e GROUP BY a)
+SELECT doc_id, CASE WHEN t.t IS NULL THEN doc_id ELSE class_id END AS class_id, coalesce(n_links, 0) AS n_links, coalesce(n_copies, 1) AS n_copies
+FROM documents d LEFT JOIN t ON t.text = d.text LEFT JOIN k ON k.t = t.t LEFT JOIN m ON m.t = t.t
+"""

@@ -113,6 +113,36 @@ def test_language(spark, docs, empty):
     assert {x.lang_pred for x in langid.identify_language(docs, langid.train_prototypes(empty)).collect()} == {"und"}
 
 
+def test_language_by_brute_force(spark, docs):
+    """Vectors put together letter by letter and trigram by trigram, in Python numbers."""
+    dim = 128
+    letter = lambda c: np.random.default_rng([11, ord(c) if c.isalpha() else 32]).integers(0, 2, dim) * 2 - 1
+
+    def vector(text):
+        runs = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+        runs = " " + " ".join(runs.split()) + " "
+        if not runs.strip():
+            return None
+        runs += " " if not (text or "").lower()[-1].isalpha() else ""  # the boundary behind the last letter, and the end
+        total = np.zeros(dim)
+        for a, b, c in zip(runs, runs[1:], runs[2:], strict=False):
+            total += np.roll(letter(a), 2) * np.roll(letter(b), 1) * letter(c)
+        return total / np.sqrt((total**2).sum())
+
+    some = docs.filter("doc_id < 12 or doc_id >= 3005 or doc_id is null")
+    rows = some.collect()
+    sums = {}
+    for x in rows:
+        if x.lang and (v := vector(x.text)) is not None:
+            sums[x.lang] = sums.get(x.lang, 0) + v
+    got = langid.identify_language(some, langid.train_prototypes(some, dimensions=dim)).collect()
+    for x in got:
+        v = vector(x.text)
+        cosines = {k: float(v @ s / np.sqrt((s**2).sum())) for k, s in sums.items()} if v is not None else {}
+        assert x.score == pytest.approx(max([0.0, *cosines.values()]), abs=2e-5), x.text
+        assert x.lang_pred == (max(sorted(cosines), key=cosines.get) if cosines else "und") or x.score < 1e-4
+
+
 def test_many_languages(spark, docs, monkeypatch):
     """More labels than a task holds: the best of all blocks."""
     prototypes = langid.train_prototypes(docs.withColumn("lang", F.concat("lang", (F.col("doc_id") % 7).cast("string"))))
