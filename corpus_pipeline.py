@@ -17,15 +17,16 @@ from nightloom.llm.mixing import mix_sources
 from nightloom.llm.neardups import keep_one_of_each
 from nightloom.llm.substrings import remove_repeats
 
-#: Cosine below which a text resembles no language that was learned.
-LEAST_SCORE = 0.05
+#: Cosine below which a text resembles no language that was learned. Short texts in a learned language lie hardly above chance (vectors of 1024
+#: entries: 0.03), so only long ones can be held to more: random letters of a learned alphabet reach about 0.12, other scripts 0.03.
+LEAST_SCORE, LONG_CHARS, LEAST_LONG_SCORE = 0.05, 200, 0.15
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that resemble a learned language stay; null texts, texts without letters and others go."""
     taught = docs.filter(~F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))).select("text", "lang")
     found = identify_language(docs, checkpointed(train_prototypes(taught)))
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= F.when(F.char_length("text") < LONG_CHARS, LEAST_SCORE).otherwise(LEAST_LONG_SCORE))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
