@@ -152,7 +152,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
         return x ^ x >> U64(31)
 
 
-BYTE_BASE, WORD_BASE, SECOND_BASE = 0x5851F42D4C957F2D, 0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47
+BYTE_BASE, SECOND_BYTE_BASE, WORD_BASE, SECOND_BASE = 0x5851F42D4C957F2D, 0xDA942042E4DD58B5, 0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47
 SLICE = 1 << 18
 
 
@@ -165,9 +165,12 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 class Words:
-    """The words (between ASCII white space) of a batch: 64-bit hashes, byte places, and where each text's begin."""
+    """The words (between ASCII white space) of a batch: 64-bit hashes, byte places, and where each text's begin.
 
-    def __init__(self, texts: list[bytes], lower: bool = False):
+    With ``twice`` each word has a second hash, of other powers and another mix, so that two words taken for one would have to agree in 128 bits.
+    """
+
+    def __init__(self, texts: list[bytes], lower: bool = False, twice: bool = False):
         data = b"\n".join(texts) + b"\n" if texts else b"\n"
         if lower:
             data = lowered(data)
@@ -179,6 +182,7 @@ class Words:
             edge = np.concatenate([[0], edge])
         self.start, self.end = edge[0::2], edge[1::2]
         self.hash = np.empty(len(self.start), U64)
+        self.hash2 = np.empty(len(self.start), U64) if twice else None
         at = 0
         with np.errstate(over="ignore"):
             while at < len(self.start):  # slices end between words
@@ -190,6 +194,10 @@ class Words:
                 np.cumsum((b[lo:hi].astype(U64) + U64(1)) * up[: hi - lo], out=total[1:])
                 s, e = self.start[at:stop] - lo, self.end[at:stop] - lo
                 self.hash[at:stop] = mixed((total[e] - total[s]) * down[s] + (e - s).astype(U64) * U64(0x632BE59BD9B4E019))
+                if twice:
+                    up, down = powers(SECOND_BYTE_BASE, n)
+                    np.cumsum(mixed(b[lo:hi].astype(U64) + U64(1)) * up[: hi - lo], out=total[1:])
+                    self.hash2[at:stop] = mixed((total[e] - total[s]) * down[s] + (e - s).astype(U64) * U64(0x9FB21C651E98DF25))
                 at = stop
         sizes = np.array([len(t) + 1 for t in texts], np.int64)
         self.first = np.searchsorted(self.start, np.concatenate([[0], np.cumsum(sizes)]))  # of each text, and the end
@@ -197,13 +205,13 @@ class Words:
         self.place = np.arange(len(self.start)) - np.repeat(self.first[:-1], self.count)  # within its text
         self.left = np.repeat(self.count, self.count) - self.place  # words from here to the text's end
 
-    def sequences(self, length: int, base: int) -> np.ndarray:
-        """A hash of the ``length`` words from each word on; those that reach over a text's end mean nothing."""
+    def sequences(self, length: int, base: int, second: bool = False) -> np.ndarray:
+        """A hash of the ``length`` words from each word on (of their second hashes); those that reach over a text's end mean nothing."""
         n = len(self.hash)
         with np.errstate(over="ignore"):
             up, down = powers(base, 1 << max(18, (n + 1).bit_length()))
             total = np.zeros(n + 1, U64)
-            np.cumsum(self.hash * up[:n], out=total[1:])
+            np.cumsum((self.hash2 if second else self.hash) * up[:n], out=total[1:])
             out = np.zeros(n, U64)
             if n >= length:
                 out[: n - length + 1] = mixed((total[length:] - total[:-length]) * down[: n - length + 1])

@@ -28,7 +28,7 @@ class Repeats:
 
     def __init__(self, blobs: list[bytes], window: int):
         self.texts = Texts(blobs)
-        self.words = Words(self.texts.texts)
+        self.words = Words(self.texts.texts, twice=True)
         self.window = window
         w = self.words
         self.copied = np.repeat(self.texts.rows > 1, w.count)  # whole text occurs again
@@ -62,7 +62,7 @@ class Repeats:
         np.add.at(mark, a[ok], 1)
         np.add.at(mark, z[ok], -1)
         starts = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
-        pair = np.stack([w.sequences(self.window, WORD_BASE)[starts], w.sequences(self.window, SECOND_BASE)[starts]], axis=1)
+        pair = np.stack([w.sequences(self.window, WORD_BASE)[starts], w.sequences(self.window, SECOND_BASE, second=True)[starts]], axis=1)
         return starts, pair
 
     def removed(self, known: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -156,7 +156,7 @@ def repeated_words(docs: DataFrame, text: str = "text", window: int = 35) -> Dat
 
     Texts are packed into batches (:mod:`batches`). Batches ask about their anchors (``window`` less the period
     plus one words, at cover positions only), extend repeated anchors to candidate windows, and ask about those by 128-bit
-    hashes. Exact copies meet in one batch and travel once per task. The packed texts are shuffled once; the later steps reuse that exchange.
+    hashes, each half made of other hashes of the words. Exact copies meet in one batch and travel once per task. The packed texts are shuffled once; the later steps reuse that exchange.
     """
     chars = total_chars(docs, text)
     n_batches, n_ranges = -(-chars // BATCH_CHARS) or 1, -(-chars // RANGE_CHARS) or 1
