@@ -50,7 +50,8 @@ def header(word: int) -> dict | None:
     one = version == 3
     kbps, sr, pad, mono = BITRATES[one, layer][rate], RATES[version][hertz], word >> 9 & 1, word >> 6 & 3 == 3
     if layer == 1:
-        size, samples, side = (12 * kbps * 1000 // sr + pad) * 4, 384, 0
+        # the checksum covers the bit allocation: 4 bits a subband and channel, one channel's from the joint bound on
+        size, samples, side = (12 * kbps * 1000 // sr + pad) * 4, 384, 16 if mono else 16 + 2 * ((word >> 4 & 3) + 1) if word >> 6 & 3 == 1 else 32
     else:
         samples = 1152 if layer == 2 or one else 576
         size = samples // 8 * kbps * 1000 // sr + pad
@@ -68,6 +69,8 @@ def tags_before(data: bytes) -> tuple[int, dict[str, bytes]]:
     while data[at : at + 3] == b"ID3" and len(data) >= at + 10 and max(data[at + 6 : at + 10]) < 128:
         size, major = syncsafe(data[at + 6 : at + 10]), data[at + 3]
         x, end = at + 10, min(len(data), at + 10 + size)
+        if data[at + 5] & 64 and x + 4 <= end:  # an extended header, whose size counts itself from version 4 on
+            x += syncsafe(data[x : x + 4]) if major >= 4 else 4 + int.from_bytes(data[x : x + 4], "big")
         while x + 10 <= end and data[x : x + 4].strip(b"\0"):
             raw = data[x + 4 : x + 8]
             n = syncsafe(raw) if major >= 4 else int.from_bytes(raw, "big")
@@ -82,7 +85,7 @@ def read_stream(data: bytes | None) -> dict:
 
     Headers are searched byte by byte until one is followed by another of the same kind (or by the end or a
     tag); bytes passed over count as ``skipped``. ID3v2 and ID3v1 tags, Xing/Info and VBRI tables are
-    parsed; frames with a Layer III checksum are verified. ``seek`` has each audio frame's offset. The
+    parsed; the checksums of Layer I and III frames are verified (what Layer II's covers hangs on its bit allocation). ``seek`` has each audio frame's offset. The
     duration is exact: samples over the sample rate. Null or other bytes give no frames. ``TAG`` 128 bytes before the end
     starts an ID3v1 tag unless it lies in frames that reach the end.
     """
@@ -105,7 +108,7 @@ def read_stream(data: bytes | None) -> dict:
             continue
         locked = h["same"]
         body = at + 4 + 2 * h["crc"]
-        if h["crc"] and h["layer"] == 3 and crc_of(data[at + 2 : at + 4] + data[body : body + h["side"]]) != int.from_bytes(data[at + 4 : at + 6], "big"):
+        if h["crc"] and h["layer"] != 2 and crc_of(data[at + 2 : at + 4] + data[body : body + h["side"]]) != int.from_bytes(data[at + 4 : at + 6], "big"):
             out["bad_crc"] += 1
         main = body + h["side"]
         if out["table"] is None and not out["seek"] and h["layer"] == 3 and (found := vbr_table(data, at, main, after)):

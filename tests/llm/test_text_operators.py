@@ -295,6 +295,42 @@ def test_streams_with_junk_and_damage(spark):
     assert all(whole[x : x + 2] == b"\xff\xfa" for x in got[1].seek_offsets)
 
 
+def frame_of_bits(version, layer, rate, hertz, mode, size, checked=None, mode_ext=0):
+    """A frame put together bit by bit from the format's description, not by the library's writer."""
+    bits = "1" * 11 + version + layer + ("0" if checked else "1") + f"{rate:04b}{hertz:02b}00" + mode + f"{mode_ext:02b}" + "0000"
+    head = int(bits, 2).to_bytes(4, "big")
+    if not checked:
+        return head + bytes(size - 4)
+    register, covered = 0xFFFF, head[2:] + bytes(checked)
+    for bit in "".join(f"{b:08b}" for b in covered):
+        out = (register >> 15) ^ int(bit)
+        register = (register << 1 & 0xFFFF) ^ (0x8005 if out else 0)
+    return head + register.to_bytes(2, "big") + bytes(size - 6)
+
+
+def test_streams_from_elsewhere(spark):
+    """Streams of other versions and layers, with other tags and tables, with sizes and times worked out from the format."""
+    layer1 = frame_of_bits("11", "11", 12, 0, "00", 416, checked=32) * 5  # MPEG-1 Layer I, 384 kbit/s, 44.1 kHz: 12 * 384000 / 44100 = 104 slots
+    joint = frame_of_bits("11", "11", 12, 0, "01", 416, checked=16 + 2 * 3, mode_ext=2) * 4
+    spoilt = layer1[:-400] + b"\x01" + layer1[-399:]
+    layer2 = frame_of_bits("11", "10", 8, 1, "00", 384) * 3  # MPEG-1 Layer II, 128 kbit/s, 48 kHz: 144 * 128000 / 48000
+    mpeg2 = frame_of_bits("10", "01", 8, 2, "11", 288) * 6  # MPEG-2 Layer III, 64 kbit/s, 16 kHz: 72 * 64000 / 16000
+    title = b"TIT2" + (5).to_bytes(4, "big") + b"\0\0" + b"\0name"
+    extended = (6).to_bytes(4, "big") + bytes(6)
+    tag = b"ID3\x03\0\x40" + bytes([0, 0, 0, len(extended) + len(title)]) + extended + title
+    vbri = bytearray(frame_of_bits("11", "01", 9, 0, "00", 417))
+    vbri[36:36 + 30] = b"VBRI" + (1).to_bytes(2, "big") + bytes(4) + (417 * 3).to_bytes(4, "big") + (2).to_bytes(4, "big") + b"\0\2\0\1\0\2\0\1" + b"\1\xa1\1\xa1"
+    vbr = bytes(vbri) + frame_of_bits("11", "01", 9, 0, "00", 417) * 2  # 144 * 128000 / 44100 = 417 bytes
+    cases = [(1, layer1), (2, joint), (3, spoilt), (4, layer2), (5, tag + mpeg2), (6, vbr)]
+    got = {x.k: x for x in audio.describe_streams(spark.createDataFrame([(k, bytearray(m)) for k, m in cases], "k int, media binary")).collect()}
+    want = {1: (5, 5 * 384, 44100, 0), 2: (4, 4 * 384, 44100, 0), 3: (5, 5 * 384, 44100, 1), 4: (3, 3 * 1152, 48000, 0), 5: (6, 6 * 576, 16000, 0), 6: (2, 2 * 1152, 44100, 0)}
+    for k, (frames, samples, rate, bad) in want.items():
+        x = got[k]
+        assert (x.frames, x.samples, x.sample_rate, x.bad_crc, x.skipped) == (frames, samples, rate, bad, 0), k
+        assert x.duration_s == samples / rate
+    assert got[1].seek_offsets == [416 * n for n in range(5)] and got[5].tags == ["TIT2"] and got[5].seek_offsets[0] == len(tag) and got[6].vbr_table == "VBRI" and got[6].seek_offsets == [417, 834]
+
+
 def test_tag_in_the_payload(spark):
     """Payload bytes that read TAG where an ID3v1 tag would start are payload; a tag behind the frames is one."""
     texts = ["TAG" * 431, "guten TAG " * 300]
