@@ -294,3 +294,32 @@ def op8_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_texts(docs.select(F.coalesce("text", F.lit("")).alias("text"), "held_out"), ~F.col("held_out")).withColumnRenamed("digest", "_digest")
     keyed = docs.select("doc_id", "held_out", digest_of(F.coalesce("text", F.lit(""))).alias("_digest"))
     return keyed.join(scored, "_digest", "left").select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+#: The same model as plain SQL: words told apart by themselves, crc32 from its rule.
+OP8_SQL = r"""
+WITH crc AS (SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+docs AS MATERIALIZED (SELECT row_number() OVER () AS rn, doc_id,
+  coalesce(xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 7 = 2, false) AS held_out,
+  list_append(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' ') AS ws FROM documents, crc),
+tokens AS MATERIALIZED (SELECT rn, held_out, ws[i] AS w, CASE WHEN i = 1 THEN '' ELSE ws[i - 1] END AS h FROM (SELECT rn, held_out, ws, unnest(range(1, len(ws) + 1)) AS i FROM docs) x),
+words AS MATERIALIZED (SELECT w, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY w),
+pairs AS MATERIALIZED (SELECT h, w, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY h, w),
+size AS (SELECT coalesce(sum(c), 0) AS n, count(*) AS v FROM words),
+seen AS (SELECT 1 AS o, c AS r, count(*) AS n FROM words WHERE c <= 6 GROUP BY c UNION ALL SELECT 2, c, count(*) FROM pairs WHERE c <= 6 GROUP BY c),
+steps AS (SELECT o, r, n, lag(r, 1, 0) OVER k AS a, lead(r) OVER k AS z FROM seen WINDOW k AS (PARTITION BY o ORDER BY r)),
+line AS (SELECT o, regr_slope(y, ln(r)) AS slope, regr_intercept(y, ln(r)) AS level FROM (SELECT o, r, ln(2.0 * n / (coalesce(z, 2 * r - a) - a)) AS y FROM steps) x GROUP BY o HAVING count(*) > 1),
+numbers AS (SELECT o, 1 AS way, list(n * 1e0 ORDER BY r) AS n FROM seen GROUP BY o HAVING count(*) = 6 UNION ALL SELECT o, 2, list_transform(range(1, 7), lambda r: exp(level + slope * ln(r))) FROM line),
+turing AS (SELECT o, way, list_transform(range(1, 6), lambda r: ((r + 1) * n[r + 1] / n[r] / r - 6 * n[6] / n[1]) / (1 - 6 * n[6] / n[1])) AS d FROM numbers WHERE 6 * n[6] / n[1] < 1),
+flat AS (SELECT o.o, CASE WHEN coalesce(a.n, 0) = 0 THEN 5e-1 ELSE least(greatest(a.n / (a.n + 2e0 * coalesce(b.n, 0)), 5e-2), 95e-2) END AS off FROM (SELECT unnest([1, 2]) AS o) o LEFT JOIN seen a ON a.o = o.o AND a.r = 1 LEFT JOIN seen b ON b.o = o.o AND b.r = 2),
+ways AS (SELECT o, way, d FROM turing WHERE list_min(d) > 0 AND list_max(d) < 1 UNION ALL SELECT o, 3, list_transform(range(1, 6), lambda r: (r - off) / r) FROM flat),
+discounts AS (SELECT o, arg_min(d, way) AS d FROM ways GROUP BY o),
+word_p AS MATERIALIZED (SELECT w, c, CASE WHEN c <= 5 THEN c * d[c] ELSE c - 1e-2 END / n AS p, (c - CASE WHEN c <= 5 THEN c * d[c] ELSE c - 1e-2 END) / n AS freed FROM words, size, discounts WHERE o = 1),
+unknown AS (SELECT coalesce(sum(freed), 1e0) AS p FROM word_p),
+pair_p AS MATERIALIZED (SELECT h, pairs.w, CASE WHEN pairs.c <= 5 THEN pairs.c * d[pairs.c] ELSE pairs.c - 1e-2 END AS kept, p FROM pairs JOIN word_p ON word_p.w = pairs.w, discounts WHERE o = 2),
+histories AS (SELECT h, c AS n, greatest(1 - kept / c, 1e-12) / greatest(1 - lower_p, 1e-12) AS weight FROM (SELECT h, sum(kept) AS kept, sum(p) AS lower_p FROM pair_p GROUP BY h) x JOIN words ON words.w = CASE WHEN h = '' THEN ' ' ELSE h END),
+scored AS (SELECT t.rn, count(*) AS n_tokens, count(u.c) AS n_known, sum(log10((coalesce(u.c, 0) + 1e0) / (size.n + v + 1))) AS base_score,
+  sum(log10(CASE WHEN b.kept IS NOT NULL THEN b.kept / g.n ELSE coalesce(g.weight, 1e0) * coalesce(u.p, unknown.p) END)) AS score
+  FROM tokens t LEFT JOIN word_p u ON u.w = t.w LEFT JOIN pair_p b ON b.h = t.h AND b.w = t.w LEFT JOIN histories g ON g.h = t.h, size, unknown GROUP BY t.rn)
+SELECT doc_id, held_out, CAST(n_tokens AS BIGINT) AS n_tokens, CAST(n_known AS BIGINT) AS n_known, CAST(n AS BIGINT) AS train_tokens, base_score, score FROM docs JOIN scored USING (rn), size
+"""

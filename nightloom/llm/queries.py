@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_rules": urls.OP3_SQL, "op6_substring_dedup": substrings.OP6_SQL, "op7_near_duplicates": neardups.OP7_SQL}
+    return {"op3_url_rules": urls.OP3_SQL, "op6_substring_dedup": substrings.OP6_SQL, "op7_near_duplicates": neardups.OP7_SQL, "op8_katz_scores": lm.OP8_SQL}
