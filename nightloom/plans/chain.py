@@ -54,23 +54,36 @@ R.add("a34_tracklet_probability", lambda v: rounded(t.tracklet_probability(_memb
 WITH d AS (SELECT pk*100+n AS tracklet_id, (det_id%90+10)/100e0*(1-(det_id%13)/50e0) AS p, CASE WHEN det_id%11=0 OR det_id%5=0 THEN 1 ELSE 0 END AS f FROM movers), k AS (SELECT *, row_number() OVER (PARTITION BY tracklet_id ORDER BY p DESC) AS k FROM d)
 SELECT tracklet_id, CASE WHEN sum(f)>=2 THEN 0e0 ELSE {r6("product(p) FILTER (k<=3)")} END AS probability FROM k GROUP BY 1""")
 R.add("h1_drop_subsets", lambda v: t.drop_subsets(_overlapping(v), "g", "det_ids").select("g", _ids("det_ids").alias("ids")), """
-SELECT pk*100+n AS g, array_to_string(list(det_id ORDER BY det_id), ',') AS ids FROM movers GROUP BY pk, n""")
+WITH w AS (SELECT pk, n, list(det_id ORDER BY det_id) AS ids FROM movers GROUP BY pk, n),
+g AS (SELECT pk*100+n AS g, ids FROM w UNION ALL SELECT -pk*100-n, ids[1:3] FROM w WHERE pk%3=0 AND pk>0 UNION ALL SELECT pk*100+n+100000000, ids FROM w WHERE pk%4=0 UNION ALL SELECT pk*100+n+200000000, list_append(ids[2:], -pk) FROM w WHERE pk%5=0),
+m AS (SELECT g, ids, unnest(ids) AS det_id FROM g)
+SELECT g, array_to_string(ids, ',') AS ids FROM g ANTI JOIN (SELECT a.g FROM g a JOIN m b ON b.det_id=a.ids[1] AND b.g<>a.g AND (len(b.ids)>len(a.ids) OR (len(b.ids)=len(a.ids) AND b.g<a.g)) AND list_has_all(b.ids, a.ids)) x USING (g)""")
 
 
 def _overlapping(v):
     whole = v.movers.groupBy("pk", "n").agg(F.array_sort(F.collect_list("det_id")).alias("det_ids"))
     part = whole.filter("pk % 3 = 0 and pk > 0").select((-C("pk") * 100 - C("n")).alias("g"), F.slice("det_ids", 1, 3).alias("det_ids"))
     same = whole.filter("pk % 4 = 0").select((C("pk") * 100 + C("n") + 100000000).alias("g"), "det_ids")
-    return whole.select((C("pk") * 100 + C("n")).alias("g"), "det_ids").unionByName(part).unionByName(same)
+    other = whole.filter("pk % 5 = 0").select((C("pk") * 100 + C("n") + 200000000).alias("g"), F.concat(F.slice("det_ids", 2, 1000), F.array(-C("pk"))).alias("det_ids"))
+    return whole.select((C("pk") * 100 + C("n")).alias("g"), "det_ids").unionByName(part).unionByName(same).unionByName(other)
 
 
 def _tracks(v):
+    """All objects' tracks, and of some a second one: most of it, too little of it, or all of it but for other detections at the same times."""
     a = v.movers.select(C("pk").alias("track_key"), "det_id", "epoch_mjd")
-    b = v.movers.filter("pk % 5 = 0 and e < 3").select((C("pk") + 1000000).alias("track_key"), "det_id", "epoch_mjd")
-    return a.unionByName(b)
-
-
-R.add("h2_merge_overlaps", lambda v: l.merge_overlaps(_tracks(v).groupBy("track_key").agg(F.count("*").alias("n")).withColumn("residual", F.lit(0.0)).transform(lambda d: l.rank_tracks(d, "track_key")), _tracks(v), 0.8), "SELECT pk AS track_key, pk AS merged_into FROM (SELECT DISTINCT pk FROM movers) x UNION ALL SELECT pk+1000000, pk FROM (SELECT DISTINCT pk FROM movers WHERE pk%5=0) x")
+    most = v.movers.filter("pk % 5 = 0 and e < 3").select((C("pk") + 1000000).alias("track_key"), "det_id", "epoch_mjd")
+    little = v.movers.filter("pk % 7 = 0 and e < 1").select((C("pk") + 2000000).alias("track_key"), "det_id", "epoch_mjd")
+    clash = v.movers.filter("pk % 11 = 0").select((C("pk") + 3000000).alias("track_key"), F.when((C("e") == 0) & (C("n") % 5 == 0), -C("det_id")).otherwise(C("det_id")).alias("det_id"), "epoch_mjd")
+    return a.unionByName(most).unionByName(little).unionByName(clash)
+
+
+R.add("h2_merge_overlaps", lambda v: l.merge_overlaps(_tracks(v).groupBy("track_key").agg(F.count("*").alias("n")).withColumn("residual", F.lit(0.0)).transform(lambda d: l.rank_tracks(d, "track_key")), _tracks(v), 0.8), """
+SELECT * FROM (WITH RECURSIVE m AS (SELECT pk AS k, det_id, epoch_mjd FROM movers UNION ALL SELECT pk+1000000, det_id, epoch_mjd FROM movers WHERE pk%5=0 AND e<3 UNION ALL SELECT pk+2000000, det_id, epoch_mjd FROM movers WHERE pk%7=0 AND e<1
+  UNION ALL SELECT pk+3000000, CASE WHEN e=0 AND n%5=0 THEN -det_id ELSE det_id END, epoch_mjd FROM movers WHERE pk%11=0),
+z AS (SELECT k, count(*) AS n FROM m GROUP BY k), o AS (SELECT a.k AS a, b.k AS b, count(*) AS shared FROM m a JOIN m b ON a.det_id=b.det_id AND a.k<>b.k GROUP BY 1, 2),
+e AS (SELECT o.a, o.b FROM o JOIN z x ON x.k=o.a JOIN z y ON y.k=o.b WHERE 2e0*shared/(x.n+y.n)>=8e-1 AND NOT EXISTS (SELECT 1 FROM m p JOIN m q ON p.epoch_mjd=q.epoch_mjd AND p.det_id<>q.det_id WHERE p.k=o.a AND q.k=o.b)),
+r AS (SELECT k, k AS other FROM z UNION SELECT r.k, e.b FROM r JOIN e ON e.a=r.other)
+SELECT r.k AS track_key, arg_min(r.other, struct_pack(n := -z.n, k := r.other)) AS merged_into FROM r JOIN z ON z.k=r.other GROUP BY r.k) x""")
 R.add("h3_union_passes", lambda v: t.union_passes(v.tracklets.filter("vel_tot < 1.0").select(C("tracklet_id").alias("tracklet_key")), v.tracklets.filter("vel_tot > 0.6").select(C("tracklet_id").alias("tracklet_key"))).withColumn("pass", C("pass").cast("int")), "SELECT tracklet_id AS tracklet_key, CASE WHEN vel_tot<1 THEN 0 ELSE 1 END AS pass FROM tracklets")
 R.add("h4_stack_pass_options", lambda v: t.stack_pass_options(v.fields.groupBy("p", "n").agg(F.count("*").alias("n_fields"), F.min("dec_deg").alias("galactic_lat")), 0.6, 5.0, 0.3, 10.0).select("p", "n", "max_speed_slow", "max_speed_fast", "min_obs"), "SELECT p, n, CASE WHEN abs(min(dec_deg))<10 THEN 3e-1 WHEN count(*)<=2 THEN 3e-1 ELSE 6e-1 END AS max_speed_slow, CASE WHEN count(*)>2 THEN 5e0 ELSE 3e-1 END AS max_speed_fast, CASE WHEN count(*)>3 THEN count(*)-1 ELSE count(*) END AS min_obs FROM fields GROUP BY 1,2")
 
