@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -266,6 +267,25 @@ def similar_counts(sets: list[np.ndarray], threshold: float, split: int | None)
     return links, edges
 
 
+def prefix_size(n: int, threshold: float) -> int:
+    """How many of a sorted set's ``n`` elements come first: sets as similar as ``threshold`` have their least common element among those of both."""
+    return n - math.ceil(threshold * n - 1e-9) + 1
+
+
+def meeting_blocks(sets: DataFrame) -> DataFrame:
+    """(component, a, b, block, digest, shingles): each set with its own block, and with each other block that has a set it can be linked to.
+
+    Two linked sets share an element of both their prefixes (:func:`prefix_size`), so a set goes to the blocks where one of its own
+    prefix's elements is in a prefix. Elements carry lists of blocks, never of sets, so an element that all sets share adds no rows.
+    """
+    first = sets.select("component", "digest", "block", F.explode("prefix").alias("element"))
+    places = first.groupBy("component", "element").agg(F.collect_set("block").alias("places")).filter(F.size("places") > 1)
+    met = first.join(places, ["component", "element"]).groupBy("digest").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
+    other = F.explode(F.array_union(F.array("block"), F.coalesce("places", F.array().cast("array<int>"))))
+    found = sets.join(met, "digest", "left").select("component", "block", "digest", "shingles", other.alias("other"))
+    return found.select("component", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "digest", "shingles")
+
+
 def near_duplicate_texts(docs: DataFrame, text: str = "text", shingle: int = 5, threshold: float = 0.8, trees: int = 16, depth: int = 6, target: float = 0.999) -> DataFrame:
     """(digest, class_digest, n_links) of each distinct text that is similar to another one.
 
@@ -277,7 +297,7 @@ def near_duplicate_texts(docs: DataFrame, text: str = "text", shingle: int = 5,
     what a label shares with its neighbours is its longest matched prefix, and the ranges answer with that. Labels with a match become rows, in the
     tries' order, and each text's prefixes are shortened from the whole label on until it has its candidates or has reached
     the target recall (:func:`walk`, :func:`shortest_prefixes`). Candidate components then gather shingle sets and verify all their pairs, block
-    against block where a component has more than ``BLOCK`` texts; pairs never become rows.
+    against block where a component has more than ``BLOCK`` texts, and there only blocks that can hold links (:func:`meeting_blocks`); pairs never become rows.
     """
     chars = total_chars(docs, text)
     n_batches, n_ranges = -(-chars // BATCH_CHARS) or 1, -(-chars // RANGE_CHARS) or 1
@@ -333,7 +353,7 @@ def near_duplicate_texts(docs: DataFrame, text: str = "text", shingle: int = 5,
     members = placed.select("node", "component", "blocks", "block").mapInPandas(add_batch, "node binary, component binary, blocks int, block int, batch bigint")
 
     def shingle_rows(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        names = ["component", "a", "b", "block", "digest", "shingles"]
+        names = ["component", "blocks", "block", "digest", "shingles", "prefix"]
         if not len(left) or not len(right):
             return pd.DataFrame(columns=names)
         texts = Texts(list(left["blob"]))
@@ -342,8 +362,7 @@ def near_duplicate_texts(docs: DataFrame, text: str = "text", shingle: int = 5,
         sets = Shingles([texts.texts[k] for k in wanted], shingle).sets(np.arange(len(wanted)))
         out = []
         for d, component, blocks, block, found in zip(right["node"], right["component"], right["blocks"], right["block"], sets, strict=True):
-            data = found.tobytes()
-            out += [(component, min(block, x), max(block, x), block, d, data) for x in range(blocks)]
+            out.append((component, blocks, block, d, found.tobytes(), found[: prefix_size(len(found), threshold)].astype(np.int64).tolist() if blocks > 1 else None))
         return pd.DataFrame(out, columns=names)
 
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -356,8 +375,13 @@ def near_duplicate_texts(docs: DataFrame, text: str = "text", shingle: int = 5,
             root[j] = r
         return pd.DataFrame({"digest": digests, "links": links, "root": [digests[r] for r in root]})
 
-    gathered = by_batch.cogroup(members.groupBy("batch")).applyInPandas(tidied_pair(shingle_rows), "component binary, a int, b int, block int, digest binary, shingles binary")
-    verified = checkpointed(gathered.groupBy("component", "a", "b").applyInPandas(verify, "digest binary, links bigint, root binary"))
+    gathered = by_batch.cogroup(members.groupBy("batch")).applyInPandas(tidied_pair(shingle_rows), "component binary, blocks int, block int, digest binary, shingles binary, prefix array<bigint>")
+    if (n_of.agg(F.max("n")).first()[0] or 0) > BLOCK:
+        gathered = checkpointed(gathered)
+        paired = gathered.filter("blocks = 1").select("component", F.col("block").alias("a"), F.col("block").alias("b"), "block", "digest", "shingles").unionByName(meeting_blocks(gathered.filter("blocks > 1")))
+    else:
+        paired = gathered.select("component", F.col("block").alias("a"), F.col("block").alias("b"), "block", "digest", "shingles")
+    verified = checkpointed(paired.groupBy("component", "a", "b").applyInPandas(verify, "digest binary, links bigint, root binary"))
     classes = connected_components(verified.filter("links > 0 and digest <> root"), "digest", "root")
     counted = verified.groupBy("digest").agg(F.sum("links").alias("n_links")).filter("n_links > 0")
     return counted.join(classes.select(F.col("node").alias("digest"), F.col("component").alias("class_digest")), "digest", "left").select("digest", F.coalesce("class_digest", "digest").alias("class_digest"), "n_links")

@@ -200,6 +200,41 @@ def test_counts_of_links(split):
     assert links.tolist() == [sum(k in p for p in pairs) for k in range(15)] and len(pairs) > 5
 
 
+def test_chain_in_blocks(spark, small_batches):
+    """A chain of texts, each like the next only, in one component of many blocks; beside it a group that is like throughout."""
+    r = np.random.default_rng(11)
+    stream = ["".join(map(chr, r.integers(97, 123, 6))) for _ in range(400)]
+    texts = [" ".join(stream[6 * k : 6 * k + 100]) for k in range(40)] + [" ".join(stream[250:330] + [f"end{k}"]) for k in range(12)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    root, links = brute_classes(texts)
+    rows = neardups.near_duplicates(df).collect()
+    assert {x.doc_id: x.n_links for x in rows} == {k: links[t] for k, t in enumerate(texts)} and max(links.values()) >= 11
+    first = {}
+    for k, t in enumerate(texts):
+        first.setdefault(root[t], k)
+    assert {x.doc_id: x.class_id for x in rows} == {k: first[root[t]] for k, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 0.95])
+def test_blocks_that_meet(spark, threshold):
+    """Every pair of similar sets meets in one group, and sets meet only where an element of their prefixes does."""
+    r = np.random.default_rng(12)
+    base = np.sort(r.integers(0, 10**6, 60))
+    sets = [np.unique(np.concatenate([base[r.random(60) < p], r.integers(0, 10**6, r.integers(0, 3))])) for p in (0.99, 0.9, 0.6) for _ in range(12)] + [np.unique(r.integers(0, 10**6, 40)) for _ in range(20)]
+    rows = [(b"c", k % 7, k.to_bytes(2, "big"), x.astype(np.uint64).tobytes(), x[: neardups.prefix_size(len(x), threshold)].tolist()) for k, x in enumerate(sets)]
+    df = spark.createDataFrame(rows, "component binary, block int, digest binary, shingles binary, prefix array<bigint>")
+    at = collections.defaultdict(set)
+    for x in neardups.meeting_blocks(df).collect():
+        k = int.from_bytes(x.digest, "big")
+        assert x.block == k % 7 and x.block in (x.a, x.b) and k not in at[x.a, x.b]
+        at[x.a, x.b].add(k)
+    similar = [(i, j) for i in range(len(sets)) for j in range(i) if len(np.intersect1d(sets[i], sets[j])) >= threshold * len(np.union1d(sets[i], sets[j]))]
+    assert len(similar) > 5
+    for i, j in similar:
+        assert sum(i in x and j in x and (a == b) == (i % 7 == j % 7) for (a, b), x in at.items()) == 1
+    assert sum(map(len, at.values())) < 7 * len(sets)
+
+
 # 8
 
 
