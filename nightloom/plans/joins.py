@@ -74,9 +74,30 @@ def _known(v):
     return whole.select(F.when(C("det_ids")[0] % 3 == 0, F.slice("det_ids", 2, 1000)).otherwise(C("det_ids")).alias("det_ids")).unionByName(whole.filter(C("det_ids")[0] % 4 == 0).select(F.concat("det_ids", F.array(F.lit(0).cast("bigint"))).alias("det_ids")))
 
 
+def _crossed(v):
+    """The movers' stacks, where some objects' third detection has another one beside it: near enough for their motion, or too far off."""
+    beside = v.movers.filter("e = 2 and (pk % 5 = 0 or pk % 7 = 0)").withColumns({"det_id": C("det_id") + 5, "dec_deg": C("dec_deg") + F.when(C("pk") % 5 == 0, 0.00021).otherwise(0.00073)})
+    return _stacked(v).unionByName(beside.withColumn("stack_id", C("p") * 100 + C("n")))
+
+
+def _groups_of(found):
+    return found.select("stack_id", F.array_join(F.col("det_ids").cast("array<string>"), ",").alias("ids"), C("n").cast("bigint").alias("n"))
+
+
+_crossing = f"""x AS (SELECT p*100+n AS stack_id, det_id, epoch_mjd, ra_deg, dec_deg FROM movers UNION ALL SELECT p*100+n, det_id+5, epoch_mjd, ra_deg, dec_deg+CASE WHEN pk%5=0 THEN 21e-5 ELSE 73e-5 END FROM movers WHERE e=2 AND (pk%5=0 OR pk%7=0)),
+y AS (SELECT a.stack_id, a.det_id AS a, b.det_id AS b, b.epoch_mjd-a.epoch_mjd AS dt, {dang("b.ra_deg", "a.ra_deg")} AS da, b.dec_deg-a.dec_deg AS dd, {sep("a.ra_deg", "a.dec_deg", "b.ra_deg", "b.dec_deg")} AS dist FROM x a JOIN x b ON a.stack_id=b.stack_id AND b.epoch_mjd>a.epoch_mjd AND abs(b.dec_deg-a.dec_deg) < 2e-2),
+q AS (SELECT stack_id, a, b, dt, da/dt AS va, dd/dt AS vd FROM y WHERE dt > 1e-5 AND dt <= 5e-2 AND dist <= 3e-1*dt+3e-4)"""
+_largest = """SELECT stack_id, array_to_string(ids, ',') AS ids, CAST(len(ids) AS BIGINT) AS n FROM g ANTI JOIN (SELECT i.stack_id, i.ids FROM g i JOIN (SELECT ids, unnest(ids) AS det_id FROM g) o ON o.det_id=i.ids[1] AND len(o.ids)>len(i.ids) AND list_has_all(o.ids, i.ids)) s USING (stack_id, ids)"""
 _truth = "SELECT p*100+n AS stack_id, list(det_id ORDER BY det_id) AS ids FROM movers GROUP BY p, n, pk"
-R.add("j5_find_tracklets", lambda v: _found(v).select("stack_id", F.array_join(F.col("det_ids").cast("array<string>"), ",").alias("ids"), C("n").cast("bigint").alias("n")), f"SELECT stack_id, array_to_string(ids, ',') AS ids, CAST(len(ids) AS BIGINT) AS n FROM ({_truth}) x")
-R.add("j6_grow_tracklets", lambda v: t.grow_tracklets(_stacked(v), 0.0, 0.3, 0.0003, 0.05, 2, 4).select("stack_id", F.array_join(F.col("det_ids").cast("array<string>"), ",").alias("ids"), C("n").cast("bigint").alias("n")), f"SELECT stack_id, array_to_string(ids, ',') AS ids, CAST(len(ids) AS BIGINT) AS n FROM ({_truth}) x")
+R.add("j5_find_tracklets", lambda v: _groups_of(t.find_tracklets(_crossed(v), 0.0, 0.3, 0.0003, 0.05, 2)), f"""
+WITH {_crossing}, f AS (SELECT e.stack_id, e.a, e.b AS z, s.b, round(s.dt, 9) AS tm, pow((e.va-s.va)*cos(radians(e.vd)),2)+pow(e.vd-s.vd,2) AS d, pow(3e-4/e.dt,2)+pow(3e-4/s.dt,2) AS most FROM q e JOIN q s ON s.stack_id=e.stack_id AND s.a=e.a AND s.dt <= e.dt+1e-10),
+k AS (SELECT stack_id, a, z, arg_min(b, struct_pack(d := d, b := b)) AS b FROM f WHERE d <= most GROUP BY stack_id, a, z, tm), g AS (SELECT DISTINCT stack_id, list_sort(list_append(list(b), a)) AS ids FROM k GROUP BY stack_id, a, z)
+{_largest}""")
+R.add("j6_grow_tracklets", lambda v: _groups_of(t.grow_tracklets(_crossed(v), 0.0, 0.3, 0.0003, 0.05, 2, 4)), f"""
+SELECT * FROM (WITH RECURSIVE {_crossing}, l AS (SELECT stack_id, [a, b] AS ids, a, va, vd, dt FROM q UNION ALL
+  SELECT l.stack_id, list_append(l.ids, q.b), l.a, (l.va+q.va)/2, (l.vd+q.vd)/2, q.dt FROM l JOIN q ON q.stack_id=l.stack_id AND q.a=l.a WHERE len(l.ids) < 5 AND q.dt > l.dt+1e-5 AND sqrt(pow((q.va-l.va)*q.dt,2)+pow((q.vd-l.vd)*q.dt,2))/2 < 3e-4),
+g AS (SELECT DISTINCT stack_id, list_sort(ids) AS ids FROM l)
+{_largest}) z""")
 R.add("j7_evaluate_tracklets", lambda v: t.evaluate_tracklets(_found(v), _known(v)), f"""
 WITH f AS ({_truth}), t AS (SELECT DISTINCT ids FROM (SELECT CASE WHEN ids[1]%3=0 THEN ids[2:] ELSE ids END AS ids FROM f UNION ALL SELECT list_append(ids, 0) FROM f WHERE ids[1]%4=0) x)
 SELECT (SELECT count(*) FROM f) AS n_found, (SELECT count(*) FROM t) AS n_true, (SELECT count(*) FROM f JOIN t ON f.ids=t.ids) AS n_match""")
