@@ -280,7 +280,10 @@ def meeting_blocks(sets: DataFrame) -> DataFrame:
     """
     first = sets.select("component", "digest", "block", F.explode("prefix").alias("element"))
     places = first.groupBy("component", "element").agg(F.collect_set("block").alias("places")).filter(F.size("places") > 1)
-    met = first.join(places, ["component", "element"]).groupBy("digest").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
+    # an element that a third of all sets have is met in as many places as there are salts
+    salted = places.withColumn("salt", F.explode(F.array(*[F.lit(k) for k in range(SALTS)])))
+    first = first.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALTS)).cast("int"))
+    met = first.join(salted, ["component", "element", "salt"]).groupBy("digest").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
     other = F.explode(F.array_union(F.array("block"), F.coalesce("places", F.array().cast("array<int>"))))
     found = sets.join(met, "digest", "left").select("component", "block", "digest", "shingles", other.alias("other"))
     return found.select("component", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "digest", "shingles")
