@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, decontaminate, htmltext, langid, lm, mixing, neardups, substrings, tokens, topk, urls
+from . import audio, decontaminate, htmltext, langid, lm, merkle, mixing, neardups, substrings, tokens, topk, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,8 +22,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_mpeg_audio": audio.op9_mpeg_audio,
         "op10_token_counts": tokens.op10_token_counts,
         "op11_top_matches": topk.op11_top_matches,
+        "op13_merkle_manifest": merkle.op13_merkle_manifest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_rules": urls.OP3_SQL, "op6_substring_dedup": substrings.OP6_SQL, "op7_near_duplicates": neardups.OP7_SQL, "op8_katz_scores": lm.OP8_SQL, "op11_top_matches": topk.OP11_SQL}
+    return {"op3_url_rules": urls.OP3_SQL, "op6_substring_dedup": substrings.OP6_SQL, "op7_near_duplicates": neardups.OP7_SQL, "op8_katz_scores": lm.OP8_SQL, "op11_top_matches": topk.OP11_SQL, "op13_merkle_manifest": merkle.OP13_SQL}
