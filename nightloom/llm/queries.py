@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, decontaminate, htmltext, langid, lm, merkle, mixing, neardups, substrings, tokens, topk, urls
+from . import audio, decontaminate, htmltext, langid, lm, merkle, mixing, neardups, periods, substrings, tokens, topk, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_mpeg_audio": audio.op9_mpeg_audio,
         "op10_token_counts": tokens.op10_token_counts,
         "op11_top_matches": topk.op11_top_matches,
+        "op12_periodic_runs": periods.op12_periodic_runs,
         "op13_merkle_manifest": merkle.op13_merkle_manifest,
     }
 
