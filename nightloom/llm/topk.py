@@ -98,7 +98,7 @@ def top_matches(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str
     each = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     spread = lambda count, salt: F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(count)).cast("int")
     candidates = rows.select("id", "row", "v", spread(blocks, 0).alias("block"), each(query_blocks).alias("visitors"))
-    queries = rows.filter("q").select("id", "row", "v", spread(query_blocks, 1).alias("visitors"), each(blocks).alias("block"))
+    queries = rows.filter("q").select(F.col("id").alias("query_id"), F.col("row").alias("query"), F.col("v").alias("wanted"), spread(query_blocks, 1).alias("visitors"), each(blocks).alias("block"))
 
     def search(left, right):
         import pyarrow as pa
@@ -109,7 +109,7 @@ def top_matches(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str
             lists = SortedLists(left["id"].fill_null(np.iinfo(np.int64).max).to_numpy(), rows, unpacked(left["v"]))
             missing = set(rows[unnamed].tolist())
             where = {r: i for i, r in enumerate(lists.rows.tolist())}
-            for query_id, row, v in zip(right["id"].to_pylist(), right["row"].to_pylist(), unpacked(right["v"]), strict=True):
+            for query_id, row, v in zip(right["query_id"].to_pylist(), right["query"].to_pylist(), unpacked(right["wanted"]), strict=True):
                 places, scores, _ = lists.top(v, k, where.get(row))
                 out += [(row, query_id, None if int(lists.rows[p]) in missing else int(lists.ids[p]), int(s), int(lists.rows[p])) for p, s in zip(places, scores, strict=True)]
         columns = list(zip(*out, strict=True)) or [[]] * 5

@@ -20,6 +20,8 @@ COLUMNS = {
     "op8_katz_scores": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"},
     "op9_mpeg_audio": {"doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"},
     "op10_token_counts": {"doc_id", "n_bytes", "n_tokens", "over_limit"},
+    "op12_periodic_runs": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"},
+    "op13_merkle_manifest": {"doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"},
 }
 
 
