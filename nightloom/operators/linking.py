@@ -2,86 +2,104 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-from itertools import chain
-
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.sky import angle_diff, separation
-from .graph import connected_components
+from .graph import connected_components, cut_lineage
 from .numbering import numbered
-from .skyjoin import sized_sky_join, sky_join
+from .skyjoin import leveled_sky_join, spans
 
 
-def link_tracklets(tracklets: DataFrame, max_ra_accel: float, max_dec_accel: float, pred_thresh: float, fit_thresh: float, min_support: int = 3, max_days: float = 20.0, max_speed: float = 1.0) -> DataFrame:
-    """(track_key, tracklet_ids, n, residual): tracklets of several nights on one quadratic motion.
+def model_pairs(tracklets: DataFrame, max_ra_accel: float, max_dec_accel: float, pred_thresh: float, max_days: float, max_speed: float) -> DataFrame:
+    """Pairs of tracklets of different nights that one motion of bounded acceleration can join: the first one's state and the acceleration.
 
-    ``tracklets`` has tracklet_id, t, ra, dec, va, vd (middle epoch, position, degrees a day). Two model tracklets of different nights with
-    a bounded acceleration between them predict positions; tracklets within ``pred_thresh`` (degrees) support the
-    pair, one per night, nearest first. Tracks of ``min_support`` or more whose quadratic fit leaves less than ``fit_thresh`` stay, without subsets.
+    The join is in position and velocity. Both tracklets of a pair, carried by their own motion to the middle between their nights, must lie where the other is, and their
+    velocities differ by what the acceleration allows; so a bucket is a pair of nights, a cell in RA and Dec and one in the two rates, each a few tolerances wide. How fast other tracklets
+    are does not matter: a false one of any speed only has buckets of its own.
     """
+    frac = F.col("t") - F.floor("t")
+    low, high = tracklets.agg(F.min(frac), F.max(frac)).first()
+    middle, spread = ((low or 0.0) + (high or 0.0)) / 2, ((high or 0.0) - (low or 0.0)) / 2
     t = tracklets.withColumn("night", F.floor("t"))
-    a = t.select(*[F.col(c).alias(f"a_{c}") for c in ("tracklet_id", "t", "ra", "dec", "va", "vd", "night")])
-    b = t.select(*[F.col(c).alias(f"b_{c}") for c in ("tracklet_id", "t", "ra", "dec", "va", "vd", "night")])
-    # each tracklet meets those of a later night where its own motion puts it, give or take what the bounds on acceleration and misses leave
-    nights = t.groupBy("night").agg(F.avg("t").alias("night_t"), F.min("t").alias("first"), F.max("t").alias("last"))  # a row a night
-    fastest = t.agg(F.max(F.hypot("va", "vd"))).first()[0] or 0.0
-    spread = nights.agg(F.max(F.greatest(F.col("last") - F.col("night_t"), F.col("night_t") - F.col("first")))).first()[0] or 0.0
     gaps = F.explode(F.sequence(F.lit(1), F.lit(int(max_days) + 1))).alias("gap")
-    later = a.select("*", gaps).withColumn("b_night", F.col("a_night") + F.col("gap")).join(nights.select(F.col("night").alias("b_night"), "night_t"), "b_night")
-    ahead = F.col("night_t") - F.col("a_t")
-    later = later.withColumn("x_ra", F.pmod(F.col("a_ra") + F.col("a_va") * ahead, F.lit(360.0))).withColumn("x_dec", F.col("a_dec") + F.col("a_vd") * ahead).drop("night_t")
-    reach = (F.pow(F.col("gap") + 1, 2) / 2 * math.hypot(max_ra_accel, max_dec_accel)) + 4 * math.sqrt(2) * pred_thresh + fastest * spread
-    near = sized_sky_join(b.select("*", gaps), later, reach, ("b_ra", "b_dec"), ("x_ra", "x_dec"), ("b_night", "gap"))
+    longest = F.least(F.col("gap") + 2 * spread, F.lit(float(max_days)))
+    tolerance = [4 * pred_thresh + acc * longest * spread + 1e-9 for acc in (max_ra_accel, max_dec_accel)]
+    drift = [acc * longest + 1e-9 for acc in (max_ra_accel, max_dec_accel)]
+    around = F.greatest(F.lit(1), F.floor(360.0 / (4 * tolerance[0])))  # cells around the sky
+    wide = 360.0 / around
+
+    def side(name: str, sign: int) -> DataFrame:
+        """One row per gap of nights, with where the tracklet is half-way there."""
+        at = F.col(f"{name}_night") + middle + sign * F.col("gap") / 2 - F.col(f"{name}_t")
+        d = t.select(*[F.col(c).alias(f"{name}_{c}") for c in ("tracklet_id", "t", "ra", "dec", "va", "vd", "night")]).select("*", gaps)
+        return d.withColumns({f"{name}_x": F.pmod(F.col(f"{name}_ra") + F.col(f"{name}_va") * at, F.lit(360.0)), f"{name}_y": F.col(f"{name}_dec") + F.col(f"{name}_vd") * at})
+
+    a = side("a", 1).withColumns({"b_night": F.col("a_night") + F.col("gap"), "_ra": F.pmod(F.floor(F.col("a_x") / wide), around), "_dec": F.floor(F.col("a_y") / (4 * tolerance[1])), "_va": F.floor(F.col("a_va") / (4 * drift[0])), "_vd": F.floor(F.col("a_vd") / (4 * drift[1]))})
+    b = side("b", -1).withColumn("_ra", F.explode(F.array_distinct(F.transform(spans(F.col("b_x"), tolerance[0], wide), lambda c: F.pmod(c, around)))))
+    for name, value, reach in (("_dec", "b_y", tolerance[1]), ("_va", "b_va", drift[0]), ("_vd", "b_vd", drift[1])):
+        b = b.withColumn(name, F.explode(spans(F.col(value), reach, 4 * reach)))
+    near = a.join(b, ["b_night", "gap", "_ra", "_dec", "_va", "_vd"])
     dt = F.col("b_t") - F.col("a_t")
     near = near.filter((dt <= max_days) & (separation(F.col("a_ra"), F.col("a_dec"), F.col("b_ra"), F.col("b_dec")) <= max_speed * max_days))
     ra_acc, dec_acc = F.try_divide(F.col("b_va") - F.col("a_va"), dt), F.try_divide(F.col("b_vd") - F.col("a_vd"), dt)
     miss_ra = angle_diff(F.col("b_ra"), F.col("a_ra")) - (F.col("a_va") + F.col("b_va")) / 2 * dt
     miss_dec = F.col("b_dec") - F.col("a_dec") - (F.col("a_vd") + F.col("b_vd")) / 2 * dt
-    pair = near.filter((F.abs(ra_acc) <= max_ra_accel) & (F.abs(dec_acc) <= max_dec_accel) & (F.abs(miss_ra) <= pred_thresh * 4) & (F.abs(miss_dec) <= pred_thresh * 4)).select(
-        F.xxhash64("a_tracklet_id", "b_tracklet_id").alias("pair"), "a_t", "a_ra", "a_dec", "a_va", "a_vd", "b_t", ra_acc.alias("ra_acc"), dec_acc.alias("dec_acc"), F.col("a_tracklet_id").alias("ta"), F.col("b_tracklet_id").alias("tb")
-    )
-    span = pair.withColumn("night", F.explode(F.sequence(F.floor("a_t"), F.floor("b_t")))).join(nights.select("night", "night_t"), "night")
+    return near.filter((F.abs(ra_acc) <= max_ra_accel) & (F.abs(dec_acc) <= max_dec_accel) & (F.abs(miss_ra) <= pred_thresh * 4) & (F.abs(miss_dec) <= pred_thresh * 4)).select(
+        F.xxhash64("a_tracklet_id", "b_tracklet_id").alias("pair"), "a_t", "a_ra", "a_dec", "a_va", "a_vd", "b_t", ra_acc.alias("ra_acc"), dec_acc.alias("dec_acc"), F.col("a_tracklet_id").alias("ta"), F.col("b_tracklet_id").alias("tb"),
+        F.lit(middle).alias("middle"), (spread * F.hypot(F.abs("a_va") + max_ra_accel * dt, F.abs("a_vd") + max_dec_accel * dt)).alias("strays"),
+    )
+
+
+def quadratic_misfit(n: Column, x: list[Column], y: list[Column]) -> Column:
+    """The sum of squares that a quadratic in x leaves of y, from the sums of x, x^2, x^3, x^4 and of y, xy, x^2 y, y^2 over n points.
+
+    1, x less its mean, and x^2 less what those two have of it are orthogonal, so each takes its part off the squares.
+    """
+    m = x[0] / n
+    c2, c3 = x[1] - n * m * m, x[2] - 3 * m * x[1] + 2 * n * m * m * m
+    c4 = x[3] - 4 * m * x[2] + 6 * m * m * x[1] - 3 * n * m * m * m * m
+    lean, level = F.try_divide(c3, c2), c2 / n
+    first, square = y[1] - m * y[0], y[2] - 2 * m * y[1] + m * m * y[0]
+    second, size = square - lean * first - level * y[0], c4 - lean * c3 - level * c2
+    taken = F.when(n > 1, F.coalesce(F.try_divide(first * first, c2), F.lit(0.0))).otherwise(0.0) + F.when(n > 2, F.coalesce(F.try_divide(second * second, size), F.lit(0.0))).otherwise(0.0)
+    return F.greatest(F.lit(0.0), y[3] - y[0] * y[0] / n - taken)
+
+
+def link_tracklets(tracklets: DataFrame, max_ra_accel: float, max_dec_accel: float, pred_thresh: float, fit_thresh: float, min_support: int = 3, max_days: float = 20.0, max_speed: float = 1.0) -> DataFrame:
+    """(track_key, tracklet_ids, n, residual): tracklets of several nights on one quadratic motion.
+
+    ``tracklets`` has tracklet_id, t, ra, dec, va, vd (middle epoch, position, degrees a day). Two model tracklets of different nights with
+    a bounded acceleration between them (:func:`model_pairs`) predict positions; tracklets within ``pred_thresh`` (degrees) support the
+    pair, one per night, the pair's own first, then the nearest. Tracks of ``min_support`` or more whose quadratic fit leaves less than ``fit_thresh`` stay, without subsets.
+
+    A night's supporters are looked for around the prediction for its middle, within the threshold and what the pair's own motion strays from there in a night, on cells of that size. The fit is one of
+    sums over a track's tracklets, a handful, so all of it is joins and aggregates.
+    """
+    pair = cut_lineage(model_pairs(tracklets, max_ra_accel, max_dec_accel, pred_thresh, max_days, max_speed))
     at = lambda p, v, acc, x: F.col(p) + F.col(v) * x + F.col(acc) * x * x / 2
-    x = F.col("night_t") - F.col("a_t")
-    guess = span.withColumn("p_ra", F.pmod(at("a_ra", "a_va", "ra_acc", x), F.lit(360.0))).withColumn("p_dec", at("a_dec", "a_vd", "dec_acc", x))
-    slack = pred_thresh + (fastest + math.hypot(max_ra_accel, max_dec_accel) * max_days) * spread
-    support = sky_join(t.select(F.col("tracklet_id").alias("ts"), "t", "ra", "dec", "night"), guess, slack, ("ra", "dec"), ("p_ra", "p_dec"), ("night",))
+    span = pair.withColumn("night", F.explode(F.sequence(F.floor("a_t"), F.floor("b_t"))))
+    x = F.col("night") + F.col("middle") - F.col("a_t")
+    guess = span.withColumns({"p_ra": F.pmod(at("a_ra", "a_va", "ra_acc", x), F.lit(360.0)), "p_dec": at("a_dec", "a_vd", "dec_acc", x), "reach": F.col("strays") + pred_thresh})
+    t = tracklets.select(F.col("tracklet_id").alias("ts"), "t", "ra", "dec", F.floor("t").alias("night"))
+    support = leveled_sky_join(t, guess, "reach", ("ra", "dec"), ("p_ra", "p_dec"), ("night",))
     y = F.col("t") - F.col("a_t")
-    exact = separation(F.col("ra"), F.col("dec"), F.pmod(at("a_ra", "a_va", "ra_acc", y), F.lit(360.0)), at("a_dec", "a_vd", "dec_acc", y))
+    ra, dec = F.pmod(at("a_ra", "a_va", "ra_acc", y), F.lit(360.0)), at("a_dec", "a_vd", "dec_acc", y)
     own = F.when((F.col("ts") == F.col("ta")) | (F.col("ts") == F.col("tb")), 0).otherwise(1)
-    best = support.withColumn("_d", exact).filter(F.col("_d") <= pred_thresh).groupBy("pair", "night").agg(F.min(F.struct(own.alias("o"), "_d", "ts", "t", "ra", "dec")).alias("m"))
-    kept = best.select("pair", F.col("m.ts").alias("ts"), F.col("m.t").alias("t"), F.col("m.ra").alias("ra"), F.col("m.dec").alias("dec"))
-    many = kept.groupBy("pair").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("ts")).alias("tracklet_ids")).filter(F.col("n") >= min_support)
-    first = many.groupBy("tracklet_ids").agg(F.min("pair").alias("pair"), F.max("n").alias("n"))
-
-    def off_line(t: np.ndarray, ra: np.ndarray, dec: np.ndarray) -> float:
-        x, ra, dec = t - t[0], np.unwrap(np.radians(ra)), np.radians(dec)
-        degree = min(2, len(x) - 1)
-        off = sum(np.mean(((v - np.polyval(np.polyfit(x, v, degree), x)) * s) ** 2) for v, s in ((ra, np.cos(dec.mean())), (dec, 1.0)))
-        return float(np.degrees(np.sqrt(off)))
-
-    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Residuals of pairs whose rows lie together, in order of time; a pair may go on in the next batch."""
-        held = None
-        for batch in chain(batches, (None,)):
-            rows = held if batch is None else batch if held is None else pd.concat([held, batch], ignore_index=True)
-            if rows is None or not len(rows):
-                continue
-            pairs, t, ra, dec = (rows[c].to_numpy() for c in ("pair", "t", "ra", "dec"))
-            bounds = [0, *(np.flatnonzero(pairs[1:] != pairs[:-1]) + 1).tolist(), len(pairs)]
-            held = None if batch is None else rows.iloc[bounds[-2] :]
-            spans = list(zip(bounds, bounds[1:], strict=False))[: None if batch is None else -1]
-            yield pd.DataFrame({"pair": [int(pairs[a]) for a, _ in spans], "residual": [off_line(t[a:z], ra[a:z], dec[a:z]) for a, z in spans]})
-
-    rows = kept.join(first.select("pair"), "pair", "left_semi").select("pair", "t", "ra", "dec")
-    fitted = rows.repartition("pair").sortWithinPartitions("pair", "t").mapInPandas(fit, "pair bigint, residual double")
-    tracks = first.join(fitted.filter(F.col("residual") < fit_thresh), "pair").withColumnRenamed("pair", "track_key")
+    support = support.select("pair", "night", "ts", "dec", own.alias("o"), separation(F.col("ra"), F.col("dec"), ra, dec).alias("_d"), y.alias("x"), angle_diff(F.col("ra"), ra).alias("off_ra"), (F.col("dec") - dec).alias("off_dec"))
+    best = support.filter(F.col("_d") <= pred_thresh).groupBy("pair", "night").agg(F.min(F.struct("o", "_d", "ts", "x", "off_ra", "off_dec", "dec")).alias("m"))
+    # deviations from the pair's own quadratic leave the same after a fit as positions do
+    m = best.select("pair", "m.*")
+    sums = {f"x{k}": F.sum(F.pow("x", k)) for k in (1, 2, 3, 4)}
+    for name in ("ra", "dec"):
+        off = F.col(f"off_{name}")
+        sums |= {f"{name}0": F.sum(off), f"{name}1": F.sum(F.col("x") * off), f"{name}2": F.sum(F.col("x") * F.col("x") * off), f"{name}3": F.sum(off * off)}
+    many = m.groupBy("pair").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("ts")).alias("tracklet_ids"), F.avg("dec").alias("dec"), *[v.alias(k) for k, v in sums.items()]).filter(F.col("n") >= min_support)
+    misfit = lambda name: quadratic_misfit(F.col("n"), [F.col(f"x{k}") for k in (1, 2, 3, 4)], [F.col(f"{name}{k}") for k in range(4)]) / F.col("n")
+    fitted = many.withColumn("residual", F.sqrt(misfit("ra") * F.pow(F.cos(F.radians("dec")), 2) + misfit("dec"))).filter(F.col("residual") < fit_thresh)
+    tracks = fitted.groupBy("tracklet_ids").agg(F.min(F.struct(F.col("pair").alias("track_key"), "residual")).alias("m"), F.max("n").alias("n")).select("m.track_key", "tracklet_ids", "n", "m.residual")
     from .tracklets import drop_subsets
 
     return drop_subsets(tracks, "track_key", "tracklet_ids").select("track_key", "tracklet_ids", "n", "residual")

@@ -66,3 +66,30 @@ def sized_sky_join(left: DataFrame, right: DataFrame, radius: Column, left_pos:
     size = F.greatest(2 * F.sin(F.radians(F.least(radius, F.lit(180.0))) / 2) * (1 + 1e-9), F.lit(1e-9))
     joined = with_cell(left, *left_pos, size).join(with_neighbour_cells(right, *right_pos, size), [*on, "_cx", "_cy", "_cz"])
     return joined.withColumn("distance", separation(F.col(left_pos[0]), F.col(left_pos[1]), F.col(right_pos[0]), F.col(right_pos[1]))).filter(F.col("distance") <= radius).drop("_cx", "_cy", "_cz")
+
+
+def spans(x: Column, reach: float | Column, size: float | Column) -> Column:
+    """The cells of ``size`` that ``x`` give or take ``reach`` touches: one or two where cells are at least twice as wide as the reach."""
+    return F.sequence(F.floor((x - reach) / size).cast("bigint"), F.floor((x + reach) / size).cast("bigint"))
+
+
+LEAST_LEVEL, LARGEST_LEVEL = -30, 1
+
+
+def leveled_sky_join(left: DataFrame, right: DataFrame, radius: str, left_pos: tuple[str, str], right_pos: tuple[str, str], on: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs within the ``radius`` (degrees) of each row of ``right``, with ``distance``; columns of the two sides must differ but for ``on``.
+
+    Cells come in levels, each twice as wide as the one below. A row of ``right`` is joined at the level of its own radius and repeated for the few cells in reach there; ``left`` rows have
+    one cell at each level that occurs, at most 32. So a wide search does not widen the cells of narrow ones. Null positions and radii match nothing.
+    """
+    chord = 2 * F.sin(F.radians(F.greatest(F.lit(0.0), F.least(F.col(radius), F.lit(180.0)))) / 2) * (1 + 1e-9)
+    level = F.greatest(F.lit(LEAST_LEVEL), F.ceil(F.log2(F.greatest(chord, F.lit(2.0**LEAST_LEVEL))))).cast("int")
+    b = right.filter(F.col(radius).isNotNull() & (F.col(radius) >= 0)).withColumn("_level", level)
+    levels = sorted(r["_level"] for r in b.select("_level").distinct().collect() if r["_level"] is not None)  # at most 32
+    size = F.pow(F.lit(2.0), F.col("_level") + 1)
+    a = with_cell(left.withColumn("_level", F.explode(F.array(*[F.lit(k) for k in levels]).cast("array<int>"))), *left_pos, size)
+    ra, dec = (F.radians(F.col(c)) for c in right_pos)
+    for name, x in (("_cx", F.cos(dec) * F.cos(ra)), ("_cy", F.cos(dec) * F.sin(ra)), ("_cz", F.sin(dec))):
+        b = b.withColumn(name, F.explode(spans(x, chord, size)))
+    joined = a.join(b, [*on, "_level", "_cx", "_cy", "_cz"]).withColumn("distance", separation(F.col(left_pos[0]), F.col(left_pos[1]), F.col(right_pos[0]), F.col(right_pos[1])))
+    return joined.filter(F.col("distance") <= F.col(radius)).drop("_level", "_cx", "_cy", "_cz")

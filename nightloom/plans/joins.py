@@ -112,25 +112,31 @@ WITH t AS (SELECT field_id AS target_id, epoch_mjd AS tm, ra_deg AS tr, dec_deg
 SELECT target_id, tracklet_id FROM j WHERE gap<=5e-1*dt AND vel_tot*13e-1*dt>=gap""")
 
 
-def _whole_sky(v, nights):
-    """Tracklets of all objects on some nights, each object with a place and motion of its own."""
-    x = C("k") + 0.45
-    base = v.ssm.select("ssm_id", F.pmod(C("ssm_id") * 137.50776405, F.lit(360.0)).alias("r"), (F.pmod(C("ssm_id") * 0.7548776662, F.lit(1.0)) * 100 - 50).alias("d"), F.explode(F.array(*[F.lit(k) for k in nights])).alias("k"))
-    va, aa, vd = (C("ssm_id") * 7919 % 1009 - 504) / 3400.0, (C("ssm_id") % 201 - 100) / 200000.0, (C("ssm_id") * 104729 % 997 - 498) / 6200.0
-    return base.select((C("ssm_id") * 10 + C("k")).alias("tracklet_id"), (55000.0 + x).alias("t"), F.pmod(C("r") + va * x + aa * x * x, F.lit(360.0)).alias("ra"), (C("d") + vd * x).alias("dec"), (va + 2 * aa * x).alias("va"), vd.alias("vd"))
-
-
-def _linked(v, nights, max_days):
-    return l.link_tracklets(_whole_sky(v, nights), 0.01, 0.01, 0.02, 0.002, 3, max_days, 0.4).select(F.array_join(F.col("tracklet_ids").cast("array<string>"), ",").alias("ids"), C("n").cast("bigint").alias("n"))
-
-
-def _ids_of(nights):
-    return "SELECT " + " || ',' || ".join(f"CAST(ssm_id*10+{k} AS VARCHAR)" for k in nights) + f" AS ids, CAST({len(nights)} AS BIGINT) AS n FROM ssm"
-
-
-# Four nights, so that every three of them make a track that lies in the whole one.
-R.add("j9_link_tracklets", lambda v: _linked(v, (0, 3, 6, 9), 12.0), _ids_of((0, 3, 6, 9)))
-R.add("j9_link_tracklets_all", lambda v: _linked(v, (0, 3, 6), 10.0), _ids_of((0, 3, 6)))
+def _linked(tracklets, max_days):
+    return l.link_tracklets(tracklets, 0.01, 0.01, 0.02, 0.002, 3, max_days, 0.4).select(F.array_join(F.col("tracklet_ids").cast("array<string>"), ",").alias("ids"), C("n").cast("bigint").alias("n"))
+
+
+def _linking(source, max_days):
+    """Linking as SQL: all pairs of nights, the nearest supporter per night, and a fit of each track by polynomials that are orthogonal on its times."""
+    at = lambda p, v, acc: f"{p}+{v}*(s.t-a_t)+{acc}*(s.t-a_t)*(s.t-a_t)/2"
+    ra, dec = at("a_ra", "a_va", "ca"), at("a_dec", "a_vd", "cd")
+    return f"""
+WITH m AS MATERIALIZED ({source}), t AS MATERIALIZED (SELECT *, CAST(floor(t) AS BIGINT) AS night FROM m),
+p AS MATERIALIZED (SELECT * FROM (SELECT a.tracklet_id AS ta, b.tracklet_id AS tb, a.night AS a_night, b.night AS b_night, a.t AS a_t, a.ra AS a_ra, a.dec AS a_dec, a.va AS a_va, a.vd AS a_vd, b.t-a.t AS dt, (b.va-a.va)/(b.t-a.t) AS ca, (b.vd-a.vd)/(b.t-a.t) AS cd,
+  {dang("b.ra", "a.ra")}-(a.va+b.va)/2*(b.t-a.t) AS miss, {sep("a.ra", "a.dec", "b.ra", "b.dec")} AS apart FROM t a JOIN t b ON b.night>a.night AND abs(b.vd-a.vd)<=1e-2*(b.t-a.t) AND abs(b.dec-a.dec-(a.vd+b.vd)/2*(b.t-a.t))<=8e-2 AND abs(b.va-a.va)<=1e-2*(b.t-a.t)) x
+  WHERE dt<={max_days} AND apart<=4e-1*{max_days} AND abs(miss)<=8e-2),
+s AS (SELECT ta, tb, s.night, s.tracklet_id AS ts, CASE WHEN s.tracklet_id IN (ta, tb) THEN 0 ELSE 1 END AS o, {sep("s.ra", "s.dec", ra, dec)} AS d, s.t-a_t AS x, {dang("s.ra", "a_ra")} AS y, s.dec FROM p JOIN t s ON s.night BETWEEN a_night AND b_night AND abs(s.dec-({dec}))<=2e-2),
+k AS (SELECT ta, tb, night, arg_min(struct_pack(ts := ts, x := x, y := y, z := dec), struct_pack(o := o, d := d, ts := ts)) AS w FROM s WHERE d<=2e-2 GROUP BY ta, tb, night),
+u AS (SELECT ta, tb, w.ts, w.x-avg(w.x) OVER g AS u, w.y-avg(w.y) OVER g AS y, w.z-avg(w.z) OVER g AS z, avg(w.z) OVER g AS mid, count(*) OVER g AS n FROM k WINDOW g AS (PARTITION BY ta, tb)),
+q AS (SELECT *, u*u-sum(u*u*u) OVER g/sum(u*u) OVER g*u-sum(u*u) OVER g/n AS q FROM u WHERE n>=3 WINDOW g AS (PARTITION BY ta, tb)),
+e AS (SELECT ta, tb, ts, n, mid, y-sum(y*u) OVER g/sum(u*u) OVER g*u-sum(y*q) OVER g/sum(q*q) OVER g*q AS ey, z-sum(z*u) OVER g/sum(u*u) OVER g*u-sum(z*q) OVER g/sum(q*q) OVER g*q AS ez FROM q WINDOW g AS (PARTITION BY ta, tb)),
+g AS (SELECT DISTINCT list(ts ORDER BY ts) AS ids FROM e GROUP BY ta, tb HAVING sqrt(avg(ey*ey)*pow(cos(radians(min(mid))),2)+avg(ez*ez))<2e-3)
+SELECT array_to_string(ids, ',') AS ids, CAST(len(ids) AS BIGINT) AS n FROM g ANTI JOIN (SELECT i.ids FROM (SELECT ids, ids[1] AS f FROM g) i JOIN (SELECT ids, unnest(ids) AS f FROM g) o ON o.f=i.f AND len(o.ids)>len(i.ids) AND list_has_all(o.ids, i.ids)) x USING (ids)"""
+
+
+# Four nights, so that every three of them make a track that lies in the whole one; then only the first three of them.
+R.add("j9_link_tracklets", lambda v: _linked(v.motions, 12.0), _linking("SELECT * FROM motions", 12))
+R.add("j9_link_tracklets_all", lambda v: _linked(v.motions.filter("t < 55008"), 10.0), _linking("SELECT * FROM motions WHERE t<55008", 10))
 R.add("j10_orbit_field_candidates", lambda v: p.orbit_field_candidates(v.fields, _tracks(v).withColumn("uncertainty", (C("object_id") % 5).cast("double")), 0.1, 0.4, 2.0), f"WITH {_seg} SELECT field_id, object_id, object_id%5<=2 AS certain FROM (SELECT *, {sep('fr', 'fd', 'ra', 'dec')} AS dist FROM h) x WHERE dist <= 15e-1 + CASE WHEN object_id%5<=2 THEN 1e-1 ELSE 4e-1 END")
 
 

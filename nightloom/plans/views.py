@@ -70,6 +70,20 @@ VIEWS: dict[str, str] = {
         FROM movers WHERE e = 0""",
     "submissions": f"""
         SELECT event_id AS sub_id, 'L' || CAST(user_id AS VARCHAR(20)) AS desig, user_id, {pick("ABC", "event_id")} AS survey_group, event_id % 30 AS digest, 55000 + event_id % 90 AS nn, event_type, CAST(event_id % 7 = 0 AS INT) AS is_discovery FROM events""",
+    "paths": """
+        SELECT p_partkey AS id, k, k + 45e-2 + (p_partkey % 31) / 155e0 AS x, p_partkey * 13750776405e-8 AS r, (p_partkey * 7548776662e-10 - floor(p_partkey * 7548776662e-10)) * 100e0 - 50e0 AS d,
+               (p_partkey * 7919 % 1009 - 504) / 3400e0 AS va, (p_partkey % 201 - 100) / 200000e0 AS aa, (p_partkey * 104729 % 997 - 498) / 6200e0 AS vd
+        FROM part JOIN (VALUES (0), (3), (6), (9)) AS n(k) ON p_partkey > 0""",
+    # Tracklets of objects on four nights; some lack a night or two, some have a false one beside a true one, some share their path with another, and false ones lie
+    # anywhere, one of them very fast.
+    "motions": """
+        SELECT tracklet_id, t, ra - 360e0 * floor(ra / 360e0) AS ra, dec, va, vd
+        FROM (SELECT id * 100 + k AS tracklet_id, 55000e0 + x AS t, r + va * x + aa * x * x AS ra, d + vd * x AS dec, va + 2 * aa * x AS va, vd FROM paths WHERE NOT (id % 11 = 3 AND k = 3) AND NOT (id % 13 = 5 AND k IN (3, 6))
+              UNION ALL SELECT id * 100 + 50, 55000e0 + x, r + va * x + aa * x * x, d + vd * x + 15e-3, va + 2 * aa * x, vd FROM paths WHERE id % 17 = 0 AND k = 6
+              UNION ALL SELECT id * 100 + 60, 55000e0 + x, r + 37e0, d * 9e-1 + 3e0, -va, vd + 1e-1 FROM paths WHERE id % 7 = 0 AND k = 3
+              UNION ALL SELECT id * 100 + 65, 55000e0 + x, r + va * x + aa * x * x + 1e0, d + vd * x, va + 2e-1, vd FROM paths WHERE id % 23 = 0 AND k = 9
+              UNION ALL SELECT id * 100 + 70 + k, 55000e0 + x, r + va * x + aa * x * x, d + vd * x + 5e-4, va + 2 * aa * x, vd FROM paths WHERE id % 19 = 0
+              UNION ALL SELECT 7, 550035e-1, 10e0, 10e0, 50e0, 1e0 FROM paths WHERE id = 1 AND k = 3) AS m""",
 }
 ORDER = list(VIEWS)
 
