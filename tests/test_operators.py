@@ -126,6 +126,55 @@ def test_lines(spark, tmp_path):
     assert text.read_obs80(spark, str(tmp_path / "o")).count() == 1
 
 
+def motion(spark, rows):
+    return spark.createDataFrame(rows, "tracklet_id bigint, t double, ra double, dec double, va double, vd double")
+
+
+def test_model_pairs_are_brute_force(spark):
+    """All pairs of bounded acceleration, across RA 0 and whatever the time of night; a very fast tracklet changes nothing for the others."""
+    r = random.Random(11)
+    rows = []
+    for o in range(60):
+        ra, dec, va, vd = r.choice([0.0, 359.9, 120.0]) + r.uniform(-1, 1), r.uniform(-3, 3), r.uniform(-0.4, 0.4), r.uniform(-0.3, 0.3)
+        for night in (0, 1, 4, 9):
+            x = night + r.uniform(0.2, 0.5)
+            rows.append((len(rows), 55000 + x, (ra + va * x + r.uniform(-0.02, 0.02)) % 360, dec + vd * x, va + r.uniform(-0.02, 0.02), vd + r.uniform(-0.01, 0.01)))
+    fast = [(1000, 55002.3, 10.0, 0.0, 50.0, 3.0)]
+    diff = lambda a, b: 180 - (180 - (a - b)) % 360
+    for extra in ([], fast):
+        got = {(x.ta, x.tb) for x in linking.model_pairs(motion(spark, rows + extra), 0.01, 0.02, 0.02, 8.0, 0.5).collect()}
+        want = set()
+        for a in rows + extra:
+            for b in rows + extra:
+                dt = b[1] - a[1]
+                if math.floor(b[1]) > math.floor(a[1]) and dt <= 8 and sep(a[2:4], b[2:4]) <= 4.0:
+                    if abs(b[4] - a[4]) <= 0.01 * dt and abs(b[5] - a[5]) <= 0.02 * dt and abs(diff(b[2], a[2]) - (a[4] + b[4]) / 2 * dt) <= 0.08 and abs(b[3] - a[3] - (a[5] + b[5]) / 2 * dt) <= 0.08:
+                        want.add((a[0], b[0]))
+        assert len(want) > 50 and got == want
+
+
+def test_quadratic_misfit(spark):
+    import numpy as np
+
+    r = random.Random(12)
+    rows = [(k, r.uniform(0, 20), r.uniform(-0.02, 0.02)) for k in range(30) for _ in range(1 + k % 9)]
+    df = spark.createDataFrame(rows, "k int, x double, y double").groupBy("k").agg(F.count("*").alias("n"), *[F.sum(F.pow("x", p)).alias(f"x{p}") for p in (1, 2, 3, 4)], F.sum("y").alias("y0"), F.sum(F.expr("x * y")).alias("y1"), F.sum(F.expr("x * x * y")).alias("y2"), F.sum(F.expr("y * y")).alias("y3"))
+    got = {x.k: x.v for x in df.select("k", linking.quadratic_misfit(F.col("n"), [F.col(f"x{p}") for p in (1, 2, 3, 4)], [F.col(f"y{p}") for p in range(4)]).alias("v")).collect()}
+    for k in range(30):
+        x, y = (np.array([row[c] for row in rows if row[0] == k]) for c in (1, 2))
+        assert got[k] == pytest.approx(float(np.sum((y - np.polyval(np.polyfit(x, y, min(2, len(x) - 1)), x)) ** 2)), abs=1e-12)
+
+
+def test_leveled_join_is_brute_force(spark):
+    """Each query within its own radius, from arcseconds to half the sky."""
+    a, b = points(200, 3), points(90, 4)
+    radius = [(0.001, 0.3, 5.0, 40.0, 170.0, 0.0)[k % 6] for k in range(len(b))]
+    left = spark.createDataFrame([(k, *p) for k, p in enumerate(a)] + [(-1, None, 1.0)], "i int, ra double, dec double")
+    right = spark.createDataFrame([(k, *p, x) for (k, p), x in zip(enumerate(b), radius, strict=True)] + [(-1, 1.0, 1.0, None), (-2, 1.0, 1.0, -3.0), (-3, None, 1.0, 3.0)], "j int, ra2 double, dec2 double, r double")
+    got = sorted((x.i, x.j) for x in skyjoin.leveled_sky_join(left, right, "r", ("ra", "dec"), ("ra2", "dec2")).select("i", "j").collect())
+    assert got == sorted((i, j) for i, p in enumerate(a) for (j, q), x in zip(enumerate(b), radius, strict=True) if sep(p, q) <= x)
+
+
 def test_archive(spark, tmp_path):
     r = random.Random(5)
     rows = [(k, 55000 + k % 2, r.uniform(0, 360), r.uniform(-90, 90)) for k in range(300)] + [(1000, 55000, 359.99, 1.0), (1001, 55000, 0.01, 1.0)]
@@ -135,3 +184,37 @@ def test_archive(spark, tmp_path):
     p = spark.createDataFrame(pos, "position_id int, p_nn int, p_ra double, p_dec double")
     got = {(x.position_id, x.det_id) for x in archive.read_lsd(spark, str(tmp_path / "lsd"), p, 3.0).collect()}
     assert got == {(i, d) for i, nn, ra, dec in pos for d, n, r2, d2 in rows if n == nn and sep((ra, dec), (r2, d2)) <= 3.0}
+
+
+def test_archive_reads_only_what_positions_need(spark, tmp_path):
+    """The reader opens the files that the index names: fewer positions, fewer files; batches without an index are not there."""
+    r = random.Random(6)
+    path = str(tmp_path / "lsd")
+    for part in range(2):
+        rows = [(part * 2000 + k, 55000 + k % 10, r.uniform(0, 360), r.uniform(-80, 80)) for k in range(2000)]
+        archive.write_lsd(spark.createDataFrame(rows, "det_id int, nn int, ra_deg double, dec_deg double").repartition(4), path)
+        every = rows if part == 0 else every + rows
+    archive.with_slice(spark.createDataFrame([(9999, 55000, 10.0, 0.0)], "det_id int, nn int, ra_deg double, dec_deg double")).write.partitionBy("nn").parquet(f"{path}/detections/batch=unfinished")
+    opened = []
+    for n in (1, 5, 60):
+        pos = [(k, 55000 + k % 10, every[k][2], every[k][3]) for k in range(n)] + [(900, 55000, 10.0, 0.0), (901, 12345, 10.0, 0.0)]
+        p = spark.createDataFrame(pos, "position_id int, p_nn int, p_ra double, p_dec double")
+        want = {(i, d) for i, nn, ra, dec in pos for d, m, r2, d2 in every if m == nn and sep((ra, dec), (r2, d2)) <= 0.3}
+        assert {(x.position_id, x.det_id) for x in archive.read_lsd(spark, path, p, 0.3).collect()} == want
+        tiles = archive.tiles_near(spark, path, p, 0.3)[1]
+        rows = archive.read_tiles(spark, path, tiles)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "PushedFilters" in plan and "ra_slice" in plan.split("PushedFilters")[1]
+        opened.append(len(rows.inputFiles()))
+        many = archive.read_tiles(spark, path, tiles, most_files=0)
+        assert {x.det_id for x in rows.collect()} <= {x.det_id for x in many.collect()}
+        assert "nn" in many._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:200]
+    there = len(spark.read.parquet(f"{path}/detections").inputFiles())
+    assert opened[0] < opened[1] < opened[2] <= there and opened[0] <= 3
+
+
+def test_slice_ranges():
+    assert archive.slice_ranges([3]) == [(3, 3)]
+    assert archive.slice_ranges([1, 2, 3, 7, 8, 20]) == [(1, 3), (7, 8), (20, 20)]
+    assert archive.slice_ranges([1, 2, 3, 7, 8, 20], 2) == [(1, 8), (20, 20)]
+    assert archive.slice_ranges([1, 5], 1) == [(1, 5)]
