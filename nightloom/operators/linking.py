@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -172,27 +175,64 @@ def merge_overlaps(tracks: DataFrame, members: DataFrame, least: float, key: str
     return tracks.select(key).join(led.join(head, "component").select(F.col("node").alias(key), F.col("h.node").alias("merged_into")), key, "left").withColumn("merged_into", F.coalesce("merged_into", key))
 
 
-def first_use_only(candidates: DataFrame, members: DataFrame, key: str = "tracklet_id", member: str = "det_id", order: str = "rank") -> DataFrame:
-    """Accept a tracklet only if no earlier accepted one used any of its detections.
+ROUNDS = 8
+
 
-    Tracklets that share detections form components; inside one (a handful) they are taken in order.
+def first_use_only(candidates: DataFrame, members: DataFrame, key: str = "tracklet_id", member: str = "det_id", order: str = "rank", rounds: int = ROUNDS) -> DataFrame:
+    """(key, accepted): a tracklet is accepted only if no earlier accepted one (by ``order``, nulls last, then the key) used any of its detections.
+
+    In rounds, as joins: who ranks first on all its detections is accepted, its rivals are struck, and both leave. Most are settled after one or two. A chain in which each waits for the one before
+    would take a round per link, so what ``rounds`` leave over is streamed: each component's tracklets in their order, through sorted batches, with only the detections in hand that a later tracklet still has.
+    Tracklets without detections are accepted.
     """
-    groups = _conflicts(members, key, member).withColumnRenamed("node", key)
     kind = dict(candidates.dtypes)[key]
-    rows = candidates.select(key, order).join(groups, key, "left").withColumn("component", F.coalesce("component", key)).join(members.groupBy(key).agg(F.array_sort(F.collect_list(member)).alias("m")), key, "left")
-
-    def take(pdf: pd.DataFrame) -> pd.DataFrame:
+    place = F.struct(F.col(order).isNull().alias("last"), F.col(order).alias("o"), F.col(key).alias("k"))
+    live = cut_lineage(members.select(key, F.col(member).alias("m")).distinct().join(candidates.select(key, place.alias("place")), key).select(F.col(key).alias("k"), "place", "m"))
+    settled = []
+    for _ in range(rounds):
+        if live.isEmpty():
+            break
+        first = live.groupBy("m").agg(F.min("place").alias("first"))
+        won = live.join(first, "m").groupBy("k").agg(F.min((F.col("place") == F.col("first")).cast("int")).alias("w")).filter("w = 1").select("k")
+        taken = live.join(won, "k", "left_semi").select("m").distinct()
+        done = live.join(taken, "m", "left_semi").select("k").distinct().join(won.withColumn("accepted", F.lit(True)), "k", "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)))
+        settled.append(cut_lineage(done))
+        live = cut_lineage(live.join(settled[-1], "k", "left_anti"))
+    if not live.isEmpty():
+        settled.append(stream_first_use(live, kind))
+    out = candidates.select(F.col(key).alias("k"))
+    known = reduce(DataFrame.unionByName, settled) if settled else None
+    out = out.withColumn("accepted", F.lit(True)) if known is None else out.join(known, "k", "left").withColumn("accepted", F.coalesce("accepted", F.lit(True)))
+    return out.select(F.col("k").alias(key), "accepted")
+
+
+def stream_first_use(live: DataFrame, kind: str) -> DataFrame:
+    """(k, accepted) of (k, place, m): each component's rows pass one task in order of place, in batches; a detection is forgotten with the last tracklet that has it."""
+    last = live.groupBy("m").agg(F.max("place").alias("end"))
+    low = live.groupBy("m").agg(F.min("k").alias("low"))
+    groups = connected_components(live.join(low, "m").select("k", "low"), "k", "low").select(F.col("node").alias("k"), "component")
+    codes = live.select("m").distinct().withColumn("c", F.xxhash64("m", F.lit("a"))).withColumn("d", F.xxhash64("m", F.lit("b")))  # two hashes name a member whatever its type
+    rows = live.join(last, "m").join(codes, "m").groupBy("k").agg(F.min("place").alias("place"), F.collect_list(F.struct("c", "d", (F.col("place") == F.col("end")).alias("last"))).alias("uses"))
+    rows = rows.join(groups, "k").select("component", "place", "k", "uses")
+
+    def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         used: set = set()
-        out = []
-        for k, m in pdf.sort_values([order, key])[[key, "m"]].itertuples(index=False):
-            mine = set(m) if m is not None else set()
-            ok = not (mine & used)
-            if ok:
-                used |= mine
-            out.append((k, ok))
-        return pd.DataFrame(out, columns=[key, "accepted"])
-
-    return rows.groupBy("component").applyInPandas(take, f"{key} {kind}, accepted boolean")
+        now = None
+        for pdf in batches:
+            ok = []
+            for component, uses in zip(pdf["component"], pdf["uses"], strict=True):
+                if component != now:
+                    now, used = component, set()
+                mine = [(u["c"], u["d"]) for u in uses]
+                free = used.isdisjoint(mine)
+                ok.append(free)
+                if free:
+                    used.update(mine)
+                used.difference_update(x for x, u in zip(mine, uses, strict=True) if u["last"])
+            yield pd.DataFrame({"k": pdf["k"], "accepted": ok})
+
+    ordered = rows.repartition("component").sortWithinPartitions("component", "place").select("component", "k", "uses")
+    return ordered.mapInPandas(take, f"k {kind}, accepted boolean")
 
 
 def identifiable_pairs(objects: DataFrame, queue: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.sky import angle_diff, in_ellipse, separation
-from .skyjoin import sky_join
+from .skyjoin import cell_size, leveled_sky_join, sky_join, spans, with_cell
 
 GAUSS_YEAR = 365.256898
 
@@ -17,11 +17,11 @@ GAUSS_YEAR = 365.256898
 def detection_proximity(data: DataFrame, queries: DataFrame) -> DataFrame:
     """(query_id, det_id): data within each query's own distance, time and brightness thresholds (negative brightness: off).
 
-    ``queries`` has query_id, q_ra, q_dec, q_mjd, q_mag, max_dist, max_dt, max_dmag. Cells are as large as the largest distance asked for.
+    ``queries`` has query_id, q_ra, q_dec, q_mjd, q_mag, max_dist, max_dt, max_dmag. Each query is joined on cells of its own distance's size, so a wide one
+    makes no other wider.
     """
-    widest = queries.agg(F.max("max_dist")).first()[0] or 1e-6
-    near = sky_join(data.select("det_id", "epoch_mjd", "ra_deg", "dec_deg", "mag"), queries, float(widest), ("ra_deg", "dec_deg"), ("q_ra", "q_dec"))
-    ok = (F.col("distance") <= F.col("max_dist")) & (F.abs(F.col("epoch_mjd") - F.col("q_mjd")) <= F.col("max_dt")) & ((F.col("max_dmag") < 0) | (F.abs(F.col("mag") - F.col("q_mag")) <= F.col("max_dmag")))
+    near = leveled_sky_join(data.select("det_id", "epoch_mjd", "ra_deg", "dec_deg", "mag"), queries, "max_dist", ("ra_deg", "dec_deg"), ("q_ra", "q_dec"))
+    ok = (F.abs(F.col("epoch_mjd") - F.col("q_mjd")) <= F.col("max_dt")) & ((F.col("max_dmag") < 0) | (F.abs(F.col("mag") - F.col("q_mag")) <= F.col("max_dmag")))
     return near.filter(ok).select("query_id", "det_id")
 
 
@@ -137,19 +137,36 @@ def compare_predictions(a: DataFrame, b: DataFrame, mapping: DataFrame) -> DataF
     return j.select("a_id", "b_id", "field_id", angle_diff(F.col("a_ra_deg"), F.col("b_ra_deg")).alias("dra"), (F.col("a_dec_deg") - F.col("b_dec_deg")).alias("ddec"), (F.col("a_epoch_mjd") - F.col("b_epoch_mjd")).alias("dt"), (F.col("a_mag") - F.col("b_mag")).alias("dmag"), separation(F.col("a_ra_deg"), F.col("a_dec_deg"), F.col("b_ra_deg"), F.col("b_dec_deg")).alias("distance"))
 
 
+def fields_in_cone(targets: DataFrame, fields: DataFrame, max_speed: float, max_days: float) -> DataFrame:
+    """(target_id, field_id, dt, gap): earlier fields that motion at ``max_speed`` could have left for a target, ``gap`` degrees apart.
+
+    The radius of the search grows with the time looked back, so that is cut into steps, each half as long ago as the one before, down to the time in which nothing moves by more than the fields are wide. A step
+    has buckets of time and sky cells of its own size: a target meets what was near it then, however many years of fields there are. ``gap`` is the distance less both radii.
+    """
+    wide = (fields.agg(F.max("fov_deg")).first()[0] or 0.0) / 2 + (targets.agg(F.max("t_radius")).first()[0] or 0.0)
+    steps = max(0, min(20, math.ceil(math.log2(max(1.0, max_speed * max_days / max(wide, 1e-6))))))
+    bounds = [(max_days / 2 ** (k + 1) if k < steps else 0.0, max_days / 2**k) for k in range(steps + 1)]
+    step = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(low).alias("low"), F.lit(high).alias("high"), F.lit(cell_size(min(180.0, max_speed * high + wide))).alias("chord")) for k, (low, high) in enumerate(bounds)]))
+    f = fields.select("field_id", "epoch_mjd", "ra_deg", "dec_deg", (F.col("fov_deg") / 2).alias("f_radius"), step.alias("_s")).withColumn("_bucket", F.floor(F.col("epoch_mjd") / F.col("_s.high")))
+    f = with_cell(f, "ra_deg", "dec_deg", 2 * F.col("_s.chord")).withColumn("_k", F.col("_s.k")).drop("_s")
+    t = targets.select("*", step.alias("_s")).withColumn("_bucket", F.explode(F.sequence(F.floor((F.col("t_mjd") - F.col("_s.high")) / F.col("_s.high")), F.floor((F.col("t_mjd") - F.col("_s.low")) / F.col("_s.high")))))
+    ra, dec = F.radians("t_ra"), F.radians("t_dec")
+    for name, x in (("_cx", F.cos(dec) * F.cos(ra)), ("_cy", F.cos(dec) * F.sin(ra)), ("_cz", F.sin(dec))):
+        t = t.withColumn(name, F.explode(spans(x, F.col("_s.chord"), 2 * F.col("_s.chord"))))
+    t = t.select("*", F.col("_s.k").alias("_k"), F.col("_s.low").alias("_low"), F.col("_s.high").alias("_high")).drop("_s")
+    met = f.join(t, ["_k", "_bucket", "_cx", "_cy", "_cz"]).withColumn("dt", F.col("t_mjd") - F.col("epoch_mjd")).filter((F.col("dt") > F.col("_low")) & (F.col("dt") <= F.col("_high")))
+    apart = separation(F.col("t_ra"), F.col("t_dec"), F.col("ra_deg"), F.col("dec_deg")) - F.col("f_radius") - F.col("t_radius")
+    return met.withColumn("gap", F.greatest(F.lit(0.0), apart)).filter(F.col("gap") <= max_speed * F.col("dt")).select("target_id", "field_id", "dt", "gap")
+
+
 def linkable_detracklets(targets: DataFrame, fields: DataFrame, tracklets: DataFrame, max_speed: float, max_days: float, slack: float = 1.3) -> DataFrame:
     """(target_id, tracklet_id): unattributed tracklets of earlier fields that could have moved into a target field.
 
-    ``targets`` has target_id, t_mjd, t_ra, t_dec, t_radius. Earlier fields meet targets on cells as wide as the motion in
-    ``max_days`` plus both radii; the tracklet's own speed times the slack must then cover the gap.
+    ``targets`` has target_id, t_mjd, t_ra, t_dec, t_radius. Of the fields within reach (:func:`fields_in_cone`) those tracklets count whose own speed
+    times the slack covers the gap.
     """
-    reach = max_speed * max_days + 2 * float(fields.agg(F.max("fov_deg")).first()[0] or 0)
-    f = fields.select("field_id", "epoch_mjd", "ra_deg", "dec_deg", (F.col("fov_deg") / 2).alias("f_radius"))
-    near = sky_join(f, targets, reach, ("ra_deg", "dec_deg"), ("t_ra", "t_dec")).withColumn("_dt", F.col("t_mjd") - F.col("epoch_mjd")).filter((F.col("_dt") > 0) & (F.col("_dt") <= max_days))
-    gap = F.greatest(F.lit(0.0), F.col("distance") - F.col("f_radius") - F.col("t_radius"))
-    able = near.withColumn("_gap", gap).filter(F.col("_gap") <= max_speed * F.col("_dt"))
     free = tracklets.filter("status = 'U'").select("tracklet_id", "field_id", "vel_tot")
-    return able.join(free, "field_id").filter(F.col("vel_tot") * slack * F.col("_dt") >= F.col("_gap")).select("target_id", "tracklet_id")
+    return fields_in_cone(targets, fields, max_speed, max_days).join(free, "field_id").filter(F.col("vel_tot") * slack * F.col("dt") >= F.col("gap")).select("target_id", "tracklet_id")
 
 
 def lsd_tracklets(predictions: DataFrame, dets: DataFrame, used: DataFrame, radius: float, cutoff: float, least: int = 2) -> DataFrame:

@@ -105,11 +105,50 @@ def test_arbitration(spark):
     assert got == {1: True, 2: False, 3: False, 4: False, 5: True}
 
 
-def test_first_use(spark):
-    c = spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "tracklet_id int, rank int")
-    m = spark.createDataFrame([(1, 10), (2, 10), (2, 20), (3, 20)], "tracklet_id int, det_id int")
-    got = {r.tracklet_id: r.accepted for r in linking.first_use_only(c, m).collect()}
-    assert got == {1: True, 2: False, 3: True}
+def first_uses(c, m):
+    used, out = set(), {}
+    of = {}
+    for k, d in m:
+        of.setdefault(k, set()).add(d)
+    for k, rank in sorted(c, key=lambda x: (x[1] is None, x[1] or 0, x[0])):
+        out[k] = not (of.get(k, set()) & used)
+        if out[k]:
+            used |= of.get(k, set())
+    return out
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 8])
+def test_first_use_is_greedy(spark, rounds):
+    r = random.Random(9)
+    c = [(k, r.choice([None, 1, 2, 3, 50, r.randint(0, 99)])) for k in range(300)] + [(1000 + k, 1000 + k) for k in range(60)]
+    m = [(k, r.randint(0, 250)) for k in range(290) for _ in range(r.randint(0, 4))] + [(1000 + k, 5000 + k + d) for k in range(60) for d in (0, 1)] + [(7777, 5), (7777, 5020)]
+    cd, md = spark.createDataFrame(c, "tracklet_id bigint, rank int"), spark.createDataFrame(m + m[:20], "tracklet_id bigint, det_id bigint")
+    assert {x.tracklet_id: x.accepted for x in linking.first_use_only(cd, md, rounds=rounds).collect()} == first_uses(c, m)
+
+
+def test_first_use_of_a_long_chain(spark):
+    """Each waits for the one before: the rounds settle its ends, the rest is streamed."""
+    n = 100_000
+    c = spark.range(n).select(F.col("id").alias("tracklet_id"), F.col("id").alias("rank"))
+    m = spark.range(n).select(F.col("id").alias("tracklet_id"), F.explode(F.array("id", F.expr("id + 1"))).alias("det_id"))
+    got = linking.first_use_only(c, m, rounds=2)
+    assert tuple(got.agg(F.count("*"), F.sum(F.col("accepted").cast("int")), F.sum((F.col("accepted") == (F.col("tracklet_id") % 2 == 0)).cast("int"))).first()) == (n, n // 2, n)
+
+
+def test_fields_in_cone_are_brute_force(spark):
+    from nightloom.operators import proximity
+
+    r = random.Random(10)
+    fields = [(k, 55000 + r.uniform(0, 40), *p, r.choice([1.0, 3.0])) for k, p in enumerate(points(250, 7))]
+    near = [(1000 + k, 55000 + r.uniform(0, 40), 40 + r.uniform(-8, 8), 85 + r.uniform(-5, 5), 3.0) for k in range(150)]
+    fields += near
+    targets = [(k, f[1] + r.choice([0.0, 0.01, 1.0, 4.0]), f[2], f[3], 1.5) for k, f in enumerate(fields[::7])]
+    fd = spark.createDataFrame(fields, "field_id int, epoch_mjd double, ra_deg double, dec_deg double, fov_deg double")
+    td = spark.createDataFrame(targets, "target_id int, t_mjd double, t_ra double, t_dec double, t_radius double")
+    for speed, days in ((0.5, 8.0), (30.0, 20.0), (0.0, 5.0)):
+        got = sorted((x.target_id, x.field_id) for x in proximity.fields_in_cone(td, fd, speed, days).collect())
+        want = sorted((t[0], f[0]) for t in targets for f in fields if 0 < t[1] - f[1] <= days and max(0, sep(t[2:4], f[2:4]) - f[4] / 2 - t[4]) <= speed * (t[1] - f[1]))
+        assert got == want and len(want) > 10
 
 
 def test_lines(spark, tmp_path):
