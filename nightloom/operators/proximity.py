@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.sky import angle_diff, in_ellipse, separation
-from .skyjoin import cell_size, leveled_sky_join, sky_join, spans, with_cell
+from .skyjoin import cell_size, leveled_sky_join, sky_join, with_cell, with_cells_in_reach
 
 GAUSS_YEAR = 365.256898
 
@@ -150,9 +150,7 @@ def fields_in_cone(targets: DataFrame, fields: DataFrame, max_speed: float, max_
     f = fields.select("field_id", "epoch_mjd", "ra_deg", "dec_deg", (F.col("fov_deg") / 2).alias("f_radius"), step.alias("_s")).withColumn("_bucket", F.floor(F.col("epoch_mjd") / F.col("_s.high")))
     f = with_cell(f, "ra_deg", "dec_deg", 2 * F.col("_s.chord")).withColumn("_k", F.col("_s.k")).drop("_s")
     t = targets.select("*", step.alias("_s")).withColumn("_bucket", F.explode(F.sequence(F.floor((F.col("t_mjd") - F.col("_s.high")) / F.col("_s.high")), F.floor((F.col("t_mjd") - F.col("_s.low")) / F.col("_s.high")))))
-    ra, dec = F.radians("t_ra"), F.radians("t_dec")
-    for name, x in (("_cx", F.cos(dec) * F.cos(ra)), ("_cy", F.cos(dec) * F.sin(ra)), ("_cz", F.sin(dec))):
-        t = t.withColumn(name, F.explode(spans(x, F.col("_s.chord"), 2 * F.col("_s.chord"))))
+    t = with_cells_in_reach(t, "t_ra", "t_dec", F.col("_s.chord"), 2 * F.col("_s.chord"))
     t = t.select("*", F.col("_s.k").alias("_k"), F.col("_s.low").alias("_low"), F.col("_s.high").alias("_high")).drop("_s")
     met = f.join(t, ["_k", "_bucket", "_cx", "_cy", "_cz"]).withColumn("dt", F.col("t_mjd") - F.col("epoch_mjd")).filter((F.col("dt") > F.col("_low")) & (F.col("dt") <= F.col("_high")))
     apart = separation(F.col("t_ra"), F.col("t_dec"), F.col("ra_deg"), F.col("dec_deg")) - F.col("f_radius") - F.col("t_radius")

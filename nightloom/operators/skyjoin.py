@@ -24,53 +24,42 @@ def with_cell(df: DataFrame, ra: str, dec: str, size: float | Column) -> DataFra
     return df.withColumns(dict(zip(("_cx", "_cy", "_cz"), cells(F.col(ra), F.col(dec), size), strict=True)))
 
 
-def with_neighbour_cells(df: DataFrame, ra: str, dec: str, size: float | Column, half: bool = False) -> DataFrame:
-    """One row per cell around a position: 27 of them, or with ``half`` its own and the 13 after it, ``_own`` telling which."""
-    steps = [(a, b, c) for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1) if not half or (a, b, c) >= (0, 0, 0)]
-    near = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c")) for a, b, c in steps])
-    made = with_cell(df, ra, dec, size).withColumn("_near", F.explode(near))
-    if half:
-        made = made.withColumn("_own", (F.col("_near.a") == 0) & (F.col("_near.b") == 0) & (F.col("_near.c") == 0))
-    return made.withColumns({"_cx": F.col("_cx") + F.col("_near.a"), "_cy": F.col("_cy") + F.col("_near.b"), "_cz": F.col("_cz") + F.col("_near.c")}).drop("_near")
+def spans(x: Column, reach: float | Column, size: float | Column) -> Column:
+    """The cells of ``size`` that ``x`` give or take ``reach`` touches: one or two where cells are at least twice as wide as the reach."""
+    return F.sequence(F.floor((x - reach) / size).cast("bigint"), F.floor((x + reach) / size).cast("bigint"))
+
+
+#: Width of a cell in reaches: wider ones repeat fewer rows (four or five at 3, not the 27 of cells one reach wide) and let more pairs meet.
+CELL_REACHES = 3
+
+
+def with_cells_in_reach(df: DataFrame, ra: str, dec: str, reach: float | Column, size: float | Column) -> DataFrame:
+    """One row per cell that lies within ``reach`` (a chord) of the position."""
+    x, y, z = F.cos(F.radians(dec)) * F.cos(F.radians(ra)), F.cos(F.radians(dec)) * F.sin(F.radians(ra)), F.sin(F.radians(dec))
+    for name, v in (("_cx", x), ("_cy", y), ("_cz", z)):
+        df = df.withColumn(name, F.explode(spans(v, reach, size)))
+    return df
 
 
 def sky_join(left: DataFrame, right: DataFrame, radius_deg: float, left_pos: tuple[str, str], right_pos: tuple[str, str], on: tuple[str, ...] = (), how: str = "inner", extra: Column | None = None) -> DataFrame:
     """Pairs within ``radius_deg`` of each other (and equal in ``on``), with ``distance`` in degrees.
 
-    ``right`` is the smaller side: it is repeated for the 27 cells around each of its positions; columns of the two sides must differ
+    ``right`` is the smaller side: it is repeated for the cells in reach of each of its positions; columns of the two sides must differ
     but for ``on``. The join is an equi-join on cells; the exact distance is tested after it. Null positions match nothing.
     """
-    size = cell_size(radius_deg)
-    a, b = with_cell(left, *left_pos, size), with_neighbour_cells(right, *right_pos, size)
+    reach = cell_size(radius_deg)
+    a, b = with_cell(left, *left_pos, CELL_REACHES * reach), with_cells_in_reach(right, *right_pos, reach, CELL_REACHES * reach)
     joined = a.join(b, [*on, "_cx", "_cy", "_cz"]).withColumn("distance", separation(F.col(left_pos[0]), F.col(left_pos[1]), F.col(right_pos[0]), F.col(right_pos[1])))
     found = joined.filter(F.col("distance") <= radius_deg).drop("_cx", "_cy", "_cz")
     return found if extra is None else found.filter(extra)
 
 
 def neighbour_pairs(df: DataFrame, radius_deg: float, key: str, within: tuple[str, ...], columns: tuple[str, ...] = (), ra: str = "ra_deg", dec: str = "dec_deg") -> DataFrame:
-    """Ordered pairs of different rows within a radius and equal in ``within``; the other row's columns are prefixed with ``o_``.
-
-    Each pair is found once, from the earlier of its cells, so rows are repeated 14 times instead of 27, and then given both ways.
-    """
-    names, size = [key, ra, dec, *columns], cell_size(radius_deg)
+    """Ordered pairs of different rows within a radius and equal in ``within``; the other row's columns are prefixed with ``o_``."""
+    names = [key, ra, dec, *columns]
     other = df.select(*within, *[F.col(c).alias(f"o_{c}") for c in names])
-    joined = with_cell(df.select(*within, *names), ra, dec, size).join(with_neighbour_cells(other, f"o_{ra}", f"o_{dec}", size, half=True), [*within, "_cx", "_cy", "_cz"])
-    once = joined.filter((F.col(key) < F.col(f"o_{key}")) | (~F.col("_own") & (F.col(key) != F.col(f"o_{key}"))))
-    once = once.withColumn("distance", separation(F.col(ra), F.col(dec), F.col(f"o_{ra}"), F.col(f"o_{dec}"))).filter(F.col("distance") <= radius_deg)
-    one = lambda a, b: F.struct(*[F.col(f"{a}{c}").alias(c) for c in names], *[F.col(f"{b}{c}").alias(f"o_{c}") for c in names])
-    return once.select(*within, "distance", F.explode(F.array(one("", "o_"), one("o_", ""))).alias("_p")).select(*within, "_p.*", "distance")
-
-
-def sized_sky_join(left: DataFrame, right: DataFrame, radius: Column, left_pos: tuple[str, str], right_pos: tuple[str, str], on: tuple[str, ...]) -> DataFrame:
-    """:func:`sky_join` with a radius that is an expression of the ``on`` columns, so that cells are as large as each key needs."""
-    size = F.greatest(2 * F.sin(F.radians(F.least(radius, F.lit(180.0))) / 2) * (1 + 1e-9), F.lit(1e-9))
-    joined = with_cell(left, *left_pos, size).join(with_neighbour_cells(right, *right_pos, size), [*on, "_cx", "_cy", "_cz"])
-    return joined.withColumn("distance", separation(F.col(left_pos[0]), F.col(left_pos[1]), F.col(right_pos[0]), F.col(right_pos[1]))).filter(F.col("distance") <= radius).drop("_cx", "_cy", "_cz")
-
-
-def spans(x: Column, reach: float | Column, size: float | Column) -> Column:
-    """The cells of ``size`` that ``x`` give or take ``reach`` touches: one or two where cells are at least twice as wide as the reach."""
-    return F.sequence(F.floor((x - reach) / size).cast("bigint"), F.floor((x + reach) / size).cast("bigint"))
+    near = sky_join(df.select(*within, *names), other, radius_deg, (ra, dec), (f"o_{ra}", f"o_{dec}"), within)
+    return near.filter(F.col(key) != F.col(f"o_{key}")).select(*within, *names, *[f"o_{c}" for c in names], "distance")
 
 
 LEAST_LEVEL, LARGEST_LEVEL = -30, 1
@@ -88,8 +77,6 @@ def leveled_sky_join(left: DataFrame, right: DataFrame, radius: str, left_pos: t
     levels = sorted(r["_level"] for r in b.select("_level").distinct().collect() if r["_level"] is not None)  # at most 32
     size = F.pow(F.lit(2.0), F.col("_level") + 1)
     a = with_cell(left.withColumn("_level", F.explode(F.array(*[F.lit(k) for k in levels]).cast("array<int>"))), *left_pos, size)
-    ra, dec = (F.radians(F.col(c)) for c in right_pos)
-    for name, x in (("_cx", F.cos(dec) * F.cos(ra)), ("_cy", F.cos(dec) * F.sin(ra)), ("_cz", F.sin(dec))):
-        b = b.withColumn(name, F.explode(spans(x, chord, size)))
+    b = with_cells_in_reach(b, *right_pos, chord, size)
     joined = a.join(b, [*on, "_level", "_cx", "_cy", "_cz"]).withColumn("distance", separation(F.col(left_pos[0]), F.col(left_pos[1]), F.col(right_pos[0]), F.col(right_pos[1])))
     return joined.filter(F.col("distance") <= F.col(radius)).drop("_level", "_cx", "_cy", "_cz")

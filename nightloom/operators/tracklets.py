@@ -13,23 +13,27 @@ from pyspark.sql import functions as F
 from ..functions.photometry import to_v
 from ..functions.sky import angle_diff, bearing, separation
 from .efficiency import count_if
-from .skyjoin import sky_join
+from .graph import cut_lineage
+from .skyjoin import leveled_sky_join, sky_join, spans
 
 
 def pair_detections(dets: DataFrame, min_speed: float, max_speed: float, thresh: float, max_days: float, stack: str = "stack_id", trail: bool = False, trail_error: float = 0.0, exposure_days: float = 30 / 86400.0) -> DataFrame:
     """(stack, a, b, dt, va, vd): pairs whose later detection lies where the earlier one could have moved.
 
     Distance must be within [min_speed * dt - thresh, max_speed * dt + thresh] degrees, ``dt`` at most ``max_days``. With ``trail`` a
-    trail longer than ``max_speed`` allows (column length_deg) narrows the speeds to its own. The join is on sky cells inside a stack of exposures.
+    trail longer than ``max_speed`` allows (column length_deg) narrows the speeds to its own. The join is on sky cells inside a stack of exposures; with trails each
+    detection is joined on cells of its own reach, so a long trail widens no other's.
     """
     cols = ["epoch_mjd", "ra_deg", "dec_deg"] + (["length_deg"] if trail else [])
     a = dets.select(stack, F.col("det_id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in cols])
     b = dets.select(stack, F.col("det_id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in ("epoch_mjd", "ra_deg", "dec_deg")])
     reach = max_speed * max_days + thresh
     if trail:
-        longest = dets.agg(F.max("length_deg")).first()[0] or 0.0
-        reach = max(reach, (longest + trail_error) / exposure_days * max_days + thresh)
-    near = sky_join(b, a, reach, ("b_ra_deg", "b_dec_deg"), ("a_ra_deg", "a_dec_deg"), (stack,))
+        fast = F.col("a_length_deg") / exposure_days > max_speed
+        a = a.withColumn("_reach", F.when(fast, (F.col("a_length_deg") + trail_error) / exposure_days * max_days + thresh).otherwise(reach))
+        near = leveled_sky_join(b, a, "_reach", ("b_ra_deg", "b_dec_deg"), ("a_ra_deg", "a_dec_deg"), (stack,))
+    else:
+        near = sky_join(b, a, reach, ("b_ra_deg", "b_dec_deg"), ("a_ra_deg", "a_dec_deg"), (stack,))
     dt = F.col("b_epoch_mjd") - F.col("a_epoch_mjd")
     low, high = F.lit(float(min_speed)), F.lit(float(max_speed))
     if trail:
@@ -41,15 +45,43 @@ def pair_detections(dets: DataFrame, min_speed: float, max_speed: float, thresh:
     return near.filter(ok).select(stack, "a", "b", dt.alias("dt"), speed(angle_diff(F.col("b_ra_deg"), F.col("a_ra_deg"))).alias("va"), speed(F.col("b_dec_deg") - F.col("a_dec_deg")).alias("vd"), "distance")
 
 
+#: Partners of a start beyond which they are joined on cells of velocity too.
+MANY_PARTNERS = 32
+
+
+def with_partners(lines: DataFrame, pairs: DataFrame, stack: str, tolerance: Column, stretch: float, va: str, vd: str) -> DataFrame:
+    """``lines`` (stack, a and a velocity in ``va`` and ``vd``) with the pairs of the same start whose velocity lies within ``tolerance``, an expression of the pair's ``dt``, and perhaps others.
+
+    Starts of few partners meet them all. Those of many meet them on cells of velocity, which come in levels of twice the width: a pair has a cell at the level of its own tolerance, a
+    line those in reach at each level there is. ``stretch`` is how much further ``va`` may be off; beyond 4 it is left out of the key.
+    """
+    busy = pairs.groupBy(stack, "a").agg(F.count("*").alias("_n")).filter(F.col("_n") > MANY_PARTNERS).select(stack, "a")
+    few = lines.join(busy, [stack, "a"], "left_anti").join(pairs, [stack, "a"])
+    many = pairs.join(busy, [stack, "a"], "left_semi").withColumn("_level", F.ceil(F.log2(tolerance)).cast("int"))
+    levels = sorted(r["_level"] for r in many.select("_level").distinct().collect())  # powers of two between max_days and the shortest gap of time
+    if not levels:
+        return few
+    half = F.pow(F.lit(2.0), F.col("_level")) * (1 + 1e-6)
+    size = 2 * stretch * half
+    cells = {"_cd": F.floor(F.col("vd") / size).cast("bigint"), "_ca": F.floor(F.col("va") / size).cast("bigint") if stretch <= 4 else F.lit(0).cast("bigint")}
+    wide = lines.join(busy, [stack, "a"], "left_semi").withColumn("_level", F.explode(F.array(*[F.lit(k) for k in levels])))
+    wide = wide.withColumn("_cd", F.explode(spans(F.col(vd), half, size)))
+    wide = wide.withColumn("_ca", F.explode(spans(F.col(va), stretch * half, size))) if stretch <= 4 else wide.withColumn("_ca", F.lit(0).cast("bigint"))
+    return few.unionByName(wide.join(many.withColumns(cells), [stack, "a", "_level", "_cd", "_ca"]).select(*few.columns))
+
+
 def find_tracklets(dets: DataFrame, min_speed: float, max_speed: float, thresh: float, max_days: float, min_obs: int = 2, max_obs: int = 1000, greedy: bool = False, stack: str = "stack_id") -> DataFrame:
     """(tracklet_key, stack, det_ids, n): velocity-compatible groups per start detection, without subsets.
 
     For each start and end, the detections between them whose velocities from the start agree with the end's, one per time, nearest in
-    velocity. Groups equal to or inside another one of the same start go; so do groups inside any other group of the stack.
+    velocity. Groups equal to or inside another one of the same start go; so do groups inside any other group of the stack. Starts with many partners meet them on cells
+    of velocity (:func:`with_partners`).
     """
-    pairs = pair_detections(dets, min_speed, max_speed, thresh, max_days, stack)
+    pairs = cut_lineage(pair_detections(dets, min_speed, max_speed, thresh, max_days, stack).select(stack, "a", "b", "dt", "va", "vd"))
     end = pairs.select(stack, "a", F.col("b").alias("end"), F.col("dt").alias("e_dt"), F.col("va").alias("e_va"), F.col("vd").alias("e_vd"))
-    both = end.join(pairs, [stack, "a"]).filter(F.col("dt") <= F.col("e_dt") + 1e-10)
+    steepest = max_speed + thresh / 1e-5  # what a pair's vd can reach: distances are measured with an error, over 1e-5 days at least
+    stretch = 1 / max(1e-3, math.cos(math.radians(min(steepest, 89.9))))
+    both = with_partners(end, pairs, stack, math.sqrt(2) * thresh / F.col("dt"), stretch, "e_va", "e_vd").filter(F.col("dt") <= F.col("e_dt") + 1e-10)
     dist = F.pow((F.col("e_va") - F.col("va")) * F.cos(F.radians("e_vd")), 2) + F.pow(F.col("e_vd") - F.col("vd"), 2)
     fits = both.withColumn("_d", dist).filter(F.col("_d") <= F.pow(F.try_divide(F.lit(thresh), "e_dt"), 2) + F.pow(F.try_divide(F.lit(thresh), "dt"), 2))
     nearest = fits.groupBy(stack, "a", "end", F.round("dt", 9).alias("_t")).agg(F.min(F.struct("_d", "b")).alias("m"))
@@ -59,25 +91,41 @@ def find_tracklets(dets: DataFrame, min_speed: float, max_speed: float, thresh:
         longest = groups.groupBy(stack, "a").agg(F.max("n").alias("_m"))
         groups = groups.join(longest, [stack, "a"]).filter("n = _m")
     unique = groups.select(stack, "det_ids", "n").dropDuplicates([stack, "det_ids"]).withColumn("tracklet_key", F.xxhash64("det_ids"))
-    return drop_subsets(unique, "tracklet_key", "det_ids")
+    return drop_subsets(cut_lineage(unique), "tracklet_key", "det_ids")
 
 
-def grow_tracklets(dets: DataFrame, min_speed: float, max_speed: float, thresh: float, max_days: float, min_obs: int = 2, steps: int = 8, stack: str = "stack_id") -> DataFrame:
+def grow_tracklets(dets: DataFrame, min_speed: float, max_speed: float, thresh: float, max_days: float, min_obs: int = 2, steps: int = 8, stack: str = "stack_id", greedy: bool = False) -> DataFrame:
     """(tracklet_key, stack, det_ids, n): pairs extended by one later detection a step while they stay on a line.
 
     A group is a line of least squares kept as sums, so each step is one join and one test of the mean residual; at most
     ``steps`` detections after the first. Only groups that can't grow and lie in no other stay.
+
+    Each extension is a hypothesis of its own, so n detections on a line give all their subsets of up to ``steps`` + 1: right for stacks of a few exposures. With ``greedy`` only pairs branch; a group of
+    three or more goes on as the one that takes the earliest later detection that fits (ties: the smaller id), so there are no more groups than triples however many detections share a place.
     """
-    pairs = pair_detections(dets, min_speed, max_speed, thresh, max_days, stack)
-    start = pairs.select(stack, F.array("a", "b").alias("det_ids"), "a", F.col("b").alias("last"), "va", "vd", "dt")
-    found, level = start.select(stack, "det_ids"), start
-    for _ in range(steps - 1):
-        nxt = pairs.select(stack, "a", F.col("b").alias("c"), F.col("va").alias("n_va"), F.col("vd").alias("n_vd"), F.col("dt").alias("n_dt"))
-        off = F.sqrt(F.pow((F.col("n_va") - F.col("va")) * F.col("n_dt"), 2) + F.pow((F.col("n_vd") - F.col("vd")) * F.col("n_dt"), 2))
-        level = level.join(nxt, [stack, "a"]).filter((F.col("n_dt") > F.col("dt") + 1e-5) & (off / 2 < thresh)).select(stack, F.concat("det_ids", F.array("c")).alias("det_ids"), "a", F.col("c").alias("last"), ((F.col("va") + F.col("n_va")) / 2).alias("va"), ((F.col("vd") + F.col("n_vd")) / 2).alias("vd"), F.col("n_dt").alias("dt"))
+    pairs = cut_lineage(pair_detections(dets, min_speed, max_speed, thresh, max_days, stack).select(stack, "a", "b", "dt", "va", "vd"))
+    level = pairs.select(stack, F.array("a", "b").alias("det_ids"), "a", F.col("va").alias("l_va"), F.col("vd").alias("l_vd"), F.col("dt").alias("l_dt"))
+    found = level.select(stack, "det_ids")
+    off = F.sqrt(F.pow((F.col("va") - F.col("l_va")) * F.col("dt"), 2) + F.pow((F.col("vd") - F.col("l_vd")) * F.col("dt"), 2))
+    state = lambda: [F.concat("det_ids", F.array("b")).alias("det_ids"), "a", ((F.col("l_va") + F.col("va")) / 2).alias("l_va"), ((F.col("l_vd") + F.col("vd")) / 2).alias("l_vd"), F.col("dt").alias("l_dt")]
+    for k in range(steps - 1):
+        near = with_partners(level, pairs, stack, 2 * thresh / F.col("dt"), 1.0, "l_va", "l_vd")
+        grown = near.filter((F.col("dt") > F.col("l_dt") + 1e-5) & (off / 2 < thresh))
+        if greedy and k:
+            grown = grown.groupBy(stack, "det_ids").agg(F.min(F.struct("dt", "b", "va", "vd", "a", "l_va", "l_vd")).alias("m")).select(stack, "det_ids", "m.*")
+            next_level = cut_lineage(grown.select(stack, F.col("det_ids").alias("was"), *state()))
+            found = found.unionByName(level.join(next_level.select(stack, F.col("was").alias("det_ids")), [stack, "det_ids"], "left_anti").select(stack, "det_ids"))
+            level = next_level.drop("was")
+        else:
+            level = cut_lineage(grown.select(stack, *state()))
+            if not greedy:
+                found = found.unionByName(level.select(stack, "det_ids"))
+        if level.isEmpty():
+            break
+    if greedy:
         found = found.unionByName(level.select(stack, "det_ids"))
     groups = found.withColumn("det_ids", F.array_sort("det_ids")).dropDuplicates([stack, "det_ids"]).withColumn("n", F.size("det_ids")).withColumn("tracklet_key", F.xxhash64("det_ids"))
-    return drop_subsets(groups, "tracklet_key", "det_ids").filter(F.col("n") >= min_obs)
+    return drop_subsets(cut_lineage(groups), "tracklet_key", "det_ids").filter(F.col("n") >= min_obs)
 
 
 def drop_subsets(groups: DataFrame, key: str, members: str) -> DataFrame:

@@ -98,6 +98,14 @@ SELECT * FROM (WITH RECURSIVE {_crossing}, l AS (SELECT stack_id, [a, b] AS ids,
   SELECT l.stack_id, list_append(l.ids, q.b), l.a, (l.va+q.va)/2, (l.vd+q.vd)/2, q.dt FROM l JOIN q ON q.stack_id=l.stack_id AND q.a=l.a WHERE len(l.ids) < 5 AND q.dt > l.dt+1e-5 AND sqrt(pow((q.va-l.va)*q.dt,2)+pow((q.vd-l.vd)*q.dt,2))/2 < 3e-4),
 g AS (SELECT DISTINCT stack_id, list_sort(ids) AS ids FROM l)
 {_largest}) z""")
+_step = "FROM {0} l JOIN q ON q.stack_id=l.stack_id AND q.a=l.a WHERE q.dt > l.dt+1e-5 AND sqrt(pow((q.va-l.va)*q.dt,2)+pow((q.vd-l.vd)*q.dt,2))/2 < 3e-4"
+_taken = "list_append(l.ids, q.b) AS ids, l.a, (l.va+q.va)/2 AS va, (l.vd+q.vd)/2 AS vd, q.dt"
+R.add("j6_grow_tracklets_greedy", lambda v: _groups_of(t.grow_tracklets(_crossed(v), 0.0, 0.3, 0.0003, 0.05, 2, 4, greedy=True)), f"""
+WITH {_crossing}, l2 AS (SELECT stack_id, [a, b] AS ids, a, va, vd, dt FROM q), l3 AS MATERIALIZED (SELECT l.stack_id, {_taken} {_step.format("l2")}),
+l4 AS MATERIALIZED (SELECT l.ids AS was, l.stack_id, {_taken} {_step.format("l3")} QUALIFY row_number() OVER (PARTITION BY l.stack_id, l.ids ORDER BY q.dt, q.b)=1),
+l5 AS MATERIALIZED (SELECT l.ids AS was, l.stack_id, {_taken} {_step.format("l4")} QUALIFY row_number() OVER (PARTITION BY l.stack_id, l.ids ORDER BY q.dt, q.b)=1),
+g AS (SELECT DISTINCT stack_id, list_sort(ids) AS ids FROM (SELECT stack_id, ids FROM l2 UNION ALL SELECT stack_id, ids FROM l3 WHERE ids NOT IN (SELECT was FROM l4) UNION ALL SELECT stack_id, ids FROM l4 WHERE ids NOT IN (SELECT was FROM l5) UNION ALL SELECT stack_id, ids FROM l5) z)
+{_largest}""")
 R.add("j7_evaluate_tracklets", lambda v: t.evaluate_tracklets(_found(v), _known(v)), f"""
 WITH f AS ({_truth}), t AS (SELECT DISTINCT ids FROM (SELECT CASE WHEN ids[1]%3=0 THEN ids[2:] ELSE ids END AS ids FROM f UNION ALL SELECT list_append(ids, 0) FROM f WHERE ids[1]%4=0) x)
 SELECT (SELECT count(*) FROM f) AS n_found, (SELECT count(*) FROM t) AS n_true, (SELECT count(*) FROM f JOIN t ON f.ids=t.ids) AS n_match""")

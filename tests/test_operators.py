@@ -75,6 +75,31 @@ def test_tracklets_of_planted_movers(spark):
     assert tracklets.grow_tracklets(df, 0.0, 0.5, 0.0003, 0.05, 3, 4).count() == 12
 
 
+def test_crowded_stack(spark):
+    """Two hundred detections in one place: velocity cells give what a comparison of all partners gives, and greedy growth stays small."""
+    r = random.Random(13)
+    rows = [(e * 1000 + k, 1, 55000.3 + e * 0.0125, 10.0 + r.gauss(0, 0.0006), 5.0 + r.gauss(0, 0.0006)) for e in range(4) for k in range(50)]
+    df = spark.createDataFrame(rows, "det_id bigint, stack_id bigint, epoch_mjd double, ra_deg double, dec_deg double")
+    want, most = None, tracklets.MANY_PARTNERS
+    try:
+        for partners in (10**9, 20):
+            tracklets.MANY_PARTNERS = partners
+            found = sorted((x.det_ids for x in tracklets.find_tracklets(df, 0.0, 0.3, 0.0003, 0.05, 3).collect()))
+            grown = sorted((x.det_ids for x in tracklets.grow_tracklets(df, 0.0, 0.05, 0.0003, 0.05, 3, 4, greedy=True).collect()))
+            want = want or (found, grown)
+            assert (found, grown) == want
+    finally:
+        tracklets.MANY_PARTNERS = most
+    assert 200 < len(want[0]) < 20000 and 200 < len(want[1]) < 50000
+
+
+def test_long_trails_pair_within_their_own_reach(spark):
+    rows = [(1, 1, 55000.0, 10.0, 0.0, 0.0), (2, 1, 55000.01, 10.002, 0.0, 0.0), (3, 1, 55000.0, 50.0, 0.0, 0.01), (4, 1, 55000.01, 50.0 + 0.01 * 2880 * 0.01, 0.0, 0.01), (5, 1, 55000.01, 50.0 + 0.002, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "det_id bigint, stack_id bigint, epoch_mjd double, ra_deg double, dec_deg double, length_deg double")
+    got = sorted((x.a, x.b) for x in tracklets.pair_detections(df, 0.0, 0.3, 0.0003, 0.05, trail=True, trail_error=0.001).collect())
+    assert got == [(1, 2), (3, 4)]
+
+
 def test_gcr(spark):
     rows = [(1, 55000.0 + k / 100, 10.0 + k * 0.01, 20.0 + k * 0.005) for k in range(4)] + [(2, 55000.0, 1.0, 1.0), (2, 55000.1, 1.1, 1.0), (3, 55000.0, 1.0, 1.0), (3, 55000.01, 1.01, 1.01), (3, 55000.02, 1.02, 1.0)]
     df = spark.createDataFrame(rows, "tracklet_id bigint, epoch_mjd double, ra_deg double, dec_deg double")
