@@ -336,3 +336,32 @@ def test_pipeline(spark, docs, tmp_path, small_batches):
             assert len(b) == len(a) and all(x.taken <= 2 * x.size for x in b)
         now = after
     assert collections.Counter(map(repr, corpus_pipeline.run(spark, folder).collect())) == collections.Counter(map(repr, b))
+
+
+def test_pipeline_keeps_columns_of_any_name(spark, docs, empty, tmp_path, small_batches):
+    """Columns named like those an operator makes, and with dots and backticks, come out as they went in."""
+    folder = str(tmp_path / "sf")
+    names = ("score", "lang_pred", "n_words", "n_removed", "kept_text", "matches", "a.b", "c`d", "_rest", "_digest", "_key", "Held_out", "digest")
+    wide = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    for k, name in enumerate(names):
+        wide = wide.withColumn(name, F.concat(F.lit(f"mine {k} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
+    wide = wide.withColumn("tags", F.array("doc_id"))
+    spark.createDataFrame([(1, "no document has this passage, whatever it may say of anything at all"), (2, None)], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    for source in (wide, wide.limit(0), wide.limit(20).union(wide.limit(20))):
+        now = source
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, now, folder)
+            assert out.columns == now.columns and [t.lower() for _, t in out.dtypes] == [t.lower() for _, t in now.dtypes]
+            path = str(tmp_path / f"{name}{np.random.randint(1 << 40)}")
+            out.write.parquet(path)
+            now = spark.read.parquet(path)
+            for x in now.collect():
+                assert [x[n] for n in names] == [f"mine {k} {'-' if x.doc_id is None else x.doc_id}" for k in range(len(names))] and x.tags == [x.doc_id]
+        assert corpus_pipeline.STAGES[-1][1](spark, now, folder).count() == now.count()
+        assert now.count() > 0 or source.count() == 0
+
+
+def test_language_bound_is_smooth(spark):
+    rows = spark.range(1, 3000).select(corpus_pipeline.least_score(F.repeat(F.lit("x"), F.col("id").cast("int"))).alias("b")).collect()
+    bounds = [x.b for x in rows]
+    assert all(0 < b - a < 0.01 for a, b in zip(bounds, bounds[1:], strict=False)) and bounds[-1] < corpus_pipeline.LEAST_SCORE
