@@ -81,12 +81,26 @@ def astro_error_px(s2n: Column, bias: Column, pixel_scale: Column) -> Column:
     return F.sqrt(F.pow(bias, 2) + F.pow(F.abs(pixel_scale) * 0.269230 * F.try_divide(F.lit(5.0), s2n), 2))
 
 
-def perturb_positions(df: DataFrame, seed: int, ra: str = "ra_deg", dec: str = "dec_deg", mag: str = "mag", s2n: str = "s2n") -> DataFrame:
-    """Gaussian noise on positions and magnitudes after their errors, which are added as columns."""
+def gaussian_pair(key: Column, seed: int, draw: int) -> tuple[Column, Column]:
+    """Two independent standard normal numbers that depend on the key, the seed and the number of the draw alone (Box and Muller on two halves of a digest)."""
+    digest = F.md5(F.concat_ws("/", F.lit(str(seed)), F.lit(str(draw)), F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
+    share = lambda at: F.conv(F.substring(digest, at, 13), 16, 10).cast("bigint") / F.lit(2.0**52)
+    radius, turn = F.sqrt(-2 * F.log(1 - share(1))), 2 * math.pi * share(14)
+    return radius * F.cos(turn), radius * F.sin(turn)
+
+
+def perturb_positions(df: DataFrame, seed: int, ra: str = "ra_deg", dec: str = "dec_deg", mag: str = "mag", s2n: str = "s2n", key: str = "det_id") -> DataFrame:
+    """Gaussian noise on positions and magnitudes after their errors, which are added as columns.
+
+    Noise belongs to the row's ``key`` and the seed (:func:`gaussian_pair`): however the rows are partitioned, and on every rerun, a detection gets the same. A table without
+    the key has nothing to tell its rows apart but their places, which number them then.
+    """
     error, photo = astro_error(F.col(s2n)) / 3600.0, photo_error(F.col(s2n))
+    name = F.col(key) if key in df.columns else F.monotonically_increasing_id()
+    (east, north), (bright, _) = gaussian_pair(name, seed, 0), gaussian_pair(name, seed, 1)
     return df.withColumns(
         {
-            ra: F.col(ra) + error * F.randn(seed) / F.cos(F.radians(dec)), dec: F.col(dec) + error * F.randn(seed + 1), mag: F.col(mag) + photo * F.randn(seed + 2),
+            ra: F.col(ra) + error * east / F.cos(F.radians(dec)), dec: F.col(dec) + error * north, mag: F.col(mag) + photo * bright,
             "ra_sigma_deg": error, "dec_sigma_deg": error, "mag_sigma": photo,
         }
     )

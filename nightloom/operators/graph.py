@@ -28,6 +28,35 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path and the path, as the cluster's own classes: any store that Spark writes to."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, none where there is no such folder."""
+    fs, at = file_system(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, if it is there."""
+    fs, at = file_system(spark, path)
+    fs.delete(at, True)
+
+
+def forget(*cut: DataFrame | None) -> None:
+    """Delete the checkpoints of frames from :func:`cut_lineage` that nothing reads any more: what came from them must be written by now."""
+    for df in cut:
+        if df is not None:
+            kept = df._jdf.queryExecution().logical()
+            if kept.nodeName().startswith("Scan ExistingRDD") or kept.getClass().getSimpleName() == "LogicalRDD":
+                file = kept.rdd().getCheckpointFile()
+                if file.isDefined():
+                    remove(df.sparkSession, file.get())
+
+
 def connected_components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame:
     """(node, component) for each node of an edge; the component is its smallest node.
 
@@ -46,7 +75,8 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v") ->
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = cut_lineage(small.union(low.select("u", F.col("m").alias("v"))).distinct())
+        old, e = e, cut_lineage(small.union(low.select("u", F.col("m").alias("v"))).distinct())
+        forget(old)
         now = tuple(e.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first())
         if now == before:
             break

@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.sky import angle_diff, separation
-from .graph import connected_components, cut_lineage
+from .graph import connected_components, cut_lineage, forget
 from .numbering import numbered
 from .skyjoin import leveled_sky_join, spans
 
@@ -197,7 +197,8 @@ def first_use_only(candidates: DataFrame, members: DataFrame, key: str = "trackl
         taken = live.join(won, "k", "left_semi").select("m").distinct()
         done = live.join(taken, "m", "left_semi").select("k").distinct().join(won.withColumn("accepted", F.lit(True)), "k", "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)))
         settled.append(cut_lineage(done))
-        live = cut_lineage(live.join(settled[-1], "k", "left_anti"))
+        old, live = live, cut_lineage(live.join(settled[-1], "k", "left_anti"))
+        forget(old)
     if not live.isEmpty():
         settled.append(stream_first_use(live, kind))
     out = candidates.select(F.col(key).alias("k"))

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -185,27 +183,32 @@ def summarize_tracklets(members: DataFrame, key: str = "tracklet_id") -> DataFra
 def gcr(members: DataFrame, key: str = "tracklet_id") -> DataFrame:
     """Root mean square distance (arcseconds) of each group's detections from motion along its best great circle; 0 for pairs.
 
-    The circle's pole is the smallest principal axis of the unit vectors; along it motion is fitted linearly in time. A group
-    is the few detections of one night.
+    The circle's pole is the smallest principal axis of the unit vectors; along it motion is fitted linearly in time. All of it is sums over windows of one key. In a frame around the group's
+    mean direction only the third axis is long, so the 3 x 3 problem is that of 2 x 2 moments less what the third axis takes of them, whose axes have a closed form; a few rounds settle the smallest
+    value, which is tiny beside the third axis. Small differences are taken of angles, not of unit vectors, so nothing cancels.
     """
-    kind = dict(members.dtypes)[key]
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        value = 0.0
-        if len(pdf) > 2:
-            pdf = pdf.sort_values("epoch_mjd")
-            ra, dec, t = np.radians(pdf["ra_deg"].to_numpy()), np.radians(pdf["dec_deg"].to_numpy()), pdf["epoch_mjd"].to_numpy() - pdf["epoch_mjd"].iloc[0]
-            x = np.stack([np.cos(dec) * np.cos(ra), np.cos(dec) * np.sin(ra), np.sin(dec)], axis=1)
-            pole = np.linalg.svd(x)[2][2]
-            u = x[0] - pole * (x[0] @ pole)
-            u /= np.linalg.norm(u)
-            along = np.arctan2(x @ np.cross(pole, u), x @ u)
-            across = np.arcsin(np.clip(x @ pole, -1, 1))
-            off = along - np.polyval(np.polyfit(t, along, 1), t)
-            value = float(np.degrees(np.sqrt(np.mean(off**2 + across**2))) * 3600)
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "gcr_arcsec": [value]})
-
-    return members.groupBy(key).applyInPandas(fit, f"{key} {kind}, gcr_arcsec double")
+    w = W.partitionBy(key)
+    ra, dec = F.radians("ra_deg"), F.radians("dec_deg")
+    m = members.select(key, F.col("epoch_mjd").alias("t"), ra.alias("r"), dec.alias("d"))
+    m = m.withColumns({"n": F.count("*").over(w), "mx": F.avg(F.cos("d") * F.cos("r")).over(w), "my": F.avg(F.cos("d") * F.sin("r")).over(w), "mz": F.avg(F.sin("d")).over(w), "tau": F.col("t") - F.avg("t").over(w)})
+    m = m.withColumns({"r0": F.atan2("my", "mx"), "d0": F.atan2(F.col("mz"), F.hypot("mx", "my"))}).withColumn("dr", F.col("r") - F.col("r0"))
+    m = m.select(
+        key, "n", "tau", (F.cos("d") * F.sin("dr")).alias("u"), (F.sin(F.col("d") - F.col("d0")) + 2 * F.cos("d") * F.sin("d0") * F.pow(F.sin(F.col("dr") / 2), 2)).alias("v"),
+        (F.cos(F.col("d") - F.col("d0")) - 2 * F.cos("d") * F.cos("d0") * F.pow(F.sin(F.col("dr") / 2), 2)).alias("w"),
+    )
+    m = m.withColumns({f"s{a}{b}": F.sum(F.col(a) * F.col(b)).over(w) for a, b in ("uu", "uv", "vv", "uw", "vw", "ww")}).withColumn("least", F.lit(0.0))
+    for _ in range(3):
+        rest = F.col("sww") - F.col("least")
+        m = m.withColumns({"p": F.col("suu") - F.col("suw") * F.col("suw") / rest, "q": F.col("suv") - F.col("suw") * F.col("svw") / rest, "s": F.col("svv") - F.col("svw") * F.col("svw") / rest})
+        m = m.withColumn("least", F.greatest(F.lit(0.0), (F.col("p") + F.col("s")) / 2 - F.hypot((F.col("p") - F.col("s")) / 2, F.col("q"))))
+    axis = F.atan2(2 * F.col("q"), F.col("p") - F.col("s")) / 2
+    m = m.withColumns({"a1": -F.sin(axis), "a2": F.cos(axis)}).withColumn("a3", -(F.col("suw") * F.col("a1") + F.col("svw") * F.col("a2")) / (F.col("sww") - F.col("least")))
+    size = F.sqrt(1 + F.col("a3") * F.col("a3"))
+    m = m.withColumns({"a1": F.col("a1") / size, "a2": F.col("a2") / size, "a3": F.col("a3") / size}).withColumn("off", F.col("u") * F.col("a1") + F.col("v") * F.col("a2") + F.col("w") * F.col("a3"))
+    m = m.withColumn("along", F.atan2(F.col("u") * F.col("a2") - F.col("v") * F.col("a1"), F.col("w") - F.col("a3") * F.col("off")))
+    m = m.withColumns({"mean": F.avg("along").over(w), "slope": F.coalesce(F.try_divide(F.sum(F.col("tau") * F.col("along")).over(w), F.sum(F.col("tau") * F.col("tau")).over(w)), F.lit(0.0))})
+    left = F.pow(F.col("along") - F.col("mean") - F.col("slope") * F.col("tau"), 2) + F.pow(F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("off")))), 2)
+    return m.groupBy(key).agg(F.when(F.first("n") > 2, F.degrees(F.sqrt(F.avg(left))) * 3600).otherwise(0.0).alias("gcr_arcsec"))
 
 
 def accept_tracklets(members: DataFrame, summary: DataFrame, most_spread: float, least_speed: float, most_speed: float, slow_gcr: float, fast_gcr: float, fast: float, key: str = "tracklet_id") -> DataFrame:

@@ -33,7 +33,20 @@ _v = "mag + CASE filter_id WHEN 'g' THEN -28e-2 WHEN 'r' THEN 23e-2 WHEN 'i' THE
 _sum = f"""s AS (SELECT pk*100+n AS tracklet_id, count(*) AS n_dets, avg(epoch_mjd) AS ext_epoch, avg({_v}) AS v_mag, max(field_id) AS field_id, min(epoch_mjd) AS t0, max(epoch_mjd) AS t1, arg_min(ra_deg, epoch_mjd) AS r0, arg_min(dec_deg, epoch_mjd) AS d0, arg_max(ra_deg, epoch_mjd) AS r1, arg_max(dec_deg, epoch_mjd) AS d1 FROM movers GROUP BY pk, n)"""
 R.add("a28_summarize_tracklets", lambda v: rounded(t.summarize_tracklets(_members(v)), "ext_epoch", "v_mag", "vel_ra", "vel_dec", "vel_tot", "ext_ra", "ext_dec").drop("pos_ang"), f"""
 WITH {_sum} SELECT tracklet_id, n_dets, {r6("ext_epoch")} AS ext_epoch, {r6("v_mag")} AS v_mag, field_id, {r6(dang("r1", "r0") + "/(t1-t0)")} AS vel_ra, {r6("(d1-d0)/(t1-t0)")} AS vel_dec, {r6(sep("r0", "d0", "r1", "d1") + "/(t1-t0)")} AS vel_tot, {r6("x-360e0*floor(x/360e0)")} AS ext_ra, {r6("d0+(d1-d0)/2")} AS ext_dec FROM (SELECT *, r0+{dang("r1", "r0")}/2 AS x FROM s) y""")
-R.add("a29_gcr", lambda v: t.gcr(_members(v).select("tracklet_id", "epoch_mjd", "ra_deg", "dec_deg")).withColumn("gcr_arcsec", F.round("gcr_arcsec", 2)), None)
+# The twin projects each tracklet on the plane that touches the sky at its mean position, where great circles are straight.
+R.add("a29_gcr", lambda v: t.gcr(_wobbling(v)).withColumn("gcr_arcsec", F.floor(C("gcr_arcsec") * 1000 + 0.5) / 1000), f"""
+WITH m AS (SELECT pk*100+n AS k, epoch_mjd AS t, radians(ra_deg) AS r, radians(dec_deg+((det_id*7919)%101-50)/18e4) AS d FROM movers), c AS (SELECT *, count(*) OVER w AS n, t-avg(t) OVER w AS tau, atan2(avg(cos(d)*sin(r)) OVER w, avg(cos(d)*cos(r)) OVER w) AS r0, atan2(avg(sin(d)) OVER w, sqrt(pow(avg(cos(d)*cos(r)) OVER w,2)+pow(avg(cos(d)*sin(r)) OVER w,2))) AS d0 FROM m WINDOW w AS (PARTITION BY k)),
+g AS (SELECT *, cos(d)*sin(r-r0)/z AS x, (sin(d-d0)+2*cos(d)*sin(d0)*pow(sin((r-r0)/2),2))/z AS y FROM (SELECT *, cos(d-d0)-2*cos(d)*cos(d0)*pow(sin((r-r0)/2),2) AS z FROM c) q),
+h AS (SELECT k, n, tau, x-avg(x) OVER w AS x, y-avg(y) OVER w AS y FROM g WINDOW w AS (PARTITION BY k)), e AS (SELECT *, atan2(2*sum(x*y) OVER w, sum(x*x) OVER w-sum(y*y) OVER w)/2 AS f FROM h WINDOW w AS (PARTITION BY k)),
+l AS (SELECT k, n, tau, x*cos(f)+y*sin(f) AS a, y*cos(f)-x*sin(f) AS b FROM e), s AS (SELECT k, n, b, a-coalesce(sum(a*tau) OVER w/nullif(sum(tau*tau) OVER w, 0), 0)*tau AS a FROM l WINDOW w AS (PARTITION BY k))
+SELECT k AS tracklet_id, CASE WHEN min(n)>2 THEN floor(degrees(sqrt(avg(a*a+b*b)))*36e5+5e-1)/1000 ELSE 0e0 END AS gcr_arcsec FROM s GROUP BY k""")
+
+
+def _wobbling(v):
+    """The movers' detections, each off its line by up to an arcsecond."""
+    return _members(v).select("tracklet_id", "epoch_mjd", "ra_deg", (C("dec_deg") + ((C("det_id") * 7919) % 101 - 50) / 180000.0).alias("dec_deg"))
+
+
 R.add("a30_accept_tracklets", lambda v: t.accept_tracklets(_members(v), t.summarize_tracklets(_members(v)).withColumn("gcr_arcsec", (C("tracklet_id") % 13) / 10.0), 0.1, 0.02, 0.2, 0.9, 0.5, 0.1).select("tracklet_id"), f"""
 WITH {_sum}, v AS (SELECT tracklet_id, {sep("r0", "d0", "r1", "d1")}/(t1-t0) AS vt, (tracklet_id%13)/10e0 AS g FROM s) SELECT tracklet_id FROM v WHERE vt BETWEEN 2e-2 AND 2e-1 AND g <= CASE WHEN vt > 1e-1 THEN 5e-1 ELSE 9e-1 END""")
 R.add("a31_triage_stacks", lambda v: t.triage_stacks(v.tracklets, "nn", 10, 0.6), "SELECT nn, n, CASE WHEN n>50 THEN 'abandon' WHEN n>10 THEN 'tighten' ELSE 'accept' END AS action, CASE WHEN n>50 THEN 0 WHEN n>10 THEN tight ELSE n END AS kept FROM (SELECT nn, count(*) AS n, count(*) FILTER (gcr_arcsec<=6e-1) AS tight FROM tracklets GROUP BY 1) x")
@@ -54,10 +67,11 @@ R.add("a34_tracklet_probability", lambda v: rounded(t.tracklet_probability(_memb
 WITH d AS (SELECT pk*100+n AS tracklet_id, (det_id%90+10)/100e0*(1-(det_id%13)/50e0) AS p, CASE WHEN det_id%11=0 OR det_id%5=0 THEN 1 ELSE 0 END AS f FROM movers), k AS (SELECT *, row_number() OVER (PARTITION BY tracklet_id ORDER BY p DESC) AS k FROM d)
 SELECT tracklet_id, CASE WHEN sum(f)>=2 THEN 0e0 ELSE {r6("product(p) FILTER (k<=3)")} END AS probability FROM k GROUP BY 1""")
 R.add("h1_drop_subsets", lambda v: t.drop_subsets(_overlapping(v), "g", "det_ids").select("g", _ids("det_ids").alias("ids")), """
-WITH w AS (SELECT pk, n, list(det_id ORDER BY det_id) AS ids FROM movers GROUP BY pk, n),
-g AS (SELECT pk*100+n AS g, ids FROM w UNION ALL SELECT -pk*100-n, ids[1:3] FROM w WHERE pk%3=0 AND pk>0 UNION ALL SELECT pk*100+n+100000000, ids FROM w WHERE pk%4=0 UNION ALL SELECT pk*100+n+200000000, list_append(ids[2:], -pk) FROM w WHERE pk%5=0),
-m AS (SELECT g, ids, unnest(ids) AS det_id FROM g)
-SELECT g, array_to_string(ids, ',') AS ids FROM g ANTI JOIN (SELECT a.g FROM g a JOIN m b ON b.det_id=a.ids[1] AND b.g<>a.g AND (len(b.ids)>len(a.ids) OR (len(b.ids)=len(a.ids) AND b.g<a.g)) AND list_has_all(b.ids, a.ids)) x USING (g)""")
+WITH w AS MATERIALIZED (SELECT pk, n, list(det_id ORDER BY det_id) AS ids FROM movers GROUP BY pk, n),
+g AS MATERIALIZED (SELECT pk*100+n AS g, ids, ids[1] AS f FROM w UNION ALL SELECT -pk*100-n, ids[1:3], ids[1] FROM w WHERE pk%3=0 AND pk>0 UNION ALL SELECT pk*100+n+100000000, ids, ids[1] FROM w WHERE pk%4=0 UNION ALL SELECT pk*100+n+200000000, list_append(ids[2:], -pk), ids[2] FROM w WHERE pk%5=0),
+m AS MATERIALIZED (SELECT g, ids, len(ids) AS size, unnest(ids) AS f FROM g),
+x AS MATERIALIZED (SELECT DISTINCT a.g FROM g a JOIN m b ON b.f=a.f WHERE b.g<>a.g AND (b.size>len(a.ids) OR (b.size=len(a.ids) AND b.g<a.g)) AND list_has_all(b.ids, a.ids))
+SELECT g.g, array_to_string(g.ids, ',') AS ids FROM g LEFT JOIN x ON x.g=g.g WHERE x.g IS NULL""")
 
 
 def _overlapping(v):

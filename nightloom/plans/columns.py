@@ -66,7 +66,11 @@ R.add("p14_predict_s2n", lambda v: v.detections.select(
 WITH f AS (SELECT *, pow(10e0,4e-1*(33-mag))*(1-exp(-1/(2*(16/55452e-4)))) AS fl FROM detections), g AS (SELECT *, fl/sqrt(fl+2*pi()*(300+pow(555e-2,2)+289e-3)) AS sn FROM f)
 SELECT det_id, {r6(_s.format(z="462e-1", d="", t="30e0", w="6e-1"))} AS a, {r6(_s.format(z="47e0", d="", t="45e0", w="6e-1"))} AS b, {r6(_s.format(z="462e-1", d="+2e-1", t="45e0", w="11e-1"))} AS c, {r6("sn")} AS d, {r6("sn*9e-1")} AS e FROM g""")
 R.add("p15_errors", lambda v: v.detections.select("det_id", ph.astro_error(C("s2n")).alias("a"), ph.photo_error(C("s2n")).alias("p"), ph.astro_error_px(C("s2n"), F.lit(0.05), F.lit(-0.25)).alias("x")).transform(rounded, "a", "p", "x"), f"SELECT det_id, {r6('CASE WHEN s2n<=15e-1 THEN 15e-1 ELSE 7e-2*(5e0/s2n) END')} AS a, {r6('-25e-1*log10(1-1/greatest(s2n,15e-1))')} AS p, {r6('sqrt(25e-4+pow(25e-2*269230e-6*(5e0/s2n),2))')} AS x FROM detections")
-R.add("p16_perturb_positions", lambda v: ph.perturb_positions(v.detections, 7).select("det_id", "ra_deg", "dec_deg", "mag", "ra_sigma_deg", "mag_sigma"), None)
+_draw = lambda k: f"sqrt(-2*ln(1-CAST('0x' || substr(h{k}, 1, 13) AS BIGINT)/4503599627370496e0))"
+_turn = lambda k: f"2*pi()*CAST('0x' || substr(h{k}, 14, 13) AS BIGINT)/4503599627370496e0"
+R.add("p16_perturb_positions", lambda v: rounded(ph.perturb_positions(v.detections, 7).select("det_id", "ra_deg", "dec_deg", "mag", "ra_sigma_deg", "mag_sigma"), "ra_deg", "dec_deg", "mag", "ra_sigma_deg", "mag_sigma"), f"""
+SELECT det_id, {r6(f"ra_deg+a*{_draw(0)}*cos({_turn(0)})/cos(radians(dec_deg))")} AS ra_deg, {r6(f"dec_deg+a*{_draw(0)}*sin({_turn(0)})")} AS dec_deg, {r6(f"mag+p*{_draw(1)}*cos({_turn(1)})")} AS mag, {r6("a")} AS ra_sigma_deg, {r6("p")} AS mag_sigma
+FROM (SELECT *, CASE WHEN s2n<=15e-1 THEN 15e-1 ELSE 7e-2*(5/s2n) END/36e2 AS a, -25e-1*log10(1-1/greatest(s2n, 15e-1)) AS p, md5('7/0/' || CAST(det_id AS VARCHAR)) AS h0, md5('7/1/' || CAST(det_id AS VARCHAR)) AS h1 FROM detections) x""")
 R.add("p17_astrometry_policy", lambda v: v.detections.select("det_id", ph.apply_astrometry_policy(C("mag_sigma"), 0.03, 0.1).alias("s"), ph.apply_astrometry_policy(C("mag_sigma"), 0.03, 0.1, 0.02).alias("f")).transform(rounded, "s"), f"SELECT det_id, {r6('least(1e-1, sqrt(9e-4+mag_sigma*mag_sigma))')} AS s, 2e-2 AS f FROM detections")
 R.add("p18_trail_columns", lambda v: ph.resolve_trail_columns(v.detections.select("det_id", F.when(C("det_id") % 3 == 0, 0x20000001).otherwise(1).cast("bigint").alias("flags"), C("ra_deg").alias("psf_ra"), (C("ra_deg") + 0.001).alias("ext_ra"), C("dec_deg").alias("psf_dec"), (C("dec_deg") + 0.002).alias("ext_dec"), C("mag").alias("psf_mag"), (C("mag") - 0.1).alias("ext_mag"), (C("s2n") / 20).alias("ext_theta"), C("s2n").alias("ext_major_px")), 0.25).select("det_id", "ra_deg", "dec_deg", "mag", "orient_deg", "length_deg").transform(rounded, "ra_deg", "dec_deg", "mag", "orient_deg", "length_deg"), f"""
 WITH a AS (SELECT det_id, det_id%3=0 AS x, CASE WHEN det_id%3=0 THEN ra_deg+1e-3 ELSE ra_deg END AS ra, CASE WHEN det_id%3=0 THEN dec_deg+2e-3 ELSE dec_deg END AS dec, CASE WHEN det_id%3=0 THEN mag-1e-1 ELSE mag END AS m, degrees(s2n/20)+90 AS o, s2n*25e-2/3600 AS l FROM detections)

@@ -282,3 +282,68 @@ def test_slice_ranges():
     assert archive.slice_ranges([1, 2, 3, 7, 8, 20]) == [(1, 3), (7, 8), (20, 20)]
     assert archive.slice_ranges([1, 2, 3, 7, 8, 20], 2) == [(1, 8), (20, 20)]
     assert archive.slice_ranges([1, 5], 1) == [(1, 5)]
+
+
+def test_components_leave_one_checkpoint(spark, tmp_path):
+    """Each round's edges go when the next ones are written."""
+    from nightloom.operators import graph
+
+    sc = spark.sparkContext
+    before = sc.getCheckpointDir()
+    sc.setCheckpointDir(str(tmp_path / "cp"))
+    try:
+        got = connected_components(spark.range(3000).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v")))
+        assert got.select("component").distinct().count() == 1
+        folder = sc.getCheckpointDir()
+        assert len([x for x in graph.children(spark, folder) if x.startswith("rdd-")]) == 1
+        one = graph.cut_lineage(spark.range(10))
+        assert len(graph.children(spark, folder)) == 2
+        graph.forget(one, None, spark.range(3))
+        assert len(graph.children(spark, folder)) == 1 and graph.children(spark, str(tmp_path / "none")) == []
+    finally:
+        if before:
+            sc._jsc.setCheckpointDir(before)
+
+
+def test_gcr_as_by_numpy(spark):
+    import numpy as np
+
+    r = random.Random(14)
+    rows = []
+    for k in range(120):
+        ra, dec, va, vd = r.uniform(0, 360), math.degrees(math.asin(r.uniform(-1, 1))), r.uniform(-3, 3), r.uniform(-3, 3)
+        noise = r.choice([0.0, 1e-5, 1e-3])
+        for e in range(1 + k % 7):
+            t = 55000 + r.uniform(0, 0.1)
+            rows.append((k, t, (ra + va * (t - 55000) / max(0.01, math.cos(math.radians(dec))) + r.gauss(0, noise)) % 360, max(-90.0, min(90.0, dec + vd * (t - 55000) + r.gauss(0, noise)))))
+    rows += [(500, 55000.0, 10.0, 10.0)] * 3 + [(501, 55000.0 + k, 30.0 * k, 5.0 * k) for k in range(6)]
+    df = spark.createDataFrame(rows, "tracklet_id bigint, epoch_mjd double, ra_deg double, dec_deg double")
+    got = {x.tracklet_id: x.gcr_arcsec for x in tracklets.gcr(df).collect()}
+    for k in sorted({x[0] for x in rows} - {500}):
+        t, ra, dec = (np.array([x[c] for x in rows if x[0] == k]) for c in (1, 2, 3))
+        want = 0.0
+        if len(t) > 2:
+            ra, dec = np.radians(ra), np.radians(dec)
+            x = np.stack([np.cos(dec) * np.cos(ra), np.cos(dec) * np.sin(ra), np.sin(dec)], axis=1)
+            pole = np.linalg.svd(x)[2][2]
+            u = x.mean(0) - pole * (x.mean(0) @ pole)
+            u /= np.linalg.norm(u)
+            along, across = np.arctan2(x @ np.cross(pole, u), x @ u), np.arcsin(x @ pole)
+            off = along - np.polyval(np.polyfit(t - t.mean(), along, 1), t - t.mean())
+            want = float(np.degrees(np.sqrt(np.mean(off**2 + across**2))) * 3600)
+        assert got[k] == pytest.approx(want, rel=1e-8, abs=1e-7), (k, len(t))
+    assert got[500] == pytest.approx(0.0, abs=1e-9)
+
+
+def test_noise_belongs_to_the_row(spark):
+    from nightloom.functions import photometry
+
+    df = spark.range(20000).select(F.col("id").alias("det_id"), (F.col("id") / 100.0).alias("ra_deg"), F.lit(0.0).alias("dec_deg"), F.lit(20.0).alias("mag"), F.lit(5.0).alias("s2n"))
+    a, b = (photometry.perturb_positions(df.repartition(n), 7) for n in (3, 5))
+    assert a.exceptAll(b).count() == 0
+    assert photometry.perturb_positions(df, 8).join(a.select("det_id", F.col("mag").alias("m")), "det_id").filter("mag = m").count() == 0
+    s = photometry.perturb_positions(df, 7).select(((F.col("ra_deg") - F.col("det_id") / 100.0) / F.col("ra_sigma_deg")).alias("x"), (F.col("dec_deg") / F.col("dec_sigma_deg")).alias("y"), ((F.col("mag") - 20) / F.col("mag_sigma")).alias("z"))
+    row = s.agg(*[f(c) for c in "xyz" for f in (F.avg, F.stddev, F.kurtosis)], F.corr("x", "y"), F.corr("x", "z"), F.max(F.abs("x"))).first()
+    for k in range(3):
+        assert abs(row[3 * k]) < 0.03 and abs(row[3 * k + 1] - 1) < 0.02 and abs(row[3 * k + 2]) < 0.15
+    assert abs(row[9]) < 0.03 and abs(row[10]) < 0.03 and 3 < row[11] < 6
