@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -148,42 +150,58 @@ def efficiency_curve(bins: DataFrame, width: float) -> DataFrame:
     return bins.filter("known > 0").select((F.col("bin") * width).alias("mag_start"), (F.col("found") / F.col("known")).alias("efficiency"))
 
 
-def fit_efficiency(curves: DataFrame, by: list[str], least: int = 4) -> DataFrame:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def added(rows: Column, term: Callable[[Column], Column]) -> Column:
+    return F.aggregate(rows, F.lit(0.0), lambda total, r: total + term(r))
+
+
+def logistic(m: Column, limit: Column, width: Column) -> Column:
+    return 1 / (1 + F.exp(F.greatest(F.lit(-50.0), F.least(F.lit(50.0), (m - limit) / width))))
+
+
+def fit_efficiency(curves: DataFrame, by: list[str], least: int = 4, steps: int = 200) -> DataFrame:
     """Fit eff0 / (1 + exp((m - L) / w)) to (mag_start, efficiency) of each group; groups under ``least`` bins are left out.
 
-    Gauss-Newton with damping from the half-efficiency magnitude; a group is a few dozen bins.
+    Gauss-Newton with damping from the half-efficiency magnitude, for all groups at once: a group is an array of its few dozen bins, a step sums the nine moments of its derivatives and solves
+    three equations, and the steps are a fold over the state. eff0 stays in (0, 1], w in [0.01, 5].
     """
-    kinds = dict(curves.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in by) + ", eff0 double, limit double, width double"
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        names = [*by, "eff0", "limit", "width"]
-        if len(pdf) < least:
-            return pd.DataFrame(columns=names)
-        pdf = pdf.sort_values("mag_start")
-        m, y = pdf["mag_start"].to_numpy(float), pdf["efficiency"].to_numpy(float)
-        x, damping = np.array([max(y.max(), 1e-3), float(m[np.argmin(np.abs(y - y.max() / 2))]), 0.3]), 1e-2
-        model = lambda x: x[0] / (1 + np.exp(np.clip((m - x[1]) / x[2], -50, 50)))
-        cost = float(((y - model(x)) ** 2).sum())
-        for _ in range(200):
-            f = model(x)
-            s = f / x[0]
-            j = np.stack([s, f * (1 - s) / x[2], f * (1 - s) * (m - x[1]) / x[2] ** 2], axis=1)
-            h = j.T @ j
-            new = x + np.linalg.solve(h + damping * np.diag(np.diag(h) + 1e-12), j.T @ (y - f))
-            new = np.array([min(max(new[0], 0.0), 1.0) or 1e-6, new[1], min(max(new[2], 0.01), 5.0)])
-            c = float(((y - model(new)) ** 2).sum())
-            if c < cost:
-                done, x, cost, damping = cost - c < 1e-14, new, c, damping / 3
-                if done:
-                    break
-            else:
-                damping *= 4
-                if damping > 1e12:
-                    break
-        return pd.DataFrame([[*[pdf[c].iloc[0] for c in by], *map(float, x)]], columns=names)
-
-    return curves.groupBy(*by).applyInPandas(fit, schema)
+    bins = curves.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col("mag_start").cast("double").alias("m"), F.col("efficiency").cast("double").alias("y")))).alias("p")).filter(F.size("p") >= least)
+    cost = lambda e, limit, width: added(F.col("p"), lambda r: F.pow(r["y"] - e * logistic(r["m"], limit, width), 2))
+    top = F.greatest(F.array_max(F.transform("p", lambda r: r["y"])), F.lit(1e-3))
+    half = F.array_min(F.transform("p", lambda r: F.struct(F.abs(r["y"] - F.array_max(F.transform("p", lambda q: q["y"])) / 2).alias("d"), r["m"].alias("m"))))["m"]
+    start = bins.withColumns({"top": top, "half": half}).withColumn("start", F.struct(F.col("top").alias("e"), F.col("half").alias("l"), F.lit(0.3).alias("w"), cost(F.col("top"), F.col("half"), F.lit(0.3)).alias("cost"), F.lit(1e-2).alias("damping"), F.lit(False).alias("done")))
+
+    def derivatives(r: Column, x: Column) -> Column:
+        return let(logistic(r["m"], x["l"], x["w"]), lambda s: F.struct(s.alias("a"), (x["e"] * s * (1 - s) / x["w"]).alias("b"), (x["e"] * s * (1 - s) * (r["m"] - x["l"]) / (x["w"] * x["w"])).alias("c"), (r["y"] - x["e"] * s).alias("r")))
+
+    def solved(h: Column, x: Column) -> Column:
+        """The step by Cramer's rule; eff0 or w stays where it is at a bound that it would cross."""
+        aa, bb, cc = (h[k] + x["damping"] * (h[k] + 1e-12) for k in ("aa", "bb", "cc"))
+        held_e = ((x["e"] >= 1) & (h["ar"] > 0)) | ((x["e"] <= 1e-6) & (h["ar"] < 0))
+        held_w = ((x["w"] >= 5) & (h["cr"] > 0)) | ((x["w"] <= 0.01) & (h["cr"] < 0))
+        free = lambda k, *held: F.when(reduce(or_, held), 0.0).otherwise(h[k])
+        ab, ac, bc, u, v, w = free("ab", held_e), free("ac", held_e, held_w), free("bc", held_w), free("ar", held_e), h["br"], free("cr", held_w)
+        det = aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac)
+        one = u * (bb * cc - bc * bc) - ab * (v * cc - bc * w) + ac * (v * bc - bb * w)
+        two = aa * (v * cc - bc * w) - u * (ab * cc - bc * ac) + ac * (ab * w - v * ac)
+        three = aa * (bb * w - v * bc) - ab * (ab * w - v * ac) + u * (ab * bc - bb * ac)
+        return let(det, lambda d: F.struct(*[F.coalesce(F.try_divide(x, d), F.lit(0.0)).alias(n) for x, n in ((one, "a"), (two, "b"), (three, "c"))]))
+
+    def step(x: Column, _: Column) -> Column:
+        moments = let(F.transform("p", lambda r: derivatives(r, x)), lambda rows: F.struct(*[added(rows, lambda r, k=k: r[k[0]] * r[k[1]]).alias(k) for k in ("aa", "ab", "ac", "bb", "bc", "cc", "ar", "br", "cr")]))
+        bounded = lambda d: F.struct(F.greatest(F.lit(1e-6), F.least(F.lit(1.0), x["e"] + d["a"])).alias("e"), (x["l"] + d["b"]).alias("l"), F.greatest(F.lit(0.01), F.least(F.lit(5.0), x["w"] + d["c"])).alias("w"))
+        tried = let(let(moments, lambda h: solved(h, x)), bounded)
+        costed = let(tried, lambda n: F.struct(n["e"].alias("e"), n["l"].alias("l"), n["w"].alias("w"), cost(n["e"], n["l"], n["w"]).alias("cost")))
+        taken = lambda n: F.struct(n["e"].alias("e"), n["l"].alias("l"), n["w"].alias("w"), n["cost"].alias("cost"), (x["damping"] / 3).alias("damping"), (x["cost"] - n["cost"] < 1e-14).alias("done"))
+        stays = F.struct(x["e"].alias("e"), x["l"].alias("l"), x["w"].alias("w"), x["cost"].alias("cost"), (x["damping"] * 4).alias("damping"), (x["damping"] * 4 > 1e12).alias("done"))
+        return F.when(x["done"], x).otherwise(let(costed, lambda n: F.when(n["cost"] < x["cost"], taken(n)).otherwise(stays)))
+
+    fitted = start.withColumn("fit", F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.col("start"), step))
+    return fitted.select(*by, F.col("fit.e").alias("eff0"), F.col("fit.l").alias("limit"), F.col("fit.w").alias("width"))
 
 
 def discoveries_by_lunation(submissions: DataFrame, groups: list[str]) -> DataFrame:

@@ -231,10 +231,24 @@ def _fit(v):
 
     bins = v.detections.groupBy("filter_id", F.floor(C("mag") / 0.5).cast("bigint").alias("bin")).agg(F.count("*").alias("known"), F.sum((C("s2n") > 3.0 + (C("mag") - 18) * 6).cast("int")).alias("found"))
     curves = bins.select("filter_id", (C("bin") * 0.5).alias("mag_start"), (C("found") / C("known")).alias("efficiency"))
-    return rounded(fit_efficiency(curves, ["filter_id"]), "eff0", "limit", "width")
+    return fit_efficiency(curves, ["filter_id"]).select("filter_id", *[(F.floor(C(c) * 10000 + 0.5) / 10000).alias(c) for c in ("eff0", "limit", "width")])
 
 
-R.add("a20_fit_efficiency", _fit, None)
+def _searched(levels=12):
+    """The best fit as SQL, by a search of ever finer grids of limit and width; eff0 follows from them."""
+    best = lambda grid: f"""SELECT filter_id, arg_min(struct_pack(l := l, w := w, e := e), yy-2*e*ys+e*e*ss) AS b FROM (SELECT *, greatest(1e-6, least(1e0, ys/ss)) AS e FROM (SELECT filter_id, l, w, sum(y*y) AS yy, sum(y*s) AS ys, sum(s*s) AS ss
+  FROM (SELECT filter_id, l, w, y, 1/(1+exp(greatest(-50e0, least(50e0, (m-l)/w)))) AS s FROM ({grid}) g JOIN c USING (filter_id)) q GROUP BY 1, 2, 3) r) t GROUP BY filter_id"""
+    first = "SELECT filter_id, lo+(hi-lo)*(i.k+12)/24 AS l, 1e-2*pow(500e0, (j.k+12)/24) AS w, 0 AS z FROM (SELECT filter_id, min(m) AS lo, max(m) AS hi FROM c GROUP BY 1) x, o i, o j"
+    finer = lambda k: f"SELECT x.filter_id, b.l+i.k*span/{24 * 3**k}e0 AS l, greatest(1e-2, least(5e0, b.w*pow(500e0, j.k/{24 * 3**k}e0))) AS w FROM b{k - 1} x JOIN (SELECT filter_id, max(m)-min(m) AS span FROM c GROUP BY 1) y USING (filter_id), o i, o j"
+    steps = ", ".join(f"b{k} AS MATERIALIZED ({best(first if k == 0 else finer(k))})" for k in range(levels))
+    r4 = lambda x: f"floor(({x})*1e4+5e-1)/1e4"
+    return f"""
+WITH d AS MATERIALIZED (SELECT filter_id, CAST(floor(mag/5e-1) AS BIGINT)*5e-1 AS m, sum(CASE WHEN s2n > 3+(mag-18)*6 THEN 1e0 ELSE 0e0 END)/count(*) AS y FROM detections GROUP BY 1, 2),
+c AS MATERIALIZED (SELECT * FROM d WHERE filter_id IN (SELECT filter_id FROM d GROUP BY 1 HAVING count(*)>=4)), o AS MATERIALIZED (SELECT CAST(unnest(range(-12, 13)) AS DOUBLE) AS k), {steps}
+SELECT filter_id, {r4("b.e")} AS eff0, {r4("b.l")} AS "limit", {r4("b.w")} AS width FROM b{levels - 1}"""
+
+
+R.add("a20_fit_efficiency", _fit, _searched())
 R.add("s8_extract_objects", lambda v: archive.extract_objects(v.derivedobjects.filter("derivedobject_id % 50 = 1"), v.derivedobject_attrib, v.tracklet_attrib, v.movers, v.fields)["detections"].select("det_id", "field_id"), "SELECT det_id, field_id FROM movers WHERE det_id IN (SELECT det_id FROM tracklet_attrib a JOIN derivedobject_attrib m ON m.tracklet_id=a.tracklet_id WHERE m.derivedobject_id % 50 = 1)")
 R.add("s9_lsd_index", lambda v: archive.lsd_index(v.detections), "SELECT nn, CAST(floor(ra_deg/360e0*3600) AS INT) AS ra_slice, min(dec_deg) AS min_dec, max(dec_deg) AS max_dec, count(*) AS n FROM detections GROUP BY 1,2")
 R.add("s11_sync_missing", lambda v: archive.sync_missing(v.fields, v.fields.filter("field_id % 3 <> 0")).select("field_id", "nn"), "SELECT field_id, nn FROM fields WHERE field_id % 3 = 0")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.graph import children, remove
 from ..operators.rules import evaluate_rules
 from ..sources.text import parse_detections
 
@@ -107,21 +108,61 @@ def latest_status(changes: DataFrame, key: str, order: list[str], value: str) ->
     return changes.groupBy(key).agg(F.max(F.struct(*order, value)).alias("m")).select(key, F.col(f"m.{value}").alias(value))
 
 
-def queue_state_stream(changes: DataFrame, path: str, checkpoint: str, key: str, order: list[str], value: str):
-    """A stream that keeps the newest status per object below ``path``: each micro-batch is reduced, merged with the last state and written as a new version."""
+def runs_of(number: int, fan: int) -> list[tuple[int, int]]:
+    """(level, last batch) of the runs that hold batches 0 to ``number``: as many of each level as the digits of their count to the base ``fan`` say."""
+    found, end, count, level = [], number, number + 1, 0
+    while count:
+        count, digit = divmod(count, fan)
+        found += [(level, end - k * fan**level) for k in range(digit)]
+        end -= digit * fan**level
+        level += 1
+    return found
+
+
+def queue_state_stream(changes: DataFrame, path: str, checkpoint: str, key: str, order: list[str], value: str, fan: int = 8):
+    """A stream that keeps the newest status per object below ``path`` (read it with :func:`queue_state`).
+
+    A micro-batch writes its own newest rows, a run of level 0. ``fan`` runs of a level become one of the next, so a row is written once per level, the logarithm of the batches, and what is written follows the changes, not the
+    state. Which runs there are follows from a batch's number alone: a batch that is run again writes the same, and runs that were merged go only with the batch after. A batch whose earlier
+    runs are missing fails instead of starting over.
+    """
     spark = changes.sparkSession
+    run = lambda level, last: f"{path}/level={level}/upto={last}"
+    inputs = lambda level, last: [(level - 1, last - k * fan ** (level - 1)) for k in range(fan)]
 
     def merge(batch: DataFrame, number: int) -> None:
-        new = batch.groupBy(key).agg(F.max(F.struct(*order, value)).alias("m"))
-        if number:
-            try:
-                new = new.unionByName(spark.read.parquet(f"{path}/v{number - 1}")).groupBy(key).agg(F.max("m").alias("m"))
-            except Exception as e:  # a first batch that isn't number 0 has no state yet
-                if "PATH_NOT_FOUND" not in str(e):
-                    raise
-        new.write.mode("overwrite").parquet(f"{path}/v{number}")
+        there = complete_runs(spark, path)
+        if number and (lost := [x for x in runs_of(number - 1, fan) if x not in there]):
+            raise FileNotFoundError(f"state of batch {number - 1} is incomplete below {path}: no run {lost[0]}")
+        batch.groupBy(key).agg(F.max(F.struct(*order, value)).alias("m")).write.mode("overwrite").parquet(run(0, number))
+        level = 1
+        while (number + 1) % fan**level == 0:
+            spark.read.parquet(*[run(*x) for x in inputs(level, number)]).groupBy(key).agg(F.max("m").alias("m")).write.mode("overwrite").parquet(run(level, number))
+            level += 1
+        level = 1
+        while number and number % fan**level == 0:  # merged by the batch before, which is done
+            for x in inputs(level, number - 1):
+                remove(spark, run(*x))
+            level += 1
 
     return changes.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
 
 
-__all__ = ["alert_stream", "complete_stacks", "complete_stacks_stream", "dedupe_alerts", "ingest_stream", "latest_alerts", "latest_status", "new_alerts", "nightly_counts", "parse_detections", "queue_state_stream"]
+def complete_runs(spark: SparkSession, path: str) -> set[tuple[int, int]]:
+    """The runs below ``path`` whose writing has ended; a handful per level."""
+    names = [(int(level.split("=")[1]), int(last.split("=")[1])) for level in children(spark, path) if level.startswith("level=") for last in children(spark, f"{path}/{level}") if last.startswith("upto=")]
+    return {(level, last) for level, last in names if "_SUCCESS" in children(spark, f"{path}/level={level}/upto={last}")}
+
+
+def queue_state(spark: SparkSession, path: str, key: str, value: str, fan: int = 8) -> DataFrame:
+    """(key, value) of the last batch that :func:`queue_state_stream` wrote, or of the one before where that is being written; runs that are missing beyond that are an error."""
+    there = complete_runs(spark, path)
+    newest = max((last for _, last in there), default=-1)
+    for number in (newest, newest - 1):
+        if number >= 0 and set(need := runs_of(number, fan)) <= there:
+            rows = spark.read.parquet(*[f"{path}/level={level}/upto={last}" for level, last in need])
+            return rows.groupBy(key).agg(F.max("m").alias("m")).select(key, F.col(f"m.{value}").alias(value))
+    raise FileNotFoundError(f"no whole state of batch {newest} below {path}")
+
+
+__all__ = ["alert_stream", "complete_stacks", "complete_stacks_stream", "dedupe_alerts", "ingest_stream", "latest_alerts", "latest_status", "new_alerts", "nightly_counts", "parse_detections", "queue_state", "queue_state_stream"]

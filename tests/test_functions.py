@@ -91,3 +91,30 @@ def test_noise_is_as_large_as_its_errors(spark):
     df = spark.range(4000).select(F.lit(10.0).alias("ra_deg"), F.lit(0.0).alias("dec_deg"), F.lit(20.0).alias("mag"), F.lit(10.0).alias("s2n"))
     got = photometry.perturb_positions(df, 3).agg(F.stddev("dec_deg"), F.avg("dec_deg"), F.first("dec_sigma_deg")).first()
     assert got[0] == pytest.approx(got[2], rel=0.1) and abs(got[1]) < got[2] / 10
+
+
+def test_efficiency_fit(spark):
+    """Curves made from the model come back; with noise the gradient vanishes, but for eff0 and w at their bounds; few bins are left out."""
+    import numpy as np
+
+    from nightloom.operators.efficiency import fit_efficiency
+
+    r = np.random.default_rng(4)
+    rows, made = [], {}
+    for g in range(12):
+        e, limit, w = r.uniform(0.5, 1.0), r.uniform(20, 23), r.uniform(0.1, 0.8)
+        m = np.arange(18, 25, 0.5)
+        y = e / (1 + np.exp((m - limit) / w)) + (0 if g < 6 else r.normal(0, 0.03, len(m)))
+        made[g] = (e, limit, w, m, y)
+        rows += [(g, float(a), float(b)) for a, b in zip(m, y, strict=True)]
+    rows += [(99, 20.0, 0.5), (99, 21.0, 0.4), (99, 22.0, 0.1)]
+    got = {x.g: (x.eff0, x.limit, x.width) for x in fit_efficiency(spark.createDataFrame(rows, "g int, mag_start double, efficiency double").repartition(3), ["g"]).collect()}
+    assert sorted(got) == list(range(12))
+    for g, (e, limit, w, m, y) in made.items():
+        a, b, c = got[g]
+        if g < 6:
+            assert (a, b, c) == pytest.approx((e, limit, w), abs=1e-5)
+        s = 1 / (1 + np.exp((m - b) / c))
+        left = y - a * s
+        slopes = [left @ s, left @ (a * s * (1 - s) / c), left @ (a * s * (1 - s) * (m - b) / c**2)]
+        assert abs(slopes[1]) < 1e-5 and (abs(slopes[0]) < 1e-5 or a == 1.0 and slopes[0] > 0) and abs(slopes[2]) < 1e-5

@@ -3,6 +3,7 @@
 import datetime as dt
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from nightloom.streaming import streams
@@ -69,6 +70,48 @@ def test_queue_state(spark, tmp_path):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
     q = streams.queue_state_stream(stream, str(tmp_path / "state"), str(tmp_path / "cp"), "object_id", ["seq"], "status").trigger(availableNow=True).start()
     q.awaitTermination(120)
-    last = max(tmp_path.joinpath("state").iterdir(), key=lambda p: int(p.name[1:]))
-    got = {r.object_id: r.m.status for r in spark.read.parquet(str(last)).collect()}
+    got = {r.object_id: r.status for r in streams.queue_state(spark, str(tmp_path / "state"), "object_id", "status").collect()}
     assert got == {1: "I", 2: "N"}
+
+
+def test_runs_of_a_batch():
+    assert streams.runs_of(0, 4) == [(0, 0)] and streams.runs_of(3, 4) == [(1, 3)]
+    assert streams.runs_of(12, 4) == [(0, 12), (1, 11), (1, 7), (1, 3)] and streams.runs_of(15, 4) == [(2, 15)]
+
+
+def test_queue_state_writes_what_changes(spark, tmp_path):
+    """A large state and small batches: written bytes follow the changes, the state is that of all changes, and a lost run is an error."""
+    import shutil
+
+    schema = "object_id bigint, seq bigint, status string"
+    folder, state = str(tmp_path / "q"), str(tmp_path / "state")
+    spark.range(50_000).select(F.col("id").alias("object_id"), F.lit(0).cast("bigint").alias("seq"), F.md5(F.col("id").cast("string")).alias("status")).coalesce(1).write.parquet(folder)
+    time.sleep(0.05)
+    want = {}
+    for k in range(1, 8):
+        rows = [(k * 100 + j, k, f"s{k}") for j in range(150)]
+        want |= {r[0]: r[2] for r in rows}
+        write(spark, folder, rows, schema)
+    size = lambda p: sum(f.stat().st_size for f in p.rglob("*.parquet"))
+    written = []
+
+    def follow(stop):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        streams.queue_state_stream(stream, state, str(tmp_path / "cp"), "object_id", ["seq"], "status", fan=3).trigger(availableNow=True).start().awaitTermination(300)
+        written.append(size(tmp_path / "state"))
+        got = {r.object_id: r.status for r in streams.queue_state(spark, state, "object_id", "status", fan=3).collect()}
+        assert len(got) == 50_000 and all(got[k] == v for k, v in stop.items())
+
+    follow(want)
+    assert streams.complete_runs(spark, state) == {(0, 7), (0, 6), (1, 5), (1, 2)}  # eight batches; what was merged is gone
+    assert size(tmp_path / "state/level=0") < 0.05 * written[0]
+    write(spark, folder, [(1, 99, "last")], schema)
+    follow(want | {1: "last"})
+    shutil.rmtree(tmp_path / "state/level=2")
+    write(spark, folder, [(2, 99, "last")], schema)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    with pytest.raises(Exception, match="incomplete"):
+        streams.queue_state_stream(stream, state, str(tmp_path / "cp"), "object_id", ["seq"], "status", fan=3).trigger(availableNow=True).start().awaitTermination(120)
+    shutil.rmtree(tmp_path / "state/level=1")
+    with pytest.raises(FileNotFoundError):
+        streams.queue_state(spark, state, "object_id", "status", fan=3)
