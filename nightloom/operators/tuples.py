@@ -96,3 +96,9 @@ def expand_tuples(fields: DataFrame, parents: DataFrame) -> DataFrame:
     """(parent_id, field_ids): all fields of the given parents' tuples."""
     member = fields.select(F.coalesce("parent_id", "field_id").alias("parent_id"), "field_id")
     return member.join(parents.select("parent_id"), "parent_id", "left_semi").groupBy("parent_id").agg(F.array_sort(F.collect_list("field_id")).alias("field_ids"))
+
+
+def tag_orphans(fields: DataFrame, tuples: DataFrame, done: str = "L") -> DataFrame:
+    """``fields`` with the status of those that no tuple took (``kind`` ORPHAN of :func:`assemble_tuples`) set to ``done``: nothing waits for them to be linked."""
+    orphans = tuples.filter("kind = 'ORPHAN'").select("field_id", F.lit(done).alias("_done")).distinct()
+    return fields.join(orphans, "field_id", "left").withColumn("status", F.coalesce("_done", "status")).select(*fields.columns)

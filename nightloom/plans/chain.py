@@ -13,6 +13,7 @@ from ..operators import tuples as tu
 from ..operators.graph import shared_root
 from ..schemas import SCHEMAS, load_tables
 from ..sources import archive
+from ..sources import catalogues as ca
 from ..sources import text as tx
 from ..streaming import streams as st
 from .common import F, Registry, dang, r6, rounded, sep
@@ -102,9 +103,11 @@ R.add("h3_union_passes", lambda v: t.union_passes(v.tracklets.filter("vel_tot <
 R.add("h4_stack_pass_options", lambda v: t.stack_pass_options(v.fields.groupBy("p", "n").agg(F.count("*").alias("n_fields"), F.min("dec_deg").alias("galactic_lat")), 0.6, 5.0, 0.3, 10.0).select("p", "n", "max_speed_slow", "max_speed_fast", "min_obs"), "SELECT p, n, CASE WHEN abs(min(dec_deg))<10 THEN 3e-1 WHEN count(*)<=2 THEN 3e-1 ELSE 6e-1 END AS max_speed_slow, CASE WHEN count(*)>2 THEN 5e0 ELSE 3e-1 END AS max_speed_fast, CASE WHEN count(*)>3 THEN count(*)-1 ELSE count(*) END AS min_obs FROM fields GROUP BY 1,2")
 
 # Sequencing.
-R.add("w1_assemble_tuples", lambda v: tu.assemble_tuples(v.fields, 3, 4, 10, 30).select("field_id", "kind", "tuple_id", "place"), """
-SELECT field_id, CASE WHEN c>=3 THEN 'TTI' ELSE 'ORPHAN' END AS kind, CASE WHEN c>=3 THEN last END AS tuple_id, CAST(CASE WHEN c>=3 THEN k-1 ELSE 0 END AS INT) AS place FROM (SELECT field_id, count(*) OVER w AS c, max(field_id) OVER w AS last, row_number() OVER (PARTITION BY p, n ORDER BY field_id) AS k FROM fields WINDOW w AS (PARTITION BY p, n)) x""")
-R.add("w2_assemble_stacks", lambda v: tu.assemble_stacks(v.fields, 10, 30).select("field_id", "kind", "tuple_id"), "SELECT field_id, CASE WHEN c=2 THEN 'PAIR' WHEN c=3 THEN 'TRIPLE' WHEN c>3 THEN 'TUPLE' ELSE 'ORPHAN' END AS kind, CASE WHEN c>=2 THEN last END AS tuple_id FROM (SELECT field_id, count(*) OVER w AS c, max(field_id) OVER w AS last FROM fields WINDOW w AS (PARTITION BY p, n)) x")
+_lots = """SELECT field_id, CASE WHEN lot IN (1, 2, 3) THEN 'ORPHAN' WHEN lot=4 THEN 'DEEP' ELSE 'TTI' END AS kind, CASE WHEN lot IN (0, 4) THEN max(field_id) OVER w END AS tuple_id, CASE WHEN lot IN (0, 4) THEN CAST(row_number() OVER (PARTITION BY p, n, lot ORDER BY field_id)-1 AS INT) ELSE 0 END AS place FROM exposures WINDOW w AS (PARTITION BY p, n, lot)"""
+R.add("w1_assemble_tuples", lambda v: tu.assemble_tuples(v.exposures, 3, 4, 10, 30).select("field_id", "kind", "tuple_id", "place"), _lots)
+R.add("w2_assemble_stacks", lambda v: tu.assemble_stacks(v.exposures, 10, 30).select("field_id", "kind", "tuple_id"), """
+SELECT field_id, CASE WHEN lot IN (1, 2, 4) THEN 'ORPHAN' ELSE 'TUPLE' END AS kind, CASE WHEN lot IN (0, 3) THEN CASE WHEN p%5=3 THEN max(CASE WHEN lot=3 THEN field_id END) OVER w ELSE max(CASE WHEN lot=0 THEN field_id END) OVER w END END AS tuple_id FROM exposures WINDOW w AS (PARTITION BY p, n)""")
+R.add("w15_tag_orphans", lambda v: tu.tag_orphans(v.exposures, tu.assemble_tuples(v.exposures, 3, 4, 10, 30)).select("field_id", "status"), "SELECT field_id, CASE WHEN lot IN (1, 2, 3) THEN 'L' ELSE status END AS status FROM exposures")
 R.add("w3_find_pairs", lambda v: tu.find_pairs(v.fields, 10.0, 30.0), "SELECT field_id-1 AS first_field, field_id AS second_field FROM fields WHERE e IN (1,3)")
 
 
@@ -184,6 +187,31 @@ SELECT m.derivedobject_id, count(*) AS n, {r6(f"max({_v}+(det_id%9)/10e0)-min({_
 # Formats: written as lines and parsed again.
 R.add("s2_s3_detection_lines", lambda v: tx.parse_detections(tx.format_detections(v.detections)).select("det_id", "epoch_mjd", "mag", "object_name"), f"SELECT det_id, {r6('epoch_mjd')} AS epoch_mjd, mag, coalesce(object_name, 'NS') AS object_name FROM detections")
 R.add("s4_orbit_lines", lambda v: tx.parse_orbits(v.ssm.select(F.concat_ws(" ", *[C(c).cast("string") for c in ("q", "e", "i", "node", "arg_peri", "time_peri", "h_v", "epoch", "object_name")]).alias("value"))), "SELECT q, e, i, node, arg_peri, time_peri, h_v, epoch, object_name AS name FROM ssm")
+_epoch = "CAST(make_date(1950+CAST(ssm_id%140 AS INT), 1+CAST(ssm_id%12 AS INT), 1+CAST(ssm_id%28 AS INT))-DATE '1858-11-17' AS DOUBLE)"
+
+
+def _catalogue(v):
+    """Catalogue lines of the population, with epochs over 140 years, behind a header."""
+    date = F.make_date((1950 + C("ssm_id") % 140).cast("int"), (1 + C("ssm_id") % 12).cast("int"), (1 + C("ssm_id") % 28).cast("int"))
+    packed = ca.pack_date(F.datediff(date, F.to_date(F.lit("1858-11-17"))))
+    numbers = [C("h_v"), F.lit(0.15), packed, C("ssm_id") % 360, C("arg_peri"), C("node"), C("i"), C("e"), 0.1 + (C("ssm_id") % 7) / 20, C("q") * 2]
+    lines = v.ssm.select(F.concat_ws("  ", "object_name", *[x.cast("string") for x in numbers], F.lit("0 MPO1 63 94")).alias("value"))
+    return ca.parse_catalogue(lines.union(v.ssm.filter("ssm_id < 5").select(F.when(C("ssm_id") % 2 == 0, "-------").otherwise("Object   H  G Epoch M Peri. Node").alias("value"))))
+
+
+R.add("s13_orbit_catalogue", lambda v: rounded(_catalogue(v), "q", "time_peri"), f"SELECT object_name AS name, {r6('q*2*(1-e)')} AS q, e, i, node, arg_peri, {r6(f'{_epoch}-(CASE WHEN ssm_id%360>180 THEN ssm_id%360-360 ELSE ssm_id%360 END)/(1e-1+(ssm_id%7)/20e0)')} AS time_peri, h_v, {_epoch} AS epoch FROM ssm")
+
+
+def _cadence(v):
+    """Cadence lines of the fields, some once more for another programme, behind a header."""
+    columns = {0: C("field_id") * 10 + C("k"), 4: F.when(C("k") == 0, C("filter_id")).otherwise("x"), 9: C("epoch_mjd") - 4383, 10: F.lit("30"), 28: F.radians("ra_deg"), 29: F.radians("dec_deg")}
+    lines = v.fields.filter("p % 16 = n % 16").withColumn("k", F.explode(F.when(C("field_id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    lines = lines.select(F.concat_ws("\t", *[columns[k].cast("string") if k in columns else F.lit("-") for k in range(49)]).alias("value"))
+    header = v.fields.filter("field_id = 0").select(F.concat_ws("\t", *[F.lit(f"name{k}") for k in range(49)]).alias("value"))
+    return ca.parse_cadence(lines.union(header), "I11", 24.5)
+
+
+R.add("s14_cadence_fields", lambda v: rounded(_cadence(v), "epoch_mjd", "ra_deg", "dec_deg"), f"SELECT {r6('epoch_mjd')} AS epoch_mjd, {r6('ra_deg')} AS ra_deg, {r6('dec_deg')} AS dec_deg, 30 AS exposure_s, filter_id, 'I11' AS obscode, 245e-1 AS limiting_mag FROM (SELECT *, row_number() OVER (PARTITION BY epoch_mjd ORDER BY field_id) AS k FROM fields WHERE p%16=n%16) x WHERE k=1")
 R.add("s5_exchange_lines", lambda v: tx.parse_exchange(v.tracklet_attrib.select(F.concat_ws(" ", F.lit("TRACKLET"), "tracklet_id", "det_id").alias("value")).union(v.ssm.select(F.concat_ws(" ", F.lit("TRACK"), "ssm_id", "orbit_id").alias("value"))))["tracklets"], "SELECT tracklet_id AS owner_id, det_id AS member_id FROM tracklet_attrib")
 R.add("s6_obs80_lines", lambda v: tx.parse_obs80(tx.format_obs80(v.movers.select(F.concat(F.lit("T"), C("pk").cast("string")).alias("object_name"), "epoch_mjd", "ra_deg", "dec_deg", "mag", "filter_id", "obscode"))).select("object_name", F.round("mag", 2).alias("mag"), "filter_id", "obscode", F.round(C("ra_deg") * 240000).cast("bigint").alias("ra_ms"), F.round(C("dec_deg") * 360000).cast("bigint").alias("dec_cs")), "SELECT 'T' || CAST(pk AS VARCHAR) AS object_name, round(mag, 2) AS mag, filter_id, obscode, CAST(round(ra_deg*240000) AS BIGINT) AS ra_ms, CAST(round(dec_deg*360000) AS BIGINT) AS dec_cs FROM movers")
 R.add("s7_export_tables", lambda v: archive.instance_tables(v.movers, v.tracklet_attrib, v.derivedobject_attrib, v.ssm, C("mag") < 20.0)["derivedobject_attrib"].select("derivedobject_id", "tracklet_id"), "SELECT derivedobject_id, tracklet_id FROM derivedobject_attrib WHERE tracklet_id IN (SELECT tracklet_id FROM tracklet_attrib a JOIN movers d ON d.det_id=a.det_id WHERE d.mag<20)")

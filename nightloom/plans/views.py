@@ -70,6 +70,13 @@ VIEWS: dict[str, str] = {
         FROM movers WHERE e = 0""",
     "submissions": f"""
         SELECT event_id AS sub_id, 'L' || CAST(user_id AS VARCHAR(20)) AS desig, user_id, {pick("ABC", "event_id")} AS survey_group, event_id % 30 AS digest, 55000 + event_id % 90 AS nn, event_type, CAST(event_id % 7 = 0 AS INT) AS is_discovery FROM events""",
+    # Exposures that tuples are made of: the fields' fours, and beside some of them one an hour too late, one a degree away, a fifth within the gap, and series two minutes apart.
+    "exposures": """
+        SELECT field_id * 10 AS field_id, p, n, e, 0 AS lot, nn, epoch_mjd, ra_deg, dec_deg, filter_id, survey_mode, status FROM fields
+        UNION ALL SELECT field_id * 10 + 1, p, n, e, 1, nn, epoch_mjd + 1e0 / 24e0, ra_deg, dec_deg, filter_id, survey_mode, status FROM fields WHERE e = 3 AND p % 7 = 1
+        UNION ALL SELECT field_id * 10 + 2, p, n, e, 2, nn, epoch_mjd + 4e-3, ra_deg, dec_deg + 1e0, filter_id, survey_mode, status FROM fields WHERE e = 1 AND p % 6 = 2
+        UNION ALL SELECT field_id * 10 + 3, p, n, e, 3, nn, epoch_mjd + 14e0 / 1440e0, ra_deg, dec_deg, filter_id, survey_mode, status FROM fields WHERE e = 3 AND p % 5 = 3
+        UNION ALL SELECT f.field_id * 10 + 4 + k, p, n, k, 4, nn, epoch_mjd + 1e-1 + k * 2e0 / 1440e0, ra_deg, dec_deg - 7e-1, filter_id, survey_mode, status FROM fields f JOIN (VALUES (0), (1), (2), (3), (4)) AS s(k) ON e = 0 AND p % 4 = 1""",
     "paths": """
         SELECT p_partkey AS id, k, k + 45e-2 + (p_partkey % 31) / 155e0 AS x, p_partkey * 13750776405e-8 AS r, (p_partkey * 7548776662e-10 - floor(p_partkey * 7548776662e-10)) * 100e0 - 50e0 AS d,
                (p_partkey * 7919 % 1009 - 504) / 3400e0 AS va, (p_partkey % 201 - 100) / 200000e0 AS aa, (p_partkey * 104729 % 997 - 498) / 6200e0 AS vd

@@ -347,3 +347,26 @@ def test_noise_belongs_to_the_row(spark):
     for k in range(3):
         assert abs(row[3 * k]) < 0.03 and abs(row[3 * k + 1] - 1) < 0.02 and abs(row[3 * k + 2]) < 0.15
     assert abs(row[9]) < 0.03 and abs(row[10]) < 0.03 and 3 < row[11] < 6
+
+
+def test_catalogue_lines(spark):
+    from nightloom.sources import catalogues
+
+    lines = ["Some header text with more than eleven words in it that say nothing of orbits", "-----", "00001    3.34  0.12 K107N 113.41048   72.58976   80.39321   10.58682  0.0791382  0.21432817   2.7653485  0 MPO110568", "", "X 1 2 I001125 200 1 2 3 0.5 0.5 2.0", "Y 1 2 K10DN 1 1 1 1 .1 1 1", "Z 1 2 K1029 x 1 1 1 0.1 1 1", "short K107N", "W 1 2 K102V 10 1 2 3 0.5 0.5 2.0"]
+    rows = {r.name: r for r in catalogues.parse_catalogue(spark.createDataFrame([(x,) for x in lines], "value string")).collect()}
+    assert sorted(rows) == ["00001", "W", "X"] and rows["W"].epoch is None
+    ceres = rows["00001"]
+    assert ceres.epoch == 55400.0 and ceres.q == pytest.approx(2.7653485 * (1 - 0.0791382)) and ceres.time_peri == pytest.approx(55400 - 113.41048 / 0.21432817) and ceres.h_v == 3.34
+    assert rows["X"].epoch == -21504 + 0.25 and rows["X"].time_peri == pytest.approx(-21504 + 0.25 + 160 / 0.5)  # 1800 January 1, and a quarter
+    days = spark.range(-20000, 100000, 77).select(F.col("id").cast("double").alias("m"))
+    assert days.filter(F.col("m") != catalogues.unpack_date(catalogues.pack_date(F.col("m")))).count() == 0
+
+
+def test_cadence_lines(spark):
+    from nightloom.sources import catalogues
+
+    line = lambda visit, mjd, filt, ra: "\t".join({0: str(visit), 4: filt, 9: str(mjd), 10: "30", 28: str(ra), 29: "-0.5"}.get(k, "0") for k in range(49))
+    lines = ["obsHistID\tsessionID", line(7, 49353.1, "z", 1.0), line(5, 49353.1, "r", 1.5), line(6, 49353.2, "g", 0.0), "not a line"]
+    rows = catalogues.parse_cadence(spark.createDataFrame([(x,) for x in lines], "value string"), "I11", 24.0).orderBy("epoch_mjd").collect()
+    assert [(r.epoch_mjd, r.filter_id, r.exposure_s, r.obscode) for r in rows] == [(49353.1 + 4383, "r", 30, "I11"), (49353.2 + 4383, "g", 30, "I11")]
+    assert rows[0].ra_deg == pytest.approx(math.degrees(1.5)) and rows[0].dec_deg == pytest.approx(math.degrees(-0.5))
