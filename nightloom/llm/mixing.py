@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from nightloom.operators.graph import forget
+
 from .common import WORD, checkpointed, table
 
 #: Fraction bits of the fixed-point copy rates, so that their running sums are exact.
@@ -57,6 +59,7 @@ def balance(classes: DataFrame, sources: DataFrame, cap: float, steps: int, tole
         ((F.col("source_size") == 0) | (ratio >= cap) | (ratio <= 0)).alias("_done"),
     )
     state = checkpointed(state)
+    before = state
     for _ in range(steps):
         rate = tilted(F.col("size"), F.col("_lambda"), F.col("_mean"), cap)
         sums = classes.join(state.filter("not _done").select("_key", "_lambda", "_mean"), "_key").groupBy("_key").agg(
@@ -78,6 +81,8 @@ def balance(classes: DataFrame, sources: DataFrame, cap: float, steps: int, tole
             (F.col("_done") | near).alias("_done"),
         )
         state = checkpointed(state)
+        forget(before)
+        before = state
         if state.filter("not _done").isEmpty():
             return state
     raise ArithmeticError(f"no multipliers after {steps} steps for the sources {[r['_key'] for r in state.filter('not _done').select('_key').take(5)]}")

@@ -20,6 +20,8 @@ from .substrings import QUESTION, question, unique_pairs
 BATCH_CHARS = 4 << 20
 #: Texts of one block of a candidate component; larger components are verified block against block.
 BLOCK = 1024
+#: And bytes of shingle sets in it, 8 a shingle: sets of long texts make blocks of fewer texts.
+BLOCK_BYTES = 16 << 20
 #: A text at least this similar (estimated) to a leader is covered by it, a leader by another one at the second value; leaders are linked
 #: to all texts down to the third.
 COVER, SAME, LINK = 0.75, 0.9, 0.25
@@ -300,7 +302,7 @@ def near_duplicate_texts(docs: DataFrame, text: str = "text", shingle: int = 5,
     what a label shares with its neighbours is its longest matched prefix, and the ranges answer with that. Labels with a match become rows, in the
     tries' order, and each text's prefixes are shortened from the whole label on until it has its candidates or has reached
     the target recall (:func:`walk`, :func:`shortest_prefixes`). Candidate components then gather shingle sets and verify all their pairs, block
-    against block where a component has more than ``BLOCK`` texts, and there only blocks that can hold links (:func:`meeting_blocks`); pairs never become rows.
+    against block where a component has more than ``BLOCK`` texts or ``BLOCK_BYTES`` of sets, and there only blocks that can hold links (:func:`meeting_blocks`); pairs never become rows.
     """
     chars = total_chars(docs, text)
     n_batches, n_ranges = -(-chars // BATCH_CHARS) or 1, -(-chars // RANGE_CHARS) or 1
@@ -345,28 +347,27 @@ def near_duplicate_texts(docs: DataFrame, text: str = "text", shingle: int = 5,
     rows = by_batch.cogroup(matched.groupBy("batch")).applyInPandas(tidied_pair(bucket_rows), "bucket bigint, label binary, digest binary, small binary, shortest int")
     candidates = checkpointed(connected_components(link_buckets(rows, floor, depth, n_ranges)))
 
-    n_of = candidates.groupBy("component").agg(F.count("*").alias("n"))
-    placed = candidates.join(n_of, "component").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-
     def add_batch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             part["batch"] = [int.from_bytes(d[:8], "little") % n_batches for d in part["node"]]
             yield part
 
-    members = placed.select("node", "component", "blocks", "block").mapInPandas(add_batch, "node binary, component binary, blocks int, block int, batch bigint")
+    members = candidates.select("node", "component").mapInPandas(add_batch, "node binary, component binary, batch bigint")
 
     def shingle_rows(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        names = ["component", "blocks", "block", "digest", "shingles", "prefix"]
         if not len(left) or not len(right):
-            return pd.DataFrame(columns=names)
+            return pd.DataFrame(columns=["component", "digest", "shingles"])
         texts = Texts(list(left["blob"]))
         place = {d: k for k, d in enumerate(texts.digests)}
         wanted = np.array([place[bytes(d)] for d in right["node"]])
         sets = Shingles([texts.texts[k] for k in wanted], shingle).sets(np.arange(len(wanted)))
-        out = []
-        for d, component, blocks, block, found in zip(right["node"], right["component"], right["blocks"], right["block"], sets, strict=True):
-            out.append((component, blocks, block, d, found.tobytes(), found[: prefix_size(len(found), threshold)].astype(np.int64).tolist() if blocks > 1 else None))
-        return pd.DataFrame(out, columns=names)
+        return pd.DataFrame({"component": right["component"], "digest": right["node"], "shingles": [x.tobytes() for x in sets]})
+
+    def add_prefix(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            sets = [np.frombuffer(x, U64) for x in part["shingles"]]
+            part["prefix"] = [x[: prefix_size(len(x), threshold)].astype(np.int64).tolist() for x in sets]
+            yield part
 
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["block", "digest"])
@@ -378,12 +379,16 @@ def near_duplicate_texts(docs: DataFrame, text: str = "text", shingle: int = 5,
             root[j] = r
         return pd.DataFrame({"digest": digests, "links": links, "root": [digests[r] for r in root]})
 
-    gathered = by_batch.cogroup(members.groupBy("batch")).applyInPandas(tidied_pair(shingle_rows), "component binary, blocks int, block int, digest binary, shingles binary, prefix array<bigint>")
-    if (n_of.agg(F.max("n")).first()[0] or 0) > BLOCK:
-        gathered = checkpointed(gathered)
-        paired = gathered.filter("blocks = 1").select("component", F.col("block").alias("a"), F.col("block").alias("b"), "block", "digest", "shingles").unionByName(meeting_blocks(gathered.filter("blocks > 1")))
+    gathered = checkpointed(by_batch.cogroup(members.groupBy("batch")).applyInPandas(tidied_pair(shingle_rows), "component binary, digest binary, shingles binary"))
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.octet_length("shingles")) / BLOCK_BYTES)).cast("int")
+    large = checkpointed(gathered.groupBy("component").agg(blocks.alias("blocks")).filter("blocks > 1"))  # a row per large component
+    alone = lambda sets: sets.select("component", F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(0).alias("block"), "digest", "shingles")
+    if large.isEmpty():
+        paired = alone(gathered)
     else:
-        paired = gathered.select("component", F.col("block").alias("a"), F.col("block").alias("b"), "block", "digest", "shingles")
+        sets = gathered.join(large, "component").select("component", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int").alias("block"), "digest", "shingles")
+        sets = checkpointed(sets.mapInPandas(add_prefix, "component binary, block int, digest binary, shingles binary, prefix array<bigint>"))
+        paired = alone(gathered.join(large, "component", "left_anti")).unionByName(meeting_blocks(sets))
     verified = checkpointed(paired.groupBy("component", "a", "b").applyInPandas(verify, "digest binary, links bigint, root binary"))
     classes = connected_components(verified.filter("links > 0 and digest <> root"), "digest", "root")
     counted = verified.groupBy("digest").agg(F.sum("links").alias("n_links")).filter("n_links > 0")

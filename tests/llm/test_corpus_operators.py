@@ -298,6 +298,24 @@ def test_other_discounts():
     assert lm.discounts([0] * 6)[1:].tolist() == pytest.approx([(r - 0.5) / r for r in range(1, 6)])
 
 
+def test_blocks_by_bytes(spark, monkeypatch):
+    """Near copies of a long text, in blocks of as many sets as fit: the same classes and links as in one block."""
+    r = np.random.default_rng(8)
+    base = [f"w{k}" for k in r.integers(0, 500, 1200)]
+    texts = []
+    for k in range(24):
+        words = list(base)
+        for at in r.choice(len(words), k * 2, replace=False):
+            words[at] = f"x{k}"
+        texts.append(" ".join(words))
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] + [(100, texts[3]), (101, "alone in its class of five words or more")], "doc_id bigint, text string").repartition(3)
+    want = sorted(map(tuple, neardups.near_duplicates(df).drop("digest").collect()))
+    assert len({x[1] for x in want}) > 1 and max(x[2] for x in want) > 10
+    for size in (40_000, 9_000, 1):
+        monkeypatch.setattr(neardups, "BLOCK_BYTES", size)
+        assert sorted(map(tuple, neardups.near_duplicates(df).drop("digest").collect())) == want
+
+
 # pipeline
 
 
