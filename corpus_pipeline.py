@@ -19,6 +19,7 @@ from nightloom.llm.langid import identify_language, train_prototypes
 from nightloom.llm.mixing import mix_sources
 from nightloom.llm.neardups import keep_one_of_each
 from nightloom.llm.substrings import remove_repeats
+from nightloom.operators.graph import remove
 
 #: Cosine below which a long text resembles no language that was learned, and the length at which half of its square is asked. A text's cosine grows with the root of its share of
 #: signal, n / (n + constant); random letters of a learned alphabet come to 0.12 at 2000 letters, other scripts to 0.03.
@@ -98,9 +99,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``."""
-    docs, folder = table(spark, sf_dir, "documents"), shared_folder(spark)
+    """Apply the stages to ``documents``. A stage's folder goes when the next one's rows are written; the last one's stays, as the result reads it."""
+    docs, folder, before = table(spark, sf_dir, "documents"), shared_folder(spark), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before is not None:
+            remove(spark, f"{folder}/{before}")
+        before = name
     return docs
