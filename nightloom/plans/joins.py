@@ -120,6 +120,14 @@ WITH t AS (SELECT field_id AS target_id, epoch_mjd AS tm, ra_deg AS tr, dec_deg
 SELECT target_id, tracklet_id FROM j WHERE gap<=5e-1*dt AND vel_tot*13e-1*dt>=gap""")
 
 
+def _whole_sky(v, nights):
+    """Tracklets of all objects on some nights, each object with a place and motion of its own."""
+    x = C("k") + 0.45
+    base = v.ssm.select("ssm_id", F.pmod(C("ssm_id") * 137.50776405, F.lit(360.0)).alias("r"), (F.pmod(C("ssm_id") * 0.7548776662, F.lit(1.0)) * 100 - 50).alias("d"), F.explode(F.array(*[F.lit(k) for k in nights])).alias("k"))
+    va, aa, vd = (C("ssm_id") * 7919 % 1009 - 504) / 3400.0, (C("ssm_id") % 201 - 100) / 200000.0, (C("ssm_id") * 104729 % 997 - 498) / 6200.0
+    return base.select((C("ssm_id") * 10 + C("k")).alias("tracklet_id"), (55000.0 + x).alias("t"), F.pmod(C("r") + va * x + aa * x * x, F.lit(360.0)).alias("ra"), (C("d") + vd * x).alias("dec"), (va + 2 * aa * x).alias("va"), vd.alias("vd"))
+
+
 def _linked(tracklets, max_days):
     return l.link_tracklets(tracklets, 0.01, 0.01, 0.02, 0.002, 3, max_days, 0.4).select(F.array_join(F.col("tracklet_ids").cast("array<string>"), ",").alias("ids"), C("n").cast("bigint").alias("n"))
 
@@ -144,7 +152,9 @@ SELECT array_to_string(ids, ',') AS ids, CAST(len(ids) AS BIGINT) AS n FROM g AN
 
 # Four nights, so that every three of them make a track that lies in the whole one; then only the first three of them.
 R.add("j9_link_tracklets", lambda v: _linked(v.motions, 12.0), _linking("SELECT * FROM motions", 12))
-R.add("j9_link_tracklets_all", lambda v: _linked(v.motions.filter("t < 55008"), 10.0), _linking("SELECT * FROM motions WHERE t<55008", 10))
+R.add("j9_link_tracklets_three", lambda v: _linked(v.motions.filter("t < 55008"), 10.0), _linking("SELECT * FROM motions WHERE t<55008", 10))
+# All objects without anything false: each one's tracklets are its track.
+R.add("j9_link_tracklets_all", lambda v: _linked(_whole_sky(v, (0, 3, 6)), 10.0), "SELECT " + " || ',' || ".join(f"CAST(ssm_id*10+{k} AS VARCHAR)" for k in (0, 3, 6)) + " AS ids, CAST(3 AS BIGINT) AS n FROM ssm")
 R.add("j10_orbit_field_candidates", lambda v: p.orbit_field_candidates(v.fields, _tracks(v).withColumn("uncertainty", (C("object_id") % 5).cast("double")), 0.1, 0.4, 2.0), f"WITH {_seg} SELECT field_id, object_id, object_id%5<=2 AS certain FROM (SELECT *, {sep('fr', 'fd', 'ra', 'dec')} AS dist FROM h) x WHERE dist <= 15e-1 + CASE WHEN object_id%5<=2 THEN 1e-1 ELSE 4e-1 END")
 
 
