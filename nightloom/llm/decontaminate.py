@@ -235,7 +235,7 @@ def find_benchmark(
     the documents by the text's digest at the end.
 
     Null or empty texts and items match nothing; repeated items are found under each id; items with a null id
-    are left out. All rows stay; a column named ``matches`` is replaced.
+    are left out. All rows stay, repeated ones alike, and empty tables stay empty; a column named ``matches`` is replaced. A text of any length is read whole, in time linear in it but for what it shares with items.
     """
     windows = checkpointed(benchmark_windows(benchmark, item_id, item_text, window, step))
     chars = windows.agg(F.coalesce(F.sum(F.char_length("pattern")), F.lit(0)).alias("n")).first()["n"]

@@ -126,7 +126,7 @@ def identify_language(docs: DataFrame, prototypes: DataFrame, text: str = "text"
 
     ``lang_pred`` is the language whose prototype has the largest cosine with the whole text's vector (ties: the
     first in code point order), ``score`` that cosine, 0 at least. Null texts, texts without a letter and any
-    text when nothing was learned get ``und`` and 0. All rows and columns stay; columns of these names are replaced.
+    text when nothing was learned get ``und`` and 0. All rows and columns stay, repeated rows alike, and empty tables stay empty; columns of these names are replaced. Texts of any length are read whole.
 
     Prototypes are compared in blocks of ``BLOCK_LABELS``: each block is broadcast and all texts run past it. If there is more than one, a
     block's best label so far is written before the next one is read, so neither a task nor the driver ever holds more than one.

@@ -109,7 +109,8 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
 
     Null texts and texts without a word have size 0 and take nothing. A null source is a source of its own.
     Null or repeated ids and repeated rows each count as documents of their own; which of several equal
-    rows gets an odd copy does not show. Empty tables give empty results. Reruns agree: nothing is random.
+    rows gets an odd copy does not show. Empty tables give empty results. Reruns agree: nothing is random. Other columns of ``docs`` are left out; a text's length
+    matters only through its words, which are counted in place.
     """
     key = F.coalesce(F.concat(F.lit("+"), F.col(source).cast("string")), F.lit("-"))
     rows = checkpointed(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), key.alias("_key")))

@@ -184,7 +184,8 @@ def repeated_words(docs: DataFrame, text: str = "text", window: int = 35) -> Dat
 def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35) -> DataFrame:
     """All rows of ``docs`` with ``n_words``, ``n_removed`` and ``kept_text`` (columns of these names are replaced).
 
-    Null texts have no words and a null ``kept_text``. Repeated rows are copies of each other. Empty tables give empty results.
+    Null texts have no words and a null ``kept_text``. Repeated rows are copies of each other. Empty tables give empty results. A text longer than a batch is a batch of its own,
+    so the longest one bounds a task's memory.
     """
     names = others(docs, ("n_words", "n_removed", "kept_text"))
     digest, words, gone, kept = fresh(docs, "_digest", "_words", "_gone", "_kept")

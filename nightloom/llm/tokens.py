@@ -117,7 +117,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", column: st
     library always cuts (before white space that follows a visible character), and each distinct piece
     is encoded once per task; texts with other white space are encoded as they are. Null and empty texts
     count 0. No row is dropped, no shuffle is needed, and a lost task is simply run again. A column of
-    ``docs`` named as ``column`` is replaced.
+    ``docs`` named as ``column`` is replaced. Empty tables stay empty and repeated rows count alike; a text of any length is encoded in chunks.
     """
 
     def start():
