@@ -4,6 +4,7 @@ import pytest
 
 from nightloom.operators import linking as l
 from nightloom.operators import proximity as p
+from nightloom.operators import tuples as tu
 from nightloom.plans import joins
 from nightloom.plans.views import FOR_SPARK, VIEWS, Survey
 
@@ -57,3 +58,20 @@ def test_views_join_on_keys(spark):
     v = Survey(spark, SF)
     assert "NestedLoop" not in plan(v.derivedobject_attrib) and "Cartesian" not in plan(v.derivedobject_attrib)
     assert ", p_partkey" not in plan(v.movers) and "night" in "".join(hash_joins(v.movers))
+
+
+def test_exposures_of_two_footprints_at_one_place_are_not_mixed(spark):
+    """Two cells' fours interleaved in time, as they are at larger sizes; and one group over many batches."""
+    rows = [(100 * cell + k, 55000, cell, "r", 55000.4 + k / 80 + cell / 200, 10.0, 5.0, "OSS") for cell in (1, 2) for k in range(4)]
+    fields = spark.createDataFrame(rows, "field_id long, nn long, p long, filter_id string, epoch_mjd double, ra_deg double, dec_deg double, survey_mode string")
+    apart = {r.field_id: (r.kind, r.tuple_id, r.place) for r in tu.assemble_tuples(fields, 3, 4, 10, 30, within=("p",)).collect()}
+    assert apart == {100 * c + k: ("TTI", 100 * c + 3, k) for c in (1, 2) for k in range(4)}
+    stacks = {r.field_id: (r.kind, r.tuple_id) for r in tu.assemble_stacks(fields, 10, 30, within=("p",)).collect()}
+    assert stacks == {100 * c + k: ("TUPLE", 100 * c + 3) for c in (1, 2) for k in range(4)}
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+        again = {r.field_id: (r.kind, r.tuple_id, r.place) for r in tu.assemble_tuples(fields, 3, 4, 10, 30, within=("p",)).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert again == apart
