@@ -40,3 +40,14 @@ def test_links_search_a_night_whose_own_tracklet_is_off(spark):
     rows = [(1, 55000.4, 10.0, 5.0, 0.1, 0.0), (2, 55003.4, 10.3, 5.0, 0.1, 0.0), (3, 55006.4, 10.6, 5.05, 0.1, 0.0), (4, 55006.4, 10.6, 5.0, 0.1, 0.0)]
     found = linking.link_tracklets(spark.createDataFrame(rows, MOTION), 0.01, 0.01, 0.02, 0.002, 3, 10.0, 0.4)
     assert [r.tracklet_ids for r in found.collect()] == [[1, 2, 4]]
+
+
+def test_proximity_meets_what_was_near_then(spark, monkeypatch):
+    """One place seen in 100 nights: a query meets the nights around it, not all of them."""
+    calls = recorded(monkeypatch, proximity, "leveled_sky_join")
+    data = spark.createDataFrame([(n, 55000.0 + n, 10.0, 5.0, 20.0) for n in range(100)], "det_id long, epoch_mjd double, ra_deg double, dec_deg double, mag double")
+    asked = [(1, 10.0, 5.0, 55050.0, 20.0, 0.5, 3.0, -1.0), (2, 10.0, 5.0, 55099.0, 20.0, 0.5, 0.0, -1.0), (3, 10.0, 5.0, 55020.0, 20.0, 0.5, -1.0, -1.0), (4, 10.0, 5.0, 55000.5, 20.0, 0.5, 0.5, 0.1)]
+    queries = spark.createDataFrame(asked, "query_id long, q_ra double, q_dec double, q_mjd double, q_mag double, max_dist double, max_dt double, max_dmag double")
+    got = {(r.query_id, r.det_id) for r in proximity.detection_proximity(data, queries).collect()}
+    assert got == {(1, n) for n in range(47, 54)} | {(2, 99), (4, 0), (4, 1)}
+    assert calls[0][1].count() < 20
