@@ -51,3 +51,12 @@ def test_proximity_meets_what_was_near_then(spark, monkeypatch):
     got = {(r.query_id, r.det_id) for r in proximity.detection_proximity(data, queries).collect()}
     assert got == {(1, n) for n in range(47, 54)} | {(2, 99), (4, 0), (4, 1)}
     assert calls[0][1].count() < 20
+
+
+def test_field_candidates_broadcast_no_track(spark):
+    """Objects' uncertainties and fields are not sent to the driver; the worst of an object's uncertainties counts."""
+    fields = spark.createDataFrame([(1, 55001.0, 10.0, 0.0, 2.0), (2, 55001.0, 11.25, 0.0, 2.0)], "field_id long, epoch_mjd double, ra_deg double, dec_deg double, fov_deg double")
+    tracks = [(k, 55000.0 + 2 * n, 10.0, 0.0, u) for k, us in ((7, (0.0, 5.0)), (8, (0.0, 1.0)), (None, (0.0, 0.0))) for n, u in enumerate(us)]
+    found = proximity.orbit_field_candidates(fields, spark.createDataFrame(tracks, "object_id long, epoch_mjd double, ra_deg double, dec_deg double, uncertainty double"), 0.1, 0.4, 2.0)
+    assert "Broadcast" not in plan(found)
+    assert sorted(map(tuple, found.collect())) == [(1, 7, False), (1, 8, True), (2, 7, False)]
