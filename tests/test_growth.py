@@ -60,3 +60,22 @@ def test_field_candidates_broadcast_no_track(spark):
     found = proximity.orbit_field_candidates(fields, spark.createDataFrame(tracks, "object_id long, epoch_mjd double, ra_deg double, dec_deg double, uncertainty double"), 0.1, 0.4, 2.0)
     assert "Broadcast" not in plan(found)
     assert sorted(map(tuple, found.collect())) == [(1, 7, False), (1, 8, True), (2, 7, False)]
+
+
+def test_orbits_are_brute_force(spark):
+    """Orbits are joined on cells of four elements, merged; angles wrap, and thresholds may be off."""
+    r = random.Random(3)
+    names = ("q", "e", "i", "node", "arg_peri", "time_peri")
+    orbits = [(k, r.uniform(0.5, 1.5), r.choice((0.01, 0.03, r.uniform(0, 0.3))), r.uniform(0, 20), r.choice((r.uniform(340, 360), r.uniform(0, 20))), r.uniform(0, 30), 54000 + r.uniform(0, 50)) for k in range(400)]
+    data = spark.createDataFrame(orbits, "orbit_id long, " + ", ".join(f"{n} double" for n in names))
+    queries = data.filter("orbit_id % 4 = 0").withColumnRenamed("orbit_id", "query_id")
+    apart = lambda x, y: min(abs(x - y), 360 - abs(x - y))
+
+    def near(k, d, q, e, i, node):
+        x = abs(d[6] - k[6]) / (365.256898 * (k[1] / (1 - k[2])) ** 1.5)
+        return (not q or abs(d[1] - k[1]) < q) and (not e or abs(d[2] - k[2]) < e) and apart(d[3], k[3]) < i and apart(d[4], k[4]) < node and (k[2] <= 0.05 or apart(d[5], k[5]) < 10) and x - math.floor(x) < 0.1 * (math.floor(x) + 1)
+
+    for q, e, i, node in ((0.1, 0.05, 5.0, 10.0), (0.0, 0.0, 3.0, 170.0), (0.3, 0.0, 200.0, 7.0)):
+        found = proximity.orbit_proximity(data, queries, q, e, i, node)
+        assert "Broadcast" not in plan(found)
+        assert {tuple(x) for x in found.collect()} == {(k[0], d[0]) for k in orbits if k[0] % 4 == 0 for d in orbits if near(k, d, q, e, i, node)}
