@@ -79,3 +79,15 @@ def test_orbits_are_brute_force(spark):
         found = proximity.orbit_proximity(data, queries, q, e, i, node)
         assert "Broadcast" not in plan(found)
         assert {tuple(x) for x in found.collect()} == {(k[0], d[0]) for k in orbits if k[0] % 4 == 0 for d in orbits if near(k, d, q, e, i, node)}
+
+
+def test_nearest_detections_meet_by_place(spark, monkeypatch):
+    """Forty objects on one path: their place is compared once, not each of them with each other's copy."""
+    calls = recorded(monkeypatch, proximity, "sky_join")
+    kinds = "det_id long, field_id long, ra_deg double, dec_deg double, mag double"
+    sim = [(k, 1, 10.0, 5.0, 20.0 + k % 3) for k in range(40)] + [(100, 1, 10.0, 5.002, 20.0), (101, 1, 10.0, 6.0, 20.0), (102, 2, 10.0, 5.0, 20.0), (103, 1, None, 5.0, 20.0)]
+    real = [(1000 - k, 1, 10.0, 5.001, 20.0) for k in range(40)] + [(7, 1, 10.0, 5.0035, 20.0), (8, 1, None, None, 20.0)]
+    found = proximity.compare_detections(spark.createDataFrame(sim, kinds), spark.createDataFrame(real, kinds), 0.003)
+    got = {r.sim_id: (r.field_id, r.mag, r.real_id, None if r.distance is None else round(r.distance, 9)) for r in found.collect()}
+    assert got == {k: (1, 20.0 + k % 3, 961, 0.001) for k in range(40)} | {100: (1, 20.0, 961, 0.001), 101: (1, 20.0, None, None), 102: (2, 20.0, None, None), 103: (1, 20.0, None, None)}
+    assert calls[0][1].count() == 3
