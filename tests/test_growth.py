@@ -3,7 +3,9 @@
 import math
 import random
 
-from nightloom.operators import linking, proximity
+from pyspark.sql import functions as F
+
+from nightloom.operators import linking, proximity, tracklets
 
 MOTION = "tracklet_id long, t double, ra double, dec double, va double, vd double"
 
@@ -91,3 +93,11 @@ def test_nearest_detections_meet_by_place(spark, monkeypatch):
     got = {r.sim_id: (r.field_id, r.mag, r.real_id, None if r.distance is None else round(r.distance, 9)) for r in found.collect()}
     assert got == {k: (1, 20.0 + k % 3, 961, 0.001) for k in range(40)} | {100: (1, 20.0, 961, 0.001), 101: (1, 20.0, None, None), 102: (2, 20.0, None, None), 103: (1, 20.0, None, None)}
     assert calls[0][1].count() == 3
+
+
+def test_partners_of_a_crowded_place_meet_in_place(spark):
+    """A hundred partners of a start are tested where they are: no line is repeated for cells of velocity."""
+    pairs = spark.createDataFrame([(1, 1, 2 + k, 0.01, k / 100, 0.0) for k in range(100)], "stack_id long, a long, b long, dt double, va double, vd double")
+    lines = pairs.selectExpr("stack_id", "a", "b as end", "va as l_va", "vd as l_vd")
+    both = tracklets.with_partners(lines, pairs, "stack_id", 0.0003 / F.col("dt"), 1.0, "l_va", "l_vd")
+    assert "Union" not in plan(both) and both.count() == 10_000
