@@ -6,6 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from nightloom.operators import linking, proximity, tracklets
+from nightloom.sources import archive
 
 MOTION = "tracklet_id long, t double, ra double, dec double, va double, vd double"
 
@@ -101,3 +102,16 @@ def test_partners_of_a_crowded_place_meet_in_place(spark):
     lines = pairs.selectExpr("stack_id", "a", "b as end", "va as l_va", "vd as l_vd")
     both = tracklets.with_partners(lines, pairs, "stack_id", 0.0003 / F.col("dt"), 1.0, "l_va", "l_vd")
     assert "Union" not in plan(both) and both.count() == 10_000
+
+
+def test_archive_positions_are_not_repeated_by_slice(spark, monkeypatch, tmp_path):
+    """A position in reach of three slices is joined once for each sky cell; a detection in two batches is found once."""
+    calls = recorded(monkeypatch, archive, "sky_join")
+    rows = spark.createDataFrame([(k, 55000 + k % 2, (359.95 + k * 0.05) % 360, 60.0) for k in range(8)], "det_id long, nn long, ra_deg double, dec_deg double")
+    for _ in range(2):
+        archive.write_lsd(rows, str(tmp_path / "lsd"))
+    positions = rows.selectExpr("det_id as position_id", "nn as p_nn", "ra_deg as p_ra", "dec_deg as p_dec")
+    found = archive.read_lsd(spark, str(tmp_path / "lsd"), positions, 0.06)
+    assert sorted((r.position_id, r.det_id) for r in found.select("position_id", "det_id").collect()) == [(a, b) for a in range(8) for b in range(8) if a in (b, b - 2, b + 2)]
+    (_, asked, *_), _ = calls[0]
+    assert asked.count() == 8
