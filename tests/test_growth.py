@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from nightloom.operators import linking, proximity, tracklets
+from nightloom.operators import cleaning, linking, proximity, tracklets
 from nightloom.sources import archive
 
 MOTION = "tracklet_id long, t double, ra double, dec double, va double, vd double"
@@ -115,3 +115,23 @@ def test_archive_positions_are_not_repeated_by_slice(spark, monkeypatch, tmp_pat
     assert sorted((r.position_id, r.det_id) for r in found.select("position_id", "det_id").collect()) == [(a, b) for a in range(8) for b in range(8) if a in (b, b - 2, b + 2)]
     (_, asked, *_), _ = calls[0]
     assert asked.count() == 8
+
+
+def test_codes_join_on_one_packed_cell(spark):
+    """Codes join on the exposure and one number a cell, at any place and radius; each detection keeps one row."""
+    r = random.Random(5)
+    places = [(0.0, 90.0), (0.0, -90.0), (359.9999, 0.0), (180.0, 45.0), (90.0, 0.0)]
+    dets = [(k, k % 3, (ra + r.uniform(-0.002, 0.002)) % 360, max(-90.0, min(90.0, dec + r.uniform(-0.002, 0.002))), float(r.randint(1, 5))) for k, (ra, dec) in enumerate(places * 30)]
+    df = spark.createDataFrame(dets, "det_id long, field_id long, ra_deg double, dec_deg double, fom double")
+
+    def apart(a, b):
+        x, y = math.radians(b[3] - a[3]), math.radians(b[2] - a[2])
+        return math.degrees(2 * math.asin(math.sqrt(math.sin(x / 2) ** 2 + math.cos(math.radians(a[3])) * math.cos(math.radians(b[3])) * math.sin(y / 2) ** 2)))
+
+    for radius in (0.0007, 0.000001):  # the second is too narrow to pack
+        found = cleaning.fom_codes(df, radius=radius)
+        text = plan(found)
+        assert ("_cell" in text) == (radius > 1e-5)
+        want = {a[0]: "2" if any(b[1] == a[1] and b[0] != a[0] and apart(a, b) <= radius and (-b[4], b[0]) < (-a[4], a[0]) for b in dets) else None for a in dets}
+        got = [(x.det_id, x.code) for x in found.select("det_id", "code").collect()]
+        assert len(got) == len(dets) and dict(got) == want
