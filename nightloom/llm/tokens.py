@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,14 +18,14 @@ OTHER_SPACE = re.compile(r"[^\S \n\r\t]|[\x1c-\x1f]")
 def resynchronised(encode, text: str, chunk: int, overlap: int) -> tuple[int, int]:
     """Tokens of a long text, and how often the overlap had to grow.
 
-    ``encode(text)`` gives an encoding with ``offsets`` and ``word_ids``. Each chunk starts in the tail of the one before. A
+    ``encode(text)`` gives the library's encoding. Each chunk starts in the tail of the one before. A
     position is a proven common boundary if in both encodings a pre-token (not just a token) starts there: the library
     splits from left to right without memory, so from there on the later chunk is split as the whole text
     is, and up to there the earlier one was, its own end being further on. If the overlap has no such position it is doubled,
-    up to the whole remaining text.
+    up to the whole remaining text. Encodings are asked for the pre-tokens of the overlap only.
     """
-    total = widened = start = 0
-    first = encode(text[:chunk])
+    total = widened = start = skipped = 0  # ``skipped`` tokens of ``first`` lie before ``start``, ``origin`` is where it begins
+    first, origin = encode(text[:chunk]), 0
     end = min(chunk, len(text))
     while end < len(text):
         size = overlap
@@ -34,16 +33,16 @@ def resynchronised(encode, text: str, chunk: int, overlap: int) -> tuple[int, in
             begin = max(start, end - size)
             stop = min(len(text), begin + max(chunk, 2 * size))
             second = encode(text[begin:stop])
-            ahead = {x + start: k for x, k in word_starts(first) if x + start < end}
+            ahead = {x + origin: k - skipped for x, k in word_starts(first, begin - origin, end - origin) if x + origin >= start}
             # Not the chunk's own first position, which any text has as a boundary; nor behind white space, whose
             # splitting looks ahead to what the earlier chunk's end may have cut.
-            common = next(((x + begin, k) for x, k in reversed(word_starts(second)) if x and x + begin in ahead and not text[x + begin - 1].isspace()), None)
+            common = next(((x + begin, k) for x, k in reversed(word_starts(second, 0, end - begin)) if x and x + begin in ahead and not text[x + begin - 1].isspace()), None)
             if common or begin == start:
                 break
             size *= 2
             widened += 1
         if common is None:  # no boundary but the first: one chunk of the remaining text up to stop
-            first, end = second, stop
+            first, origin, skipped, end = second, begin, 0, stop
             chunk = max(chunk, 2 * (stop - start))
             if stop < len(text):
                 end = min(len(text), start + chunk)
@@ -52,28 +51,23 @@ def resynchronised(encode, text: str, chunk: int, overlap: int) -> tuple[int, in
         at, k = common
         total += ahead[at]
         # go on with the later chunk from the common boundary
-        first, start, end = _Rest(second, k, at - begin), at, stop
-    return total + len(first.offsets), widened
-
-
-def word_starts(encoding) -> list[tuple[int, int]]:
-    """(offset, index of its first token) of each pre-token."""
-    found, last = [], None
-    for k, (word, (x, _)) in enumerate(zip(encoding.word_ids, encoding.offsets, strict=True)):
-        if word != last:
-            found.append((x, k))
-        last = word
+        first, origin, skipped, start, end = second, begin, k, at, stop
+    return total + len(first) - skipped, widened
+
+
+def word_starts(encoding, low: int, high: int) -> list[tuple[int, int]]:
+    """(offset, index of its first token) of each pre-token that starts in [low, high)."""
+    word, at = None, low
+    while word is None and at < high:
+        word, at = encoding.char_to_word(at), at + 1
+    found = []
+    while word is not None and (span := encoding.word_to_chars(word)) and span[0] < high:
+        if span[0] >= low:
+            found.append((span[0], encoding.word_to_tokens(word)[0]))
+        word += 1
     return found
 
 
-class _Rest:
-    """An encoding from token ``k`` on, its offsets counted from ``shift``."""
-
-    def __init__(self, encoding, k: int, shift: int):
-        self.offsets = [(a - shift, b - shift) for a, b in encoding.offsets[k:]]
-        self.word_ids = encoding.word_ids[k:]
-
-
 class Counting:
     """Counts tokens of texts with one tokenizer file; lives in a task."""
 
@@ -99,15 +93,17 @@ class Counting:
             return resynchronised(self.encode, text, self.chunk, self.overlap)[0]
         if OTHER_SPACE.search(text):
             return len(self.encode(text).ids)
-        pieces = Counter(PIECE.findall(text))
-        if missing := [p for p in pieces if p not in self.known]:
+        pieces = PIECE.findall(text)
+        counts = list(map(self.known.get, pieces))
+        if None in counts:
             if len(self.known) > self.cached:
                 self.known.clear()
-                missing = list(pieces)
+                counts = [None] * len(pieces)
+            missing = list({p for p, n in zip(pieces, counts, strict=True) if n is None})
             for p, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-                self.known[p] = len(e.ids)
-        known = self.known
-        return sum(n * known[p] for p, n in pieces.items())
+                self.known[p] = len(e)
+            counts = map(self.known.__getitem__, pieces)
+        return sum(counts)
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", column: str = "n_tokens", huge: int = 16_384, chunk: int = 8_192, overlap: int = 256) -> DataFrame:

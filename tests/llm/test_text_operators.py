@@ -418,3 +418,32 @@ def test_resynchronisation_widens():
         n, widened = tokens.resynchronised(c.encode, text, c.chunk, c.overlap)
         assert n == len(c.encode(text).ids)
     assert tokens.resynchronised(c.encode, "a" * 500 + " b" * 50, c.chunk, c.overlap)[1] > 0
+
+
+def test_resynchronisation_reads_overlaps_only():
+    """Chunks are asked for the pre-tokens of their overlaps, never for a list of all their tokens."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    c = tokens.Counting(public_tokenizers.path("byte_bpe_50k.json"), 10, 512, 32)
+    asked = []
+
+    class Chunk:
+        def __init__(self, made):
+            self.made = made
+
+        def __len__(self):
+            return len(self.made)
+
+        def char_to_word(self, x):
+            return self.made.char_to_word(x)
+
+        def word_to_chars(self, k):
+            asked.append(k)
+            return self.made.word_to_chars(k)
+
+        def word_to_tokens(self, k):
+            return self.made.word_to_tokens(k)
+
+    text = "ab cd, it's\n\n e\U0001f600 \u6f22\u5b57  " * 400
+    n, widened = tokens.resynchronised(lambda t: Chunk(c.encode(t)), text, c.chunk, c.overlap)
+    assert (n, widened) == (len(c.encode(text).ids), 0)
+    assert len(asked) < len(text) / 10
