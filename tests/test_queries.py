@@ -1,6 +1,7 @@
 """Every registered survey query against its DuckDB twin on the smallest tables; the entry points."""
 
 import os
+import shutil
 
 import duckdb
 import pytest
@@ -55,6 +56,21 @@ def test_links_beyond_the_first_objects(spark):
     assert got == sorted(f"{k * 10},{k * 10 + 3},{k * 10 + 6}" for k in ids)
 
 
+@pytest.mark.parametrize("name", ["j12_lsd_tracklets"])
+def test_objects_that_share_places(spark, tmp_path, name):
+    """As at larger sizes: three objects a place on the same nights, two of them with the same motion."""
+    for f in os.listdir(SF):
+        shutil.copyfile(f"{SF}/{f}", tmp_path / f)
+    duckdb.sql(f"COPY (SELECT CAST(k + 20172 * m AS BIGINT) AS p_partkey FROM range(40) a(k), (VALUES (0), (5), (35)) b(m)) TO '{tmp_path}/part.parquet'")
+    c = duckdb.connect()
+    for f in os.listdir(tmp_path):
+        c.execute(f"CREATE VIEW {f.split('.')[0]} AS SELECT * FROM '{tmp_path}/{f}'")
+    df = QUERIES[name](spark, str(tmp_path))
+    cur = c.execute(TWINS[name])
+    columns = [d[0] for d in cur.description]
+    assert rows_of(columns, df.columns, df.collect()) == rows_of(columns, columns, cur.fetchall())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
