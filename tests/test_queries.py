@@ -56,7 +56,7 @@ def test_links_beyond_the_first_objects(spark):
     assert got == sorted(f"{k * 10},{k * 10 + 3},{k * 10 + 6}" for k in ids)
 
 
-@pytest.mark.parametrize("name", ["j12_lsd_tracklets"])
+@pytest.mark.parametrize("name", ["j7_evaluate_tracklets", "j12_lsd_tracklets"])
 def test_objects_that_share_places(spark, tmp_path, name):
     """As at larger sizes: three objects a place on the same nights, two of them with the same motion."""
     for f in os.listdir(SF):
