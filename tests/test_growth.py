@@ -135,3 +135,20 @@ def test_codes_join_on_one_packed_cell(spark):
         want = {a[0]: "2" if any(b[1] == a[1] and b[0] != a[0] and apart(a, b) <= radius and (-b[4], b[0]) < (-a[4], a[0]) for b in dets) else None for a in dets}
         got = [(x.det_id, x.code) for x in found.select("det_id", "code").collect()]
         assert len(got) == len(dets) and dict(got) == want
+
+
+def test_field_density_reads_points_once(spark):
+    """Bounds are no second side of a join: points pass once, in one shuffle and one order of exposures, and points of no exposure go."""
+    r = random.Random(11)
+    rows = [(k, f, r.uniform(10, 10 + wide), r.uniform(0, wide), r.uniform(18, 22)) for f, n, wide in ((1, 4, 0.1), (2, 30, 1.0), (3, 8, 3.0), (None, 9, 9.0)) for k in range((f or 0) * 100, (f or 0) * 100 + n)]
+    df = spark.createDataFrame(rows, "det_id long, field_id long, ra_deg double, dec_deg double, mag double")
+    for best in (False, True):
+        found = cleaning.field_density_filter(df, 3.0, best)
+        assert "Join" not in plan(found)
+        want = set()
+        for f in (1, 2, 3):
+            own = sorted((x for x in rows if x[1] == f), key=lambda x: (x[4], x[0]))
+            (a, b), (c, d) = [(min(x[k] for x in own), max(x[k] for x in own)) for k in (2, 3)]
+            area = (d - c) * (b - a) * math.cos(math.radians((c + d) / 2))
+            want |= {x[0] for k, x in enumerate(own) if len(own) < 5 or len(own) / area < 3.0 or (best and k <= math.floor(3.0 * area))}
+        assert {x.det_id for x in found.collect()} == want
