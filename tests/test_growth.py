@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from nightloom.operators import cleaning, linking, proximity, tracklets
+from nightloom.operators import cleaning, efficiency, linking, proximity, tracklets
 from nightloom.sources import archive
 
 MOTION = "tracklet_id long, t double, ra double, dec double, va double, vd double"
@@ -152,3 +152,20 @@ def test_field_density_reads_points_once(spark):
             area = (d - c) * (b - a) * math.cos(math.radians((c + d) / 2))
             want |= {x[0] for k, x in enumerate(own) if len(own) < 5 or len(own) / area < 3.0 or (best and k <= math.floor(3.0 * area))}
         assert {x.det_id for x in found.collect()} == want
+
+
+def test_groups_are_classified_in_one_aggregate(spark):
+    """Names are not told apart by an aggregate of their own; nulls and names of no synthetic object count as such."""
+    names = {1: ["S0_1", "S0_1"], 2: ["S0_1", "S0_2"], 3: ["S0_1", None], 4: ["x", None], 5: ["S0_1", "S0_2", "x"]}
+    found = efficiency.classify_groups(spark.createDataFrame([(k, n) for k, ns in names.items() for n in ns], "k long, object_name string"), "k")
+    assert "distinct" not in plan(found) and plan(found).count("Exchange") == 1
+    assert sorted(map(tuple, found.collect())) == [(1, "C", "S0_1"), (2, "M", None), (3, "B", None), (4, "N", None), (5, "B", None)]
+
+
+def test_link_summary_reads_links_once(spark):
+    """Classes and nights are one aggregate over the links; links of no track are none."""
+    rows = [(k, n, name) for k, name in ((1, "S0_1"), (2, "S0_2"), (None, "S0_3")) for n in range(4 - (k == 2) * 2)]
+    found = efficiency.link_summary(spark.createDataFrame(rows, "track_id long, nn long, object_name string"), spark.createDataFrame([("S0_1",), ("S0_2",), ("S0_3",)], "object_name string"))
+    (x,) = found.collect()
+    assert (x.tracks, x.clean, x.mixed, x.missed, x.clean_percent) == (1, 1, 0, 2, 100.0)
+    assert plan(found).count("SortMergeJoin") <= 1
