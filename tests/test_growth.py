@@ -169,3 +169,15 @@ def test_link_summary_reads_links_once(spark):
     (x,) = found.collect()
     assert (x.tracks, x.clean, x.mixed, x.missed, x.clean_percent) == (1, 1, 0, 2, 100.0)
     assert plan(found).count("SortMergeJoin") <= 1
+
+
+def test_views_of_a_place_are_compared_once(spark, monkeypatch):
+    """Forty pointings at one place and thirty objects at another meet as one pair of places; all their rows come out, null keys too."""
+    calls = recorded(monkeypatch, proximity, "sky_join")
+    predictions = spark.createDataFrame([(k, 10.0, 0.0, 19.0) for k in range(30)] + [(99, -0.0, 5.0, 19.0), (None, 10.0, 0.0, 19.0), (98, None, 0.0, 19.0), (97, 10.0, 0.0, 21.0)], "object_id long, ra_deg double, dec_deg double, mag double")
+    pointings = spark.createDataFrame([(k, 10.5, 0.0) for k in range(40)] + [(50, 0.0, 5.0), (None, 0.0, 5.0), (51, None, None)], "pointing_id long, p_ra double, p_dec double")
+    found = proximity.objects_in_view(predictions, pointings, 1.5, 20.0)
+    want = [(p, o, 0.5) for p in range(40) for o in [*range(30), None]] + [(50, 99, 0.0), (None, 99, 0.0)]
+    order = lambda rows: sorted(rows, key=str)
+    assert order((x[0], x[1], round(x[2], 9)) for x in found.collect()) == order(want)
+    assert calls[0][1].count() == 2
