@@ -181,3 +181,31 @@ def test_views_of_a_place_are_compared_once(spark, monkeypatch):
     order = lambda rows: sorted(rows, key=str)
     assert order((x[0], x[1], round(x[2], 9)) for x in found.collect()) == order(want)
     assert calls[0][1].count() == 2
+
+
+def test_tracklets_are_found_where_their_starts_are(spark, monkeypatch):
+    """Pairs are neither written nor shuffled: only detections travel, and what may hold another start's group. The groups are those of the way by cells of velocity, for objects that share places, too."""
+    r = random.Random(7)
+    rows = []
+    for k in range(60):
+        ra, dec, va, vd = r.choice((0.0, 359.995, 10.0)), r.choice((0.0, 30.0, 89.0)), r.choice((-0.1, 0.0, 0.1)), r.choice((0.0, 0.1))
+        for e in range(4):
+            t = 55000 + e / 80
+            rows += [(len(rows) + c, k % 2, t, (ra + va * e / 80) % 360, dec + vd * e / 80 + (0.0002 if k % 7 == 3 and e == 2 else 0.0)) for c in range(2 if k % 5 == 0 else 1)]
+    df = spark.createDataFrame(rows, "det_id long, stack_id long, epoch_mjd double, ra_deg double, dec_deg double")
+    ways = (
+        lambda: tracklets.find_tracklets(df, 0.0, 0.3, 0.0003, 0.05, 2),
+        lambda: tracklets.find_tracklets(df, 0.0, 0.3, 0.0003, 0.05, 3, 3, greedy=True),
+        lambda: tracklets.grow_tracklets(df.filter("det_id % 3 > 0"), 0.0, 0.3, 0.0003, 0.05, 2, 4),
+        lambda: tracklets.grow_tracklets(df, 0.0, 0.3, 0.0003, 0.05, 2, 4, greedy=True),
+    )
+    groups = lambda found: sorted((x.stack_id, x.det_ids, x.n, x.tracklet_key) for x in found.collect())
+    written = recorded(monkeypatch, tracklets, "cut_lineage")
+    got = []
+    for way in ways:
+        found = way()
+        assert plan(found).count("Exchange hash") == 3, plan(found)
+        got.append(groups(found))
+    assert not written
+    monkeypatch.setattr(tracklets, "MANY_PARTNERS", 0)
+    assert got == [groups(way()) for way in ways] and all(got) and written
