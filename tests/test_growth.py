@@ -209,3 +209,18 @@ def test_tracklets_are_found_where_their_starts_are(spark, monkeypatch):
     assert not written
     monkeypatch.setattr(tracklets, "MANY_PARTNERS", 0)
     assert got == [groups(way()) for way in ways] and all(got) and written
+
+
+def test_fields_of_a_place_meet_equal_tracks_once(spark, monkeypatch):
+    """Thirty fields of one epoch and place and twenty objects on one track are one pair; every field and object comes out, with its own verdict."""
+    calls = recorded(monkeypatch, proximity, "sky_join")
+    fields = spark.createDataFrame([(k, 55001.0, 10.0, 0.0, 2.0) for k in range(30)] + [(90, 55001.0, None, 0.0, 2.0), (91, 55001.0, 11.25, 0.0, 2.0)], "field_id long, epoch_mjd double, ra_deg double, dec_deg double, fov_deg double")
+    tracks = spark.createDataFrame([(k, 55000.0 + 2 * n, 10.0, 0.0, None if k == 19 else float(k % 2 * 5)) for k in range(20) for n in (0, 1)], "object_id long, epoch_mjd double, ra_deg double, dec_deg double, uncertainty double")
+    found = proximity.field_proximity(fields, tracks, 0.1, by_place=True)
+    assert sorted(map(tuple, found.collect())) == [(f, o, 0.0) for f in range(30) for o in range(20)]
+    assert calls[-1][1].count() == 2  # the second one is too far off
+    assert sorted(map(tuple, proximity.field_proximity(fields, tracks, 0.1).collect())) == sorted(map(tuple, found.collect()))
+    certain = proximity.orbit_field_candidates(fields, tracks, 0.1, 0.4, 2.0)
+    verdict = lambda o: None if o == 19 else o % 2 == 0
+    want = [(f, o, verdict(o)) for f in range(30) for o in range(20)] + [(91, o, verdict(o)) for o in range(20) if o % 2]
+    assert sorted(map(tuple, certain.collect()), key=str) == sorted(want, key=str)
