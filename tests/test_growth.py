@@ -224,3 +224,16 @@ def test_fields_of_a_place_meet_equal_tracks_once(spark, monkeypatch):
     verdict = lambda o: None if o == 19 else o % 2 == 0
     want = [(f, o, verdict(o)) for f in range(30) for o in range(20)] + [(91, o, verdict(o)) for o in range(20) if o % 2]
     assert sorted(map(tuple, certain.collect()), key=str) == sorted(want, key=str)
+
+
+def test_targets_of_a_place_meet_tracklets_once(spark, monkeypatch):
+    """Twenty targets of one place and the tracklets of ten fields of another meet as one pair of places; each target gets each tracklet that is fast enough."""
+    calls = recorded(monkeypatch, proximity, "fields_in_cone")
+    kinds = "field_id long, epoch_mjd double, ra_deg double, dec_deg double, fov_deg double"
+    fields = spark.createDataFrame([(k, 55000.0, 10.0, 0.0, 1.0) for k in range(10)] + [(50, 55000.0, 12.5, 0.0, 1.0), (51, 55000.0, None, 0.0, 1.0)], kinds)
+    targets = spark.createDataFrame([(k, 55002.0, 12.0, 0.0, 0.5) for k in range(20)], "target_id long, t_mjd double, t_ra double, t_dec double, t_radius double")
+    tracklets = spark.createDataFrame([(k, k % 10, 0.5 if k % 3 else 0.1, "U" if k % 5 else "K") for k in range(60)] + [(100, 50, 0.0, "U"), (101, 51, 1.0, "U"), (102, 1, None, "U")], "tracklet_id long, field_id long, vel_tot double, status string")
+    found = proximity.linkable_detracklets(targets, fields, tracklets, 0.6, 4.0)
+    want = [(t, k) for t in range(20) for k in [*(k for k in range(60) if k % 3 and k % 5), 100]]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    assert calls[0][1].count() == 2
